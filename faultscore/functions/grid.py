@@ -45,7 +45,7 @@ def points_at_or_below(score: Column) -> Column:
 
 GRID_SQL = f"""
 grid AS (
-  SELECT i + 1 AS grid_index,
+  SELECT CAST(i + 1 AS INTEGER) AS grid_index,
          CASE WHEN i = {GRID_POINTS - 1} THEN {GRID_STOP}::DOUBLE
               ELSE i::DOUBLE * (({GRID_STOP}::DOUBLE - {GRID_START}::DOUBLE) / {GRID_POINTS - 1}::DOUBLE) + {GRID_START}::DOUBLE
          END AS threshold
