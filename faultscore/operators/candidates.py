@@ -153,6 +153,10 @@ class CandidateConfig:
     max_bins: int = 256
     mlp_hidden: int = 24
     mlp_epochs: int = 40
+    # Boosting truncates its lineage every this many rounds (reliable
+    # checkpoints in spark.checkpoint.dir), so a lost executor replays at
+    # most this many rounds.
+    checkpoint_interval: int = 50
     include: tuple[str, ...] = field(default=CANDIDATE_ORDER)
 
 
@@ -191,7 +195,7 @@ def make_estimator(name: str, balance: ClassBalance, config: CandidateConfig) ->
             **common, weightCol=WEIGHT_COL, maxIter=config.boosted_rounds, stepSize=config.boosted_step,
             maxDepth=config.boosted_depth, subsamplingRate=config.boosted_subsample,
             featureSubsetStrategy=str(config.boosted_feature_fraction), minInstancesPerNode=2,
-            maxBins=config.max_bins, seed=config.seed, cacheNodeIds=True, checkpointInterval=10,
+            maxBins=config.max_bins, seed=config.seed, cacheNodeIds=False, checkpointInterval=config.checkpoint_interval,
         )
     if name == "mlp":
         return MultilayerPerceptronClassifier(

@@ -15,15 +15,19 @@ a group has only one class.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import col, ratio, rounded
 
-# Score-quantile buckets for the ranking windows: enough that no bucket
-# holds more than a small share of the distinct scores.
-DEFAULT_BUCKETS = 4096
+# Score-quantile buckets for the ranking windows: sized so that one window
+# partition sorts at most about a million distinct scores.
+ROWS_PER_BUCKET = 1_000_000
+MAX_BUCKETS = 65_536
+DEFAULT_BUCKETS = None  # choose from the distinct-score count
 
 
 def score_table(
@@ -53,10 +57,21 @@ def _bucketed(table: DataFrame, buckets: int) -> DataFrame:
     return Bucketizer(splits=splits, inputCol="score", outputCol="bucket", handleInvalid="keep").transform(table)
 
 
-def ranking_table(table: DataFrame, by: list[str], buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def ranking_table(table: DataFrame, by: list[str], buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """Per distinct score: tp / pp at that score (inclusive, descending order),
-    group totals P and N."""
+    group totals P and N.
+
+    With ``buckets=None`` the distinct-score table is checkpointed (it is
+    read up to four times below, and its input is usually a model
+    transform) and counted to size the buckets.
+    """
     keys = [col(b) for b in by]
+    if buckets is None:
+        from ..session import ensure_checkpoint_dir
+
+        ensure_checkpoint_dir(table.sparkSession)
+        table = table.checkpoint(eager=True)
+        buckets = min(MAX_BUCKETS, max(1, math.ceil(table.count() / ROWS_PER_BUCKET)))
     data = _bucketed(table, buckets)
     totals = data.groupBy(*keys, "bucket").agg(F.sum("n").alias("b_n"), F.sum("pos").alias("b_pos"))
     down = Window.partitionBy(*keys).orderBy(F.col("bucket").desc())
@@ -79,7 +94,7 @@ def ranking_table(table: DataFrame, by: list[str], buckets: int = DEFAULT_BUCKET
 
 
 def ranking_metrics(
-    df: DataFrame, label: str, score: str, by: list[str] | None = None, buckets: int = DEFAULT_BUCKETS
+    df: DataFrame, label: str, score: str, by: list[str] | None = None, buckets: int | None = DEFAULT_BUCKETS
 ) -> DataFrame:
     """average_precision and roc_auc per group (rounded to 6 places)."""
     by = list(by or [])
@@ -189,7 +204,7 @@ def binary_metrics(
     score: str,
     threshold: float | str,
     by: list[str] | None = None,
-    buckets: int = DEFAULT_BUCKETS,
+    buckets: int | None = DEFAULT_BUCKETS,
 ) -> DataFrame:
     """Threshold, accuracy, precision, recall, f1, roc_auc,
     average_precision and tn/fp/fn/tp per group: one score table, one

@@ -78,10 +78,24 @@ def metrics_record(row: dict) -> dict:
     return out
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give a small, few-file input at least one partition per core.
+
+    A cluster-sized input already has thousands of file splits and is
+    returned untouched (its passes re-read only the pruned columns); a
+    single-row-group test file would otherwise run every pass in one task.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target).persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def prepare(df: DataFrame, spec: TaskSpec, seed: int = 42, config: CandidateConfig | None = None) -> Experiment:
     """Audit once, split, fit preprocessing on train, featurize every split."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
+    df = spread(df)
     audit = validate(df, spec)
     split = stratified_split(df, spec, seed).persist(StorageLevel.MEMORY_AND_DISK)
     train_raw = split.where(F.col("split") == TRAIN)
