@@ -474,4 +474,14 @@ FROM (SELECT udi, CAST(('0x' || substr(md5('42:' || CAST(udi AS VARCHAR)), 1, 8)
     "choose_candidate": "SELECT model, threshold, f1, average_precision FROM (" + _CANDIDATE_METRICS + ") ORDER BY average_precision DESC, f1 DESC, ordinal ASC LIMIT 1",
     "permutation_importance": _importance_sql(),
     "score_parity": _PARITY_SQL,
+    "batch_score_linear": _with(
+        O.MACHINE_SPLIT,
+        "prior AS (SELECT avg(CAST(machine_failure AS DOUBLE)) AS p FROM machine_split WHERE split = 'train')",
+        "vs AS (SELECT split, machine_failure AS label, (SELECT p FROM prior) AS score FROM machine_split WHERE split = 'validation')",
+        O.sweep_sql("vs", "split"),
+        O.pick_sql("sw"),
+    ) + """
+SELECT udi, round((SELECT p FROM prior), 6) AS failure_probability,
+       CAST((SELECT p FROM prior) >= (SELECT threshold FROM pick) AS INTEGER) AS predicted_failure
+FROM machine_split WHERE split = 'test'""",
 }
