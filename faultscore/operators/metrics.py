@@ -73,6 +73,13 @@ def ranking_table(table: DataFrame, by: list[str], buckets: int | None = DEFAULT
         table = table.checkpoint(eager=True)
         buckets = min(MAX_BUCKETS, max(1, math.ceil(table.count() / ROWS_PER_BUCKET)))
     data = _bucketed(table, buckets)
+    # Within-bucket prefix sums first, straight on D, so the window is
+    # partitioned by (group, bucket) itself and not by whatever partitioning
+    # a later join would leave behind (a group-only or single partition
+    # would also "satisfy" the window and put a whole group in one task).
+    inside = Window.partitionBy(*keys, "bucket").orderBy(F.col("score").desc())
+    local = data.withColumns({"tp_in": F.sum("pos").over(inside), "pp_in": F.sum("n").over(inside)})
+    # Per-bucket offsets: at most (groups x buckets) rows.
     totals = data.groupBy(*keys, "bucket").agg(F.sum("n").alias("b_n"), F.sum("pos").alias("b_pos"))
     down = Window.partitionBy(*keys).orderBy(F.col("bucket").desc())
     whole = Window.partitionBy(*keys)
@@ -84,12 +91,11 @@ def ranking_table(table: DataFrame, by: list[str], buckets: int | None = DEFAULT
         F.sum("b_n").over(whole).alias("n_total"),
         F.sum("b_pos").over(whole).alias("p_total"),
     )
-    inside = Window.partitionBy(*keys, "bucket").orderBy(F.col("score").desc())
     return (
-        data.join(totals, [*by, "bucket"])
-        .withColumn("tp", F.col("pos_before") + F.sum("pos").over(inside))
-        .withColumn("pp", F.col("n_before") + F.sum("n").over(inside))
-        .drop("bucket", "n_before", "pos_before")
+        local.join(totals, [*by, "bucket"])
+        .withColumn("tp", F.col("pos_before") + F.col("tp_in"))
+        .withColumn("pp", F.col("n_before") + F.col("pp_in"))
+        .drop("bucket", "n_before", "pos_before", "tp_in", "pp_in")
     )
 
 

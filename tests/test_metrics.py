@@ -93,3 +93,21 @@ def test_metrics_invariant_to_partitioning(spark):
     assert a == b
     c = confusion_matrix(frame(spark, y, p), "label", "score", 0.4).first()
     assert (c.tn, c.fp, c.fn, c.tp) == (a.tn, a.fp, a.fn, a.tp)
+
+
+def test_auto_buckets_with_quantile_bucketing(spark, monkeypatch):
+    from faultscore.operators import metrics as M
+
+    monkeypatch.setattr(M, "ROWS_PER_BUCKET", 15)
+    rng = random.Random(11)
+    n = 400
+    groups = [rng.randrange(2) for _ in range(n)]
+    y = [1 if rng.random() < 0.25 else 0 for _ in range(n)]
+    p = [round(rng.random() * (0.6 + 0.3 * a), 3) for a in y]
+    df = frame(spark, y, p, groups).repartition(4)
+    got = {r.g: r for r in binary_metrics(df, "label", "score", 0.3, ["g"]).collect()}
+    for g in range(2):
+        ys = [a for a, k in zip(y, groups) if k == g]
+        ps = [b for b, k in zip(p, groups) if k == g]
+        assert got[g].average_precision == pytest.approx(average_precision(ys, ps), abs=1e-6)
+        assert got[g].roc_auc == pytest.approx(roc_auc(ys, ps), abs=1e-6)
