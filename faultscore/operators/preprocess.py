@@ -50,32 +50,61 @@ def _quote(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+# A one-hot block is as wide as its category list; beyond this many
+# categories the feature needs a different encoding (hashing), not one-hot.
+MAX_CATEGORIES = 100_000
+EPS = 2.220446049250313e-16
+
+
+def _scale(std: float | None, mean: float) -> float:
+    """Population std, or 1 for a (near) constant column as the reference scaler does."""
+    if std is None or math.isnan(std) or std < 10 * EPS * max(1.0, abs(mean)):
+        return 1.0
+    return std
+
+
 def fit_stats(train: DataFrame, spec: TaskSpec) -> PreprocessStats:
-    """Learn every statistic from the training rows (a few aggregations)."""
-    medians = exact_medians(train, list(spec.numeric))
+    """Learn every statistic from the training rows.
+
+    Pass 1 counts rows and non-missing values and takes the raw moments;
+    the exact medians need one more pass (or a few at scale); the moments
+    are recomputed on imputed values only if some training value is
+    missing; one grouped pass gives each categorical's counts.
+    """
+    values = [nan_to_null(col(c)) for c in spec.numeric]
+    first = train.agg(
+        F.count(F.lit(1)).alias("rows"),
+        *[F.count(x).alias(f"n_{i}") for i, x in enumerate(values)],
+        *[F.avg(x).alias(f"mean_{i}") for i, x in enumerate(values)],
+        *[F.stddev_pop(x).alias(f"std_{i}") for i, x in enumerate(values)],
+    ).first()
+    counts = {c: int(first[f"n_{i}"]) for i, c in enumerate(spec.numeric)}
+    medians = exact_medians(train, list(spec.numeric), counts)
     for c, value in medians.items():
         if value is None:
             raise ValueError(f"{c} has no observed training values")
-    imputed = [F.coalesce(nan_to_null(col(c)), F.lit(medians[c])) for c in spec.numeric]
-    moments = train.agg(
-        *[F.avg(x).alias(f"mean_{i}") for i, x in enumerate(imputed)],
-        *[F.stddev_pop(x).alias(f"std_{i}") for i, x in enumerate(imputed)],
-    ).first()
+    moments = first
+    if any(counts[c] < first["rows"] for c in spec.numeric):
+        imputed = [F.coalesce(x, F.lit(medians[c])) for x, c in zip(values, spec.numeric)]
+        moments = train.agg(
+            *[F.avg(x).alias(f"mean_{i}") for i, x in enumerate(imputed)],
+            *[F.stddev_pop(x).alias(f"std_{i}") for i, x in enumerate(imputed)],
+        ).first()
     means = {c: float(moments[f"mean_{i}"]) for i, c in enumerate(spec.numeric)}
-    scales = {}
-    for i, c in enumerate(spec.numeric):
-        std = float(moments[f"std_{i}"])
-        # A (near) constant column keeps scale 1, as the reference scaler does.
-        scales[c] = 1.0 if (math.isnan(std) or std < 10 * 2.220446049250313e-16 * max(1.0, abs(means[c]))) else std
+    scales = {c: _scale(moments[f"std_{i}"], means[c]) for i, c in enumerate(spec.numeric)}
     modes, categories = {}, {}
     for c in spec.categorical:
-        counts = train.where(col(c).isNotNull()).groupBy(col(c).alias("v")).agg(F.count(F.lit(1)).alias("n"))
-        top = counts.orderBy(F.col("n").desc(), F.col("v").asc()).first()
-        if top is None:
+        counted = (
+            train.where(col(c).isNotNull()).groupBy(col(c).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+            .limit(MAX_CATEGORIES + 1).collect()
+        )
+        if not counted:
             raise ValueError(f"{c} has no observed training values")
-        modes[c] = top["v"]
-        # The category list is a model parameter: one value per category.
-        categories[c] = sorted(r["v"] for r in counts.select("v").collect())
+        if len(counted) > MAX_CATEGORIES:
+            raise ValueError(f"{c} has more than {MAX_CATEGORIES} categories; one-hot encoding is not suitable")
+        # Most frequent value, ties to the smallest; categories sorted.
+        modes[c] = min(counted, key=lambda r: (-r["n"], r["v"]))["v"]
+        categories[c] = sorted(r["v"] for r in counted)
     return PreprocessStats(medians, means, scales, modes, categories)
 
 

@@ -45,11 +45,19 @@ def _in_open(x, state: _State):
     return cond
 
 
-def kth_values(df: DataFrame, ranks: dict[str, list[int]]) -> dict[str, dict[int, float]]:
-    """Exact value at each 1-based rank (ascending, NaN and NULL skipped)."""
+def kth_values(
+    df: DataFrame, ranks: dict[str, list[int]], counts: dict[str, int] | None = None
+) -> dict[str, dict[int, float]]:
+    """Exact value at each 1-based rank (ascending, NaN and NULL skipped).
+
+    ``counts`` (non-missing values per column) saves the counting pass when
+    the caller already has them.
+    """
     values = df.select(*[nan_to_null(col(c)).alias(c) for c in ranks])
     states = {c: _State(ranks=sorted(set(r))) for c, r in ranks.items()}
-    counts = values.agg(*[F.count(F.col(c)).alias(c) for c in ranks]).first()
+    if counts is None:
+        row = values.agg(*[F.count(F.col(c)).alias(c) for c in ranks]).first()
+        counts = {c: int(row[c]) for c in ranks}
     for c, state in states.items():
         state.inside = int(counts[c])
         bad = [r for r in state.ranks if not 1 <= r <= state.inside]
@@ -134,15 +142,19 @@ def _narrow(values: DataFrame, states: dict[str, _State]) -> None:
             raise RuntimeError("pending ranks straddle the sketch bounds")
 
 
-def exact_medians(df: DataFrame, columns: list[str] | tuple[str, ...]) -> dict[str, float | None]:
+def exact_medians(
+    df: DataFrame, columns: list[str] | tuple[str, ...], counts: dict[str, int] | None = None
+) -> dict[str, float | None]:
     """Interpolated median of each column over non-missing values."""
-    counts = df.agg(*[F.count(nan_to_null(col(c))).alias(c) for c in columns]).first()
+    if counts is None:
+        row = df.agg(*[F.count(nan_to_null(col(c))).alias(c) for c in columns]).first()
+        counts = {c: int(row[c]) for c in columns}
     ranks = {}
     for c in columns:
         n = int(counts[c])
         if n:
             ranks[c] = [(n + 1) // 2, n // 2 + 1]
-    found = kth_values(df, ranks) if ranks else {}
+    found = kth_values(df, ranks, {c: counts[c] for c in ranks}) if ranks else {}
     out: dict[str, float | None] = {}
     for c in columns:
         if c not in found:

@@ -88,11 +88,25 @@ def _check_allocation(rows: list) -> None:
 
 
 def stratified_split(
-    df: DataFrame, spec: TaskSpec, seed: int = DEFAULT_SEED, spark: SparkSession | None = None
+    df: DataFrame,
+    spec: TaskSpec,
+    seed: int = DEFAULT_SEED,
+    spark: SparkSession | None = None,
+    class_rows: dict[int, int] | None = None,
 ) -> DataFrame:
-    """Add an exact stratified ``split`` column (deterministic for a seed)."""
+    """Add an exact stratified ``split`` column (deterministic for a seed).
+
+    ``class_rows`` ({class: rows}, e.g. from the audit) saves the counting pass.
+    """
     spark = spark or df.sparkSession
-    rows = allocation(class_counts(df, spec.target)).collect()
+    if class_rows is None:
+        counts = class_counts(df, spec.target)
+    else:
+        target_type = df.schema[spec.target].dataType.simpleString()
+        counts = spark.createDataFrame(
+            [(k, int(v)) for k, v in sorted(class_rows.items()) if v > 0], f"cls {target_type}, n long"
+        )
+    rows = allocation(counts).collect()
     _check_allocation(rows)
     keyed = df.withColumn("_split_key", hash_key(seed, col(spec.id_column)))
     sizes = {r["cls"]: int(r["n"]) for r in rows}

@@ -97,7 +97,8 @@ def prepare(df: DataFrame, spec: TaskSpec, seed: int = 42, config: CandidateConf
     ensure_checkpoint_dir(spark)
     df = spread(df)
     audit = validate(df, spec)
-    split = stratified_split(df, spec, seed).persist(StorageLevel.MEMORY_AND_DISK)
+    classes = {0: audit["rows"] - audit["positive_rows"], 1: audit["positive_rows"]}
+    split = stratified_split(df, spec, seed, class_rows=classes).persist(StorageLevel.MEMORY_AND_DISK)
     train_raw = split.where(F.col("split") == TRAIN)
     preprocessor, stats = fit_preprocessor(train_raw, spec)
     labelled = split.select(col(spec.id_column), "split", col(spec.target).cast("int").alias(LABEL_COL), *[col(f) for f in spec.features])
