@@ -160,6 +160,22 @@ def q_feature_vector(spark, sf):
     return out.select("udi", "split", "position", rounded(F.col("value")).alias("value"))
 
 
+def q_preprocess_train_only(spark, sf):
+    """Mean z-score per split and numeric feature: zero on train by
+    construction, not on the splits that were only transformed."""
+    split, model, _ = _fitted(spark, sf)
+    z = model.transform(split).select("split", F.posexplode(vector_to_array(FEATURES_COL)).alias("position", "value"))
+    return (
+        z.where(F.col("position") < len(S.numeric))
+        .groupBy("split", "position")
+        .agg((rounded(F.avg("value")) + F.lit(0.0)).alias("mean_z"))
+    )
+
+
+def q_document_audit_summary(spark, sf):
+    return audit_ops.audit_summary(load_documents(spark, sf), DOCUMENT_TASK)
+
+
 # --------------------------------------------------- weights / baseline
 
 def q_prior_baseline(spark, sf):
@@ -287,6 +303,8 @@ O_QUERIES: dict[str, Query] = {
     "impute_mode": q_impute_mode,
     "one_hot": q_one_hot,
     "feature_vector": q_feature_vector,
+    "preprocess_train_only": q_preprocess_train_only,
+    "document_audit_summary": q_document_audit_summary,
     "prior_baseline": q_prior_baseline,
     "class_weights": q_class_weights,
     "positive_weight": q_positive_weight,
@@ -453,6 +471,19 @@ FROM (SELECT udi, CAST(('0x' || substr(md5('42:' || CAST(udi AS VARCHAR)), 1, 8)
     "one_hot": _with(O.MACHINE_SPLIT, _TRAIN)
     + "\nSELECT udi, split, CAST(type = 'H' AS INTEGER) AS type_H, CAST(type = 'L' AS INTEGER) AS type_L, CAST(type = 'M' AS INTEGER) AS type_M FROM machine_split",
     "feature_vector": _feature_vector_sql(),
+    "preprocess_train_only": _with(O.MACHINE_SPLIT, _TRAIN) + "\n" + "\nUNION ALL\n".join(
+        f"SELECT split, {i} AS position, round(avg((coalesce({c}, (SELECT median({c}) FROM machine_split_train)) - "
+        f"(SELECT avg({c}) FROM machine_split_train)) / (SELECT stddev_pop({c}) FROM machine_split_train)), 6) + 0.0 AS mean_z "
+        f"FROM machine_split GROUP BY split"
+        for i, c in enumerate(S.numeric)
+    ),
+    "document_audit_summary": _with(_DOCS) + """
+SELECT count(*) AS rows, 3 AS feature_count, CAST(sum(toxic) AS BIGINT) AS positive_rows, round(avg(CAST(toxic AS DOUBLE)), 6) AS positive_rate,
+       CAST(count_if(doc_id IS NULL) + count_if(lang IS NULL) + count_if(source IS NULL) + count_if(n_chars IS NULL OR isnan(n_chars))
+            + count_if(toxic IS NULL) + count_if(quality IS NULL) AS BIGINT) AS missing_values,
+       (SELECT count(*) FROM (SELECT doc_id FROM docs GROUP BY doc_id HAVING count(*) > 1)) AS duplicate_ids,
+       'doc_id' AS excluded_id_columns, 'quality' AS excluded_leak_columns
+FROM docs""",
     "prior_baseline": _with(O.MACHINE_SPLIT)
     + "\nSELECT udi, split, round((SELECT avg(CAST(machine_failure AS DOUBLE)) FROM machine_split WHERE split = 'train'), 6) AS score FROM machine_split WHERE split <> 'train'",
     "class_weights": _with(O.MACHINE_SPLIT, _TRAIN)
