@@ -42,3 +42,14 @@ def predict_rows(
         F.col(SCORE_COL).alias("failure_probability"),
         predicted(F.col(SCORE_COL), threshold).alias("predicted_failure"),
     )
+
+
+def write_predictions(predictions: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> int:
+    """A3: write predictions (keys kept) and report how many rows were written."""
+    writer = predictions.write.mode(mode)
+    if fmt == "csv":
+        writer = writer.option("header", True)
+    writer.format(fmt).save(path)
+    reader = predictions.sparkSession.read
+    written = (reader.option("header", True).csv(path) if fmt == "csv" else reader.format(fmt).load(path))
+    return written.count()

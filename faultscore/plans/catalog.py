@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from ..functions.columns import predicted, rounded
 from ..functions.scorers import torque_wear_score
 from ..operators import audit as audit_ops
-from ..operators.candidates import ClassBalance, class_balance
 from ..operators.importance import permutation_importance
 from ..operators.metrics import binary_metrics, confusion_matrix, ranking_metrics
 from ..operators.parity import score_parity

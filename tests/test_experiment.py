@@ -111,3 +111,19 @@ def test_boosted_configuration_is_frozen():
     assert est.getMaxIter() == 500 and est.getStepSize() == 0.05 and est.getMaxDepth() == 4
     assert est.getSubsamplingRate() == 0.8 and est.getFeatureSubsetStrategy() == "0.8" and est.getSeed() == 17
     assert ClassBalance(100, 10).positive_weight() == 9.0
+
+
+def test_prediction_sink_reports_count(spark, trained, tmp_path):
+    from faultscore.operators.scoring import write_predictions
+
+    exp, _ = trained
+    preds = predict_rows(exp.scorers[exp.chosen], exp.threshold, exp.raw_part("validation"), S.features, keep=["udi"])
+    assert write_predictions(preds, str(tmp_path / "nested" / "out"), "csv") == exp.report["split_summary"]["validation"]["rows"]
+
+
+def test_unscored_rows_are_rejected(spark):
+    from faultscore.operators.metrics import require_scores
+
+    df = spark.createDataFrame([(1, 0.5), (0, None)], "label int, score double")
+    with pytest.raises(ValueError, match="matching vectors"):
+        require_scores(df, "label", "score")
