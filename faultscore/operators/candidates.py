@@ -140,6 +140,9 @@ class CandidateConfig:
 
     seed: int = 42
     logistic_max_iter: int = 2000
+    # Each L-BFGS iteration is a full pass over the training rows; MLlib's
+    # default tolerance converges in tens of passes.
+    logistic_tol: float = 1e-6
     tree_depth: int = 6
     tree_min_rows: int = 8
     forest_trees: int = 250
@@ -177,7 +180,7 @@ def make_estimator(name: str, balance: ClassBalance, config: CandidateConfig) ->
         # Balanced weights sum to the row count, so C = 1 becomes 1 / rows.
         return LogisticRegression(
             **common, weightCol=WEIGHT_COL, maxIter=config.logistic_max_iter,
-            regParam=1.0 / balance.rows, elasticNetParam=0.0, standardization=False, tol=1e-10,
+            regParam=1.0 / balance.rows, elasticNetParam=0.0, standardization=False, tol=config.logistic_tol,
         )
     if name == "decision_tree":
         return DecisionTreeClassifier(

@@ -22,6 +22,23 @@ LOCAL_DEFAULTS = {
 }
 
 
+# What a cluster launcher should set for this workload (not applied here):
+# AQE starts from many shuffle partitions and coalesces them to ~256 MB, so
+# the same code fits 60k rows and 100 TB; skewed joins are split at runtime;
+# scans cut files into 256 MB splits.
+CLUSTER_SETTINGS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "16384",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # spark.checkpoint.dir must name a shared folder (e.g. on the cluster FS)
+}
+
+
 def get_session(master: str | None = None, app_name: str = "faultscore", **conf: str) -> SparkSession:
     """Return the active session, or build one with the local defaults."""
     active = SparkSession.getActiveSession()
