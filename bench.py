@@ -139,7 +139,7 @@ def main() -> None:
 
 
 def _load(spark, sf_dir):
-    df = spread(load_machine(spark, sf_dir))
+    df = load_machine(spark, sf_dir, spread_source=spread)
     df.count()
     return df
 

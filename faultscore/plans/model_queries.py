@@ -23,7 +23,7 @@ from ..session import ensure_checkpoint_dir
 from ..sources.adapters import load_machine
 from ..sources.bundle import Bundle, load_bundle, save_bundle
 from ..sources.checksums import file_checksums
-from .experiment import Experiment, evaluate_chosen, importance_of_chosen, prepare, test_predictions, train_candidates
+from .experiment import Experiment, evaluate_chosen, importance_of_chosen, prepare, spread, test_predictions, train_candidates
 
 # Model sizes for the registered keys: every table row is used; only the
 # ensemble sizes are smaller than the documented defaults so that the
@@ -38,7 +38,7 @@ def prepared(spark: SparkSession, sf: str) -> Experiment:
     """Audit + split + train-only preprocessing, once per (context, tables)."""
     key = (id(spark.sparkContext), sf)
     if key not in _PREPARED:
-        _PREPARED[key] = prepare(load_machine(spark, sf), S, 42, DRIVER_CONFIG)
+        _PREPARED[key] = prepare(load_machine(spark, sf, spread_source=spread), S, 42, DRIVER_CONFIG)
     return _PREPARED[key]
 
 

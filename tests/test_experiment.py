@@ -127,3 +127,17 @@ def test_unscored_rows_are_rejected(spark):
     df = spark.createDataFrame([(1, 0.5), (0, None)], "label int, score double")
     with pytest.raises(ValueError, match="matching vectors"):
         require_scores(df, "label", "score")
+
+
+def test_fit_benchmark_reports_medians_and_parity(spark):
+    from faultscore.plans.experiment import prepare
+    from faultscore.plans.fit_benchmark import run_fit_benchmark
+
+    exp = prepare(machine_frame(spark, 400, 2), S, 3, CandidateConfig(seed=3, boosted_rounds=3))
+    report = run_fit_benchmark(exp, repeats=2)
+    assert set(report["timing_seconds"]["medians"]) == {"as_read", "single_partition"}
+    parity = report["validation_parity"]
+    assert parity["rows_matched"] == 80 and parity["unmatched_a"] == 0
+    assert report["protocol"]["official_test_evaluated"] is False
+    with pytest.raises(ValueError, match="repeats must be at least one"):
+        run_fit_benchmark(exp, repeats=0)
