@@ -161,6 +161,8 @@ class CandidateConfig:
     # most this many rounds.
     checkpoint_interval: int = 50
     include: tuple[str, ...] = field(default=CANDIDATE_ORDER)
+    # Candidates fitted at the same time (driver threads submitting jobs).
+    parallel_fits: int = 5
 
 
 def weight_column(name: str, balance: ClassBalance) -> Column | None:

@@ -10,8 +10,9 @@ n_train rows train, the next n_validation validate, the rest test.
 
 from __future__ import annotations
 
+import math
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import col, hash_key, rounded
@@ -31,48 +32,44 @@ def class_counts(df: DataFrame, target: str) -> DataFrame:
     return df.groupBy(col(target).alias("cls")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def _largest_remainder(frame: DataFrame, share: Column, draws: Column, out: str) -> DataFrame:
-    """floor(share * draws) per class plus one for the largest remainders."""
-    continuous = share * draws.cast("double")
-    whole = F.floor(continuous).cast("long")
-    everything = Window.partitionBy()  # the frame has one row per class
-    order = Window.orderBy(F.col("_rem").desc(), F.col("cls").asc())
-    return (
-        frame.withColumn("_whole", whole)
-        .withColumn("_rem", continuous - F.col("_whole").cast("double"))
-        .withColumn("_need", draws - F.sum("_whole").over(everything))
-        .withColumn(out, F.col("_whole") + (F.row_number().over(order) <= F.col("_need")).cast("long"))
-        .drop("_whole", "_rem", "_need")
-    )
+def _largest_remainder(counts: dict, draws: int) -> dict:
+    """floor(share * draws) per class plus one for the largest remainders
+    (ties: lower class first), share = class rows / all rows, in double."""
+    total = sum(counts.values())
+    continuous = {c: (n / total if total else 0.0) * draws for c, n in counts.items()}
+    whole = {c: math.floor(v) for c, v in continuous.items()}
+    need = draws - sum(whole.values())
+    order = sorted(counts, key=lambda c: (-(continuous[c] - whole[c]), c))
+    return {c: whole[c] + (1 if rank < need else 0) for rank, c in enumerate(order)}
 
 
-def allocation(counts: DataFrame) -> DataFrame:
-    """Per-class n_train / n_validation / n_test from a class-count frame.
+def allocate(class_rows: dict) -> list[dict]:
+    """Per-class n_train / n_validation / n_test from {class: rows}.
 
-    The input has one row per class, so the windows here span a few rows.
+    Arithmetic on one number per class, so it runs on the driver; the
+    counting that grows with the data is a Spark aggregation.
     """
-    everything = Window.partitionBy()
-    total = F.sum("n").over(everything)
-    stage1 = counts.withColumn("_total", total).withColumn(
-        "_n_train", F.col("_total") - F.ceil(F.lit(HOLDOUT_FRACTION) * F.col("_total").cast("double")).cast("long")
-    )
-    stage1 = _largest_remainder(
-        stage1, F.col("n").cast("double") / F.col("_total").cast("double"), F.col("_n_train"), "n_train"
-    )
-    rest = stage1.withColumn("_rest", F.col("n") - F.col("n_train")).withColumn(
-        "_m", F.col("_total") - F.col("_n_train")
-    )
-    rest = rest.withColumn(
-        "_n_val", F.col("_m") - F.ceil(F.lit(TEST_SHARE_OF_HOLDOUT) * F.col("_m").cast("double")).cast("long")
-    )
-    stage2 = _largest_remainder(
-        rest,
-        F.when(F.col("_m") == 0, F.lit(0.0)).otherwise(F.col("_rest").cast("double") / F.col("_m").cast("double")),
-        F.col("_n_val"),
-        "n_validation",
-    )
-    return stage2.select(
-        "cls", "n", "n_train", "n_validation", (F.col("_rest") - F.col("n_validation")).alias("n_test")
+    counts = {c: int(n) for c, n in class_rows.items() if n > 0}
+    total = sum(counts.values())
+    n_train = total - math.ceil(HOLDOUT_FRACTION * total)
+    train = _largest_remainder(counts, n_train)
+    rest = {c: counts[c] - train[c] for c in counts}
+    m = total - n_train
+    n_val = m - math.ceil(TEST_SHARE_OF_HOLDOUT * m)
+    val = _largest_remainder(rest, n_val)
+    return [
+        {"cls": c, "n": counts[c], "n_train": train[c], "n_validation": val[c], "n_test": rest[c] - val[c]}
+        for c in sorted(counts)
+    ]
+
+
+def allocation(counts: DataFrame) -> DataFrame:
+    """D2 as a DataFrame: class counts (a Spark aggregation) -> allocation."""
+    rows = allocate({r["cls"]: r["n"] for r in counts.collect()})
+    cls_type = counts.schema["cls"].dataType.simpleString()
+    return counts.sparkSession.createDataFrame(
+        [(r["cls"], r["n"], r["n_train"], r["n_validation"], r["n_test"]) for r in rows],
+        f"cls {cls_type}, n long, n_train long, n_validation long, n_test long",
     )
 
 
@@ -100,13 +97,8 @@ def stratified_split(
     """
     spark = spark or df.sparkSession
     if class_rows is None:
-        counts = class_counts(df, spec.target)
-    else:
-        target_type = df.schema[spec.target].dataType.simpleString()
-        counts = spark.createDataFrame(
-            [(k, int(v)) for k, v in sorted(class_rows.items()) if v > 0], f"cls {target_type}, n long"
-        )
-    rows = allocation(counts).collect()
+        class_rows = {r["cls"]: r["n"] for r in class_counts(df, spec.target).collect()}
+    rows = allocate(class_rows)
     _check_allocation(rows)
     keyed = df.withColumn("_split_key", hash_key(seed, col(spec.id_column)))
     sizes = {r["cls"]: int(r["n"]) for r in rows}

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import os
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Any
 
@@ -130,9 +131,16 @@ def train_candidates(exp: Experiment, names: tuple[str, ...] | None = None) -> E
     width = len(exp.stats.vector_names(exp.spec))
     validation = exp.part(VALIDATION)
     scored = []
+    # Fits are independent and seeded; submitting them from a few driver
+    # threads overlaps their small per-iteration jobs (Spark schedules
+    # concurrent jobs; results do not depend on the interleaving).
+    workers = max(1, min(len(names), exp.config.parallel_fits))
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        futures = {name: pool.submit(fit_candidate, name, train, balance, exp.config, width) for name in names}
+        fitted = {name: future.result() for name, future in futures.items()}
     models = {}
     for ordinal, name in enumerate(names):
-        model, extra = fit_candidate(name, train, balance, exp.config, width)
+        model, extra = fitted[name]
         models[name] = model
         exp.extras[name] = extra
         exp.scorers[name] = scorer_for(exp, name, model)

@@ -1,3 +1,5 @@
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -66,3 +68,33 @@ def test_hash_split_is_row_local_and_stable(spark):
     a = {(r.udi, r.split) for r in hash_split(df, S, 5).collect()}
     b = {(r.udi, r.split) for r in hash_split(df.where(F.col("udi") <= 150), S, 5).collect()}
     assert b <= a
+
+
+def test_allocation_properties_on_many_counts():
+    import random as _random
+
+    from faultscore.operators.split import allocate
+
+    rng = _random.Random(0)
+    for _ in range(300):
+        counts = {c: rng.randrange(2, 5000) for c in range(rng.randrange(2, 5))}
+        rows = allocate(counts)
+        total = sum(counts.values())
+        n_train = total - math.ceil(0.4 * total)
+        assert sum(r["n_train"] for r in rows) == n_train
+        m = total - n_train
+        assert sum(r["n_validation"] for r in rows) == m - math.ceil(0.5 * m)
+        for r in rows:
+            assert r["n_train"] + r["n_validation"] + r["n_test"] == counts[r["cls"]]
+            assert min(r["n_train"], r["n_validation"], r["n_test"]) >= 0
+            assert abs(r["n_train"] - counts[r["cls"]] * n_train / total) < 1.0
+
+
+def test_allocation_remainder_tie_goes_to_lower_class():
+    from faultscore.operators.split import allocate
+
+    # 5 + 5 rows: 6 train draws split 3/3 exactly; 4 held out, 2 validation:
+    # shares 2/4 each -> 1/1, no tie.  7 + 7 rows: 14 - ceil(5.6) = 8 train ->
+    # 4/4; 6 held out -> 3 validation: 1.5 each, the lower class takes the odd one.
+    rows = {r["cls"]: r for r in allocate({0: 7, 1: 7})}
+    assert (rows[0]["n_validation"], rows[1]["n_validation"]) == (2, 1)
