@@ -1,44 +1,16 @@
-"""Synthetic labelled machine table for tests (not used by registered queries).
-
-Distribution as documented for the reference test fixture: type L/M/H with
-p .5/.3/.2, air N(300, 2), process = air + N(10, .8), speed N(1500, 170),
-torque N(40, 10), wear U(0, 240); failure = risk at or above its
-0.86-quantile, risk = .11(torque-40) + .012(wear-120) - .005(speed-1500)
-+ N(0, .7); five failure-mode flags all zero.
-"""
+"""The labelled machine table for tests: derived by the adapter from the
+given sf0.001 ``events`` table (1,000 rows, failure flags included)."""
 
 from __future__ import annotations
 
-import numpy as np
-
-from faultscore.schema import MACHINE_TASK
-
-COLUMNS = list(MACHINE_TASK.required)
-
-
-def machine_rows(row_count: int = 500, seed: int = 8) -> list[tuple]:
-    rng = np.random.default_rng(seed)
-    kind = rng.choice(np.asarray(("L", "M", "H")), size=row_count, p=(0.5, 0.3, 0.2))
-    air = rng.normal(300.0, 2.0, size=row_count)
-    process = air + rng.normal(10.0, 0.8, size=row_count)
-    speed = rng.normal(1500.0, 170.0, size=row_count)
-    torque = rng.normal(40.0, 10.0, size=row_count)
-    wear = rng.uniform(0.0, 240.0, size=row_count)
-    risk = 0.11 * (torque - 40.0) + 0.012 * (wear - 120.0) - 0.005 * (speed - 1500.0) + rng.normal(0.0, 0.7, size=row_count)
-    failure = (risk >= float(np.quantile(risk, 0.86))).astype(int)
-    return [
-        (i + 1, f"{kind[i]}{i:05d}", str(kind[i]), float(air[i]), float(process[i]), float(speed[i]),
-         float(torque[i]), float(wear[i]), int(failure[i]), 0, 0, 0, 0, 0)
-        for i in range(row_count)
-    ]
+from pyspark.sql import functions as F
 
+from faultscore.sources.adapters import load_machine
 
-SCHEMA = (
-    "udi long, product_id string, type string, air_temperature double, process_temperature double, "
-    "rotational_speed double, torque double, tool_wear double, machine_failure int, "
-    "twf int, hdf int, pwf int, osf int, rnf int"
-)
+SF001 = "/root/testdata/sf0.001"
 
 
-def machine_frame(spark, row_count: int = 500, seed: int = 8):
-    return spark.createDataFrame(machine_rows(row_count, seed), SCHEMA)
+def machine_frame(spark, rows: int | None = None):
+    """All 1,000 machine rows, or the first ``rows`` by udi (tests only)."""
+    df = load_machine(spark, SF001)
+    return df.where(F.col("udi") < rows) if rows else df

@@ -13,7 +13,7 @@ def test_schema_audit_and_leakage_exclusions(spark):
     df = machine_frame(spark)
     audit = validate(df, S)
     features = feature_target(df, S)
-    assert audit["rows"] == 500
+    assert audit["rows"] == 1000
     assert tuple(features.columns) == (*S.features, S.target)
     assert set(S.leak_columns).isdisjoint(features.columns)
     assert set(S.id_columns).isdisjoint(features.columns[:-1])

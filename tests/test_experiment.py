@@ -18,7 +18,7 @@ SMALL = CandidateConfig(seed=5, forest_trees=30, forest_depth=10, boosted_rounds
 @pytest.fixture(scope="module")
 def trained(spark, tmp_path_factory):
     out = str(tmp_path_factory.mktemp("run"))
-    exp = run_experiment(machine_frame(spark, 700, 8), S, out_dir=out, seed=5, config=SMALL, importance_repeats=3)
+    exp = run_experiment(machine_frame(spark), S, out_dir=out, seed=5, config=SMALL, importance_repeats=3)
     return exp, out
 
 
@@ -133,7 +133,7 @@ def test_fit_benchmark_reports_medians_and_parity(spark):
     from faultscore.plans.experiment import prepare
     from faultscore.plans.fit_benchmark import run_fit_benchmark
 
-    exp = prepare(machine_frame(spark, 400, 2), S, 3, CandidateConfig(seed=3, boosted_rounds=3))
+    exp = prepare(machine_frame(spark, 400), S, 3, CandidateConfig(seed=3, boosted_rounds=3))
     report = run_fit_benchmark(exp, repeats=2)
     assert set(report["timing_seconds"]["medians"]) == {"as_read", "single_partition"}
     parity = report["validation_parity"]

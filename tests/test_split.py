@@ -22,7 +22,7 @@ def test_split_is_reproducible_stratified_and_disjoint(spark):
     second = stratified_split(df, S, 12)
     assert members(first, "train") == members(second, "train")
     train, val, test = (members(first, n) for n in ("train", "validation", "test"))
-    assert (len(train), len(val), len(test)) == (300, 100, 100)
+    assert (len(train), len(val), len(test)) == (600, 200, 200)
     assert not (train & val) and not (train & test) and not (val & test)
     overall = df.agg(F.avg("machine_failure")).first()[0]
     for row in split_summary(first, S.target).collect():
@@ -51,7 +51,7 @@ def test_refinement_levels_give_the_plain_ranking(spark, monkeypatch):
 
 
 def test_split_invariant_to_partitioning(spark):
-    df = machine_frame(spark, 400, 3)
+    df = machine_frame(spark, 400)
     a = {(r.udi, r.split) for r in stratified_split(df.repartition(1), S, 7).select("udi", "split").collect()}
     b = {(r.udi, r.split) for r in stratified_split(df.repartition(6), S, 7).select("udi", "split").collect()}
     assert a == b
