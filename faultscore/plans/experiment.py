@@ -55,7 +55,8 @@ class Experiment:
     preprocessor: PipelineModel
     stats: PreprocessStats
     features: DataFrame  # id, split, label, features (persisted)
-    scorers: dict[str, PipelineModel] = field(default_factory=dict)
+    models: dict[str, Any] = field(default_factory=dict)  # fitted classifiers (on the feature vector)
+    scorers: dict[str, PipelineModel] = field(default_factory=dict)  # preprocessing + classifier + score
     extras: dict[str, dict] = field(default_factory=dict)
     validation_scores: DataFrame | None = None
     validation_metrics: dict[str, dict] = field(default_factory=dict)
@@ -138,10 +139,9 @@ def train_candidates(exp: Experiment, names: tuple[str, ...] | None = None) -> E
     with ThreadPoolExecutor(max_workers=workers) as pool:
         futures = {name: pool.submit(fit_candidate, name, train, balance, exp.config, width) for name in names}
         fitted = {name: future.result() for name, future in futures.items()}
-    models = {}
     for ordinal, name in enumerate(names):
         model, extra = fitted[name]
-        models[name] = model
+        exp.models[name] = model
         exp.extras[name] = extra
         exp.scorers[name] = scorer_for(exp, name, model)
         scored.append(
@@ -164,7 +164,6 @@ def train_candidates(exp: Experiment, names: tuple[str, ...] | None = None) -> E
         row = by_name[name]
         row["threshold"] = picks[name]
         exp.validation_metrics[name] = metrics_record(row)
-    exp._models = models  # type: ignore[attr-defined]
     return exp
 
 
@@ -173,7 +172,7 @@ def evaluate_chosen(exp: Experiment) -> Experiment:
     rows = [dict(name=n, **m) for n, m in exp.validation_metrics.items()]
     best = choose_from_rows(rows)
     exp.chosen, exp.threshold = best["name"], float(best["threshold"])
-    model = exp._models[exp.chosen]  # type: ignore[attr-defined]
+    model = exp.models[exp.chosen]
     test_scores = score_features(exp, exp.chosen, model, exp.part(TEST))
     row = binary_metrics(test_scores, LABEL_COL, SCORE_COL, exp.threshold).first().asDict()
     row["threshold"] = exp.threshold
@@ -183,7 +182,7 @@ def evaluate_chosen(exp: Experiment) -> Experiment:
 
 def test_predictions(exp: Experiment) -> DataFrame:
     """A4: id, actual_failure, failure_probability, predicted_failure."""
-    model = exp._models[exp.chosen]  # type: ignore[attr-defined]
+    model = exp.models[exp.chosen]
     scores = score_features(exp, exp.chosen, model, exp.part(TEST))
     return scores.select(
         col(exp.spec.id_column),

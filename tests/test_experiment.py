@@ -141,3 +141,15 @@ def test_fit_benchmark_reports_medians_and_parity(spark):
     assert report["protocol"]["official_test_evaluated"] is False
     with pytest.raises(ValueError, match="repeats must be at least one"):
         run_fit_benchmark(exp, repeats=0)
+
+
+def test_mlp_comparison_reports_losses_and_both_splits(trained):
+    from faultscore.plans.experiment import mlp_comparison
+
+    exp, _ = trained
+    exp.config.mlp_epochs = 10
+    report = mlp_comparison(exp)
+    assert report["architecture"]["input_width"] == 8 and report["architecture"]["hidden_width"] == 24
+    assert report["initial_training_loss"] >= report["final_training_loss"]
+    assert report["test_metrics"]["threshold"] == report["validation_metrics"]["threshold"] == report["threshold"]
+    assert sum(map(sum, report["test_metrics"]["confusion_matrix"])) == exp.report["split_summary"]["test"]["rows"]
