@@ -25,24 +25,26 @@ def threshold_sweep(df: DataFrame, label: str, score: str, by: list[str] | None
     histogram = table.groupBy(*keys, points_at_or_below(F.col("score")).alias("k")).agg(
         F.sum("n").alias("h_n"), F.sum("pos").alias("h_pos")
     )
-    # Dense 0..99 per group so every grid point gets a row; the group list is
-    # small (one row per group) and the expansion is 100 rows per group.
-    dense = (
-        histogram.select(*keys).distinct()
-        .withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(GRID_POINTS))))
-        .join(histogram, [*by, "k"], "left")
-        .fillna(0, subset=["h_n", "h_pos"])
-    )
-    down = Window.partitionBy(*keys).orderBy(F.col("k").desc())
-    whole = Window.partitionBy(*keys)
-    swept = dense.select(
+    # At most 100 histogram entries per group: gather them into one array
+    # and read the suffix sums for each grid point off that array, so the
+    # dense table comes from the histogram alone (no second pass over the
+    # scored rows, no join, no window).
+    per_group = histogram.groupBy(*keys).agg(F.collect_list(F.struct("k", "h_n", "h_pos")).alias("h"))
+    zero = F.lit(0).cast("long")
+
+    def total(entries, field):
+        return F.aggregate(entries, zero, lambda acc, x: acc + x[field])
+
+    swept = per_group.select(
+        *keys, "h", F.explode(F.sequence(F.lit(1), F.lit(GRID_POINTS))).alias("grid_index")
+    ).select(
         *keys,
-        F.col("k").alias("grid_index"),
-        F.sum("h_pos").over(down).alias("tp"),
-        F.sum("h_n").over(down).alias("pp"),
-        F.sum("h_pos").over(whole).alias("p_total"),
-        F.sum("h_n").over(whole).alias("n_total"),
-    ).where(F.col("grid_index") >= 1)
+        "grid_index",
+        total(F.filter("h", lambda x: x["k"] >= F.col("grid_index")), "h_pos").alias("tp"),
+        total(F.filter("h", lambda x: x["k"] >= F.col("grid_index")), "h_n").alias("pp"),
+        total(F.col("h"), "h_pos").alias("p_total"),
+        total(F.col("h"), "h_n").alias("n_total"),
+    )
     tp, pp = F.col("tp"), F.col("pp")
     fp = pp - tp
     fn = F.col("p_total") - tp
