@@ -153,26 +153,6 @@ def _ranking_aggregate(ranked: DataFrame, by: list[str], threshold: Column | Non
     return out
 
 
-def confusion_from_table(table: DataFrame, by: list[str], threshold: Column) -> DataFrame:
-    """tn, fp, fn, tp per group from D; ``threshold`` may vary by group."""
-    hit = F.col("score") >= threshold
-    agg = table.groupBy(*[col(b) for b in by]).agg(
-        F.sum(F.when(hit, F.col("pos")).otherwise(0)).alias("tp"),
-        F.sum(F.when(hit, F.col("n") - F.col("pos")).otherwise(0)).alias("fp"),
-        F.sum("pos").alias("_p"),
-        F.sum("n").alias("_n"),
-        F.first(threshold).alias("threshold"),
-    )
-    return agg.select(
-        *[col(b) for b in by],
-        "threshold",
-        (F.col("_n") - F.col("_p") - F.col("fp")).cast("long").alias("tn"),
-        F.col("fp").cast("long").alias("fp"),
-        (F.col("_p") - F.col("tp")).cast("long").alias("fn"),
-        F.col("tp").cast("long").alias("tp"),
-    )
-
-
 def _threshold_column(threshold: float | str) -> tuple[Column, list[str]]:
     """A literal threshold, or the name of a per-group threshold column."""
     if isinstance(threshold, str):
@@ -185,10 +165,21 @@ def _threshold_column(threshold: float | str) -> tuple[Column, list[str]]:
 def confusion_matrix(
     df: DataFrame, label: str, score: str, threshold: float | str, by: list[str] | None = None
 ) -> DataFrame:
-    """G1: [[tn, fp], [fn, tp]] as four columns, labels (0, 1)."""
+    """G1: [[tn, fp], [fn, tp]] as four columns, labels (0, 1).
+
+    A direct aggregation: map-side partial counts, one row per group and task.
+    """
     by = list(by or [])
-    limit, carry = _threshold_column(threshold)
-    return confusion_from_table(score_table(df, label, score, by, carry), by, limit)
+    limit, _ = _threshold_column(threshold)
+    hit = col(score) >= limit
+    positive = col(label) == 1
+    return df.groupBy(*[col(b) for b in by]).agg(
+        F.first(limit).alias("threshold"),
+        F.count_if(~positive & ~hit).alias("tn"),
+        F.count_if(~positive & hit).alias("fp"),
+        F.count_if(positive & ~hit).alias("fn"),
+        F.count_if(positive & hit).alias("tp"),
+    )
 
 
 def rates(frame: DataFrame) -> DataFrame:

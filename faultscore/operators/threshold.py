@@ -14,16 +14,16 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import col, ratio, rounded
 from ..functions.grid import GRID_POINTS, grid_point, points_at_or_below
-from .metrics import score_table
 
 
 def threshold_sweep(df: DataFrame, label: str, score: str, by: list[str] | None = None) -> DataFrame:
     """Per group and grid point: threshold, tp, fp, fn, tn, precision, recall, f1."""
     by = list(by or [])
     keys = [col(b) for b in by]
-    table = score_table(df, label, score, by)
-    histogram = table.groupBy(*keys, points_at_or_below(F.col("score")).alias("k")).agg(
-        F.sum("n").alias("h_n"), F.sum("pos").alias("h_pos")
+    # Rows go straight into the (group, k) histogram: map-side partial
+    # aggregation leaves at most 100 rows per group and task to shuffle.
+    histogram = df.groupBy(*keys, points_at_or_below(col(score).cast("double")).alias("k")).agg(
+        F.count(F.lit(1)).alias("h_n"), F.sum(col(label).cast("long")).alias("h_pos")
     )
     # At most 100 histogram entries per group: gather them into one array
     # and read the suffix sums for each grid point off that array, so the
