@@ -153,3 +153,20 @@ def test_mlp_comparison_reports_losses_and_both_splits(trained):
     assert report["initial_training_loss"] >= report["final_training_loss"]
     assert report["test_metrics"]["threshold"] == report["validation_metrics"]["threshold"] == report["threshold"]
     assert sum(map(sum, report["test_metrics"]["confusion_matrix"])) == exp.report["split_summary"]["test"]["rows"]
+
+
+def test_second_task_with_two_categoricals(spark):
+    from faultscore.plans.experiment import evaluate_chosen, prepare, train_candidates
+    from faultscore.schema import DOCUMENT_TASK
+    from faultscore.sources.adapters import load_documents
+
+    from conftest import SF01
+
+    cfg = CandidateConfig(seed=1, include=("majority_baseline", "logistic_regression"))
+    exp = prepare(load_documents(spark, SF01), DOCUMENT_TASK, 1, cfg)
+    names = exp.stats.vector_names(DOCUMENT_TASK)
+    assert names[0] == "n_chars" and len(names) == 1 + len(exp.stats.categories["lang"]) + len(exp.stats.categories["source"])
+    train_candidates(exp)
+    evaluate_chosen(exp)
+    assert set(exp.validation_metrics) == {"majority_baseline", "logistic_regression"}
+    assert sum(map(sum, exp.test_metrics["confusion_matrix"])) == exp.part("test").count()
