@@ -18,9 +18,10 @@ from ..operators.metrics import binary_metrics
 from ..operators.parity import score_parity
 from ..operators.scoring import predict_rows, score_rows
 from ..operators.threshold import select_threshold
+from ..schema import DOCUMENT_TASK
 from ..schema import MACHINE_TASK as S
 from ..session import ensure_checkpoint_dir
-from ..sources.adapters import load_machine
+from ..sources.adapters import load_documents, load_machine
 from ..sources.bundle import Bundle, load_bundle, save_bundle
 from ..sources.checksums import file_checksums
 from .experiment import Experiment, evaluate_chosen, importance_of_chosen, prepare, spread, test_predictions, train_candidates
@@ -165,6 +166,21 @@ def checksums(spark: SparkSession, sf: str) -> DataFrame:
     return sums.select(F.element_at(F.split("path", "/"), -1).alias("file"), "length", "sha256")
 
 
+_DOCUMENT_EXPERIMENTS: dict[tuple[int, str], Experiment] = {}
+
+
+def document_candidate_comparison(spark: SparkSession, sf: str) -> DataFrame:
+    """The same experiment on labels joined to documents (toxic target)."""
+    key = (id(spark.sparkContext), sf)
+    exp = _DOCUMENT_EXPERIMENTS.get(key)
+    if exp is None:
+        exp = prepare(load_documents(spark, sf), DOCUMENT_TASK, 42, DRIVER_CONFIG)
+        train_candidates(exp)
+        _DOCUMENT_EXPERIMENTS[key] = exp
+    scores = exp.validation_scores.withColumn("threshold", _per_model_threshold(exp))
+    return binary_metrics(scores, LABEL_COL, SCORE_COL, "threshold", ["model"])
+
+
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     return candidate_comparison(spark, sf)
 
@@ -185,4 +201,5 @@ R_QUERIES = {
     "bundle_roundtrip": bundle_roundtrip,
     "batch_score_linear": batch_score_linear,
     "file_checksums": checksums,
+    "document_candidate_comparison": document_candidate_comparison,
 }
