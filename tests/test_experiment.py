@@ -2,7 +2,6 @@ import json
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from faultscore.operators.candidates import CandidateConfig
 from faultscore.operators.scoring import predict_rows

@@ -5,7 +5,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from faultscore.operators.audit import validate
-from faultscore.schema import MACHINE_TASK as S
 from faultscore.sources.checksums import file_checksums, require_checksum
 from faultscore.sources.csv import read_labelled_csv, read_scoring_csv
 

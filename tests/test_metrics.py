@@ -1,7 +1,6 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from faultscore.operators.metrics import binary_metrics, confusion_matrix, ranking_metrics
 from faultscore.operators.threshold import select_threshold, threshold_sweep

@@ -2,7 +2,6 @@ import os
 import shutil
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import functions as F
 
 from faultscore.operators.candidates import PriorScore
 from faultscore.operators.preprocess import fit_preprocessor
