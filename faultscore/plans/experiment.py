@@ -255,7 +255,10 @@ def run_experiment(
         spark = df.sparkSession
         save_bundle(spark, Bundle(exp.scorers[exp.chosen], exp.threshold, spec.features, exp.chosen, seed),
                     os.path.join(out_dir, "bundle"))
-        test_predictions(exp).write.mode("overwrite").option("header", True).csv(os.path.join(out_dir, "test_predictions"))
+        # id order as in the reference's file: a range-partitioned sort at the sink only
+        test_predictions(exp).orderBy(col(spec.id_column)).write.mode("overwrite").option("header", True).csv(
+            os.path.join(out_dir, "test_predictions")
+        )
         importance.write.mode("overwrite").option("header", True).csv(os.path.join(out_dir, "validation_permutation_importance"))
         write_text(spark, json.dumps(exp.report, indent=2), os.path.join(out_dir, "metrics"))
     return exp

@@ -169,3 +169,14 @@ def test_second_task_with_two_categoricals(spark):
     evaluate_chosen(exp)
     assert set(exp.validation_metrics) == {"majority_baseline", "logistic_regression"}
     assert sum(map(sum, exp.test_metrics["confusion_matrix"])) == exp.part("test").count()
+
+
+def test_prediction_file_is_in_id_order(spark, trained):
+    _, out = trained
+    path = os.path.join(out, "test_predictions")
+    files = sorted(f for f in os.listdir(path) if f.startswith("part-"))
+    ids = []
+    for name in files:
+        with open(os.path.join(path, name), encoding="utf-8") as f:
+            ids += [int(line.split(",")[0]) for line in f.read().splitlines()[1:] if line]
+    assert ids == sorted(ids) and len(ids) > 0
