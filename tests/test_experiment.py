@@ -180,3 +180,20 @@ def test_prediction_file_is_in_id_order(spark, trained):
         with open(os.path.join(path, name), encoding="utf-8") as f:
             ids += [int(line.split(",")[0]) for line in f.read().splitlines()[1:] if line]
     assert ids == sorted(ids) and len(ids) > 0
+
+
+def test_predict_command_from_csv_by_name(spark, trained, tmp_path):
+    from faultscore.plans.commands import predict
+
+    _, out = trained
+    path = tmp_path / "rows.csv"
+    # two scoring rows in the shape of the reference's example file, extra key column last
+    path.write_text(
+        "type,air_temperature,process_temperature,rotational_speed,torque,tool_wear,row\n"
+        "L,12,30,30,42.8,0,a\nH,3,10,50,167.5,80,b\n",
+        encoding="utf-8",
+    )
+    written = predict(spark, S, os.path.join(out, "bundle"), str(path), str(tmp_path / "pred"), keep=["row"])
+    assert written == 2
+    got = spark.read.option("header", True).csv(str(tmp_path / "pred")).collect()
+    assert sorted(r.row for r in got) == ["a", "b"]
