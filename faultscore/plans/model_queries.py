@@ -24,7 +24,16 @@ from ..session import ensure_checkpoint_dir
 from ..sources.adapters import load_documents, load_machine
 from ..sources.bundle import Bundle, load_bundle, save_bundle
 from ..sources.checksums import file_checksums
-from .experiment import Experiment, evaluate_chosen, importance_of_chosen, prepare, spread, test_predictions, train_candidates
+from .experiment import (
+    Experiment,
+    evaluate_chosen,
+    importance_of_chosen,
+    prepare,
+    score_features,
+    spread,
+    test_predictions,
+    train_candidates,
+)
 
 # Model sizes for the registered keys: every table row is used; only the
 # ensemble sizes are smaller than the documented defaults so that the
@@ -75,13 +84,11 @@ def _one_model(name: str):
 
 
 def model_mlp(spark: SparkSession, sf: str) -> DataFrame:
+    """Perceptron comparison: validation metrics at its own validation threshold."""
     exp = experiment(spark, sf)
     train = exp.part("train")
     model, _ = fit_candidate("mlp", train, class_balance(train), exp.config, len(exp.stats.vector_names(S)))
-    from ..operators.candidates import ProbabilityScore
-
-    val = ProbabilityScore().transform(model.transform(exp.part("validation"))).select("udi", LABEL_COL, SCORE_COL)
-    val = val.withColumn("model", F.lit("mlp"))
+    val = score_features(exp, "mlp", model, exp.part("validation")).withColumn("model", F.lit("mlp"))
     t = float(select_threshold(val, LABEL_COL, SCORE_COL).first()["threshold"])
     return binary_metrics(val, LABEL_COL, SCORE_COL, t, ["model"])
 
