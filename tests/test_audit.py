@@ -62,3 +62,12 @@ def test_audit_summary_on_given_table(spark):
     row = audit_summary(load_machine(spark, SF001), S).first()
     assert row.rows == 1000 and row.missing_values == 0 and row.duplicate_ids == 0
     assert row.excluded_leak_columns == "twf,hdf,pwf,osf,rnf"
+
+
+def test_audit_command_summary(spark):
+    from faultscore.plans.commands import audit
+
+    summary = audit(machine_frame(spark), S)
+    assert summary["rows"] == 1000 and summary["feature_count"] == 6
+    assert summary["excluded_leak_columns"] == list(S.leak_columns)
+    assert 0 < summary["positive_rows"] < summary["rows"]
