@@ -30,10 +30,14 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 5: of each group of near copies the document with the least id stays."""
     ship_package(spark)
-    classes = simhash.near_duplicates(docs).where("doc_id = component_id").select(F.col("doc_id").alias("__id")).distinct()
-    stays = docs.join(classes, docs["doc_id"] == classes["__id"], "left_semi")
-    # rows of one id are copies of each other; a null id is in no class
-    return stays.groupBy("doc_id").agg(*[F.min_by(c, F.struct(*[x for x in docs.columns])).alias(c) for c in docs.columns if c != "doc_id"]).select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    classes = simhash.near_duplicates(docs).where("doc_id = component_id")
+    ids = written(classes.groupBy(F.col("doc_id").alias("__id")).agg(F.count("*").alias("__rows")), "stays")
+    stays = docs.join(ids, docs["doc_id"] == ids["__id"])
+    single = stays.where("__rows = 1").select(*docs.columns)
+    # rows of one id are one document: the least row stays; a null id is in no class
+    rest = [c for c in docs.columns if c != "doc_id"]
+    repeated = docs.join(ids.where("__rows > 1"), F.col("doc_id") == F.col("__id")).groupBy("doc_id").agg(F.min(F.struct(*rest)).alias("__row"))
+    return single.unionByName(repeated.select("doc_id", "__row.*").select(*docs.columns)).unionByName(docs.where("doc_id IS NULL"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
