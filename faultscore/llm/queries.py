@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontamination, html_text, language_id, mixing, pivots, secrets_scan, simhash
+from . import decontamination, html_text, induced_sorting, language_id, mixing, ngram_scores, pivots, secrets_scan, simhash, suffix_trees
 from .common import Query, ship_package
 
 
@@ -18,6 +18,9 @@ QUERIES: dict[str, Query] = {
     name: _shipped(q)
     for name, q in {
         "op1_secrets": secrets_scan.q_secrets,
+        "op2_suffix_trees": suffix_trees.q_deduplicate,
+        "op3_induced_sorting": induced_sorting.q_deduplicate,
+        "op4_ngram_scores": ngram_scores.q_score,
         "op5_simhash": simhash.q_near_duplicates,
         "op6_pivots": pivots.q_near_duplicates,
         "op7_language": language_id.q_identify,
@@ -28,6 +31,9 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op2_suffix_trees": suffix_trees.ORACLE,
+    "op3_induced_sorting": induced_sorting.ORACLE,
+    "op4_ngram_scores": ngram_scores.ORACLE,
     "op8_mixture": mixing.ORACLE,
     "op10_containment": decontamination.ORACLE,
 }
