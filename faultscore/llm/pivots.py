@@ -80,7 +80,7 @@ def describe(entries: DataFrame, pivots: dict[int, np.ndarray], prefix: int) ->
 def bitsets(near: list, words: int) -> np.ndarray:
     out = np.zeros((len(near), words), dtype=np.uint64)
     for i, pivots in enumerate(near):
-        for p in pivots:
+        for p in map(int, pivots):
             if p >= 0:
                 out[i, p // 64] |= np.uint64(1 << (p % 64))
     return out
@@ -124,7 +124,7 @@ def group_links(pivot: int, own: np.ndarray, near: list, vectors: np.ndarray, co
     return linked, parent
 
 
-def link_counts(entries: DataFrame, n: int, cosine: float, prefix: int, min_shared: int) -> DataFrame:
+def link_counts(entries: DataFrame, n: int, cosine: float, prefix: int, min_shared: int, block: int = BLOCK) -> DataFrame:
     """(root, id, links): links of an entry found in one group, and its class there."""
     spark = entries.sparkSession
     sample = entries.select("id", "embedding").orderBy(F.xxhash64("id"), "id").limit(pivot_count(n)).collect()
@@ -136,7 +136,7 @@ def link_counts(entries: DataFrame, n: int, cosine: float, prefix: int, min_shar
     described = written(describe(entries, tables, prefix), "described")
     listed = described.withColumn("dim", F.size("embedding")).withColumn("pivot", F.explode("near"))
     counts = listed.groupBy("label", "dim", "pivot").agg(F.count("*").alias("m"))
-    large = counts.where(F.col("m") > BLOCK).select("label", "dim", "pivot", F.ceil(F.col("m") / BLOCK).cast("int").alias("nb"))
+    large = counts.where(F.col("m") > block).select("label", "dim", "pivot", F.ceil(F.col("m") / block).cast("int").alias("nb"))
     split = listed.join(large, ["label", "dim", "pivot"], "left").withColumn("nb", F.coalesce("nb", F.lit(1)))
     dealt = split.withColumn("own", F.pmod(F.xxhash64("id"), F.col("nb")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
     group = F.xxhash64("label", "dim", "pivot", F.least("own", "other"), F.greatest("own", "other"))
@@ -168,12 +168,12 @@ def usable(rows: DataFrame):
     return F.coalesce(F.col("label").isNotNull() & F.col("vec_id").isNotNull() & finite & nonzero, F.lit(False))
 
 
-def near_duplicates(vectors: DataFrame, cosine: float = COSINE, prefix: int = PREFIX, min_shared: int = MIN_SHARED) -> DataFrame:
+def near_duplicates(vectors: DataFrame, cosine: float = COSINE, prefix: int = PREFIX, min_shared: int = MIN_SHARED, block: int = BLOCK) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row."""
     rows = pick(vectors, vec_id="vec_id", embedding="embedding", label="label").withColumn("embedding", F.col("embedding").cast("array<double>"))
     good = rows.where(usable(rows))
     entries = written(good.groupBy("label", "embedding").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies")), "entries")
-    found = written(link_counts(entries, entries.count(), cosine, prefix, min_shared), "vector-links")
+    found = written(link_counts(entries, entries.count(), cosine, prefix, min_shared, block), "vector-links")
     totals = found.groupBy("id").agg(F.sum("links").alias("links"))
     classes = components(found.select("root", "id"))
     done = entries.join(totals, "id", "left").join(classes, "id", "left").select(

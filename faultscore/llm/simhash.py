@@ -197,7 +197,7 @@ def _union(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
             parent[:] = root
 
 
-def links(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
+def links(nodes: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
     """(a, b) links of bucket members, from nodes (fp long, id)."""
     spark = nodes.sparkSession
     n = nodes.count()
@@ -205,7 +205,7 @@ def links(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
     keyed = nodes.select("fp", "id", F.explode(F.array(*[F.struct(F.lit(i).alias("t"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for i, m in enumerate(keep)])).alias("k")).select("fp", "id", "k.t", "k.key")
     counts = keyed.groupBy("t", "key").agg(F.count("*").alias("m"))
     # a large bucket meets in pairs of blocks: member block i goes to (i, j) for every j
-    large = counts.where(F.col("m") > BLOCK).select("t", "key", F.ceil(F.col("m") / BLOCK).cast("int").alias("nb"))
+    large = counts.where(F.col("m") > block).select("t", "key", F.ceil(F.col("m") / block).cast("int").alias("nb"))
     split = keyed.join(large, ["t", "key"], "left").withColumn("nb", F.coalesce("nb", F.lit(1)))
     own = F.pmod(F.xxhash64("fp"), F.col("nb")).cast("int")
     dealt = split.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
