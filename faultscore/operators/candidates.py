@@ -21,7 +21,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark import keyword_only
+from pyspark import SparkContext, keyword_only
 from pyspark.ml import Estimator, Model, Transformer
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -37,6 +37,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import col, hash_key
 from .preprocess import FEATURES_COL
 
 LABEL_COL = "label"
@@ -48,13 +49,8 @@ BOOSTED_PARAMETERS: dict[str, Any] = {
     "n_estimators": 500,
     "learning_rate": 0.05,
     "max_depth": 4,
-    "min_child_weight": 2.0,
     "subsample": 0.8,
     "colsample_bytree": 0.8,
-    "reg_alpha": 0.0,
-    "reg_lambda": 1.0,
-    "objective": "binary:logistic",
-    "tree_method": "hist",
 }
 CANDIDATE_ORDER = ("majority_baseline", "logistic_regression", "decision_tree", "random_forest", "boosted_trees")
 
@@ -163,6 +159,14 @@ class CandidateConfig:
     include: tuple[str, ...] = field(default=CANDIDATE_ORDER)
     # Candidates fitted at the same time (driver threads submitting jobs).
     parallel_fits: int = 5
+    # Training rows are dealt into this many partitions by a hash of the id
+    # and sorted by id in each.  Learners sample by partition and row order,
+    # so the number belongs to the model, and the input's layout and the
+    # cluster's size do not.  Raise it with the table.
+    fit_partitions: int = 8
+    # Bound on the labelled rows that are fitted: None for all, else the share
+    # whose hashed id lies below it.  The report names it.
+    fit_share: float | None = None
 
 
 def weight_column(name: str, balance: ClassBalance) -> Column | None:
@@ -173,6 +177,14 @@ def weight_column(name: str, balance: ClassBalance) -> Column | None:
     return None
 
 
+def training_rows(train: DataFrame, id_column: str, config: CandidateConfig) -> DataFrame:
+    """The rows to fit, in the layout that the configuration names."""
+    if config.fit_share is not None:
+        digits = F.conv(F.substring(hash_key(f"fit{config.seed}", col(id_column)), 1, 8), 16, 10).cast("double")
+        train = train.where(digits < F.lit(config.fit_share * 2**32))
+    return train.repartition(config.fit_partitions, col(id_column)).sortWithinPartitions(col(id_column))
+
+
 def make_estimator(name: str, balance: ClassBalance, config: CandidateConfig) -> Estimator:
     """One MLlib estimator reading ``features``/``label``/``class_weight``."""
     common = {"featuresCol": FEATURES_COL, "labelCol": LABEL_COL}
@@ -228,9 +240,14 @@ def fit_candidate(name: str, features: DataFrame, balance: ClassBalance, config:
         estimator.setLayers([width, config.mlp_hidden, 2])
         model = estimator.fit(replicate_positives(features, balance))
         history = list(model.summary().objectiveHistory) if model.hasSummary else []
-        return model, {"objective_history": history}
-    return estimator.fit(with_training_columns(features, name, balance)), {}
+        return without_summary(model), {"objective_history": history}
+    return without_summary(estimator.fit(with_training_columns(features, name, balance))), {}
 
 
-def score_stage(name: str) -> Transformer | None:
-    return None if name == "majority_baseline" else ProbabilityScore()
+def without_summary(model: Model) -> Model:
+    """The model less its training summary, which holds the training rows and
+    the session: scoring tasks would have to carry it, and cannot once the
+    session observes a write."""
+    if getattr(model, "hasSummary", False):
+        model._java_obj.setSummary(SparkContext._active_spark_context._jvm.scala.Option.empty())
+    return model

@@ -3,31 +3,38 @@
 Everything starts from the distinct-score table D = (group..., score, n,
 pos): one aggregation with map-side combine.  Ranking metrics need prefix
 sums in descending score order; instead of one window per group (a single
-task holding every distinct score) D is cut into score-quantile buckets, the
-per-bucket totals are prefix-summed (a few thousand rows per group) and the
-exact within-bucket prefix sums run as windows partitioned by
-(group, bucket), so the sort work spreads over all tasks.
+task holding every distinct score) D is cut into fixed score ranges: the
+power of two of a score and an equal part of it, so that the ranges are
+known without looking at the data and are narrow where scores are small.
+Per-range totals are prefix-summed (a bounded number of rows per group) and
+the exact prefix sums inside a range run as windows partitioned by
+(group, range), so the sort work spreads over all tasks.
 
 Average precision is the step sum  sum_i (R_i - R_{i-1}) P_i  over distinct
 scores (not the trapezoid); ROC-AUC counts ties as one half and is NULL when
-a group has only one class.
+a group has only one class.  A group key may be NULL: it is a group like any
+other.  A row without a label or a score fails the job, as one metrics record
+must describe all rows.  Results are full doubles.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import col, ratio, rounded
+from ..functions.columns import col, ratio
+
+#: Equal parts of each power of two that a score range is.
+RANGES_PER_OCTAVE = 4096
+# Fixed text: what a vector length mismatch is reported as.
+MISMATCH = "labels and probabilities must be matching vectors"
+
 
-# Score-quantile buckets for the ranking windows: sized so that one window
-# partition sorts at most about a million distinct scores.
-ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 65_536
-DEFAULT_BUCKETS = None  # choose from the distinct-score count
+def scored_label(label: str, score: str) -> tuple[Column, Column]:
+    """(label, score) columns that raise on a row that lacks either."""
+    y, p = col(label), col(score).cast("double")
+    bad = y.isNull() | p.isNull() | F.isnan(p)
+    return F.when(bad, F.raise_error(F.lit(MISMATCH)).cast("long")).otherwise(y.cast("long")), F.when(bad, F.raise_error(F.lit(MISMATCH)).cast("double")).otherwise(p)
 
 
 def score_table(
@@ -39,72 +46,66 @@ def score_table(
     ride along as extra grouping keys.
     """
     keys = [col(b) for b in (*by, *(carry or []))]
-    return df.groupBy(*keys, col(score).alias("score")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(col(label).cast("long")).alias("pos")
-    )
+    y, p = scored_label(label, score)
+    return df.groupBy(*keys, p.alias("score")).agg(F.count(F.lit(1)).alias("n"), F.sum(y).alias("pos"))
+
 
+def score_range(score: Column, parts: int = RANGES_PER_OCTAVE) -> Column:
+    """A number that never falls as the score rises.
 
-def _bucketed(table: DataFrame, buckets: int) -> DataFrame:
-    """Add a ``bucket`` column from approximate score quantiles of D."""
-    if buckets <= 1:
-        return table.withColumn("bucket", F.lit(0.0))
-    probs = [i / buckets for i in range(1, buckets)]
-    row = table.agg(F.percentile_approx("score", probs, 10 * buckets).alias("q")).first()
-    cuts = sorted(set(v for v in (row["q"] or []) if v is not None))
-    splits = [float("-inf"), *cuts, float("inf")]
-    if len(splits) < 3:
-        return table.withColumn("bucket", F.lit(0.0))
-    return Bucketizer(splits=splits, inputCol="score", outputCol="bucket", handleInvalid="keep").transform(table)
+    log2 may round a score just below a power of two up to it; its part is
+    then negative, which still sorts between the two octaves.
+    """
+    size = F.abs(score)
+    octave = F.floor(F.log2(size))
+    part = F.floor((size / F.pow(F.lit(2.0), octave) - 1) * parts)
+    place = (octave + 2000) * (4 * parts) + part
+    return F.when(score == 0, F.lit(0)).when(score > 0, place).otherwise(-place).cast("long")
 
 
-def ranking_table(table: DataFrame, by: list[str], buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
+def ranking_table(table: DataFrame, by: list[str], parts: int = RANGES_PER_OCTAVE) -> DataFrame:
     """Per distinct score: tp / pp at that score (inclusive, descending order),
-    group totals P and N.
-
-    With ``buckets=None`` the distinct-score table is checkpointed (it is
-    read up to four times below, and its input is usually a model
-    transform) and counted to size the buckets.
-    """
+    group totals P and N."""
     keys = [col(b) for b in by]
-    if buckets is None:
-        from ..session import ensure_checkpoint_dir
-
-        ensure_checkpoint_dir(table.sparkSession)
-        table = table.checkpoint(eager=True)
-        buckets = min(MAX_BUCKETS, max(1, math.ceil(table.count() / ROWS_PER_BUCKET)))
-    data = _bucketed(table, buckets)
-    # Within-bucket prefix sums first, straight on D, so the window is
-    # partitioned by (group, bucket) itself and not by whatever partitioning
+    data = table.withColumn("_range", score_range(F.col("score"), parts))
+    # Within-range prefix sums first, straight on D, so the window is
+    # partitioned by (group, range) itself and not by whatever partitioning
     # a later join would leave behind (a group-only or single partition
     # would also "satisfy" the window and put a whole group in one task).
-    inside = Window.partitionBy(*keys, "bucket").orderBy(F.col("score").desc())
+    inside = Window.partitionBy(*keys, "_range").orderBy(F.col("score").desc())
     local = data.withColumns({"tp_in": F.sum("pos").over(inside), "pp_in": F.sum("n").over(inside)})
-    # Per-bucket offsets: at most (groups x buckets) rows.
-    totals = data.groupBy(*keys, "bucket").agg(F.sum("n").alias("b_n"), F.sum("pos").alias("b_pos"))
-    down = Window.partitionBy(*keys).orderBy(F.col("bucket").desc())
+    # Per-range offsets: one row per (group, range) in use.
+    totals = data.groupBy(*keys, "_range").agg(F.sum("n").alias("b_n"), F.sum("pos").alias("b_pos"))
+    down = Window.partitionBy(*keys).orderBy(F.col("_range").desc())
     whole = Window.partitionBy(*keys)
+    # Named apart from the score table's columns: group keys may be NULL, so
+    # the join compares them null-safely, which takes a condition.
+    apart = [col(b).alias(f"_group_{i}") for i, b in enumerate(by)]
     totals = totals.select(
-        *keys,
-        "bucket",
+        *apart,
+        F.col("_range").alias("_offset_range"),
         (F.sum("b_n").over(down) - F.col("b_n")).alias("n_before"),
         (F.sum("b_pos").over(down) - F.col("b_pos")).alias("pos_before"),
         F.sum("b_n").over(whole).alias("n_total"),
         F.sum("b_pos").over(whole).alias("p_total"),
     )
+    same = F.col("_range") == F.col("_offset_range")
+    for i, b in enumerate(by):
+        same = same & col(b).eqNullSafe(F.col(f"_group_{i}"))
     return (
-        local.join(totals, [*by, "bucket"])
+        local.join(totals, same)
         .withColumn("tp", F.col("pos_before") + F.col("tp_in"))
         .withColumn("pp", F.col("n_before") + F.col("pp_in"))
-        .drop("bucket", "n_before", "pos_before", "tp_in", "pp_in")
+        .select(*[col(c) for c in table.columns], "n_total", "p_total", "tp", "pp")
     )
 
 
 def ranking_metrics(
-    df: DataFrame, label: str, score: str, by: list[str] | None = None, buckets: int | None = DEFAULT_BUCKETS
+    df: DataFrame, label: str, score: str, by: list[str] | None = None, parts: int = RANGES_PER_OCTAVE
 ) -> DataFrame:
-    """average_precision and roc_auc per group (rounded to 6 places)."""
+    """average_precision and roc_auc per group."""
     by = list(by or [])
-    ranked = ranking_table(score_table(df, label, score, by), by, buckets)
+    ranked = ranking_table(score_table(df, label, score, by), by, parts)
     return _ranking_aggregate(ranked, by)
 
 
@@ -133,11 +134,9 @@ def _ranking_aggregate(ranked: DataFrame, by: list[str], threshold: Column | Non
     negatives = F.col("rows") - F.col("positives")
     out = agg.withColumns(
         {
-            "average_precision": rounded(ratio(F.col("_ap"), F.col("positives"))),
-            "roc_auc": rounded(
-                F.when((F.col("positives") == 0) | (negatives == 0), F.lit(None)).otherwise(
-                    F.col("_auc") / (F.col("positives").cast("double") * negatives.cast("double"))
-                )
+            "average_precision": ratio(F.col("_ap"), F.col("positives")),
+            "roc_auc": F.when((F.col("positives") == 0) | (negatives == 0), F.lit(None)).otherwise(
+                F.col("_auc") / (F.col("positives").cast("double") * negatives.cast("double"))
             ),
         }
     ).drop("_ap", "_auc")
@@ -171,8 +170,9 @@ def confusion_matrix(
     """
     by = list(by or [])
     limit, _ = _threshold_column(threshold)
-    hit = col(score) >= limit
-    positive = col(label) == 1
+    y, p = scored_label(label, score)
+    hit = p >= limit
+    positive = y == 1
     return df.groupBy(*[col(b) for b in by]).agg(
         F.first(limit).alias("threshold"),
         F.count_if(~positive & ~hit).alias("tn"),
@@ -187,10 +187,10 @@ def rates(frame: DataFrame) -> DataFrame:
     tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
     return frame.withColumns(
         {
-            "accuracy": rounded(ratio(tp + tn, tp + tn + fp + fn)),
-            "precision": rounded(ratio(tp, tp + fp)),
-            "recall": rounded(ratio(tp, tp + fn)),
-            "f1": rounded(ratio(F.lit(2) * tp, F.lit(2) * tp + fp + fn)),
+            "accuracy": ratio(tp + tn, tp + tn + fp + fn),
+            "precision": ratio(tp, tp + fp),
+            "recall": ratio(tp, tp + fn),
+            "f1": ratio(F.lit(2) * tp, F.lit(2) * tp + fp + fn),
         }
     )
 
@@ -201,7 +201,7 @@ def binary_metrics(
     score: str,
     threshold: float | str,
     by: list[str] | None = None,
-    buckets: int | None = DEFAULT_BUCKETS,
+    parts: int = RANGES_PER_OCTAVE,
 ) -> DataFrame:
     """Threshold, accuracy, precision, recall, f1, roc_auc,
     average_precision and tn/fp/fn/tp per group: one score table, one
@@ -212,18 +212,11 @@ def binary_metrics(
     """
     by = list(by or [])
     limit, carry = _threshold_column(threshold)
-    ranked = ranking_table(score_table(df, label, score, by, carry), by, buckets)
+    ranked = ranking_table(score_table(df, label, score, by, carry), by, parts)
     out = rates(_ranking_aggregate(ranked, by, limit))
     return out.select(
         *[col(b) for b in by],
-        rounded(F.col("threshold")).alias("threshold"),
+        "threshold",
         "accuracy", "precision", "recall", "f1", "roc_auc", "average_precision",
         "tn", "fp", "fn", "tp",
     )
-
-
-def require_scores(df: DataFrame, label: str, score: str) -> None:
-    """Every labelled row needs a score (driver check on one count)."""
-    bad = df.where(col(score).isNull() | col(label).isNull()).take(1)
-    if bad:
-        raise ValueError("labels and probabilities must be matching vectors")

@@ -3,11 +3,15 @@
 Statistics are learned from the training rows only: exact interpolated
 medians (scalable selection, see ``quantiles``), population mean and
 standard deviation of the imputed values, the most frequent category (ties
-to the smallest) and the sorted category list.  They are frozen into a
-``SQLTransformer`` statement, so transform is plain codegen'd SQL with no
-Python on the data path, and the fitted preprocessor saves and loads with
-the rest of the pipeline.  Feature vector = z-scores in numeric order, then
-one-hot blocks (unknown category -> all zeros; missing -> the train mode).
+to the smallest) and the sorted category list.  Imputation and scaling are
+frozen into a ``SQLTransformer`` statement; categories go through
+``StringIndexer`` and ``OneHotEncoder``, so a wide block is one sparse vector
+and not a column per category.  There is no Python on the data path, and the
+fitted preprocessor saves and loads with the rest of the pipeline.  Feature
+vector = z-scores in numeric order, then one-hot blocks (unknown category ->
+all zeros; missing -> the train mode).  The list of categories is as long as
+the feature vector is wide and is the only thing that reaches the driver
+besides scalars.
 """
 
 from __future__ import annotations
@@ -16,7 +20,7 @@ import math
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import SQLTransformer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexerModel, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -50,9 +54,6 @@ def _quote(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-# A one-hot block is as wide as its category list; beyond this many
-# categories the feature needs a different encoding (hashing), not one-hot.
-MAX_CATEGORIES = 100_000
 EPS = 2.220446049250313e-16
 
 
@@ -95,54 +96,45 @@ def fit_stats(train: DataFrame, spec: TaskSpec) -> PreprocessStats:
     modes, categories = {}, {}
     for c in spec.categorical:
         counted = (
-            train.where(col(c).isNotNull()).groupBy(col(c).alias("v")).agg(F.count(F.lit(1)).alias("n"))
-            .limit(MAX_CATEGORIES + 1).collect()
+            train.where(col(c).isNotNull()).groupBy(col(c).cast("string").alias("v")).agg(F.count(F.lit(1)).alias("n")).collect()
         )
         if not counted:
             raise ValueError(f"{c} has no observed training values")
-        if len(counted) > MAX_CATEGORIES:
-            raise ValueError(f"{c} has more than {MAX_CATEGORIES} categories; one-hot encoding is not suitable")
         # Most frequent value, ties to the smallest; categories sorted.
         modes[c] = min(counted, key=lambda r: (-r["n"], r["v"]))["v"]
         categories[c] = sorted(r["v"] for r in counted)
     return PreprocessStats(medians, means, scales, modes, categories)
 
 
-def preprocess_statement(stats: PreprocessStats, spec: TaskSpec) -> tuple[str, list[str]]:
-    parts, outputs = [], []
-    for c in spec.numeric:
-        name = f"_z_{len(outputs)}"
+def preprocess_statement(stats: PreprocessStats, spec: TaskSpec) -> tuple[str, list[str], list[str]]:
+    """The SQL of the z-scores and filled categories, and their column names."""
+    parts, scaled, filled = [], [], []
+    for i, c in enumerate(spec.numeric):
         value = f"coalesce(nanvl(CAST(`{c}` AS DOUBLE), CAST(NULL AS DOUBLE)), {_lit(stats.medians[c])})"
-        parts.append(f"(({value} - {_lit(stats.means[c])}) / {_lit(stats.scales[c])}) AS `{name}`")
-        outputs.append(name)
-    for c in spec.categorical:
-        filled = f"coalesce(CAST(`{c}` AS STRING), {_quote(stats.modes[c])})"
-        for v in stats.categories[c]:
-            name = f"_oh_{len(outputs)}"
-            parts.append(f"CAST({filled} = {_quote(v)} AS DOUBLE) AS `{name}`")
-            outputs.append(name)
-    return "SELECT *, " + ", ".join(parts) + " FROM __THIS__", outputs
-
-
-def build_preprocessor(stats: PreprocessStats, spec: TaskSpec, output_col: str = FEATURES_COL) -> PipelineModel:
-    statement, outputs = preprocess_statement(stats, spec)
-    return PipelineModel(
-        stages=[
-            SQLTransformer(statement=statement),
-            VectorAssembler(inputCols=outputs, outputCol=output_col),
-        ]
-    )
+        parts.append(f"(({value} - {_lit(stats.means[c])}) / {_lit(stats.scales[c])}) AS `_z_{i}`")
+        scaled.append(f"_z_{i}")
+    for i, c in enumerate(spec.categorical):
+        parts.append(f"coalesce(CAST(`{c}` AS STRING), {_quote(stats.modes[c])}) AS `_cat_{i}`")
+        filled.append(f"_cat_{i}")
+    return "SELECT *, " + ", ".join(parts) + " FROM __THIS__", scaled, filled
+
+
+def build_preprocessor(spark, stats: PreprocessStats, spec: TaskSpec, output_col: str = FEATURES_COL) -> PipelineModel:
+    statement, scaled, filled = preprocess_statement(stats, spec)
+    stages = [SQLTransformer(statement=statement)]
+    blocks = []
+    for name, c in zip(filled, spec.categorical):
+        # An unknown category is one more index, which the encoder drops.
+        indexer = StringIndexerModel.from_labels(stats.categories[c], name, f"{name}_index", handleInvalid="keep")
+        probe = indexer.transform(spark.createDataFrame([], f"{name} string"))  # the encoder reads its width from the metadata
+        encoder = OneHotEncoder(inputCols=[f"{name}_index"], outputCols=[f"{name}_block"], dropLast=True).fit(probe)
+        stages += [indexer, encoder]
+        blocks.append(f"{name}_block")
+    stages.append(VectorAssembler(inputCols=scaled + blocks, outputCol=output_col))
+    return PipelineModel(stages=stages)
 
 
 def fit_preprocessor(train: DataFrame, spec: TaskSpec) -> tuple[PipelineModel, PreprocessStats]:
     """Fit on the training rows only; reuse for every other split."""
     stats = fit_stats(train, spec)
-    return build_preprocessor(stats, spec), stats
-
-
-def stats_frame(spark, stats: PreprocessStats, spec: TaskSpec) -> DataFrame:
-    """The fitted statistics as a small DataFrame (one row per numeric feature)."""
-    rows = [
-        (c, stats.medians[c], stats.means[c], stats.scales[c]) for c in spec.numeric
-    ]
-    return spark.createDataFrame(rows, "feature string, median double, mean double, scale double")
+    return build_preprocessor(train.sparkSession, stats, spec), stats

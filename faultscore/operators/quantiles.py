@@ -46,7 +46,7 @@ def _in_open(x, state: _State):
 
 
 def kth_values(
-    df: DataFrame, ranks: dict[str, list[int]], counts: dict[str, int] | None = None
+    df: DataFrame, ranks: dict[str, list[int]], counts: dict[str, int] | None = None, final_values: int = FINAL_VALUES
 ) -> dict[str, dict[int, float]]:
     """Exact value at each 1-based rank (ascending, NaN and NULL skipped).
 
@@ -67,25 +67,22 @@ def kth_values(
         active = {c: s for c, s in states.items() if s.pending()}
         if not active:
             return {c: s.answers for c, s in states.items()}
-        small = {c: s for c, s in active.items() if s.inside <= FINAL_VALUES}
+        small = {c: s for c, s in active.items() if s.inside <= final_values}
         if small:
             _finish(values, small)
-        large = {c: s for c, s in active.items() if s.inside > FINAL_VALUES}
+        large = {c: s for c, s in active.items() if s.inside > final_values}
         if large:
             _narrow(values, large)
 
 
 def _finish(values: DataFrame, states: dict[str, _State]) -> None:
-    """Sort the (bounded) open interval of each column in one task."""
-    aggs = [
-        F.sort_array(F.collect_list(F.when(_in_open(F.col(c), s), F.col(c)))).alias(c)
-        for c, s in states.items()
-    ]
-    row = values.agg(*aggs).first()
-    for c, s in states.items():
-        ordered = row[c]
-        for r in s.pending():
-            s.answers[r] = float(ordered[r - s.below - 1])
+    """Sort the (bounded) open interval of each column in one task, which
+    picks the wanted values; only they reach the driver."""
+    sorted_values = [F.sort_array(F.collect_list(F.when(_in_open(F.col(c), s), F.col(c)))).alias(f"v_{i}") for i, (c, s) in enumerate(states.items())]
+    wanted = [(i, s, r) for i, s in enumerate(states.values()) for r in s.pending()]
+    row = values.agg(*sorted_values).select(*[F.col(f"v_{i}")[r - s.below - 1] for i, s, r in wanted]).first()
+    for value, (_, s, r) in zip(row, wanted):
+        s.answers[r] = float(value)
 
 
 def _narrow(values: DataFrame, states: dict[str, _State]) -> None:
@@ -143,7 +140,7 @@ def _narrow(values: DataFrame, states: dict[str, _State]) -> None:
 
 
 def exact_medians(
-    df: DataFrame, columns: list[str] | tuple[str, ...], counts: dict[str, int] | None = None
+    df: DataFrame, columns: list[str] | tuple[str, ...], counts: dict[str, int] | None = None, final_values: int = FINAL_VALUES
 ) -> dict[str, float | None]:
     """Interpolated median of each column over non-missing values."""
     if counts is None:
@@ -154,7 +151,7 @@ def exact_medians(
         n = int(counts[c])
         if n:
             ranks[c] = [(n + 1) // 2, n // 2 + 1]
-    found = kth_values(df, ranks, {c: counts[c] for c in ranks}) if ranks else {}
+    found = kth_values(df, ranks, {c: counts[c] for c in ranks}, final_values) if ranks else {}
     out: dict[str, float | None] = {}
     for c in columns:
         if c not in found:

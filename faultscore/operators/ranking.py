@@ -39,6 +39,7 @@ def select_ranked_keys(
     id_col: str,
     wanted: list[tuple[object, int, int]],
     class_sizes: dict[object, int],
+    final_rows: int = FINAL_BUCKET_ROWS,
 ) -> dict[tuple[object, int], tuple[str, object]]:
     """Return {(cls, rank): (key, id)} of the row at each wanted rank.
 
@@ -52,7 +53,7 @@ def select_ranked_keys(
     active = list(targets)
     level = 0
     while active:
-        final = [t for t in active if t.size <= FINAL_BUCKET_ROWS or len(t.prefix) >= 32]
+        final = [t for t in active if t.size <= final_rows or len(t.prefix) >= 32]
         if final:
             found.update(_rank_in_bucket(spark, df, cls_col, key_col, id_col, final))
         active = [t for t in active if t not in final]

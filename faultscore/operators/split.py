@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import col, hash_key, rounded
 from ..schema import TaskSpec
-from .ranking import select_ranked_keys
+from .audit import validate
+from .ranking import FINAL_BUCKET_ROWS, select_ranked_keys
 
 TRAIN, VALIDATION, TEST = "train", "validation", "test"
 SPLITS = (TRAIN, VALIDATION, TEST)
@@ -90,14 +91,20 @@ def stratified_split(
     seed: int = DEFAULT_SEED,
     spark: SparkSession | None = None,
     class_rows: dict[int, int] | None = None,
+    audit: bool = False,
+    final_rows: int = FINAL_BUCKET_ROWS,
 ) -> DataFrame:
     """Add an exact stratified ``split`` column (deterministic for a seed).
 
-    ``class_rows`` ({class: rows}, e.g. from the audit) saves the counting pass.
+    ``audit`` validates the table first, unless its caller has; ``class_rows``
+    ({class: rows}, e.g. from that audit) saves the counting pass.
     """
     spark = spark or df.sparkSession
+    if audit:
+        found = validate(df, spec)
+        class_rows = {0: found["rows"] - found["positive_rows"], 1: found["positive_rows"]}
     if class_rows is None:
-        class_rows = {r["cls"]: r["n"] for r in class_counts(df, spec.target).collect()}
+        class_rows = {int(r["cls"]): r["n"] for r in class_counts(df, spec.target).collect()}
     rows = allocate(class_rows)
     _check_allocation(rows)
     keyed = df.withColumn("_split_key", hash_key(seed, col(spec.id_column)))
@@ -108,8 +115,8 @@ def stratified_split(
             if 0 < rank:
                 wanted.append((r["cls"], rank, None))
     boundary = select_ranked_keys(
-        spark, keyed.select(col(spec.target).alias("_cls"), "_split_key", col(spec.id_column).alias("_id")),
-        "_cls", "_split_key", "_id", wanted, sizes,
+        spark, keyed.select(col(spec.target).cast("int").alias("_cls"), "_split_key", col(spec.id_column).alias("_id")),
+        "_cls", "_split_key", "_id", wanted, sizes, final_rows,
     )
     key, ident, cls = F.col("_split_key"), col(spec.id_column), col(spec.target)
 
@@ -160,12 +167,3 @@ def split_summary(df: DataFrame, target: str) -> DataFrame:
         F.sum(col(target).cast("long")).alias("positive_rows"),
         rounded(F.avg(col(target).cast("double"))).alias("positive_rate"),
     )
-
-
-def split_part(df: DataFrame, name: str) -> DataFrame:
-    """One split as a filter (no copy)."""
-    if name not in SPLITS:
-        raise ValueError(f"unknown split: {name}")
-    return df.where(F.col("split") == name)
-
-

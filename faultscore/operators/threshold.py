@@ -12,8 +12,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import col, ratio, rounded
+from ..functions.columns import col, ratio
 from ..functions.grid import GRID_POINTS, grid_point, points_at_or_below
+from .metrics import scored_label
 
 
 def threshold_sweep(df: DataFrame, label: str, score: str, by: list[str] | None = None) -> DataFrame:
@@ -22,9 +23,8 @@ def threshold_sweep(df: DataFrame, label: str, score: str, by: list[str] | None
     keys = [col(b) for b in by]
     # Rows go straight into the (group, k) histogram: map-side partial
     # aggregation leaves at most 100 rows per group and task to shuffle.
-    histogram = df.groupBy(*keys, points_at_or_below(col(score).cast("double")).alias("k")).agg(
-        F.count(F.lit(1)).alias("h_n"), F.sum(col(label).cast("long")).alias("h_pos")
-    )
+    y, p = scored_label(label, score)
+    histogram = df.groupBy(*keys, points_at_or_below(p).alias("k")).agg(F.count(F.lit(1)).alias("h_n"), F.sum(y).alias("h_pos"))
     # At most 100 histogram entries per group: gather them into one array
     # and read the suffix sums for each grid point off that array, so the
     # dense table comes from the histogram alone (no second pass over the
@@ -76,5 +76,5 @@ def select_threshold(df: DataFrame, label: str, score: str, by: list[str] | None
     return (
         swept.withColumn("_rn", F.row_number().over(order))
         .where(F.col("_rn") == 1)
-        .select(*keys, "threshold", rounded(F.col("f1")).alias("f1"), rounded(F.col("recall")).alias("recall"))
+        .select(*keys, "threshold", "f1", "recall")
     )

@@ -9,7 +9,7 @@ from __future__ import annotations
 from typing import Callable
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import predicted, rounded
@@ -19,8 +19,9 @@ from ..operators.importance import permutation_importance
 from ..operators.metrics import binary_metrics, confusion_matrix, ranking_metrics
 from ..operators.parity import score_parity
 from ..operators.preprocess import FEATURES_COL, fit_preprocessor
+from ..operators.quantiles import exact_medians
 from ..operators.selection import choose_candidate
-from ..operators.split import allocation, class_counts, hash_split, split_summary, stratified_split
+from ..operators.split import TRAIN, allocation, class_counts, hash_split, split_summary, stratified_split
 from ..operators.threshold import select_threshold, threshold_sweep
 from ..schema import DOCUMENT_TASK, MACHINE_TASK, ORDER_TASK
 from ..sources.adapters import load_documents, load_machine, load_orders
@@ -50,12 +51,30 @@ def _validation(spark: SparkSession, sf: str) -> DataFrame:
     return _split(spark, sf).where(F.col("split") == "validation")
 
 
-def _fitted(spark: SparkSession, sf: str):
-    split = _split(spark, sf)
-    model, stats = fit_preprocessor(split.where(F.col("split") == "train"), S)
+def _with_gaps(split: DataFrame) -> DataFrame:
+    """The machine table with missing cells by a fixed rule over all rows, and
+    categories outside the training part that no training row has."""
+    cell = {c: (F.col("udi") * 31 + i) for i, c in enumerate(S.numeric)}
+    numeric = {c: F.when(n % 7 == 0, F.lit(None)).when(n % 11 == 0, F.lit(float("nan"))).otherwise(F.col(c)) for c, n in cell.items()}
+    kind = F.when(F.col("udi") % 13 == 0, F.lit(None)).when((F.col("udi") % 17 == 0) & (F.col("split") != TRAIN), F.lit("X")).otherwise(F.col("type"))
+    return split.withColumns({**numeric, "type": kind})
+
+
+def _fitted(spark: SparkSession, sf: str, gaps: bool = False):
+    split = _with_gaps(_split(spark, sf)) if gaps else _split(spark, sf)
+    model, stats = fit_preprocessor(split.where(F.col("split") == TRAIN), S)
     return split, model, stats
 
 
+METRICS = ("threshold", "accuracy", "precision", "recall", "f1", "roc_auc", "average_precision", "mean_average_precision_drop", "standard_deviation",
+           "average_precision_a", "average_precision_b", "roc_auc_a", "roc_auc_b", "max_abs_difference")
+
+
+def _reported(metrics: DataFrame) -> DataFrame:
+    """Operators return full doubles; reported ones have six places."""
+    return metrics.withColumns({c: rounded(F.col(c)) for c in METRICS if c in metrics.columns})
+
+
 # ------------------------------------------------------- sources / audit
 
 def q_scan_labelled(spark, sf):
@@ -107,6 +126,11 @@ def q_stratified_split(spark, sf):
     return _split(spark, sf).select("udi", "machine_failure", "split")
 
 
+def q_stratified_split_refined(spark, sf):
+    """The same split by refining hash prefixes down to buckets of 40 rows."""
+    return stratified_split(load_machine(spark, sf), S, SEED, audit=True, final_rows=40).select("udi", "machine_failure", "split")
+
+
 def q_split_sorted(spark, sf):
     return _split(spark, sf).select("split", "udi").orderBy("split", "udi")
 
@@ -126,12 +150,25 @@ def q_hash_split(spark, sf):
 
 # -------------------------------------------------------- preprocessing
 
-def q_impute_median(spark, sf):
-    _, _, stats = _fitted(spark, sf)
-    rows = [(c, stats.medians[c]) for c in S.numeric]
+def _median_rows(spark, medians: dict) -> DataFrame:
+    rows = [(c, medians[c]) for c in S.numeric]
     return spark.createDataFrame(rows, "feature string, median double").select("feature", rounded(F.col("median")).alias("median"))
 
 
+def q_impute_median(spark, sf):
+    return _median_rows(spark, _fitted(spark, sf)[2].medians)
+
+
+def q_impute_median_gaps(spark, sf):
+    return _median_rows(spark, _fitted(spark, sf, gaps=True)[2].medians)
+
+
+def q_impute_median_narrowed(spark, sf):
+    """The same medians by narrowing brackets down to 50 values."""
+    train = _with_gaps(_split(spark, sf)).where(F.col("split") == TRAIN)
+    return _median_rows(spark, exact_medians(train, list(S.numeric), final_values=50))
+
+
 def q_standardize(spark, sf):
     _, _, stats = _fitted(spark, sf)
     rows = [(c, stats.means[c], stats.scales[c]) for c in S.numeric]
@@ -140,21 +177,21 @@ def q_standardize(spark, sf):
     )
 
 
-def q_impute_mode(spark, sf):
-    _, _, stats = _fitted(spark, sf)
+def q_impute_mode(spark, sf, gaps=False):
+    _, _, stats = _fitted(spark, sf, gaps)
     return spark.createDataFrame([(c, stats.modes[c]) for c in S.categorical], "feature string, mode string")
 
 
-def q_one_hot(spark, sf):
-    split, model, stats = _fitted(spark, sf)
+def q_one_hot(spark, sf, gaps=False):
+    split, model, stats = _fitted(spark, sf, gaps)
     width = len(S.numeric)
     out = model.transform(split).select("udi", "split", vector_to_array(FEATURES_COL).alias("v"))
     cols = [F.col("v")[width + i].cast("int").alias(f"type_{v}") for i, v in enumerate(stats.categories["type"])]
     return out.select("udi", "split", *cols)
 
 
-def q_feature_vector(spark, sf):
-    split, model, _ = _fitted(spark, sf)
+def q_feature_vector(spark, sf, gaps=False):
+    split, model, _ = _fitted(spark, sf, gaps)
     out = model.transform(split).select("udi", "split", F.posexplode(vector_to_array(FEATURES_COL)).alias("position", "value"))
     return out.select("udi", "split", "position", rounded(F.col("value")).alias("value"))
 
@@ -186,7 +223,7 @@ def q_prior_baseline(spark, sf):
 def q_class_weights(spark, sf):
     train = _split(spark, sf).where(F.col("split") == "train")
     counts = train.groupBy(F.col("machine_failure").alias("cls")).agg(F.count(F.lit(1)).alias("n"))
-    total = train.agg(F.count(F.lit(1))).scalar()
+    total = F.sum("n").over(Window.partitionBy())  # over two rows
     return counts.select("cls", "n", rounded(total.cast("double") / (F.lit(2.0) * F.col("n").cast("double"))).alias("weight"))
 
 
@@ -211,15 +248,22 @@ def q_confusion_matrix(spark, sf):
 
 
 def q_binary_metrics(spark, sf):
-    return binary_metrics(_scored(spark, sf), "label", "score", 0.5, ["split"])
+    return _reported(binary_metrics(_scored(spark, sf), "label", "score", 0.5, ["split"]))
 
 
 def q_average_precision(spark, sf):
-    return ranking_metrics(_scored(spark, sf), "label", "score", ["split"]).select("split", "rows", "positives", "average_precision")
+    return _reported(ranking_metrics(_scored(spark, sf), "label", "score", ["split"])).select("split", "rows", "positives", "average_precision")
 
 
 def q_roc_auc(spark, sf):
-    return ranking_metrics(_scored(spark, sf), "label", "score", ["split"]).select("split", "rows", "positives", "roc_auc")
+    return _reported(ranking_metrics(_scored(spark, sf), "label", "score", ["split"])).select("split", "rows", "positives", "roc_auc")
+
+
+def q_ranking_null_group(spark, sf):
+    """Ranking metrics by a group key that is NULL for the test part."""
+    group = F.when(F.col("split") != "test", F.col("split")).alias("grp")
+    scored = _scored(spark, sf).select(group, "label", "score")
+    return _reported(ranking_metrics(scored, "label", "score", ["grp"])).select("grp", "rows", "positives", "average_precision", "roc_auc")
 
 
 def q_threshold_sweep(spark, sf):
@@ -232,37 +276,35 @@ def q_threshold_sweep(spark, sf):
 
 def q_select_threshold(spark, sf):
     picked = select_threshold(_scored(spark, sf), "label", "score", ["split"])
-    return picked.select("split", rounded(F.col("threshold")).alias("threshold"), "f1", "recall")
+    return _reported(picked).select("split", "threshold", "f1", "recall")
 
 
 def _closed_form_candidates(spark, sf) -> DataFrame:
     """Validation scores of three closed-form scorers, tagged by name."""
-    val = _validation(spark, sf)
-    label = F.col("machine_failure").alias("label")
-    parts = [
+    scorers = [
         ("torque_wear", 0, torque_wear_score(F.col("torque"), F.col("tool_wear"), 100.0)),
         ("torque_wear_coarse", 1, torque_wear_score(F.col("torque"), F.col("tool_wear"), 10.0)),
         ("torque_only", 2, torque_wear_score(F.col("torque"), F.lit(0.0), 100.0)),
     ]
-    frames = [val.select("udi", label, score.alias("score"), F.lit(n).alias("model"), F.lit(i).alias("ordinal")) for n, i, score in parts]
-    out = frames[0]
-    for frame in frames[1:]:
-        out = out.unionByName(frame)
-    return out
+    each = F.array(*[F.struct(F.lit(n).alias("model"), F.lit(i).alias("ordinal"), s.alias("score")) for n, i, s in scorers])
+    val = _validation(spark, sf).select("udi", F.col("machine_failure").alias("label"), F.explode(each).alias("c"))
+    return val.select("udi", "label", "c.score", "c.model", "c.ordinal")
 
 
-def q_scorer_comparison(spark, sf):
+def _scorer_metrics(spark, sf):
     scores = _closed_form_candidates(spark, sf)
-    picks = select_threshold(scores, "label", "score", ["model"]).select("model", F.col("threshold").alias("picked"))
+    picks = select_threshold(scores, "label", "score", ["model", "ordinal"]).select("model", F.col("threshold").alias("picked"))
     # a handful of rows (one per candidate): broadcast is bounded by the candidate count
     with_t = scores.join(F.broadcast(picks), "model")
-    metrics = binary_metrics(with_t, "label", "score", "picked", ["model"])
-    order = scores.select("model", "ordinal").distinct()
-    return metrics.join(F.broadcast(order), "model")
+    return binary_metrics(with_t, "label", "score", "picked", ["model", "ordinal"])
+
+
+def q_scorer_comparison(spark, sf):
+    return _reported(_scorer_metrics(spark, sf))
 
 
 def q_choose_candidate(spark, sf):
-    return choose_candidate(q_scorer_comparison(spark, sf)).select("model", "threshold", "f1", "average_precision")
+    return _reported(choose_candidate(_scorer_metrics(spark, sf))).select("model", "threshold", "f1", "average_precision")
 
 
 def q_permutation_importance(spark, sf):
@@ -271,13 +313,13 @@ def q_permutation_importance(spark, sf):
     def scorer(df: DataFrame) -> DataFrame:
         return df.withColumn("score", torque_wear_score(F.col("torque"), F.col("tool_wear"), 100.0))
 
-    return permutation_importance(rows, S, scorer, SEED, 10, "machine_failure")
+    return _reported(permutation_importance(rows, S, scorer, SEED, 10, "machine_failure"))
 
 
 def q_score_parity(spark, sf):
     val = _scored(spark, sf, 100.0).where(F.col("split") == "validation")
     other = _scored(spark, sf, 10.0).where(F.col("split") == "validation")
-    return score_parity(val.select("udi", "label", "score"), other.select("udi", "label", "score"), "udi", "label")
+    return _reported(score_parity(val.select("udi", "label", "score"), other.select("udi", "label", "score"), "udi", "label"))
 
 
 # ------------------------------------------------------------ registry
@@ -293,11 +335,17 @@ O_QUERIES: dict[str, Query] = {
     "audit_summary": q_audit_summary,
     "split_allocation": q_split_allocation,
     "stratified_split": q_stratified_split,
+    "stratified_split_refined": q_stratified_split_refined,
     "split_sorted": q_split_sorted,
     "split_summary": q_split_summary,
     "document_split_summary": q_document_split_summary,
     "hash_split": q_hash_split,
     "impute_median": q_impute_median,
+    "impute_median_gaps": q_impute_median_gaps,
+    "impute_median_narrowed": q_impute_median_narrowed,
+    "impute_mode_gaps": lambda spark, sf: q_impute_mode(spark, sf, gaps=True),
+    "one_hot_gaps": lambda spark, sf: q_one_hot(spark, sf, gaps=True),
+    "feature_vector_gaps": lambda spark, sf: q_feature_vector(spark, sf, gaps=True),
     "standardize": q_standardize,
     "impute_mode": q_impute_mode,
     "one_hot": q_one_hot,
@@ -312,6 +360,7 @@ O_QUERIES: dict[str, Query] = {
     "binary_metrics": q_binary_metrics,
     "average_precision": q_average_precision,
     "roc_auc": q_roc_auc,
+    "ranking_null_group": q_ranking_null_group,
     "threshold_sweep": q_threshold_sweep,
     "select_threshold": q_select_threshold,
     "scorer_comparison": q_scorer_comparison,
@@ -382,36 +431,49 @@ JOIN (SELECT DISTINCT model, ordinal FROM cand) o ON o.model = cm.g"""
 
 def _importance_sql(repeats: int = 10) -> str:
     feats = list(S.features)
-    plan = ", ".join(f"{{'feature': '{f}', 'rep': {r}}}" for f in feats for r in range(repeats))
-    num_case = " ".join(f"WHEN feature = '{f}' THEN CAST({f} AS DOUBLE)" for f in feats if f != "type")
-    replaced = ", ".join(
-        (f"CASE WHEN feature = '{f}' THEN txt_d ELSE {f} END AS {f}" if f == "type"
-         else f"CASE WHEN feature = '{f}' THEN num_d ELSE {f} END AS {f}")
-        for f in feats
-    )
+    names = ", ".join(f"'{f}'" for f in feats)
+    around = "PARTITION BY rep ORDER BY k, udi"
+    donor = ", ".join(f"coalesce(lead({f}) OVER ({around}), first_value({f}) OVER ({around})) AS d_{f}" for f in feats)
+    replaced = ", ".join(f"CASE WHEN feature = '{f}' THEN d_{f} ELSE {f} END AS {f}" for f in feats)
     return _with(
         O.MACHINE_SPLIT,
         "val AS (SELECT udi, machine_failure AS label, " + ", ".join(feats) + " FROM machine_split WHERE split = 'validation')",
-        "nb AS (SELECT greatest(1, CAST(ceil(CAST(count(*) AS DOUBLE) / 100000.0) AS BIGINT)) AS b FROM val)",
-        f"expanded AS (SELECT val.*, unnest([{plan}], recursive := true) FROM val)",
-        "keyed AS (SELECT e.*, md5('42:' || feature || ':' || CAST(rep AS VARCHAR) || ':' || CAST(udi AS VARCHAR)) AS k FROM expanded e)",
-        f"bucketed AS (SELECT keyed.*, (('0x' || substr(k, 1, 8))::BIGINT) % (SELECT b FROM nb) AS bucket, "
-        f"CASE {num_case} END AS num, CASE WHEN feature = 'type' THEN type END AS txt FROM keyed)",
-        """donor AS (SELECT *,
-            CASE WHEN lead(k) OVER w IS NULL THEN first_value(num) OVER w ELSE lead(num) OVER w END AS num_d,
-            CASE WHEN lead(k) OVER w IS NULL THEN first_value(txt) OVER w ELSE lead(txt) OVER w END AS txt_d
-          FROM bucketed WINDOW w AS (PARTITION BY feature, rep, bucket ORDER BY k, udi))""",
-        f"permuted AS (SELECT udi, label, feature, rep, {replaced} FROM donor)",
+        f"keyed AS (SELECT val.*, rep, md5('42:' || CAST(rep AS VARCHAR) || ':' || CAST(udi AS VARCHAR)) AS k FROM val, range({repeats}) t(rep))",
+        f"donor AS (SELECT *, {donor} FROM keyed)",
+        f"expanded AS (SELECT *, unnest([{names}]) AS feature FROM donor)",
+        f"permuted AS (SELECT udi, label, feature, rep, {replaced} FROM expanded)",
         f"perm_scored AS (SELECT feature || '|' || CAST(rep AS VARCHAR) AS grp, feature, rep, label, {O.SCORE_A} AS score FROM permuted)",
-        O.ranking_sql("perm_scored", "grp", name="rp"),
+        O.ranking_sql("perm_scored", "grp", name="rp", places=None),
         f"base_scored AS (SELECT 'all' AS grp, label, {O.SCORE_A} AS score FROM val)",
-        O.ranking_sql("base_scored", "grp", name="rb"),
+        O.ranking_sql("base_scored", "grp", name="rb", places=None),
         "drops AS (SELECT split_part(rp.g, '|', 1) AS feature, (SELECT average_precision FROM rb) - rp.average_precision AS d FROM rp)",
     ) + """
-SELECT feature, round(avg(d), 6) AS mean_average_precision_drop, round(stddev_pop(d), 6) AS standard_deviation
+SELECT feature, round(avg(d), 6) + 0.0 AS mean_average_precision_drop, round(stddev_pop(d), 6) AS standard_deviation
 FROM drops GROUP BY feature ORDER BY mean_average_precision_drop DESC, feature"""
 
 
+def _gaps_cte() -> str:
+    cells = ", ".join(
+        f"CASE WHEN (udi * 31 + {i}) % 7 = 0 OR (udi * 31 + {i}) % 11 = 0 THEN NULL ELSE {c} END AS {c}" for i, c in enumerate(S.numeric)
+    )
+    kind = "CASE WHEN udi % 13 = 0 THEN NULL WHEN udi % 17 = 0 AND split <> 'train' THEN 'X' ELSE type END AS type"
+    return f"gaps AS (SELECT udi, split, {cells}, {kind} FROM machine_split), gaps_train AS (SELECT * FROM gaps WHERE split = 'train')"
+
+
+_GAPS_MODE = "(SELECT type FROM gaps_train WHERE type IS NOT NULL GROUP BY type ORDER BY count(*) DESC, type LIMIT 1)"
+
+
+def _gaps_vector_sql() -> str:
+    parts = []
+    for i, c in enumerate(S.numeric):
+        filled = f"coalesce({c}, (SELECT median({c}) FROM gaps_train))"
+        stat = lambda f, x=filled: f"(SELECT {f}({x}) FROM gaps_train)"
+        parts.append(f"SELECT udi, split, {i} AS position, round(({filled} - {stat('avg')}) / {stat('stddev_pop')}, 6) AS value FROM gaps")
+    for j, v in enumerate(("H", "L", "M")):
+        parts.append(f"SELECT udi, split, {len(S.numeric) + j} AS position, CAST(coalesce(type, {_GAPS_MODE}) = '{v}' AS DOUBLE) AS value FROM gaps")
+    return _with(O.MACHINE_SPLIT, _gaps_cte()) + "\n" + "\nUNION ALL\n".join(parts)
+
+
 _PARITY_SQL = _with(
     O.MACHINE_SPLIT,
     f"pa AS (SELECT udi, machine_failure AS label, {O.SCORE_A} AS score_a FROM machine_split WHERE split = 'validation')",
@@ -451,6 +513,7 @@ SELECT 'orders' AS table_name, count_if(CAST(starts_with(o_orderpriority, '1') A
     "'udi,product_id' AS excluded_id_columns, 'twf,hdf,pwf,osf,rnf' AS excluded_leak_columns FROM machine",
     "split_allocation": _with(O.MACHINE_SPLIT) + "\nSELECT cls, n, n_train, n_validation, rest - n_validation AS n_test FROM machine_split_alloc",
     "stratified_split": _with(O.MACHINE_SPLIT) + "\nSELECT udi, machine_failure, split FROM machine_split",
+    "stratified_split_refined": _with(O.MACHINE_SPLIT) + "\nSELECT udi, machine_failure, split FROM machine_split",
     "split_sorted": _with(O.MACHINE_SPLIT) + "\nSELECT split, udi FROM machine_split ORDER BY split, udi",
     "split_summary": _with(O.MACHINE_SPLIT) + "\nSELECT split, count(*) AS rows, CAST(sum(machine_failure) AS BIGINT) AS positive_rows, "
     "round(avg(CAST(machine_failure AS DOUBLE)), 6) AS positive_rate FROM machine_split GROUP BY split",
@@ -462,6 +525,13 @@ FROM (SELECT udi, CAST(('0x' || substr(md5('42:' || CAST(udi AS VARCHAR)), 1, 8)
     "impute_median": _with(O.MACHINE_SPLIT, _TRAIN) + "\n" + "\nUNION ALL\n".join(
         f"SELECT '{c}' AS feature, round(median({c}), 6) AS median FROM machine_split_train" for c in S.numeric
     ),
+    **{k: _with(O.MACHINE_SPLIT, _gaps_cte()) + "\n" + "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS feature, round(median({c}), 6) AS median FROM gaps_train" for c in S.numeric
+    ) for k in ("impute_median_gaps", "impute_median_narrowed")},
+    "impute_mode_gaps": _with(O.MACHINE_SPLIT, _gaps_cte()) + f"\nSELECT 'type' AS feature, {_GAPS_MODE} AS mode",
+    "one_hot_gaps": _with(O.MACHINE_SPLIT, _gaps_cte(), f"filled AS (SELECT udi, split, coalesce(type, {_GAPS_MODE}) AS type FROM gaps)")
+    + "\nSELECT udi, split, CAST(type = 'H' AS INTEGER) AS type_H, CAST(type = 'L' AS INTEGER) AS type_L, CAST(type = 'M' AS INTEGER) AS type_M FROM filled",
+    "feature_vector_gaps": _gaps_vector_sql(),
     "standardize": _with(O.MACHINE_SPLIT, _TRAIN) + "\n" + "\nUNION ALL\n".join(
         f"SELECT '{c}' AS feature, round(avg({c}), 6) AS mean, round(stddev_pop({c}), 6) AS std FROM machine_split_train" for c in S.numeric
     ),
@@ -496,6 +566,8 @@ FROM docs""",
     + f"\nSELECT cm.g AS split, CAST(0.5 AS DOUBLE) AS threshold, {O.rates_select('cm.')}, rk.roc_auc, rk.average_precision, cm.tn, cm.fp, cm.fn, cm.tp FROM cm JOIN rk ON cm.g = rk.g",
     "average_precision": _with(O.SCORED, O.ranking_sql("scored", "split")) + "\nSELECT g AS split, rows, positives, average_precision FROM rk",
     "roc_auc": _with(O.SCORED, O.ranking_sql("scored", "split")) + "\nSELECT g AS split, rows, positives, roc_auc FROM rk",
+    "ranking_null_group": _with(O.SCORED, "ng AS (SELECT CASE WHEN split <> 'test' THEN split END AS grp, label, score FROM scored)", O.ranking_sql("ng", "grp"))
+    + "\nSELECT g AS grp, rows, positives, average_precision, roc_auc FROM rk",
     "threshold_sweep": _with(O.SCORED, O.sweep_sql("scored", "split"))
     + "\nSELECT g AS split, grid_index, round(threshold, 6) AS threshold, tp, fp, fn, tn, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1 FROM sw",
     "select_threshold": _with(O.SCORED, O.sweep_sql("scored", "split"), O.pick_sql("sw"))
@@ -514,4 +586,24 @@ FROM docs""",
 SELECT udi, round((SELECT p FROM prior), 6) AS failure_probability,
        CAST((SELECT p FROM prior) >= (SELECT threshold FROM pick) AS INTEGER) AS predicted_failure
 FROM machine_split WHERE split = 'test'""",
+    "comparison_counts": _with(O.MACHINE_SPLIT)
+    + "\nSELECT unnest(['majority_baseline', 'logistic_regression', 'decision_tree', 'random_forest', 'boosted_trees']) AS model, rows, positives "
+    "FROM (SELECT count(*) AS rows, CAST(sum(machine_failure) AS BIGINT) AS positives FROM machine_split WHERE split = 'validation')",
+    "heldout_counts": _with(O.MACHINE_SPLIT) + "\nSELECT count(*) AS rows, CAST(sum(machine_failure) AS BIGINT) AS positives FROM machine_split WHERE split = 'test'",
+    "test_predictions_check": _with(O.MACHINE_SPLIT) + "\nSELECT udi, machine_failure AS actual_failure, true AS consistent FROM machine_split WHERE split = 'test'",
+    "batch_score_check": _with(O.MACHINE_SQL) + "\nSELECT udi, true AS consistent FROM machine",
+    "bundle_roundtrip_check": _with(O.MACHINE_SPLIT)
+    + "\nSELECT count(*) AS rows_matched, 0 AS unmatched_a, 0 AS unmatched_b, CAST(0 AS DOUBLE) AS max_abs_difference FROM machine_split WHERE split = 'test'",
+    "model_baseline": _with(
+        O.MACHINE_SPLIT,
+        "vs AS (SELECT 'majority_baseline' AS model, machine_failure AS label, (SELECT avg(CAST(machine_failure AS DOUBLE)) FROM machine_split WHERE split = 'train') AS score "
+        "FROM machine_split WHERE split = 'validation')",
+        O.sweep_sql("vs", "model"),
+        O.pick_sql("sw"),
+        "vt AS (SELECT vs.*, pick.threshold AS picked FROM vs, pick)",
+        O.confusion_sql("vt", "model", "picked"),
+        O.ranking_sql("vs", "model"),
+    ) + f"""
+SELECT cm.g AS model, round(pick.threshold, 6) AS threshold, {O.rates_select('cm.')}, rk.roc_auc, rk.average_precision, cm.tn, cm.fp, cm.fn, cm.tp
+FROM cm, pick, rk""",
 }

@@ -1,11 +1,5 @@
-"""The reference's commands as plain functions (no argument parser).
-
-audit    -> validate a labelled table and return the summary
-train    -> run the experiment, write bundle / predictions / importance / report
-predict  -> read scoring rows (CSV by column name or parquet), score with a
-            saved bundle, write the predictions and report the row count
-benchmark-> repeated fits and layout parity of the frozen boosted configuration
-"""
+"""Whole jobs as plain functions: audit a table, train on it, score rows with
+a saved bundle, compare training layouts.  Each returns data, not text."""
 
 from __future__ import annotations
 
@@ -32,12 +26,8 @@ def train(
     with_mlp: bool = False,
 ) -> dict[str, Any]:
     exp = run_experiment(df, spec, out_dir=out_dir, seed=seed, config=config, with_mlp=with_mlp)
-    test = exp.report["test_metrics"]
-    exp.report["summary_line"] = (
-        f"Selected {exp.chosen} at threshold {exp.threshold:.2f}; test precision={test['precision']:.3f} "
-        f"recall={test['recall']:.3f} F1={test['f1']:.3f} AP={test['average_precision']:.3f}"
-    )
-    return exp.report
+    exp.close()
+    return {**exp.report, "outcome": {"model": exp.chosen, "threshold": exp.threshold, "held_out": exp.test_metrics}}
 
 
 def predict(
@@ -53,4 +43,8 @@ def predict(
 
 
 def benchmark(df: DataFrame, spec: TaskSpec, seed: int = 42, repeats: int = 3, config: CandidateConfig | None = None) -> dict:
-    return run_fit_benchmark(prepare(df, spec, seed, config), repeats=repeats)
+    exp = prepare(df, spec, seed, config)
+    try:
+        return run_fit_benchmark(exp, repeats=repeats)
+    finally:
+        exp.close()

@@ -1,9 +1,10 @@
 """The train -> select -> evaluate -> explain -> save plan.
 
-Only scalars cross to the driver: class counts, split boundaries,
-preprocessing statistics, one metrics row per candidate, the chosen name
-and threshold.  Candidates are scored into ONE unioned validation table so
-a single grouped sweep and a single grouped metrics job cover all of them.
+To the driver come class counts, split boundaries, preprocessing statistics
+(with the category lists), one metrics row per candidate, the chosen name and
+threshold, and the fitted trees.  Candidates are scored into ONE unioned
+validation table so a single grouped sweep and a single grouped metrics job
+cover all of them.  What a run persists it releases in ``close``.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ import json
 import os
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import reduce
 from typing import Any
 
 from pyspark import StorageLevel
@@ -22,13 +24,14 @@ from pyspark.sql import functions as F
 from ..functions.columns import col, predicted
 from ..operators.audit import validate
 from ..operators.candidates import (
-    BOOSTED_PARAMETERS,
     LABEL_COL,
     SCORE_COL,
     CandidateConfig,
     ProbabilityScore,
     class_balance,
     fit_candidate,
+    make_estimator,
+    training_rows,
 )
 from ..operators.importance import permutation_importance
 from ..operators.metrics import binary_metrics
@@ -40,8 +43,9 @@ from ..schema import TaskSpec
 from ..session import ensure_checkpoint_dir
 from ..sources.bundle import Bundle, save_bundle
 
-SELECTION_RULE = "highest validation average precision, then validation F1"
-THRESHOLD_RULE = "highest validation F1, then recall, then closeness to 0.5"
+#: Criteria in the order in which they decide.
+SELECTION_CRITERIA = ["validation average_precision", "validation f1", "candidate order"]
+THRESHOLD_CRITERIA = ["validation f1", "recall", "distance to 0.5", "lowest threshold"]
 METRIC_FIELDS = ("threshold", "accuracy", "precision", "recall", "f1", "roc_auc", "average_precision")
 
 
@@ -55,16 +59,27 @@ class Experiment:
     preprocessor: PipelineModel
     stats: PreprocessStats
     features: DataFrame  # id, split, label, features (persisted)
+    train: DataFrame | None = None  # training rows of features, in the layout to fit
     models: dict[str, Any] = field(default_factory=dict)  # fitted classifiers (on the feature vector)
     scorers: dict[str, PipelineModel] = field(default_factory=dict)  # preprocessing + classifier + score
     extras: dict[str, dict] = field(default_factory=dict)
-    validation_scores: DataFrame | None = None
     validation_metrics: dict[str, dict] = field(default_factory=dict)
     chosen: str | None = None
     threshold: float | None = None
     test_metrics: dict | None = None
     importance: list[dict] | None = None
     report: dict | None = None
+    held: list[DataFrame] = field(default_factory=list)  # persisted by this run
+
+    def hold(self, df: DataFrame) -> DataFrame:
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        self.held.append(df)
+        return df
+
+    def close(self) -> None:
+        """Release what the run persisted; fitted models stay usable."""
+        while self.held:
+            self.held.pop().unpersist()
 
     def part(self, name: str) -> DataFrame:
         return self.features.where(F.col("split") == name)
@@ -80,24 +95,9 @@ def metrics_record(row: dict) -> dict:
     return out
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give a small, few-file input at least one partition per core.
-
-    A cluster-sized input already has thousands of file splits and is
-    returned untouched (its passes re-read only the pruned columns); a
-    single-row-group test file would otherwise run every pass in one task.
-    """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target).persist(StorageLevel.MEMORY_AND_DISK)
-
-
 def prepare(df: DataFrame, spec: TaskSpec, seed: int = 42, config: CandidateConfig | None = None) -> Experiment:
     """Audit once, split, fit preprocessing on train, featurize every split."""
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    df = spread(df)
+    ensure_checkpoint_dir(df.sparkSession)
     audit = validate(df, spec)
     classes = {0: audit["rows"] - audit["positive_rows"], 1: audit["positive_rows"]}
     split = stratified_split(df, spec, seed, class_rows=classes).persist(StorageLevel.MEMORY_AND_DISK)
@@ -105,8 +105,11 @@ def prepare(df: DataFrame, spec: TaskSpec, seed: int = 42, config: CandidateConf
     preprocessor, stats = fit_preprocessor(train_raw, spec)
     labelled = split.select(col(spec.id_column), "split", col(spec.target).cast("int").alias(LABEL_COL), *[col(f) for f in spec.features])
     features = preprocessor.transform(labelled).select(col(spec.id_column), "split", LABEL_COL, FEATURES_COL)
-    features = features.persist(StorageLevel.MEMORY_AND_DISK)
-    return Experiment(spec, seed, config or CandidateConfig(seed=seed), split, audit, preprocessor, stats, features)
+    exp = Experiment(spec, seed, config or CandidateConfig(seed=seed), split, audit, preprocessor, stats, features)
+    exp.held.append(split)
+    exp.features = exp.hold(features)
+    exp.train = exp.hold(training_rows(exp.part(TRAIN), spec.id_column, exp.config))
+    return exp
 
 
 def scorer_for(exp: Experiment, name: str, model) -> PipelineModel:
@@ -124,46 +127,55 @@ def score_features(exp: Experiment, name: str, model, rows: DataFrame) -> DataFr
     return scored.select(col(exp.spec.id_column), LABEL_COL, SCORE_COL)
 
 
-def train_candidates(exp: Experiment, names: tuple[str, ...] | None = None) -> Experiment:
-    """fit each candidate on train, score validation, sweep, measure."""
-    names = names or exp.config.include
-    train = exp.part(TRAIN)
-    balance = class_balance(train)
+def fit_missing(exp: Experiment, names: tuple[str, ...]) -> None:
+    """Fit those of the named candidates that the experiment has not fitted yet.
+
+    Fits are independent and seeded; submitting them from a few driver threads
+    overlaps their small per-iteration jobs (Spark schedules concurrent jobs;
+    results do not depend on the interleaving).
+    """
+    missing = [n for n in names if n not in exp.models]
+    if not missing:
+        return
+    balance = class_balance(exp.train)
     width = len(exp.stats.vector_names(exp.spec))
-    validation = exp.part(VALIDATION)
-    scored = []
-    # Fits are independent and seeded; submitting them from a few driver
-    # threads overlaps their small per-iteration jobs (Spark schedules
-    # concurrent jobs; results do not depend on the interleaving).
-    workers = max(1, min(len(names), exp.config.parallel_fits))
-    with ThreadPoolExecutor(max_workers=workers) as pool:
-        futures = {name: pool.submit(fit_candidate, name, train, balance, exp.config, width) for name in names}
+    with ThreadPoolExecutor(max_workers=max(1, min(len(missing), exp.config.parallel_fits))) as pool:
+        futures = {name: pool.submit(fit_candidate, name, exp.train, balance, exp.config, width) for name in missing}
         fitted = {name: future.result() for name, future in futures.items()}
-    for ordinal, name in enumerate(names):
-        model, extra = fitted[name]
-        exp.models[name] = model
-        exp.extras[name] = extra
+    for name, (model, extra) in fitted.items():
+        exp.models[name], exp.extras[name] = model, extra
         exp.scorers[name] = scorer_for(exp, name, model)
-        scored.append(
-            score_features(exp, name, model, validation).withColumns(
-                {"model": F.lit(name), "ordinal": F.lit(ordinal)}
-            )
-        )
-    union = scored[0]
-    for frame in scored[1:]:
-        union = union.unionByName(frame)
-    union = union.persist(StorageLevel.MEMORY_AND_DISK)
-    exp.validation_scores = union
-    picks = {r["model"]: float(r["threshold"]) for r in select_threshold(union, LABEL_COL, SCORE_COL, ["model"]).collect()}
+
+
+def candidate_scores(exp: Experiment, names: tuple[str, ...], part: str = VALIDATION) -> DataFrame:
+    """id, label, score, model and ordinal of each named candidate, fitted if need be."""
+    fit_missing(exp, names)
+    rows = exp.part(part)
+    frames = [score_features(exp, n, exp.models[n], rows).withColumns({"model": F.lit(n), "ordinal": F.lit(i)}) for i, n in enumerate(names)]
+    return reduce(DataFrame.unionByName, frames)
+
+
+def at_thresholds(scores: DataFrame, picks: dict[str, float]) -> DataFrame:
+    """The scores with each model's threshold (one per candidate) as a column."""
     per_model = F.lit(None).cast("double")
     for name, t in picks.items():
         per_model = F.when(F.col("model") == name, F.lit(t)).otherwise(per_model)
-    rows = binary_metrics(union.withColumn("threshold", per_model), LABEL_COL, SCORE_COL, "threshold", ["model"]).collect()
-    by_name = {r["model"]: r.asDict() for r in rows}
+    return scores.withColumn("threshold", per_model)
+
+
+def compare(exp: Experiment, names: tuple[str, ...]) -> DataFrame:
+    """Validation metrics of the named candidates, each at its own threshold."""
+    scores = exp.hold(candidate_scores(exp, names))
+    picks = {r["model"]: float(r["threshold"]) for r in select_threshold(scores, LABEL_COL, SCORE_COL, ["model"]).collect()}
+    return binary_metrics(at_thresholds(scores, picks), LABEL_COL, SCORE_COL, "threshold", ["model"])
+
+
+def train_candidates(exp: Experiment, names: tuple[str, ...] | None = None) -> Experiment:
+    """fit each candidate on train, score validation, sweep, measure."""
+    names = names or exp.config.include
+    by_name = {r["model"]: r.asDict() for r in compare(exp, names).collect()}
     for name in names:
-        row = by_name[name]
-        row["threshold"] = picks[name]
-        exp.validation_metrics[name] = metrics_record(row)
+        exp.validation_metrics[name] = metrics_record(by_name[name])
     return exp
 
 
@@ -175,7 +187,6 @@ def evaluate_chosen(exp: Experiment) -> Experiment:
     model = exp.models[exp.chosen]
     test_scores = score_features(exp, exp.chosen, model, exp.part(TEST))
     row = binary_metrics(test_scores, LABEL_COL, SCORE_COL, exp.threshold).first().asDict()
-    row["threshold"] = exp.threshold
     exp.test_metrics = metrics_record(row)
     return exp
 
@@ -195,10 +206,13 @@ def test_predictions(exp: Experiment) -> DataFrame:
 def importance_of_chosen(exp: Experiment, repeats: int = 10) -> DataFrame:
     spec = exp.spec
     rows = exp.raw_part(VALIDATION).select(col(spec.id_column), *[col(f) for f in spec.features], col(spec.target))
-    scorer = exp.scorers[exp.chosen]
-    n = exp.validation_metrics[exp.chosen]
-    count = sum(sum(r) for r in n["confusion_matrix"])
-    return permutation_importance(rows, spec, scorer.transform, exp.seed, repeats, spec.target, row_count=count)
+    return permutation_importance(rows, spec, exp.scorers[exp.chosen].transform, exp.seed, repeats, spec.target)
+
+
+def estimator_settings(exp: Experiment, name: str) -> dict[str, Any]:
+    """The parameters that were passed to a candidate's estimator, by their names there."""
+    estimator = make_estimator(name, class_balance(exp.train), exp.config)
+    return {p.name: v for p, v in sorted(estimator._paramMap.items(), key=lambda x: x[0].name)}
 
 
 def build_report(exp: Experiment) -> dict:
@@ -208,14 +222,10 @@ def build_report(exp: Experiment) -> dict:
     }
     return {
         "split_summary": {k: summary[k] for k in (TRAIN, VALIDATION, TEST) if k in summary},
-        "selection_rule": SELECTION_RULE,
-        "threshold_rule": THRESHOLD_RULE,
-        "boosted_protocol": {
-            **{k: v for k, v in BOOSTED_PARAMETERS.items()},
-            "rounds_used": exp.config.boosted_rounds,
-            "scale_pos_weight": "training negatives divided by training positives",
-            "early_stopping": False,
-        },
+        "selection_criteria": SELECTION_CRITERIA,
+        "threshold_criteria": THRESHOLD_CRITERIA,
+        "estimators": {n: estimator_settings(exp, n) for n in exp.validation_metrics},
+        "fitted_rows": {"partitions": exp.config.fit_partitions, "share_of_training_ids": exp.config.fit_share},
         "validation_candidates": exp.validation_metrics,
         "selected_model": exp.chosen,
         "selected_threshold": exp.threshold,
@@ -265,25 +275,18 @@ def run_experiment(
 
 
 def mlp_comparison(exp: Experiment) -> dict:
-    """perceptron fitted on train, threshold from validation, scored on
-    validation and test as a comparison (not in the selection pool)."""
-    train = exp.part(TRAIN)
-    balance = class_balance(train)
-    width = len(exp.stats.vector_names(exp.spec))
-    model, extra = fit_candidate("mlp", train, balance, exp.config, width)
-    val = score_features(exp, "mlp", model, exp.part(VALIDATION))
-    t = float(select_threshold(val, LABEL_COL, SCORE_COL).first()["threshold"])
-    val_row = binary_metrics(val, LABEL_COL, SCORE_COL, t).first().asDict()
-    test_row = binary_metrics(score_features(exp, "mlp", model, exp.part(TEST)), LABEL_COL, SCORE_COL, t).first().asDict()
-    val_row["threshold"] = test_row["threshold"] = t
-    history = extra.get("objective_history", [])
+    """perceptron fitted on train, threshold from validation, measured on
+    validation and test; it stands outside the selection."""
+    fit_missing(exp, ("mlp",))
+    model, history = exp.models["mlp"], exp.extras["mlp"].get("objective_history", [])
+    score = lambda part: score_features(exp, "mlp", model, exp.part(part))
+    t = float(select_threshold(score(VALIDATION), LABEL_COL, SCORE_COL).first()["threshold"])
+    measured = {part: metrics_record(binary_metrics(score(part), LABEL_COL, SCORE_COL, t).first().asDict()) for part in (VALIDATION, TEST)}
     return {
-        "architecture": {"input_width": width, "hidden_width": exp.config.mlp_hidden, "output_width": 2, "activation": "sigmoid"},
-        "epochs": exp.config.mlp_epochs,
-        "initial_training_loss": history[0] if history else None,
-        "final_training_loss": history[-1] if history else None,
+        "layers": [len(exp.stats.vector_names(exp.spec)), exp.config.mlp_hidden, 2],
+        "hidden_activation": "sigmoid",
+        "max_iterations": exp.config.mlp_epochs,
+        "objective": {"first": history[0] if history else None, "last": history[-1] if history else None},
         "threshold": t,
-        "validation_metrics": metrics_record(val_row),
-        "test_metrics": metrics_record(test_row),
-        "note": "Test metrics are a comparison, not the model-selection result.",
+        "metrics": measured,
     }

@@ -1,66 +1,43 @@
-"""Repeated-fit timing and score parity (the reference's device benchmark,
-re-aimed: there is no GPU axis, so two physical layouts of the same frozen
-boosted configuration are compared instead).
+"""What the physical layout of the training rows costs and changes.
 
-Every variant is fitted ``repeats`` times on the training split; the run
-times become a small runs table summarised by ``run_summary``; the last fit
-of each variant scores the validation split and ``score_parity`` compares
-the first two variants.  The test split is never touched.
+One candidate configuration is fitted several times on each of a list of
+partition counts.  The report has a row per layout (partitions, fit seconds)
+and the validation parity of the first layout's scores with each other
+layout's.  Held-out rows are not read.
 """
 
 from __future__ import annotations
 
 import time
+from dataclasses import replace
 from typing import Any
 
 from pyspark import StorageLevel
 
-from ..operators.candidates import LABEL_COL, SCORE_COL, class_balance, fit_candidate
+from ..operators.candidates import LABEL_COL, SCORE_COL, class_balance, fit_candidate, training_rows
 from ..operators.parity import run_summary, score_parity
 from ..operators.split import TRAIN, VALIDATION
 from .experiment import Experiment, score_features
 
-DEFAULT_LAYOUTS: dict[str, int | None] = {"as_read": None, "single_partition": 1}
+DEFAULT_PARTITIONS = (8, 1)
 
 
-def run_fit_benchmark(
-    exp: Experiment, repeats: int = 3, layouts: dict[str, int | None] | None = None, candidate: str = "boosted_trees"
-) -> dict[str, Any]:
+def run_fit_benchmark(exp: Experiment, repeats: int = 3, partitions: tuple[int, ...] = DEFAULT_PARTITIONS, candidate: str = "boosted_trees") -> dict[str, Any]:
     if repeats < 1:
         raise ValueError("repeats must be at least one")
-    layouts = layouts or DEFAULT_LAYOUTS
-    spark = exp.features.sparkSession
-    train = exp.part(TRAIN)
-    balance = class_balance(train)
-    width = len(exp.stats.vector_names(exp.spec))
+    spark, spec = exp.features.sparkSession, exp.spec
+    balance, width = class_balance(exp.train), len(exp.stats.vector_names(spec))
     runs, models = [], {}
-    for name, partitions in layouts.items():
-        data = train if partitions is None else train.coalesce(partitions).persist(StorageLevel.MEMORY_AND_DISK)
-        for repeat in range(repeats):
+    for n in partitions:
+        rows = training_rows(exp.part(TRAIN), spec.id_column, replace(exp.config, fit_partitions=n)).persist(StorageLevel.MEMORY_AND_DISK)
+        rows.count()
+        for _ in range(repeats):
             started = time.perf_counter()
-            models[name], _ = fit_candidate(candidate, data, balance, exp.config, width)
-            runs.append((name, repeat, time.perf_counter() - started))
-    runs_df = spark.createDataFrame(runs, "kind string, repeat int, seconds double")
-    medians = {r["kind"]: float(r["median_seconds"]) for r in run_summary(runs_df).collect()}
-    names = list(layouts)
-    val = exp.part(VALIDATION)
-    ident = exp.spec.id_column
-    first = score_features(exp, candidate, models[names[0]], val)
-    second = score_features(exp, candidate, models[names[-1]], val).select(ident, SCORE_COL)
-    parity = score_parity(first, second, ident, LABEL_COL).first().asDict()
-    return {
-        "protocol": {
-            "purpose": "layout parity and timing of one frozen configuration",
-            "dataset_partition": "train for fitting; validation for parity metrics",
-            "official_test_evaluated": False,
-            "candidate": candidate,
-            "repeats": repeats,
-            "layouts": layouts,
-        },
-        "timing_seconds": {
-            "runs": {name: [r[2] for r in runs if r[0] == name] for name in names},
-            "medians": medians,
-            "ratio_first_over_last": medians[names[0]] / medians[names[-1]] if medians[names[-1]] else None,
-        },
-        "validation_parity": parity,
-    }
+            models[n], _ = fit_candidate(candidate, rows, balance, exp.config, width)
+            runs.append((str(n), time.perf_counter() - started))
+        rows.unpersist()
+    layouts = [r.asDict() for r in run_summary(spark.createDataFrame(runs, "kind string, seconds double")).collect()]
+    scores = {n: score_features(exp, candidate, models[n], exp.part(VALIDATION)) for n in partitions}
+    base = scores[partitions[0]]
+    parity = {n: score_parity(base, scores[n].select(spec.id_column, SCORE_COL), spec.id_column, LABEL_COL).first().asDict() for n in partitions[1:]}
+    return {"candidate": candidate, "repeats": repeats, "layouts": sorted(layouts, key=lambda r: r["median_seconds"]), "parity_with_first": parity, "splits_read": [TRAIN, VALIDATION]}

@@ -58,8 +58,9 @@ scored AS (SELECT udi, split, machine_failure AS label, {SCORE_A} AS score FROM
 )
 
 
-def ranking_sql(source: str, group: str, score: str = "score", label: str = "label", name: str = "rk") -> str:
+def ranking_sql(source: str, group: str, score: str = "score", label: str = "label", name: str = "rk", places: int | None = 6) -> str:
     """CTE ``name``: group, rows, positives, average_precision, roc_auc."""
+    cut = (lambda x: f"round({x}, {places})") if places is not None else (lambda x: f"({x})")
     return f"""
 {name}_d AS (SELECT {group} AS g, {score} AS score, count(*) AS n, CAST(sum({label}) AS BIGINT) AS pos FROM {source} GROUP BY 1, 2),
 {name}_c AS (
@@ -70,11 +71,8 @@ def ranking_sql(source: str, group: str, score: str = "score", label: str = "lab
   FROM {name}_d),
 {name} AS (
   SELECT g, CAST(max(n_total) AS BIGINT) AS rows, CAST(max(p_total) AS BIGINT) AS positives,
-         round(CASE WHEN max(p_total) = 0 THEN CAST(0.0 AS {D})
-                    ELSE sum(CAST(pos AS {D}) * CAST(tp AS {D}) / CAST(pp AS {D})) / CAST(max(p_total) AS {D}) END, 6) AS average_precision,
-         round(CASE WHEN max(p_total) = 0 OR max(n_total) = max(p_total) THEN NULL
-                    ELSE sum(CAST(pos AS {D}) * (CAST(n_total - p_total - (pp - tp) AS {D}) + CAST(n - pos AS {D}) / CAST(2.0 AS {D})))
-                         / (CAST(max(p_total) AS {D}) * CAST(max(n_total) - max(p_total) AS {D})) END, 6) AS roc_auc
+         {cut(f"CASE WHEN max(p_total) = 0 THEN CAST(0.0 AS {D}) ELSE sum(CAST(pos AS {D}) * CAST(tp AS {D}) / CAST(pp AS {D})) / CAST(max(p_total) AS {D}) END")} AS average_precision,
+         {cut(f"CASE WHEN max(p_total) = 0 OR max(n_total) = max(p_total) THEN NULL ELSE sum(CAST(pos AS {D}) * (CAST(n_total - p_total - (pp - tp) AS {D}) + CAST(n - pos AS {D}) / CAST(2.0 AS {D}))) / (CAST(max(p_total) AS {D}) * CAST(max(n_total) - max(p_total) AS {D})) END")} AS roc_auc
   FROM {name}_c GROUP BY g)"""
 
 

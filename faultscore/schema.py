@@ -53,6 +53,17 @@ MACHINE_TASK = TaskSpec(
     category_domain={"type": ("L", "M", "H")},
 )
 
+# The column names of the original machine CSV file.
+MACHINE_CSV_TASK = TaskSpec(
+    id_column="UDI",
+    extra_id_columns=("Product ID",),
+    categorical=("Type",),
+    numeric=("Air temperature [K]", "Process temperature [K]", "Rotational speed [rpm]", "Torque [Nm]", "Tool wear [min]"),
+    target="Machine failure",
+    leak_columns=("TWF", "HDF", "PWF", "OSF", "RNF"),
+    category_domain={"Type": ("L", "M", "H")},
+)
+
 # labels joined to documents: toxic is the target, quality its leak column.
 DOCUMENT_TASK = TaskSpec(
     id_column="doc_id",

@@ -77,11 +77,9 @@ def order_table(orders: DataFrame) -> DataFrame:
     )
 
 
-def load_machine(spark: SparkSession, sf_dir: str, spread_source=None) -> DataFrame:
-    """Machine table from events; ``spread_source`` (e.g. the experiment's
-    ``spread``) is applied to the raw events before the per-row parsing."""
-    events = read_table(spark, sf_dir, "events")
-    return machine_table(spread_source(events) if spread_source else events)
+def load_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Machine table from events."""
+    return machine_table(read_table(spark, sf_dir, "events"))
 
 
 def load_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,8 +1,10 @@
 """File integrity (A9): SHA-256 of files, compared with a manifest.
 
-``binaryFile`` reads each file as one row (content bounded by the 2 GiB
-array limit; the reader rejects larger files), ``sha2`` hashes it on the
-executors, and the manifest check is an equi-join on the path.
+``binaryFile`` lists every file below a folder and reads each as one row,
+``sha2`` hashes it on the executors, and the manifest check is an equi-join on
+the path relative to that folder.  A digest needs a file's bytes in order, so
+a file is the unit of work; a file above the reader's 2 GiB row is an error
+that names it.
 """
 
 from __future__ import annotations
@@ -11,10 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def file_checksums(spark: SparkSession, path_glob: str) -> DataFrame:
-    """path, length, sha256 for every file under a path or glob."""
-    files = spark.read.format("binaryFile").load(path_glob)
-    return files.select("path", "length", F.sha2("content", 256).alias("sha256"))
+def file_checksums(spark: SparkSession, root: str, name_glob: str | None = None) -> DataFrame:
+    """path (below ``root``, or the file's own name), length and sha256 of a
+    file, or of every file in a folder and the folders below it."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    files = (reader.option("pathGlobFilter", name_glob) if name_glob else reader).load(root)
+    folder = F.lit(root.rstrip("/").split("://")[-1] + "/")
+    below = F.substring_index("path", folder, -1)
+    relative = F.when(F.contains("path", folder), below).otherwise(F.substring_index("path", "/", -1))
+    return files.select(relative.alias("path"), "length", F.sha2("content", 256).alias("sha256"))
 
 
 def verify_checksums(checksums: DataFrame, manifest: DataFrame) -> DataFrame:

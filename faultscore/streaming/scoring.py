@@ -2,22 +2,18 @@
 
 The fitted scorer is row-local (projection, frozen preprocessing SQL,
 classifier predict, threshold), so the same plan runs on a ``readStream``
-with no state and no watermark.  Progress lives in the checkpoint
-location, so a restarted query resumes where it stopped and files are
-scored exactly once in the sink.
+with no state and no watermark.  Progress lives in the checkpoint location,
+which the caller names: a query restarted with the same one resumes where it
+stopped, and files are scored exactly once in the sink.
 """
 
 from __future__ import annotations
 
-import os
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ..operators.scoring import predict_rows
-from ..session import ensure_checkpoint_dir
 from ..sources.bundle import Bundle
 
 
@@ -34,9 +30,9 @@ def start_file_scoring(
     schema: StructType,
     bundle: Bundle,
     sink: str,
+    checkpoint: str,
     keep: list[str] | None = None,
     transform=None,
-    checkpoint: str | None = None,
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
@@ -51,7 +47,6 @@ def start_file_scoring(
     raw = reader.parquet(source)
     rows = transform(raw) if transform else raw
     scored = scoring_stream(rows, bundle, keep)
-    location = checkpoint or os.path.join(ensure_checkpoint_dir(spark), "streams", f"scoring-{uuid.uuid4().hex}")
-    writer = scored.writeStream.format("parquet").option("checkpointLocation", location).outputMode("append")
+    writer = scored.writeStream.format("parquet").option("checkpointLocation", checkpoint).outputMode("append")
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
     return writer.start(sink)

@@ -47,10 +47,10 @@ def main() -> None:
         "audit: one aggregate pass": audit_stats(m, S),
         "audit: key uniqueness": duplicate_keys(m, ["udi"]),
         "split assignment (boundaries are literals: no exchange)": split.select("udi", "split"),
-        "ranking metrics by split (explicit 4 buckets)": ranking_metrics(scored, "label", "score", ["split"], buckets=4),
+        "ranking metrics by split": ranking_metrics(scored, "label", "score", ["split"]),
         "threshold sweep by split": threshold_sweep(scored, "label", "score", ["split"]),
-        "permutation copies (window per feature, repeat, bucket)": permuted_copies(
-            split.where("split = 'validation'").select("udi", *S.features, S.target), S, 42, 10, 1),
+        "permutation copies (one shuffle of the repeats; features expand row by row)": permuted_copies(
+            split.where("split = 'validation'").select("udi", *S.features, S.target), S, 42, 10),
     }
     out = ["# Physical plans of the core operators", "",
            f"Generated by `scripts/explain_plans.py` on `{sf}` (outline: exchanges, joins, windows, aggregates, scans).", ""]

@@ -120,12 +120,52 @@ def test_prediction_sink_reports_count(spark, trained, tmp_path):
     assert write_predictions(preds, str(tmp_path / "nested" / "out"), "csv") == exp.report["split_summary"]["validation"]["rows"]
 
 
-def test_unscored_rows_are_rejected(spark):
-    from faultscore.operators.metrics import require_scores
+def test_prediction_count_is_of_this_write(spark, trained, tmp_path):
+    from faultscore.operators.scoring import write_predictions
+
+    exp, _ = trained
+    preds = predict_rows(exp.scorers[exp.chosen], exp.threshold, exp.raw_part("test"), S.features, keep=["udi"])
+    counts = [write_predictions(preds, str(tmp_path / "out"), mode="append") for _ in range(2)]
+    assert counts == [exp.report["split_summary"]["test"]["rows"]] * 2
+
+
+def test_close_scores_pick_by_full_doubles():
+    from faultscore.operators.selection import choose_from_rows
+
+    rows = [{"name": "a", "average_precision": 0.5002793438, "f1": 0.9}, {"name": "b", "average_precision": 0.5002793463, "f1": 0.1}]
+    assert choose_from_rows(rows)["name"] == "b"
+
+
+def test_fits_do_not_depend_on_the_input_layout(spark):
+    from faultscore.operators.candidates import SCORE_COL
+    from faultscore.plans.experiment import candidate_scores, prepare
+
+    names = ("random_forest", "boosted_trees")
+    cfg = CandidateConfig(seed=2, forest_trees=10, forest_depth=6, boosted_rounds=4)
+    scores = []
+    for parts in (1, 4, 8):
+        exp = prepare(machine_frame(spark).repartition(parts), S, 2, cfg)
+        scores.append(sorted((r.model, r.udi, r[SCORE_COL]) for r in candidate_scores(exp, names).collect()))
+        exp.close()
+    assert scores[0] == scores[1] == scores[2]
+
+
+def test_fit_share_bounds_the_fitted_rows(spark):
+    from faultscore.plans.experiment import prepare
+
+    exp = prepare(machine_frame(spark), S, 2, CandidateConfig(seed=2, fit_share=0.5))
+    assert 200 < exp.train.count() < 400
+    exp.close()
+
+
+def test_a_replaced_file_gives_new_rows(spark, tmp_path):
+    from faultscore.plans.model_queries import R_QUERIES
 
-    df = spark.createDataFrame([(1, 0.5), (0, None)], "label int, score double")
-    with pytest.raises(ValueError, match="matching vectors"):
-        require_scores(df, "label", "score")
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    for n in (1000, 600):
+        events.where(f"event_id < (SELECT min(event_id) FROM parquet.`/root/testdata/sf0.001/events.parquet`) + {n}").write.mode("overwrite").parquet(str(tmp_path / "events.parquet"))
+        rows = spark.read.parquet(str(tmp_path / "events.parquet")).count()
+        assert R_QUERIES["batch_score_linear"](spark, str(tmp_path)).count() == pytest.approx(rows * 0.2, abs=2)
 
 
 def test_fit_benchmark_reports_medians_and_parity(spark):
@@ -133,11 +173,11 @@ def test_fit_benchmark_reports_medians_and_parity(spark):
     from faultscore.plans.fit_benchmark import run_fit_benchmark
 
     exp = prepare(machine_frame(spark, 400), S, 3, CandidateConfig(seed=3, boosted_rounds=3))
-    report = run_fit_benchmark(exp, repeats=2)
-    assert set(report["timing_seconds"]["medians"]) == {"as_read", "single_partition"}
-    parity = report["validation_parity"]
+    report = run_fit_benchmark(exp, repeats=2, partitions=(4, 1))
+    assert {(r["kind"], r["repeats"]) for r in report["layouts"]} == {("4", 2), ("1", 2)}
+    parity = report["parity_with_first"][1]
     assert parity["rows_matched"] == 80 and parity["unmatched_a"] == 0
-    assert report["protocol"]["official_test_evaluated"] is False
+    assert report["splits_read"] == ["train", "validation"]
     with pytest.raises(ValueError, match="repeats must be at least one"):
         run_fit_benchmark(exp, repeats=0)
 
@@ -148,10 +188,10 @@ def test_mlp_comparison_reports_losses_and_both_splits(trained):
     exp, _ = trained
     exp.config.mlp_epochs = 10
     report = mlp_comparison(exp)
-    assert report["architecture"]["input_width"] == 8 and report["architecture"]["hidden_width"] == 24
-    assert report["initial_training_loss"] >= report["final_training_loss"]
-    assert report["test_metrics"]["threshold"] == report["validation_metrics"]["threshold"] == report["threshold"]
-    assert sum(map(sum, report["test_metrics"]["confusion_matrix"])) == exp.report["split_summary"]["test"]["rows"]
+    assert report["layers"] == [8, 24, 2]
+    assert report["objective"]["first"] >= report["objective"]["last"]
+    assert report["metrics"]["test"]["threshold"] == report["metrics"]["validation"]["threshold"] == report["threshold"]
+    assert sum(map(sum, report["metrics"]["test"]["confusion_matrix"])) == exp.report["split_summary"]["test"]["rows"]
 
 
 def test_second_task_with_two_categoricals(spark):

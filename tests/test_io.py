@@ -8,15 +8,22 @@ from faultscore.operators.audit import validate
 from faultscore.sources.checksums import file_checksums, require_checksum
 from faultscore.sources.csv import read_labelled_csv, read_scoring_csv
 
+from faultscore.schema import MACHINE_CSV_TASK
+
 from conftest import SF001
 
 
-def test_file_hash_is_deterministic(spark, scratch):
-    path = os.path.join(scratch, "sample.txt")
-    with open(path, "w", encoding="utf-8") as f:
-        f.write("sensor\n")
-    row = file_checksums(spark, path).first()
-    assert row.sha256 == "16dab8f41e9b1f415f75cedcf0b91cc9a907a3a96c83fb279416e9114a082d29"
+# Fixed value: the SHA-256 digest of the seven bytes b"sensor\n".
+DIGEST = "16dab8f41e9b1f415f75cedcf0b91cc9a907a3a96c83fb279416e9114a082d29"
+
+
+def test_checksums_of_nested_folders_have_relative_paths(spark, tmp_path):
+    for name in ("a.txt", "x/a.txt", "x/y/b.txt"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(b"sensor\n" if name.endswith("a.txt") else b"")
+    got = {r.path: (r.length, r.sha256) for r in file_checksums(spark, str(tmp_path)).collect()}
+    assert got == {"a.txt": (7, DIGEST), "x/a.txt": (7, DIGEST), "x/y/b.txt": (0, hashlib.sha256(b"").hexdigest())}
+    assert file_checksums(spark, str(tmp_path / "x" / "a.txt")).first().path == "a.txt"
 
 
 def test_checksums_match_hashlib_and_mismatch_raises(spark):
@@ -33,19 +40,8 @@ def test_checksums_match_hashlib_and_mismatch_raises(spark):
 HEADER = "UDI,Product ID,Type,Air temperature [K],Process temperature [K],Rotational speed [rpm],Torque [Nm],Tool wear [min],Machine failure,TWF,HDF,PWF,OSF,RNF"
 
 
-def _spec_with_reference_names():
-    from faultscore.schema import TaskSpec
-
-    # The reference's column names, as found in its CSV file.
-    return TaskSpec(
-        id_column="UDI", extra_id_columns=("Product ID",), categorical=("Type",),
-        numeric=("Air temperature [K]", "Process temperature [K]", "Rotational speed [rpm]", "Torque [Nm]", "Tool wear [min]"),
-        target="Machine failure", leak_columns=("TWF", "HDF", "PWF", "OSF", "RNF"), category_domain={"Type": ("L", "M", "H")},
-    )
-
-
 def test_csv_read_by_name_with_bom_reordered_and_extra_columns(spark, scratch):
-    spec = _spec_with_reference_names()
+    spec = MACHINE_CSV_TASK
     cols = HEADER.split(",")
     order = list(reversed(cols)) + ["extra"]
     values = dict(zip(cols, ["1", "L00001", "L", "298.1", "308.6", "1551", "42.8", "0", "0", "0", "0", "0", "0", "0"]))
@@ -61,7 +57,7 @@ def test_csv_read_by_name_with_bom_reordered_and_extra_columns(spark, scratch):
 
 
 def test_csv_inf_and_missing_tokens_reach_the_audit(spark, scratch):
-    spec = _spec_with_reference_names()
+    spec = MACHINE_CSV_TASK
     path = os.path.join(scratch, "bad.csv")
     with open(path, "w", encoding="utf-8") as f:
         f.write(HEADER + "\n1,L1,L,inf,308,1500,40,10,0,0,0,0,0,0\n2,L2,L,300,308,1500,40,10,0,0,0,0,0,0\n")
@@ -74,7 +70,7 @@ def test_csv_inf_and_missing_tokens_reach_the_audit(spark, scratch):
 
 
 def test_scoring_csv_keeps_extra_columns(spark, scratch):
-    spec = _spec_with_reference_names()
+    spec = MACHINE_CSV_TASK
     path = os.path.join(scratch, "rows.csv")
     with open(path, "w", encoding="utf-8") as f:
         f.write("Type,Air temperature [K],Process temperature [K],Rotational speed [rpm],Torque [Nm],Tool wear [min],row_id\n")
@@ -85,9 +81,38 @@ def test_scoring_csv_keeps_extra_columns(spark, scratch):
 
 
 def test_missing_csv_column_is_rejected(spark, scratch):
-    spec = _spec_with_reference_names()
+    spec = MACHINE_CSV_TASK
     path = os.path.join(scratch, "short.csv")
     with open(path, "w", encoding="utf-8") as f:
         f.write("UDI,Type\n1,L\n")
     with pytest.raises(ValueError, match="missing required columns"):
         read_labelled_csv(spark, path, spec)
+
+
+def _row(**cells):
+    values = dict(zip(HEADER.split(","), ["1", "L1", "L", "300", "308", "1500", "40", "10", "0", "0", "0", "0", "0", "0"]))
+    return ",".join({**values, **cells}[c] for c in HEADER.split(","))
+
+
+@pytest.mark.parametrize("cells,message", [
+    ({"Machine failure": "0.7"}, "Machine failure"),
+    ({"Machine failure": "1.9"}, "Machine failure"),
+    ({"Type": " L"}, "Type"),
+    ({"Torque [Nm]": "#N/A"}, "missing values"),
+    ({"Torque [Nm]": "1.#IND"}, "missing values"),
+])
+def test_loading_judges_values_as_they_are_written(spark, tmp_path, cells, message):
+    path = tmp_path / "rows.csv"
+    path.write_text("\n".join([HEADER, _row(UDI="2"), _row(**cells)]) + "\n", encoding="utf-8")
+    with pytest.raises(ValueError, match=message):
+        read_labelled_csv(spark, str(path), MACHINE_CSV_TASK)
+
+
+def test_a_loaded_table_splits_by_its_double_target(spark, tmp_path):
+    from faultscore.operators.split import split_summary, stratified_split
+
+    path = tmp_path / "rows.csv"
+    path.write_text("\n".join([HEADER, *[_row(UDI=str(i), **{"Machine failure": "1" if i % 5 == 0 else "0.0"}) for i in range(100)]]) + "\n", encoding="utf-8")
+    table = read_labelled_csv(spark, str(path), MACHINE_CSV_TASK)
+    rows = {r.split: (r.rows, r.positive_rows) for r in split_summary(stratified_split(table, MACHINE_CSV_TASK, 1, audit=True), MACHINE_CSV_TASK.target).collect()}
+    assert rows == {"train": (60, 12), "validation": (20, 4), "test": (20, 4)}

@@ -33,15 +33,15 @@ def test_threshold_out_of_range_rejected(spark):
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
-@pytest.mark.parametrize("buckets", [1, 7, 4096])
-def test_ranking_metrics_match_brute_force_with_ties(spark, seed, buckets):
+@pytest.mark.parametrize("parts", [1, 7, 4096])
+def test_ranking_metrics_match_brute_force_with_ties(spark, seed, parts):
     rng = random.Random(seed)
     n = 300
     groups = [rng.randrange(3) for _ in range(n)]
     y = [1 if rng.random() < 0.2 else 0 for _ in range(n)]
     p = [round(rng.random() * (0.5 + 0.4 * a), 2) for a in y]
     df = frame(spark, y, p, groups).repartition(5)
-    got = {r.g: r for r in ranking_metrics(df, "label", "score", ["g"], buckets=buckets).collect()}
+    got = {r.g: r for r in ranking_metrics(df, "label", "score", ["g"], parts=parts).collect()}
     for g in range(3):
         ys = [a for a, k in zip(y, groups) if k == g]
         ps = [b for b, k in zip(p, groups) if k == g]
@@ -89,15 +89,12 @@ def test_metrics_invariant_to_partitioning(spark):
     p = [round(rng.random(), 1) for _ in range(200)]
     a = binary_metrics(frame(spark, y, p).repartition(1), "label", "score", 0.4).first()
     b = binary_metrics(frame(spark, y, p).repartition(7), "label", "score", 0.4).first()
-    assert a == b
+    assert list(a) == pytest.approx(list(b), abs=1e-12)
     c = confusion_matrix(frame(spark, y, p), "label", "score", 0.4).first()
     assert (c.tn, c.fp, c.fn, c.tp) == (a.tn, a.fp, a.fn, a.tp)
 
 
-def test_auto_buckets_with_quantile_bucketing(spark, monkeypatch):
-    from faultscore.operators import metrics as M
-
-    monkeypatch.setattr(M, "ROWS_PER_BUCKET", 15)
+def test_grouped_binary_metrics_match_brute_force(spark):
     rng = random.Random(11)
     n = 400
     groups = [rng.randrange(2) for _ in range(n)]
@@ -110,3 +107,37 @@ def test_auto_buckets_with_quantile_bucketing(spark, monkeypatch):
         ps = [b for b, k in zip(p, groups) if k == g]
         assert got[g].average_precision == pytest.approx(average_precision(ys, ps), abs=1e-6)
         assert got[g].roc_auc == pytest.approx(roc_auc(ys, ps), abs=1e-6)
+
+
+def test_a_null_group_is_a_group(spark):
+    rows = [(None, 1, 0.9), (None, 0, 0.2), ("a", 1, 0.3), ("a", 0, 0.6)]
+    df = spark.createDataFrame(rows, "g string, label int, score double")
+    ranked = {r.g: r.average_precision for r in ranking_metrics(df, "label", "score", ["g"]).collect()}
+    assert ranked == {None: 1.0, "a": 0.5}
+    assert {r.g for r in binary_metrics(df, "label", "score", 0.5, ["g"]).collect()} == {None, "a"}
+
+
+@pytest.mark.parametrize("bad", [(0, float("nan")), (1, None), (None, 0.95)])
+@pytest.mark.parametrize("metric", [lambda d: binary_metrics(d, "label", "score", 0.5), lambda d: confusion_matrix(d, "label", "score", 0.5), lambda d: select_threshold(d, "label", "score")])
+def test_unscored_rows_fail_the_job(spark, bad, metric):
+    df = spark.createDataFrame([(1, 0.4), (0, 0.1), bad], "label int, score double")
+    with pytest.raises(Exception, match="matching vectors"):
+        metric(df).collect()
+
+
+def test_metrics_are_not_rounded(spark):
+    y, p = [1, 0, 1, 0, 0, 0, 1], [0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3]
+    got = ranking_metrics(frame(spark, y, p), "label", "score").first()
+    assert got.average_precision == pytest.approx(average_precision(y, p), abs=1e-14)
+
+
+def test_score_ranges_rise_with_the_score(spark):
+    from pyspark.sql import functions as F
+
+    from faultscore.operators.metrics import score_range
+
+    rng = random.Random(1)
+    values = sorted([0.0, 1.0, 0.5, 0.25, 0.1, 1e-300, 5.0, -0.3, -2.0] + [rng.random() ** rng.randint(1, 9) for _ in range(3000)] + [2.0**-k * (1 - 2**-52) for k in range(30)])
+    for parts in (1, 16, 4096):
+        ranges = [r[0] for r in spark.createDataFrame([(v,) for v in values], "s double").coalesce(1).select(score_range(F.col("s"), parts)).collect()]
+        assert ranges == sorted(ranges)

@@ -5,7 +5,6 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from faultscore.operators import quantiles
 from faultscore.operators.preprocess import fit_preprocessor
 from faultscore.operators.quantiles import exact_medians, kth_values
 from faultscore.schema import MACHINE_TASK as S
@@ -14,26 +13,24 @@ from fixtures import machine_frame
 
 
 @pytest.mark.parametrize("final", [100_000, 7])
-def test_exact_median_with_ties_nan_and_null(spark, monkeypatch, final):
-    monkeypatch.setattr(quantiles, "FINAL_VALUES", final)
+def test_exact_median_with_ties_nan_and_null(spark, final):
     rng = random.Random(3)
     a = [float(rng.randrange(20)) for _ in range(501)]
     b = [rng.random() for _ in range(400)] + [float("nan")] * 5 + [None] * 5
     c = [5.0] * 300 + [1.0, 9.0]
     rows = [(a[i] if i < len(a) else None, b[i] if i < len(b) else None, c[i] if i < len(c) else None) for i in range(max(len(a), len(b), len(c)))]
     df = spark.createDataFrame(rows, "a double, b double, c double").repartition(4)
-    got = exact_medians(df, ["a", "b", "c"])
+    got = exact_medians(df, ["a", "b", "c"], final_values=final)
     assert got["a"] == statistics.median(a)
     assert got["b"] == statistics.median([x for x in b if x is not None and x == x])
     assert got["c"] == 5.0
 
 
-def test_kth_values_every_rank(spark, monkeypatch):
-    monkeypatch.setattr(quantiles, "FINAL_VALUES", 5)
+def test_kth_values_every_rank(spark):
     values = [float(v) for v in [7, 3, 3, 9, 1, 4, 4, 4, 8, 2, 6, 5, 3]]
     df = spark.createDataFrame([(v,) for v in values], "x double")
     ranks = list(range(1, len(values) + 1))
-    got = kth_values(df, {"x": ranks})["x"]
+    got = kth_values(df, {"x": ranks}, final_values=5)["x"]
     assert [got[r] for r in ranks] == sorted(values)
 
 
@@ -69,3 +66,11 @@ def test_constant_column_keeps_scale_one(spark):
     df = machine_frame(spark).withColumn("tool_wear", F.lit(5.0))
     _, stats = fit_preprocessor(df, S)
     assert stats.scales["tool_wear"] == 1.0
+
+
+def test_many_categories_make_one_sparse_block(spark):
+    df = machine_frame(spark).withColumn("type", F.concat(F.lit("t"), F.col("udi") % 700))
+    model, stats = fit_preprocessor(df, S)
+    assert len(stats.categories["type"]) == 700
+    row = model.transform(df.where("udi = 1")).select("features").first()
+    assert len(row.features) == 5 + 700 and len(row.features.indices) <= 6

@@ -3,7 +3,6 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from faultscore.operators import ranking
 from faultscore.operators.split import allocation, hash_split, split_summary, stratified_split
 from faultscore.schema import MACHINE_TASK as S
 from faultscore.sources.adapters import load_machine
@@ -38,11 +37,10 @@ def test_allocation_matches_published_counts(spark):
     assert sum(r.n_test for r in rows.values()) == 2000
 
 
-def test_refinement_levels_give_the_plain_ranking(spark, monkeypatch):
+def test_refinement_levels_give_the_plain_ranking(spark):
     df = load_machine(spark, SF01)
     plain = {(r.udi, r.split) for r in stratified_split(df, S, 42).select("udi", "split").collect()}
-    monkeypatch.setattr(ranking, "FINAL_BUCKET_ROWS", 40)
-    refined = {(r.udi, r.split) for r in stratified_split(df, S, 42).select("udi", "split").collect()}
+    refined = {(r.udi, r.split) for r in stratified_split(df, S, 42, final_rows=40).select("udi", "split").collect()}
     assert plain == refined
     sizes = {}
     for _, s in plain:
