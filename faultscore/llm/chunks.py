@@ -2,7 +2,8 @@
 
 Operators that compare every place of every text send far more keys than the
 texts have rows.  Texts are therefore packed in chunks of a few megabytes
-(compressed, written once to the shared folder).  A chunk sends each hash
+(compressed, written once to the shared folder in buckets of the chunk's
+number, so that joining answers to them never moves a text).  A chunk sends each hash
 bucket one message with all its keys there; the bucket, one shuffle
 partition, answers each chunk with one message; answers meet their chunk in a
 join.  A chunk sends a key once however often it holds it, so a key in a
@@ -11,6 +12,7 @@ third of all rows costs its bucket one entry per chunk.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
@@ -21,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pick, shuffle_partitions, written
+from .common import pick, shared_path, shuffle_partitions, written
 
 CHUNK_BYTES = 4 << 20
 #: A row without an id comes after all others.
@@ -72,7 +74,23 @@ def pack(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
         if ids:
             yield row()
 
-    return written(rows.mapInArrow(run, CHUNK_SCHEMA), "chunks", "uncompressed")
+    return _bucketed(rows.mapInArrow(run, CHUNK_SCHEMA))
+
+
+def _bucketed(chunks: DataFrame) -> DataFrame:
+    """The chunks from a table in the shared folder, bucketed by number.
+
+    The catalog's entry is dropped at once: the DataFrame has its files and
+    bucketing, and the folder is the checkpoint folder's to clean.
+    """
+    spark = chunks.sparkSession
+    name = f"faultscore_chunks_{uuid.uuid4().hex}"
+    parts = shuffle_partitions(spark)
+    chunks.write.bucketBy(parts, "chunk").option("path", shared_path(spark, "chunks")).option("compression", "uncompressed").saveAsTable(name)
+    table = spark.table(name)
+    table.schema  # noqa: B018  resolved before the entry goes
+    spark.sql(f"DROP TABLE {name}")
+    return table
 
 
 def unpack(batch: pa.RecordBatch) -> Iterator[tuple[Chunk, int]]:

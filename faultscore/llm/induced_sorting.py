@@ -221,58 +221,44 @@ class Induction:
                 yield place, lcp
 
 
-def earlier_windows(told):
-    """For each chunk's stretches a bit per window that starts in a document
-    with a smaller id than the stretch's own."""
-    pool, of, sender = repeats.pool(told, 1, WINDOW)
-    _, rep = np.unique(of, return_index=True)
-    least = np.full(len(rep), NO_ID, dtype=np.int64)
-    np.minimum.at(least, of, pool.number)
-    windows = pool.windows[rep]
-    owner = np.repeat(np.arange(len(rep)), windows)
-    found = least[owner]  # the least id of each window of each different stretch
-    _, anchor, per_anchor = np.unique(pool.anchor[rep], return_inverse=True, return_counts=True)
-    # A stretch that is alone with its anchor needs no sorting: its windows are where it is.
-    forks = np.flatnonzero(per_anchor[anchor] > 1)
-    if len(forks):
-        base = np.cumsum(windows) - windows
-        sizes = windows[forks] + WINDOW - 1
-        text = np.zeros(int((sizes + 1).sum()) + 1, dtype=np.uint8)
-        begin = np.cumsum(sizes + 1) - sizes  # a separator before each stretch, and one at the end
-        text[repeats.ranges(begin, sizes)] = pool.tokens[repeats.ranges(pool.starts[rep[forks]], sizes)] + np.uint8(1)
-        slot = np.full(len(text), -1, dtype=np.int64)  # window number of a place
-        slot[repeats.ranges(begin, windows[forks])] = repeats.ranges(base[forks], windows[forks])
-        for place, lcp in Induction(text, WINDOW).run():
-            mine = slot[place]
-            number = np.cumsum(lcp < WINDOW)
-            whole = np.flatnonzero(mine >= 0)
-            if len(whole):
-                number, mine = number[whole], mine[whole]
-                head = np.flatnonzero(np.r_[True, number[1:] != number[:-1]])
-                low = np.minimum.reduceat(found[mine], head)
-                found[mine] = np.repeat(low, np.diff(np.r_[head, len(mine)]))
-    bits = {}
-    at = np.cumsum(windows) - windows
-    for i in range(len(told)):
-        rows = np.flatnonzero(sender == i)
-        w = pool.windows[rows]
-        flags = found[repeats.ranges(at[of[rows]], w)] < np.repeat(pool.number[rows], w)
-        bits[i] = repeats.window_bits(flags, w)
-    every = np.zeros(len(of), dtype=np.uint64)
-    for i, b in bits.items():
-        every[sender == i] = b
-    yield from repeats.reply_bits(told, sender, every)
-
-
-def _chosen(chunk, buckets: int, replies: dict):
+def least_ids(forks: repeats.Forks) -> np.ndarray:
+    """For each window of the different stretches, the least doc_id it starts in."""
+    found = np.repeat(forks.value, forks.windows)
+    if not len(found):
+        return found
+    sizes = forks.windows + WINDOW - 1
+    begin = np.cumsum(sizes + 1) - sizes  # a separator before each stretch, and one at the end
+    text = np.zeros(int((sizes + 1).sum()) + 1, dtype=np.uint8)
+    text[repeats.ranges(begin, sizes)] = forks.tokens[repeats.ranges(forks.starts, sizes)] + np.uint8(1)  # UTF-8 has no byte 255
+    slot = np.full(len(text), -1, dtype=np.int64)  # window number of a place
+    slot[repeats.ranges(begin, forks.windows)] = np.arange(len(found))
+    for place, lcp in Induction(text, WINDOW).run():
+        mine = slot[place]
+        number = np.cumsum(lcp < WINDOW)
+        whole = np.flatnonzero(mine >= 0)
+        if len(whole):
+            number, mine = number[whole], mine[whole]
+            head = np.flatnonzero(np.r_[True, number[1:] != number[:-1]])
+            low = np.minimum.reduceat(found[mine], head)
+            found[mine] = np.repeat(low, np.diff(np.r_[head, len(mine)]))
+    return found
+
+
+def _least(of: np.ndarray, number: np.ndarray, n: int) -> np.ndarray:
+    out = np.full(n, NO_ID, dtype=np.int64)
+    np.minimum.at(out, of, number)
+    return out
+
+
+RULE = repeats.Rule(length=WINDOW, width=1, combine=_least, repeated=lambda least, own: least < own, window_values=least_ids)
+
+
+def _found(chunk, buckets: int, replies: dict):
     tokens = repeats.byte_tokens(chunk)
     runs = repeats.anchor_runs(tokens, WINDOW, ANCHOR)
-    chosen = repeats.candidates(runs, buckets, replies, across_texts=True)
-    rep, of = repeats.stretch_classes(tokens, runs, chosen, WINDOW)
-    ids = chunk.order_ids[runs.text[chosen]]
-    least = np.full(len(rep), NO_ID, dtype=np.int64)
-    np.minimum.at(least, of, ids)
-    return tokens, runs, chosen, rep, of, ids, least
+    found = repeats.stretches(tokens, runs, repeats.candidates(runs, buckets, replies, across_texts=True), WINDOW)
+    ids = chunk.order_ids[runs.text[found.chosen]]
+    return runs, found, ids, _least(found.of, ids, len(found.rep))
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
@@ -283,25 +269,31 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     def anchors(chunk, replies):
         return repeats.tell_anchors(repeats.anchor_runs(repeats.byte_tokens(chunk), WINDOW, ANCHOR), buckets)
 
-    def stretches(chunk, replies):
-        _, runs, _, rep, _, _, least = _chosen(chunk, buckets, replies[0])
-        return repeats.send_stretches(runs, rep, least, np.frombuffer(chunk.data, dtype=np.uint8), 1, WINDOW, buckets)
+    def keys(chunk, replies):
+        runs, found, _, least = _found(chunk, buckets, replies[0])
+        return repeats.send_keys(runs, found, least, buckets)
+
+    def forks(chunk, replies):
+        runs, found, _, least = _found(chunk, buckets, replies[0])
+        state = repeats.read_states(runs, found, buckets, replies[1])
+        return repeats.send_forks(runs, found, least, state, np.frombuffer(chunk.data, dtype=np.uint8), RULE, buckets)
 
     def remove(batches):
         for batch in batches:
             for chunk, r in unpack(batch):
-                first, second = replies_of(batch, r)
-                tokens, runs, chosen, rep, of, ids, least = _chosen(chunk, buckets, first)
-                bits = repeats.read_bits(rep, runs, buckets, second)[of]
-                width = runs.count[chosen]
-                place = repeats.ranges(np.zeros(len(chosen), dtype=np.int64), width)
-                flagged = ((np.repeat(bits, width) >> place.astype(np.uint64)) & np.uint64(1) == 1) | np.repeat(ids > least[of], width)
-                gone = repeats.covered(len(tokens.values), repeats.ranges(runs.first[chosen], width)[flagged], WINDOW)
-                yield pa.RecordBatch.from_pydict(_rows(chunk, gone), schema=_OUT)
+                shared, states, bits = replies_of(batch, r)
+                runs, found, ids, least = _found(chunk, buckets, shared)
+                state = repeats.read_states(runs, found, buckets, states)
+                width = runs.count[found.chosen]
+                # the chunk's own earlier documents remove from its later ones
+                goes = repeats.decided_windows(runs, found, state, buckets, bits) | np.repeat(ids > least[found.of], width)
+                starts = repeats.ranges(runs.first[found.chosen], width)
+                yield pa.RecordBatch.from_pydict(_rows(chunk, repeats.covered(len(chunk.data), starts[goes], WINDOW)), schema=_OUT)
 
     first = ask(chunks, buckets, anchors, repeats.shared_anchors)
-    second = ask(with_replies(chunks, first), buckets, stretches, earlier_windows)
-    return with_replies(chunks, first, second).mapInArrow(remove, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    second = ask(with_replies(chunks, first), buckets, keys, lambda told: repeats.answer_keys(told, RULE))
+    third = ask(with_replies(chunks, first, second), buckets, forks, lambda told: repeats.answer_forks(told, RULE))
+    return with_replies(chunks, first, second, third).mapInArrow(remove, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 _OUT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())])

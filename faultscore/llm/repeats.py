@@ -8,24 +8,28 @@ at equal places.  So
 1. every chunk tells each hash bucket its anchors, and the bucket answers
    which of them other chunks hold too; a window whose anchor is held once in
    all texts is unique, and is left at that;
-2. for the rest every chunk sends the stretch of text that the windows of one
-   anchor cover, to the anchor's bucket.  Equal stretches of a chunk are sent
-   once.  The bucket has every copy of its windows and decides for each
-   window (the operator's structure works there);
-3. the answers meet the texts again.
-
-No window is dropped otherwise: the first step only sets aside windows that
-cannot repeat.
+2. for the rest every chunk sends a hash of the stretch of text that the
+   windows of one anchor cover, to the anchor's bucket.  If all stretches of an
+   anchor are equal, all their windows are decided;
+3. an anchor with different stretches is a fork: one holder of each different
+   stretch is asked for its text, and the bucket decides window by window (the
+   operator's structure works there);
+4. the answers meet the texts again.
+
+Equal stretches are sent once a chunk, and their text once in all.  No window
+is dropped otherwise: the first step only sets aside windows that cannot
+repeat.  Stretches are taken for equal when 64-bit hashes of their content are.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
 import zstandard
 
-from .chunks import BASE, LOW, SPACES, Chunk, bucket_of, by_bucket, byte_values, from_six, mixed, powers, prefix_sums, range_hash, to_six, word_hashes, word_spans, INVERSE
+from .chunks import INVERSE, Chunk, bucket_of, by_bucket, byte_values, from_six, mixed, powers, prefix_sums, range_hash, to_six, word_hashes, word_spans
 
 #: Places hashed at once.
 SPAN = 1 << 17
@@ -93,8 +97,6 @@ def anchor_runs(tokens: Tokens, length: int, k: int) -> Runs:
     np.add.at(valid, tokens.first[has], 1)
     np.add.at(valid, tokens.first[has] + tokens.count[has] - length + 1, -1)
     valid = np.cumsum(valid[:-1], dtype=np.int8).astype(bool)
-    firsts, anchors, ends = [], [], []
-    last_owner = -1
     owners = np.full(n, -1, dtype=np.int64)
     hashes = np.zeros(n, dtype=np.uint64)
     for lo in range(0, n, SPAN):
@@ -156,31 +158,55 @@ def candidates(runs: Runs, buckets: int, replies: dict[int, bytes], across_texts
     return np.flatnonzero(shared[inverse])
 
 
-# ------------------------------------------------------ step 2: stretches
+# ------------------------------------------------- steps 2 to 4: stretches
+
+
+@dataclass(frozen=True)
+class Rule:
+    """What an operator asks about windows.
+
+    Every stretch has a number at its sender; ``combine(class, numbers, n)``
+    joins the numbers of equal stretches, ``repeated(joined, number)`` tells
+    whether a stretch's window with that joined number goes, and
+    ``window_values(forks)`` gives the joined number of every window.
+    """
+
+    length: int
+    width: int  # bytes of a token
+    combine: Callable
+    repeated: Callable
+    window_values: Callable
 
 
 @dataclass
-class Stretches:
-    """Different stretches of one sender: windows, anchor, a number each
-    (what it stands for is the operator's), and their tokens."""
+class Forks:
+    """Different stretches of forked anchors: windows, joined number and
+    tokens (one stretch after the other) of each."""
 
     windows: np.ndarray
-    anchor: np.ndarray
-    number: np.ndarray
-    tokens: np.ndarray  # one after the other; windows + length - 1 each
+    value: np.ndarray
+    tokens: np.ndarray
     starts: np.ndarray
 
 
-def stretch_classes(tokens: Tokens, runs: Runs, chosen: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """(representative run of each class, class of each chosen run): runs of
-    one class have equal tokens and anchors."""
+@dataclass
+class Stretches:
+    """A chunk's runs that may repeat, and its different stretches."""
+
+    chosen: np.ndarray  # runs
+    of: np.ndarray  # the class of each chosen run
+    rep: np.ndarray  # one run of each class
+    content: np.ndarray  # hash of each class's anchor and tokens
+
+
+def stretches(tokens: Tokens, runs: Runs, chosen: np.ndarray, length: int) -> Stretches:
     if not len(chosen):
-        return chosen, chosen
+        return Stretches(chosen, chosen, chosen, np.zeros(0, dtype=np.uint64))
     sums, inverse = prefix_sums(tokens.values), powers(len(tokens.values) + 1, INVERSE)
     first = runs.first[chosen]
-    content = range_hash(sums, first, first + runs.count[chosen] + length - 1, inverse)
-    _, rep, of = np.unique(content ^ mixed(runs.anchor[chosen]), return_index=True, return_inverse=True)
-    return chosen[rep], of
+    content = range_hash(sums, first, first + runs.count[chosen] + length - 1, inverse) ^ mixed(runs.anchor[chosen])
+    keys, rep, of = np.unique(content, return_index=True, return_inverse=True)
+    return Stretches(chosen, of, chosen[rep], keys)
 
 
 def ranges(first: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -189,42 +215,95 @@ def ranges(first: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.arange(total[-1] if len(total) else 0) - np.repeat(total - size, size) + np.repeat(first, size)
 
 
-def send_stretches(runs: Runs, rep: np.ndarray, number: np.ndarray, raw: np.ndarray, width: int, length: int, buckets: int):
-    """Per bucket the stretches of its anchors; ``raw`` is the token table, of
-    ``width`` bytes a token."""
+def _pack(*arrays: np.ndarray) -> bytes:
+    """Arrays of one length, by column."""
+    n = len(arrays[0])
+    return zstandard.ZstdCompressor(level=1).compress(n.to_bytes(8, "little") + b"".join(a.tobytes() for a in arrays))
+
+
+def _unpack(payload: bytes, *kinds) -> tuple[list[np.ndarray], bytes]:
+    """The arrays of ``_pack``, and what stands behind them."""
+    data = zstandard.ZstdDecompressor().decompress(payload)
+    n, at, out = int.from_bytes(data[:8], "little"), 8, []
+    for kind in map(np.dtype, kinds):
+        out.append(np.frombuffer(data, dtype=kind, count=n, offset=at))
+        at += n * kind.itemsize
+    return out, data[at:]
+
+
+def send_keys(runs: Runs, found: Stretches, number: np.ndarray, buckets: int):
+    """Step 2: anchor, content and number of each different stretch."""
+    anchor = runs.anchor[found.rep]
+    for b, rows in by_bucket(bucket_of(anchor, buckets), buckets):
+        yield b, _pack(anchor[rows], found.content[rows], number[rows].astype(np.int64))
+
+
+NONE, ALL, FORK, ASKED = range(4)
+
+
+def answer_keys(told, rule: Rule):
+    """For each stretch: no window goes, all do, or its anchor forks; of a
+    fork's equal stretches the first is asked for its tokens."""
+    parts = [_unpack(p, np.uint64, np.uint64, np.int64)[0] for _, p in told]
+    anchor, content, number = (np.concatenate([p[k] for p in parts]) for k in range(3))
+    _, first, of = np.unique(content, return_index=True, return_inverse=True)
+    value = rule.combine(of, number, len(first))
+    _, group, classes = np.unique(anchor[first], return_inverse=True, return_counts=True)
+    fork = classes[group] > 1
+    state = np.where(fork[of], FORK, np.where(rule.repeated(value[of], number), ALL, NONE)).astype(np.uint8)
+    state[first[fork]] = ASKED
+    cuts = np.cumsum([len(p[0]) for p in parts])
+    for (c, _), s in zip(told, np.split(state, cuts[:-1])):
+        yield c, _pack(s)
+
+
+def read_states(runs: Runs, found: Stretches, buckets: int, replies: dict[int, bytes]) -> np.ndarray:
+    out = np.zeros(len(found.rep), dtype=np.uint8)
+    for b, rows in by_bucket(bucket_of(runs.anchor[found.rep], buckets), buckets):
+        out[rows] = _unpack(replies[b], np.uint8)[0][0]
+    return out
+
+
+def send_forks(runs: Runs, found: Stretches, number: np.ndarray, state: np.ndarray, raw: np.ndarray, rule: Rule, buckets: int):
+    """Step 3: content, number and windows of forked stretches, and the tokens
+    of those asked for; ``raw`` is the token table, ``width`` bytes a token."""
     squeeze = zstandard.ZstdCompressor(level=1)
-    for b, rows in by_bucket(bucket_of(runs.anchor[rep], buckets), buckets):
-        mine = rep[rows]
-        windows = runs.count[mine]
-        body = raw[ranges(runs.first[mine], windows + length - 1)].tobytes()
-        head = np.array([len(mine)], dtype=np.int64).tobytes() + windows.astype(np.uint8).tobytes() + to_six(runs.anchor[mine]) + number[rows].astype(np.int64).tobytes()
+    forked = np.flatnonzero(state >= FORK)
+    for b, at in by_bucket(bucket_of(runs.anchor[found.rep[forked]], buckets), buckets):
+        rows = forked[at]
+        windows = runs.count[found.rep[rows]]
+        asked = state[rows] == ASKED
+        body = raw[ranges(runs.first[found.rep[rows[asked]]], windows[asked] + rule.length - 1)].tobytes()
+        head = len(rows).to_bytes(8, "little") + b"".join(a.tobytes() for a in (found.content[rows], number[rows].astype(np.int64), windows.astype(np.uint8), asked.astype(np.uint8)))
         yield b, squeeze.compress(head + body)
 
 
-def read_stretches(payload: bytes, width: int, length: int) -> Stretches:
-    data = zstandard.ZstdDecompressor().decompress(payload)
-    n = int(np.frombuffer(data, dtype=np.int64, count=1)[0])
-    at = 8
-    windows = np.frombuffer(data, dtype=np.uint8, count=n, offset=at).astype(np.int64)
-    anchor = from_six(data[at + n : at + 7 * n])
-    number = np.frombuffer(data[at + 7 * n : at + 15 * n], dtype=np.int64)
-    body = data[at + 15 * n :]
-    tokens = np.frombuffer(body, dtype=np.uint8) if width == 1 else from_six(body)
-    sizes = windows + length - 1
-    return Stretches(windows, anchor, number, tokens, np.cumsum(sizes) - sizes)
-
-
-def pool(told: list[tuple[int, bytes]], width: int, length: int) -> tuple[Stretches, np.ndarray, np.ndarray]:
-    """All senders' stretches in one, the class of each (equal ones share a
-    class), and the sender's place in ``told``."""
-    parts = [read_stretches(p, width, length) for _, p in told]
-    shift = np.cumsum([0] + [len(p.tokens) for p in parts[:-1]])
-    one = Stretches(*(np.concatenate([getattr(p, f) for p in parts]) for f in ("windows", "anchor", "number", "tokens")), np.concatenate([p.starts + s for p, s in zip(parts, shift)]))
-    values = byte_values(one.tokens.tobytes()) if width == 1 else one.tokens
-    sums = prefix_sums(values)
-    content = range_hash(sums, one.starts, one.starts + one.windows + length - 1, powers(len(values) + 1, INVERSE))
-    _, of = np.unique(content ^ mixed(one.anchor), return_inverse=True)
-    return one, of, np.repeat(np.arange(len(parts)), [len(p.windows) for p in parts])
+def answer_forks(told, rule: Rule):
+    """For each forked stretch a bit per window that goes."""
+    parts, bodies = [], []
+    for _, p in told:
+        arrays, body = _unpack(p, np.uint64, np.int64, np.uint8, np.uint8)
+        parts.append(arrays)
+        bodies.append(body)
+    content, number, windows, asked = (np.concatenate([p[k] for p in parts]) for k in range(4))
+    windows = windows.astype(np.int64)
+    _, of = np.unique(content, return_inverse=True)
+    n = int(of.max(initial=-1)) + 1
+    body = b"".join(bodies)
+    tokens = np.frombuffer(body, dtype=np.uint8) if rule.width == 1 else from_six(body)
+    # asked stretches come in the order of their tokens; put them in the order of the classes
+    sent = np.flatnonzero(asked)
+    sizes = windows[sent] + rule.length - 1
+    order = np.argsort(of[sent], kind="stable")
+    sent, starts = sent[order], (np.cumsum(sizes) - sizes)[order]
+    forks = Forks(windows[sent], rule.combine(of, number, n), tokens, starts)
+    value = rule.window_values(forks)
+    at = (np.cumsum(forks.windows) - forks.windows)[of]
+    flags = rule.repeated(value[ranges(at, windows)], np.repeat(number, windows))
+    bits = window_bits(flags, windows)
+    cuts = np.cumsum([len(p[0]) for p in parts])
+    for (c, _), x in zip(told, np.split(bits, cuts[:-1])):
+        yield c, _pack(x)
 
 
 def window_bits(flags: np.ndarray, windows: np.ndarray) -> np.ndarray:
@@ -237,19 +316,15 @@ def window_bits(flags: np.ndarray, windows: np.ndarray) -> np.ndarray:
     return out
 
 
-def reply_bits(told, sender: np.ndarray, bits: np.ndarray):
-    squeeze = zstandard.ZstdCompressor(level=1)
-    for i, (c, _) in enumerate(told):
-        yield c, squeeze.compress(to_six(bits[sender == i]))
-
-
-def read_bits(rep: np.ndarray, runs: Runs, buckets: int, replies: dict[int, bytes]) -> np.ndarray:
-    """The answer's word for each representative run."""
-    out = np.zeros(len(rep), dtype=np.uint64)
-    expand = zstandard.ZstdDecompressor()
-    for b, rows in by_bucket(bucket_of(runs.anchor[rep], buckets), buckets):
-        out[rows] = from_six(expand.decompress(replies[b], max_output_size=6 * len(rows)))
-    return out
+def decided_windows(runs: Runs, found: Stretches, state: np.ndarray, buckets: int, replies: dict[int, bytes]) -> np.ndarray:
+    """For each window of each chosen run whether it goes."""
+    bits = np.where(state == ALL, np.uint64(0xFFFFFFFFFFFFFFFF), np.uint64(0))
+    forked = np.flatnonzero(state >= FORK)
+    for b, at in by_bucket(bucket_of(runs.anchor[found.rep[forked]], buckets), buckets):
+        bits[forked[at]] = _unpack(replies[b], np.uint64)[0][0]
+    width = runs.count[found.chosen]
+    place = ranges(np.zeros(len(width), dtype=np.int64), width).astype(np.uint64)
+    return (np.repeat(bits[found.of], width) >> place) & np.uint64(1) == 1
 
 
 def covered(n: int, starts: np.ndarray, length: int) -> np.ndarray:

@@ -112,34 +112,34 @@ def deep_nodes(tokens: np.ndarray, suffix: np.ndarray, depth: int, most: int = G
     return out
 
 
-def repeated_windows(told):
-    """For each chunk's stretches a bit per window that starts at two places or more."""
-    pool, of, sender = repeats.pool(told, WORD_BYTES, WINDOW)
-    total = np.bincount(of, weights=pool.number).astype(np.int64)  # places of each different stretch
-    _, rep = np.unique(of, return_index=True)
-    _, anchor, per_anchor = np.unique(pool.anchor[rep], return_inverse=True, return_counts=True)
-    # A stretch that is alone with its anchor is one path: its windows repeat with it.
-    flag = np.repeat(total > 1, pool.windows[rep])
-    forks = np.flatnonzero(per_anchor[anchor] > 1)
-    owner = np.repeat(np.arange(len(rep)), pool.windows[rep])
-    suffix = repeats.ranges(pool.starts[rep], pool.windows[rep])
-    rows = np.flatnonzero(np.isin(owner, forks))
-    node = deep_nodes(pool.tokens, suffix[rows], WINDOW)
-    flag[rows] |= node >= 0
-    bits = repeats.window_bits(flag, pool.windows[rep])
-    yield from repeats.reply_bits(told, sender, bits[of])
+def places(forks: repeats.Forks) -> np.ndarray:
+    """For each window of the different stretches, the number of places it starts at."""
+    total = np.repeat(forks.value, forks.windows)
+    node = deep_nodes(forks.tokens, repeats.ranges(forks.starts, forks.windows), WINDOW)
+    several = node >= 0
+    if several.any():
+        total[several] = np.bincount(node[several], weights=total[several]).astype(np.int64)[node[several]]
+    return total
+
+
+RULE = repeats.Rule(
+    length=WINDOW,
+    width=WORD_BYTES,
+    combine=lambda of, number, n: np.bincount(of, weights=number, minlength=n).astype(np.int64),
+    repeated=lambda total, number: total > 1,
+    window_values=places,
+)
 
 
 def _six(values: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :WORD_BYTES])
 
 
-def _chosen(chunk, buckets: int, replies: dict):
-    tokens, start, end = repeats.word_tokens(chunk)
+def _found(chunk, buckets: int, replies: dict):
+    tokens, _, _ = repeats.word_tokens(chunk)
     runs = repeats.anchor_runs(tokens, WINDOW, ANCHOR)
-    chosen = repeats.candidates(runs, buckets, replies, across_texts=False)
-    rep, of = repeats.stretch_classes(tokens, runs, chosen, WINDOW)
-    return tokens, runs, chosen, rep, of
+    found = repeats.stretches(tokens, runs, repeats.candidates(runs, buckets, replies, across_texts=False), WINDOW)
+    return tokens, runs, found, np.bincount(found.of, minlength=len(found.rep))
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
@@ -151,25 +151,29 @@ def deduplicate(docs: DataFrame) -> DataFrame:
         tokens, _, _ = repeats.word_tokens(chunk)
         return repeats.tell_anchors(repeats.anchor_runs(tokens, WINDOW, ANCHOR), buckets)
 
-    def stretches(chunk, replies):
-        tokens, runs, _, rep, of = _chosen(chunk, buckets, replies[0])
-        return repeats.send_stretches(runs, rep, np.bincount(of, minlength=len(rep)), _six(tokens.values), WORD_BYTES, WINDOW, buckets)
+    def keys(chunk, replies):
+        _, runs, found, count = _found(chunk, buckets, replies[0])
+        return repeats.send_keys(runs, found, count, buckets)
+
+    def forks(chunk, replies):
+        tokens, runs, found, count = _found(chunk, buckets, replies[0])
+        state = repeats.read_states(runs, found, buckets, replies[1])
+        return repeats.send_forks(runs, found, count, state, _six(tokens.values), RULE, buckets)
 
     def remove(batches):
         for batch in batches:
             for chunk, r in unpack(batch):
-                first, second = replies_of(batch, r)
-                tokens, runs, chosen, rep, of = _chosen(chunk, buckets, first)
-                bits = repeats.read_bits(rep, runs, buckets, second)[of]
-                width = runs.count[chosen]
-                place = repeats.ranges(np.zeros(len(chosen), dtype=np.int64), width)
-                flagged = (np.repeat(bits, width) >> place.astype(np.uint64)) & np.uint64(1) == 1
-                gone = repeats.covered(len(tokens.values), repeats.ranges(runs.first[chosen], width)[flagged], WINDOW)
-                yield pa.RecordBatch.from_pydict(_rows(chunk, tokens, gone), schema=_OUT)
+                shared, states, bits = replies_of(batch, r)
+                tokens, runs, found, _ = _found(chunk, buckets, shared)
+                state = repeats.read_states(runs, found, buckets, states)
+                goes = repeats.decided_windows(runs, found, state, buckets, bits)
+                starts = repeats.ranges(runs.first[found.chosen], runs.count[found.chosen])
+                yield pa.RecordBatch.from_pydict(_rows(chunk, tokens, repeats.covered(len(tokens.values), starts[goes], WINDOW)), schema=_OUT)
 
     first = ask(chunks, buckets, anchors, repeats.shared_anchors)
-    second = ask(with_replies(chunks, first), buckets, stretches, repeated_windows)
-    return with_replies(chunks, first, second).mapInArrow(remove, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    second = ask(with_replies(chunks, first), buckets, keys, lambda told: repeats.answer_keys(told, RULE))
+    third = ask(with_replies(chunks, first, second), buckets, forks, lambda told: repeats.answer_forks(told, RULE))
+    return with_replies(chunks, first, second, third).mapInArrow(remove, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
 _OUT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string())])
