@@ -57,10 +57,12 @@ def size_class(n: Column) -> Column:
 
 def sketches(shingled: DataFrame, containment: float = CONTAINMENT) -> DataFrame:
     """(item_id, h): the bottom-k sketch of every item, k by size partition."""
-    largest = F.max("n").over(Window.partitionBy("size_class"))
+    classed = shingled.withColumn("size_class", size_class(F.col("n")))
+    # one row per power of two: 63 at most, whatever the items
+    largest = classed.groupBy("size_class").agg(F.max("n").alias("largest"))
     k = F.floor((1 - F.lit(containment)) * F.col("largest") + 1e-9) + 1
     rank = F.row_number().over(Window.partitionBy("item_id").orderBy("h"))
-    return shingled.withColumn("size_class", size_class(F.col("n"))).withColumn("largest", largest).withColumn("r", rank).where(F.col("r") <= k).select("item_id", "h")
+    return classed.join(F.broadcast(largest), "size_class").withColumn("r", rank).where(F.col("r") <= k).select("item_id", "h")
 
 
 def contained(docs: DataFrame, items: DataFrame, containment: float = CONTAINMENT) -> DataFrame:
