@@ -13,18 +13,15 @@ from pyspark.sql import functions as F
 from faultscore.llm import decontamination, language_id, mixing, secrets_scan, simhash
 from faultscore.llm.common import ship_package, written
 
-#: A text whose two best languages need phrase counts nearer than this share is
-#: rejected together with texts that have no letters.
-MIN_SCORE = 0.0
-
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 7: documents whose language cannot be told go."""
+    """Operator 7: documents whose language cannot be told (no text, or no
+    letter in it) go."""
     ship_package(spark)
     known = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull())
     sample = language_id.learn(known.where(~language_id.held_out(F.col("doc_id"))).select("doc_id", "text", "lang"))
-    told = language_id.predict(docs.drop("lang_pred", "score"), sample)
-    return told.where((F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("score") >= MIN_SCORE)).select(*docs.columns)
+    told = language_id.predict(docs, sample, ("__lang_pred", "__score"))
+    return told.where(F.col("__lang_pred") != language_id.UNDETERMINED).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,6 +9,7 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,6 +59,29 @@ def hex_unit(*parts: Column | str) -> Column:
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("long").cast("double") / F.lit(float(1 << 52))
 
 
+def map_text(df: DataFrame, text: str, added: list[tuple[str, str, pa.DataType]], make: Callable[[], Callable], keep: list[str] | None = None) -> DataFrame:
+    """``df``'s columns (those in ``keep``) as they are, plus columns worked out
+    from the text column, a batch at a time.
+
+    ``make()`` is called once a task and gives the function from a list of
+    texts (None for null) to one list per added (name, SQL type, Arrow type).
+    Other columns never leave Arrow, so wide integers stay exact beside nulls.
+    """
+    keep = df.columns if keep is None else keep
+    at, rest = df.columns.index(text), [df.columns.index(c) for c in keep]
+
+    def run(batches):
+        compute = make()
+        for batch in batches:
+            if batch.num_rows:
+                columns = compute(batch.column(at).to_pylist())
+                arrays = [batch.column(i) for i in rest] + [pa.array(c, type=t) for c, (_, _, t) in zip(columns, added)]
+                yield pa.RecordBatch.from_arrays(arrays, names=[*keep, *(n for n, _, _ in added)])
+
+    fields = [f"`{n}` {t}" for n, t in df.dtypes if n in keep] + [f"`{n}` {t}" for n, t, _ in added]
+    return df.mapInArrow(run, ", ".join(fields))
+
+
 def ship_package(spark: SparkSession) -> None:
     """Let Python workers import this package where they cannot by themselves."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))

@@ -20,10 +20,10 @@ import math
 import re
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import pick
+from .common import map_text, pick
 
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol p pre section summary table tbody tfoot thead tr ul".split()
@@ -203,13 +203,11 @@ def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) of every row."""
     rows = pick(pages, page_id="page_id", url="url", html="html")
 
-    def run(batches):
-        for pdf in batches:
-            text = [main_text(h) if isinstance(h, str) else "" for h in pdf["html"]]
-            yield pd.DataFrame({"page_id": pdf["page_id"], "url": pdf["url"], "text": text, "n_chars": [len(t) for t in text]})
+    def texts(pages: list) -> tuple[list, list]:
+        found = [main_text(h) for h in pages]
+        return found, [len(t) for t in found]
 
-    kinds = dict(rows.dtypes)
-    return rows.mapInPandas(run, f"page_id {kinds['page_id']}, url string, text string, n_chars long")
+    return map_text(rows, "html", [("text", "string", pa.string()), ("n_chars", "long", pa.int64())], lambda: texts, ["page_id", "url"])
 
 
 def q_extract(spark, sf_dir):

@@ -25,11 +25,11 @@ import re
 from collections import Counter
 from functools import lru_cache
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import pick
+from .common import map_text, pick
 
 SAMPLE_ROWS = 120
 SAMPLE_CHARS = 60_000
@@ -122,39 +122,38 @@ def learn(labelled: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHAR
     return tuple((lang, training_text(texts)[:chars]) for lang, texts in sorted(sample.items()) if any(words(t) for t in texts))
 
 
-def predict(docs: DataFrame, sample: tuple[tuple[str, str], ...]) -> DataFrame:
-    """``docs`` (with a column text) plus lang_pred and score."""
+def predict(docs: DataFrame, sample: tuple[tuple[str, str], ...], names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``docs`` (with a column text) plus the predicted language and score."""
     langs = [lang for lang, _ in sample]
     shared = docs.sparkSession.sparkContext.broadcast(sample)  # bounded by SAMPLE_CHARS a language
 
-    def run(batches):
+    def make():
         built = automata(shared.value)
         known: dict[str, tuple[int, ...]] = {}
-        for pdf in batches:
-            if len(known) > 200_000:
-                known.clear()
-            preds, scores = [], []
-            for text in pdf["text"]:
-                counted = Counter(words(text)) if isinstance(text, str) else None
-                if not counted or not langs:
-                    preds.append(UNDETERMINED)
-                    scores.append(0.0)
-                    continue
-                totals = [0] * len(langs)
-                for word, n in counted.items():
-                    got = known.get(word)
-                    if got is None:
-                        got = known[word] = tuple(a.phrases(f" {word} ") for a in built)
-                    for i, c in enumerate(got):
-                        totals[i] += n * c
-                best = min(range(len(langs)), key=lambda i: (totals[i], langs[i]))
-                rest = [t for i, t in enumerate(totals) if i != best]
-                preds.append(langs[best])
-                scores.append(1.0 - totals[best] / min(rest) if rest else 1.0)
-            yield pdf.assign(lang_pred=preds, score=pd.Series(scores, index=pdf.index, dtype="float64"))
-
-    fields = ", ".join(f"`{n}` {t}" for n, t in docs.dtypes)
-    return docs.mapInPandas(run, f"{fields}, lang_pred string, score double")
+
+        def phrases(word: str) -> tuple[int, ...]:
+            got = known.get(word)
+            if got is None:
+                if len(known) > 200_000:
+                    known.clear()
+                got = known[word] = tuple(a.phrases(f" {word} ") for a in built)
+            return got
+
+        def told(text: str | None) -> tuple[str, float]:
+            counted = Counter(words(text or ""))
+            if not counted or not langs:
+                return UNDETERMINED, 0.0
+            totals = [0] * len(langs)
+            for word, n in counted.items():
+                for i, c in enumerate(phrases(word)):
+                    totals[i] += n * c
+            best = min(range(len(langs)), key=lambda i: (totals[i], langs[i]))
+            rest = [t for i, t in enumerate(totals) if i != best]
+            return langs[best], 1.0 - totals[best] / min(rest) if rest else 1.0
+
+        return lambda texts: zip(*map(told, texts))
+
+    return map_text(docs, "text", [(names[0], "string", pa.string()), (names[1], "double", pa.float64())], make)
 
 
 def identify(docs: DataFrame) -> DataFrame:

@@ -24,16 +24,15 @@ read.  Spans are code points, end exclusive, ordered by start, then kind.
 
 from __future__ import annotations
 
-import hashlib
 import math
 import re
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import pick, written
+from .common import map_text, pick, written
 
 ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -117,27 +116,29 @@ def tokens_of(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, in
 
 
 _BYTES = np.frombuffer(SYMBOLS.encode(), dtype=np.uint8)
-SCANNED = "base array<struct<start:long,kind:int,end:long>>, tokens array<struct<start:long,end:long,token:string,encoding:string,p:double>>, symbols array<long>"
+_SPAN = pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64())])
+_TOKEN = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("token", pa.string()), ("encoding", pa.string()), ("p", pa.float64())])
+SCANNED = [
+    ("base", "array<struct<start:long,kind:int,end:long>>", pa.list_(_SPAN)),
+    ("tokens", "array<struct<start:long,end:long,token:string,encoding:string,p:double>>", pa.list_(_TOKEN)),
+    ("symbols", "array<long>", pa.list_(pa.int64())),
+]
 
 
 def scan(docs: DataFrame) -> DataFrame:
     """One pass over the texts: doc_id, base spans, tokens, and in the first
     row of each batch the batch's symbol counts."""
 
-    def run(batches):
-        for pdf in batches:
-            texts = [t if isinstance(t, str) else "" for t in pdf["text"]]
-            counts = np.bincount(np.frombuffer("".join(texts).encode("utf-8", "replace"), dtype=np.uint8), minlength=256)[_BYTES]
-            base = [base_spans(t) for t in texts]
-            tokens = [tokens_of(t, b) for t, b in zip(texts, base)]
-            yield pd.DataFrame({
-                "doc_id": pdf["doc_id"],
-                "base": [[{"start": s, "kind": k, "end": e} for s, k, e in b] for b in base],
-                "tokens": [[dict(zip(("start", "end", "token", "encoding", "p"), t)) for t in ts] for ts in tokens],
-                "symbols": [counts.tolist()] + [None] * (len(texts) - 1),
-            })
-
-    return docs.mapInPandas(run, f"doc_id {dict(docs.dtypes)['doc_id']}, {SCANNED}")
+    def scanned(texts: list) -> tuple[list, list, list]:
+        texts = [t or "" for t in texts]
+        counts = sum(np.bincount(np.frombuffer(t.encode("utf-8", "replace"), dtype=np.uint8), minlength=256)[_BYTES] for t in texts)
+        base = [base_spans(t) for t in texts]
+        tokens = [tokens_of(t, b) for t, b in zip(texts, base)]
+        spans = [[{"start": s, "kind": k, "end": e} for s, k, e in b] for b in base]
+        found = [[dict(zip(("start", "end", "token", "encoding", "p"), t)) for t in ts] for ts in tokens]
+        return spans, found, [counts.tolist()] + [None] * (len(texts) - 1)
+
+    return map_text(docs, "text", SCANNED, lambda: scanned, ["doc_id"])
 
 
 def log_e_value(token: str, encoding: str, text_log_p: np.ndarray) -> float:

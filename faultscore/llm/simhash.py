@@ -27,11 +27,12 @@ import itertools
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import pick, shuffle_partitions, written
+from .common import map_text, pick, shuffle_partitions, written
 from .components import components
 
 SHINGLE = 4
@@ -68,12 +69,10 @@ def fingerprint(text: str | None, n: int = SHINGLE) -> int:
 def fingerprints(docs: DataFrame, n: int = SHINGLE) -> DataFrame:
     """(doc_id, fp long) of every row; fp is the fingerprint as a signed long."""
 
-    def run(batches):
-        for pdf in batches:
-            fps = np.array([fingerprint(t if isinstance(t, str) else None, n) for t in pdf["text"]], dtype=np.uint64)
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "fp": fps.view(np.int64)})
+    def marked(texts: list) -> tuple[np.ndarray]:
+        return (np.array([fingerprint(t, n) for t in texts], dtype=np.uint64).view(np.int64),)
 
-    return docs.mapInPandas(run, f"doc_id {dict(docs.dtypes)['doc_id']}, fp long")
+    return map_text(docs, "text", [("fp", "long", pa.int64())], lambda: marked, ["doc_id"])
 
 
 def pieces_for(n: int, radius: int, bucket: int = BUCKET) -> int:

@@ -315,3 +315,14 @@ def texts_of(item):
 def test_decontamination_runs_no_python(spark):
     plan = decontamination.contained(documents(spark, [(1, "a b c d e f")]), spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "CartesianProduct" not in plan
+
+
+def test_wide_ids_stay_exact_beside_nulls(spark):
+    wide = [(1 << 62) + 1, None, -(1 << 61) - 3]
+    docs = documents(spark, [(i, "some words in a text") for i in wide])
+    from faultscore.llm import simhash
+
+    for got in (language_id.identify(docs), secrets_scan.secrets(docs.drop("spans")), simhash.near_duplicates(docs)):
+        assert sorted((r.doc_id for r in got.collect()), key=str) == sorted(wide, key=str)
+    pages = spark.createDataFrame([(i, "u", "<p>x</p>") for i in wide], "page_id long, url string, html string")
+    assert sorted((r.page_id for r in html_text.extract(pages).collect()), key=str) == sorted(wide, key=str)
