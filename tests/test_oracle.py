@@ -2,6 +2,7 @@
 
 import importlib
 import math
+import re
 import sys
 
 import duckdb
@@ -33,7 +34,8 @@ def test_every_oracle_key_is_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+# The training-data operators have their own tests beside them.
+@pytest.mark.parametrize("name", sorted(n for n in entry.oracle_sql() if not re.match(r"op\d+_|pipeline$", n)))
 def test_query_matches_oracle(spark, con, name):
     df = entry.queries()[name](spark, SF001)
     cols = sorted(df.columns)
