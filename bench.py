@@ -148,7 +148,7 @@ def _published(spark, sf_dir, stage) -> None:
     """The stages of the published figures, at their 6,000 training rows."""
     table = load_machine(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
     noop(table)
-    config = CandidateConfig(fit_partitions=1)  # 6,000 rows are one task's work
+    config = CandidateConfig()
     exp = prepare(table, S, 42, config)
     raw = exp.raw_part("train").union(exp.raw_part("validation")).select("udi", *S.features)
 

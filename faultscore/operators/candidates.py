@@ -159,11 +159,12 @@ class CandidateConfig:
     include: tuple[str, ...] = field(default=CANDIDATE_ORDER)
     # Candidates fitted at the same time (driver threads submitting jobs).
     parallel_fits: int = 5
-    # Training rows are dealt into this many partitions by a hash of the id
-    # and sorted by id in each.  Learners sample by partition and row order,
-    # so the number belongs to the model, and the input's layout and the
-    # cluster's size do not.  Raise it with the table.
-    fit_partitions: int = 8
+    # Training rows are dealt into partitions by a hash of the id and sorted by
+    # id in each.  Learners sample by partition and row order, so the number
+    # belongs to the model: it goes with the number of rows (None) or is given,
+    # and neither the input's layout nor the cluster's size has a say in it.
+    fit_partitions: int | None = None
+    rows_per_partition: int = 50_000
     # Bound on the labelled rows that are fitted: None for all, else the share
     # whose hashed id lies below it.  The report names it.
     fit_share: float | None = None
@@ -182,7 +183,8 @@ def training_rows(train: DataFrame, id_column: str, config: CandidateConfig) ->
     if config.fit_share is not None:
         digits = F.conv(F.substring(hash_key(f"fit{config.seed}", col(id_column)), 1, 8), 16, 10).cast("double")
         train = train.where(digits < F.lit(config.fit_share * 2**32))
-    return train.repartition(config.fit_partitions, col(id_column)).sortWithinPartitions(col(id_column))
+    parts = config.fit_partitions or max(1, -(-train.count() // config.rows_per_partition))
+    return train.repartition(parts, col(id_column)).sortWithinPartitions(col(id_column))
 
 
 def make_estimator(name: str, balance: ClassBalance, config: CandidateConfig) -> Estimator:

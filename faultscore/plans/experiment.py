@@ -225,7 +225,7 @@ def build_report(exp: Experiment) -> dict:
         "selection_criteria": SELECTION_CRITERIA,
         "threshold_criteria": THRESHOLD_CRITERIA,
         "estimators": {n: estimator_settings(exp, n) for n in exp.validation_metrics},
-        "fitted_rows": {"partitions": exp.config.fit_partitions, "share_of_training_ids": exp.config.fit_share},
+        "fitted_rows": {"partitions": exp.train.rdd.getNumPartitions(), "share_of_training_ids": exp.config.fit_share},
         "validation_candidates": exp.validation_metrics,
         "selected_model": exp.chosen,
         "selected_threshold": exp.threshold,
