@@ -29,11 +29,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     ship_package(spark)
     classes = simhash.near_duplicates(docs).where("doc_id = component_id")
     ids = written(classes.groupBy(F.col("doc_id").alias("__id")).agg(F.count("*").alias("__rows")), "stays")
-    stays = docs.join(ids, docs["doc_id"] == ids["__id"])
+    # one plan at every size: without the hint small inputs would not move their texts, large ones would
+    stays = docs.join(ids.hint("merge"), docs["doc_id"] == ids["__id"])
     single = stays.where("__rows = 1").select(*docs.columns)
     # rows of one id are one document: the least row stays; a null id is in no class
     rest = [c for c in docs.columns if c != "doc_id"]
-    repeated = docs.join(ids.where("__rows > 1"), F.col("doc_id") == F.col("__id")).groupBy("doc_id").agg(F.min(F.struct(*rest)).alias("__row"))
+    repeated = stays.where("__rows > 1").groupBy("doc_id").agg(F.min(F.struct(*rest)).alias("__row"))
     return single.unionByName(repeated.select("doc_id", "__row.*").select(*docs.columns)).unionByName(docs.where("doc_id IS NULL"))
 
 

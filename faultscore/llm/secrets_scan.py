@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import math
 import re
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -162,26 +163,47 @@ def e_bh_threshold(histogram: dict[int, int], tested: int, fdr: float, step: flo
 STEP = 0.25
 
 
-def secrets(docs: DataFrame, fdr: float = FDR) -> DataFrame:
-    """doc_id, spans array<struct<start, kind, end>> of base and random kinds."""
-    rows = written(scan(pick(docs, doc_id="doc_id", text="text")), "secrets")
+@dataclass(frozen=True)
+class Calibration:
+    """The corpus's symbol frequencies (logarithms) and the least e-value kept."""
+
+    text_log_p: np.ndarray
+    cut: float
+
+
+def token_e(token: str, encoding: str, p: float, text_log_p: np.ndarray) -> float:
+    return log_e_value(token, encoding, text_log_p) if encoding and p >= BATTERY_P else -1e9
+
+
+def calibrate(rows: DataFrame, fdr: float) -> tuple[Calibration, DataFrame]:
+    """From scanned rows: the calibration, and (row, start, end, e) of the tokens."""
     counts = dict(rows.select(F.posexplode("symbols").alias("i", "n")).groupBy("i").agg(F.sum("n")).collect())  # one row per symbol
     total = sum(counts.values()) + len(SYMBOLS)
     text_log_p = np.array([math.log((counts.get(i, 0) + 1) / total) for i in range(len(SYMBOLS))])
 
     def score(batches):
         for pdf in batches:
-            pdf["e"] = [log_e_value(t, c, text_log_p) if c and p >= BATTERY_P else -1e9 for t, c, p in zip(pdf["token"], pdf["encoding"], pdf["p"])]
+            pdf["e"] = [token_e(t, c, p, text_log_p) for t, c, p in zip(pdf["token"], pdf["encoding"], pdf["p"])]
             yield pdf[["row", "start", "end", "e"]]
 
-    # rows of one id may repeat: a row is named by its id and its spans
-    tagged = rows.drop("symbols").withColumn("row", F.xxhash64("doc_id", F.to_json("base"), F.to_json(F.col("tokens"))))
-    tokens = tagged.select("row", F.explode("tokens").alias("t")).select("row", "t.*")
+    tokens = rows.select("row", F.explode("tokens").alias("t")).select("row", "t.*")
     scored = written(tokens.mapInPandas(score, "row long, start long, end long, e double"), "tokens")
     bins = {r["b"]: r["count"] for r in scored.where(F.col("e") > 0).groupBy(F.floor(F.col("e") / STEP).cast("int").alias("b")).count().collect()}
-    cut = e_bh_threshold(bins, max(1, scored.count()), fdr, STEP)
-    kept = scored.where(F.col("e") >= cut).distinct().groupBy("row").agg(F.collect_list(F.struct("start", F.lit(3).alias("kind"), "end")).alias("random"))
-    joined = tagged.select("row", "doc_id", "base").join(kept, "row", "left")
+    return Calibration(text_log_p, e_bh_threshold(bins, max(1, scored.count()), fdr, STEP)), scored
+
+
+def _scanned(docs: DataFrame) -> DataFrame:
+    rows = written(scan(pick(docs, doc_id="doc_id", text="text")), "secrets")
+    # rows of one id may repeat: a row is named by its id and its spans
+    return rows.withColumn("row", F.xxhash64("doc_id", F.to_json("base"), F.to_json(F.col("tokens"))))
+
+
+def secrets(docs: DataFrame, fdr: float = FDR) -> DataFrame:
+    """doc_id, base and spans (all of them): arrays of struct<start, kind, end>."""
+    rows = _scanned(docs)
+    found, scored = calibrate(rows, fdr)
+    kept = scored.where(F.col("e") >= found.cut).distinct().groupBy("row").agg(F.collect_list(F.struct("start", F.lit(3).alias("kind"), "end")).alias("random"))
+    joined = rows.select("row", "doc_id", "base").join(kept, "row", "left")
     none = F.array().cast("array<struct<start:long,kind:int,end:long>>")
     return joined.select("doc_id", F.sort_array("base").alias("base"), F.sort_array(F.concat("base", F.coalesce("random", none))).alias("spans"))
 
@@ -200,27 +222,33 @@ def q_secrets(spark, sf_dir):
 MASK = "<secret>"
 
 
+def masked(text: str, found: Calibration) -> str:
+    """The text with every base span and kept token replaced by ``MASK``,
+    overlapping ones by one mask."""
+    base = base_spans(text)
+    spans = [(s, e) for s, _, e in base] + [(s, e) for s, e, t, c, p in tokens_of(text, base) if token_e(t, c, p, found.text_log_p) >= found.cut]
+    out, at = [], 0
+    for start, end in sorted(spans):
+        if start >= at:
+            out += [text[at:start], MASK]
+        at = max(at, end)
+    return "".join(out) + text[at:]
+
+
 def redact(docs: DataFrame, fdr: float = FDR) -> DataFrame:
-    """The documents with every found span replaced by ``MASK`` (overlapping
-    ones by one mask); a rewritten text gets its new n_chars.  Rows stay, in
-    the input's columns; rows of one id share the spans of all of them only
-    if their texts are equal, so rows are named by id and text."""
-    key = F.xxhash64("doc_id", "text")
-    named = docs.withColumn("__row", key)
-    found = secrets(named.select(F.col("__row").alias("doc_id"), "text"), fdr).where(F.size("spans") > 0)
-    spans = found.select(F.col("doc_id").alias("__row"), F.col("spans").alias("__spans")).dropDuplicates(["__row"])
-    joined = named.join(spans, "__row", "left")
-    empty = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
-
-    def cut(acc, s):
-        piece = F.substr(F.col("text"), (acc["at"] + 1).cast("int"), F.greatest(s["start"] - acc["at"], F.lit(0)).cast("int"))
-        out = F.when(s["start"] >= acc["at"], F.concat(acc["out"], piece, F.lit(MASK))).otherwise(acc["out"])
-        return F.struct(out.alias("out"), F.greatest(acc["at"], s["end"]).alias("at"))
-
-    masked = F.aggregate("__spans", empty, cut, lambda acc: F.concat(acc["out"], F.substr(F.col("text"), (acc["at"] + 1).cast("int"))))
-    hit = F.col("__spans").isNotNull()
-    new = {"text": F.when(hit, masked).otherwise(F.col("text"))}
-    out = joined.withColumns(new)
+    """The documents with every found span masked; a rewritten text gets its
+    new n_chars.  Rows stay, in the input's columns.
+
+    A first pass calibrates over all texts, a second masks each text in its
+    row, so that no text moves.
+    """
+    found, _ = calibrate(_scanned(docs), fdr)
+
+    def texts(batch: list) -> tuple[list]:
+        return ([None if t is None else masked(t, found) for t in batch],)
+
+    out = map_text(docs, "text", [("__masked", "string", pa.string())], lambda: texts)
+    changed = ~F.col("text").eqNullSafe(F.col("__masked"))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(hit, F.length("text").cast(dict(docs.dtypes)["n_chars"])).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+        out = out.withColumn("n_chars", F.when(changed, F.length("__masked").cast(dict(docs.dtypes)["n_chars"])).otherwise(F.col("n_chars")))
+    return out.withColumn("text", F.col("__masked")).select(*docs.columns)
