@@ -4,7 +4,8 @@
 ``sha2`` hashes it on the executors, and the manifest check is an equi-join on
 the path relative to that folder.  A digest needs a file's bytes in order, so
 a file is the unit of work; a file above the reader's 2 GiB row is an error
-that names it.
+that names it.  The reader passes over files without a byte: a manifest that
+lists one finds it missing.
 """
 
 from __future__ import annotations
@@ -18,9 +19,9 @@ def file_checksums(spark: SparkSession, root: str, name_glob: str | None = None)
     file, or of every file in a folder and the folders below it."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     files = (reader.option("pathGlobFilter", name_glob) if name_glob else reader).load(root)
-    folder = F.lit(root.rstrip("/").split("://")[-1] + "/")
+    folder = root.rstrip("/").split("://")[-1] + "/"
     below = F.substring_index("path", folder, -1)
-    relative = F.when(F.contains("path", folder), below).otherwise(F.substring_index("path", "/", -1))
+    relative = F.when(F.contains(F.col("path"), F.lit(folder)), below).otherwise(F.substring_index("path", "/", -1))
     return files.select(relative.alias("path"), "length", F.sha2("content", 256).alias("sha256"))
 
 

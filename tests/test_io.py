@@ -20,9 +20,9 @@ DIGEST = "16dab8f41e9b1f415f75cedcf0b91cc9a907a3a96c83fb279416e9114a082d29"
 def test_checksums_of_nested_folders_have_relative_paths(spark, tmp_path):
     for name in ("a.txt", "x/a.txt", "x/y/b.txt"):
         (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
-        (tmp_path / name).write_bytes(b"sensor\n" if name.endswith("a.txt") else b"")
+        (tmp_path / name).write_bytes(b"sensor\n" if name.endswith("a.txt") else b"x")
     got = {r.path: (r.length, r.sha256) for r in file_checksums(spark, str(tmp_path)).collect()}
-    assert got == {"a.txt": (7, DIGEST), "x/a.txt": (7, DIGEST), "x/y/b.txt": (0, hashlib.sha256(b"").hexdigest())}
+    assert got == {"a.txt": (7, DIGEST), "x/a.txt": (7, DIGEST), "x/y/b.txt": (1, hashlib.sha256(b"x").hexdigest())}
     assert file_checksums(spark, str(tmp_path / "x" / "a.txt")).first().path == "a.txt"
 
 
