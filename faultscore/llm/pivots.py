@@ -1,11 +1,15 @@
 """Operator 6: embedding near-duplicates by a pivot-permutation index.
 
-Pivots are reference vectors out of the table.  Every vector is described by
-its ``PREFIX`` nearest pivots; an inverted list per (label, pivot) holds the
-vectors that have the pivot in their description.  Two vectors of a list that
-share at least ``MIN_SHARED`` pivots are a candidate pair, and its cosine is
-worked out in double precision.  A pair lies in the lists of all the pivots it
-shares and counts in the first one only.
+Pivots are reference vectors out of the table, any two of a length further
+apart than twice the linking angle: a hot group of near copies then holds one
+pivot, which all its members share, and not many whose order is noise.  Every
+vector is described by its ``PREFIX`` nearest pivots; an inverted list per
+(label, pivot) holds the vectors that have the pivot in their description.  Two
+vectors of a list that share at least ``MIN_SHARED`` pivots are a candidate
+pair, and its cosine is worked out in double precision.  A pair lies in the
+lists of all the pivots it shares and counts in the first one only.  A length
+with no more pivots than ``PREFIX`` has all of them in every description, so
+its pairs are all compared, block by block.
 
 The number of pivots grows with the square root of the table, so a list grows
 as slowly; only the pivots (bounded by ``MAX_PIVOTS``) go to every task.
@@ -39,9 +43,13 @@ PIVOTS = 64
 ROWS_FOR_PIVOTS = 65_536
 MAX_PIVOTS = 16_384
 PREFIX = 8
-MIN_SHARED = 3
+#: Cosines are worked out for all pairs of a list, so to ask for more shared
+#: pivots would save nothing and drop links, the more the more pivots there are.
+MIN_SHARED = 1
 BLOCK = 4096
 ROWS_PER_PARTITION = 20_000
+#: Pairs whose descriptions are compared at once.
+PAIRS = 1 << 17
 
 
 def pivot_count(n: int) -> int:
@@ -53,6 +61,17 @@ def unit_rows(vectors: pd.Series) -> np.ndarray:
     return a / np.sqrt((a * a).sum(axis=1, keepdims=True))
 
 
+def far_apart(vectors: np.ndarray, cosine: float) -> np.ndarray:
+    """The unit vectors less those within twice the angle of ``cosine`` of an earlier one kept."""
+    most = math.cos(min(math.pi, 2 * math.acos(max(-1.0, min(1.0, cosine)))))
+    kept, free = [], np.ones(len(vectors), dtype=bool)
+    for i in range(len(vectors)):
+        if free[i]:
+            kept.append(i)
+            free &= vectors @ vectors[i] < most
+    return vectors[kept]
+
+
 def describe(entries: DataFrame, pivots: dict[int, np.ndarray], prefix: int) -> DataFrame:
     """Entries plus ``near``: numbers of the nearest pivots, ascending.
 
@@ -115,8 +134,12 @@ def group_links(pivot: int, own: np.ndarray, near: list, vectors: np.ndarray, co
         if not len(i):
             continue
         if pivot >= 0:
-            count, first = shared_pivots(sets[lo:hi][i], sets[lo:][j])
-            found = (count >= min_shared) & (first == pivot)
+            least = min(min_shared, max(map(len, near)))  # a length may have fewer pivots
+            found = np.zeros(len(i), dtype=bool)
+            for at in range(0, len(i), PAIRS):
+                here = slice(at, at + PAIRS)
+                count, first = shared_pivots(sets[lo:hi][i[here]], sets[lo:][j[here]])
+                found[here] = (count >= least) & (first == pivot)
             i, j = i[found], j[found]
         i, j = i + lo, j + lo
         linked += np.bincount(i, weights=copies[j], minlength=n).astype(np.int64) + np.bincount(j, weights=copies[i], minlength=n).astype(np.int64)
@@ -131,7 +154,7 @@ def link_counts(entries: DataFrame, n: int, cosine: float, prefix: int, min_shar
     pivots: dict[int, list] = {}
     for r in sample:
         pivots.setdefault(len(r["embedding"]), []).append(r["embedding"])
-    tables = {dim: unit_rows(pd.Series(rows)) for dim, rows in pivots.items()}
+    tables = {dim: far_apart(unit_rows(pd.Series(rows)), cosine) for dim, rows in pivots.items()}
     words = max([1, *(-(-len(t) // 64) for t in tables.values())])
     described = written(describe(entries, tables, prefix), "described")
     listed = described.withColumn("dim", F.size("embedding")).withColumn("pivot", F.explode("near"))

@@ -132,6 +132,35 @@ def test_pivot_index_finds_nine_links_in_ten_and_none_too_many(spark, block):
     assert all(r.kept == (r.vec_id == r.component_id) for r in got.values())
 
 
+@pytest.mark.parametrize("count", [64, 256, 1024])
+@pytest.mark.parametrize("copies", [0.95, 0.98])
+def test_pivots_inside_a_hot_group_lose_no_links(spark, monkeypatch, count, copies):
+    rng = np.random.default_rng(count)
+    unit = lambda a: a / np.linalg.norm(a, axis=1, keepdims=True)
+    centre = unit(rng.normal(size=(1, 64)))
+    noise = rng.normal(size=(1000, 64))
+    noise = unit(noise - (noise @ centre.T) * centre)
+    hot = np.sqrt(copies) * centre + np.sqrt(1 - copies) * noise
+    other = unit(rng.normal(size=(2000, 64)))
+    other[:300] = unit(other[300:600] + 0.03 * rng.normal(size=(300, 64)))
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(rng.permutation(np.vstack([hot, other])))]
+    monkeypatch.setattr(pivots, "pivot_count", lambda n: count)
+    got = {r.vec_id: r.n_links for r in pivots.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    want = brute_links(rows).sum(axis=1)
+    assert all(got[i] <= want[i] for i in got)
+    assert sum(got.values()) >= 0.95 * want.sum()
+    assert sum(got[i] for i in got if want[i] < 10) >= 0.95 * want[want < 10].sum() > 0
+
+
+def test_a_length_with_one_or_two_pivots_keeps_its_links(spark, monkeypatch):
+    rows = vectors(3, n=60)
+    monkeypatch.setattr(pivots, "pivot_count", lambda n: 2)
+    want = brute_links(rows).sum(axis=1)
+    assert want.sum() > 0
+    got = pivots.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int"))
+    assert {r.vec_id: r.n_links for r in got.collect()} == dict(enumerate(want))
+
+
 def test_awkward_vectors(spark):
     one, two = [1.0, 0.0, 0.0], [0.99, 0.01, 0.0]
     rows = [(1, one, 1), (2, two, 1), (3, one, 2), (4, one, None), (5, None, 1), (6, [0.0] * 3, 1), (7, [1.0, None, 0.0], 1), (8, [float("nan"), 1.0, 0.0], 1), (9, [float("inf"), 0.0, 0.0], 1), (10, [1.0, 0.0], 1), (11, one, 1), (11, one, 1), (None, one, 1), (12, [], 1)]
