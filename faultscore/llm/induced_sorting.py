@@ -5,7 +5,8 @@ a document with a smaller doc_id is removed; strings are judged on the input
 and never cross documents.
 
 Strings that cannot repeat are set aside by their anchors (``repeats``); the
-other stretches meet in the partition of their anchor, the shard.  A shard's
+other stretches meet in the partition of their anchor, the shard (windows of a
+hot anchor in that of the whole window, which decides them).  A shard's
 suffixes are sorted by induction: the leftmost S-type suffixes are ordered
 first, byte block by byte block and only where they are still tied; the order
 of all L-type suffixes is induced from them, then that of all S-type suffixes
@@ -256,18 +257,20 @@ RULE = repeats.Rule(length=WINDOW, width=1, combine=_least, repeated=lambda leas
 def _found(chunk, buckets: int, replies: dict):
     tokens = repeats.byte_tokens(chunk)
     runs = repeats.anchor_runs(tokens, WINDOW, ANCHOR)
-    found = repeats.stretches(tokens, runs, repeats.candidates(runs, buckets, replies, across_texts=True), WINDOW)
+    runs, chosen = repeats.candidates(tokens, runs, WINDOW, buckets, replies, across_texts=True)
+    found = repeats.stretches(tokens, runs, chosen, WINDOW)
     ids = chunk.order_ids[runs.text[found.chosen]]
     return runs, found, ids, _least(found.of, ids, len(found.rep))
 
 
-def deduplicate(docs: DataFrame) -> DataFrame:
+def deduplicate(docs: DataFrame, most_stretches: int = repeats.MOST_STRETCHES) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every row."""
     chunks = pack(docs)
     buckets = bucket_count(chunks, BYTES_PER_BUCKET)
 
     def anchors(chunk, replies):
-        return repeats.tell_anchors(repeats.anchor_runs(repeats.byte_tokens(chunk), WINDOW, ANCHOR), buckets)
+        tokens = repeats.byte_tokens(chunk)
+        return repeats.tell_anchors(tokens, repeats.anchor_runs(tokens, WINDOW, ANCHOR), WINDOW, buckets)
 
     def keys(chunk, replies):
         runs, found, _, least = _found(chunk, buckets, replies[0])
@@ -290,7 +293,7 @@ def deduplicate(docs: DataFrame) -> DataFrame:
                 starts = repeats.ranges(runs.first[found.chosen], width)
                 yield pa.RecordBatch.from_pydict(_rows(chunk, repeats.covered(len(chunk.data), starts[goes], WINDOW)), schema=_OUT)
 
-    first = ask(chunks, buckets, anchors, repeats.shared_anchors)
+    first = ask(chunks, buckets, anchors, lambda told: repeats.shared_anchors(told, most_stretches))
     second = ask(with_replies(chunks, first), buckets, keys, lambda told: repeats.answer_keys(told, RULE))
     third = ask(with_replies(chunks, first, second), buckets, forks, lambda told: repeats.answer_forks(told, RULE))
     return with_replies(chunks, first, second, third).mapInArrow(remove, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")

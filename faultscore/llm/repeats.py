@@ -7,7 +7,11 @@ at equal places.  So
 
 1. every chunk tells each hash bucket its anchors, and the bucket answers
    which of them other chunks hold too; a window whose anchor is held once in
-   all texts is unique, and is left at that;
+   all texts is unique, and is left at that.  An anchor with over
+   ``MOST_STRETCHES`` different stretches (a common phrase, each time among
+   other words) is hot: from here on each of its windows is a run of its own,
+   and the hash of the whole window is its anchor, so that the windows spread
+   over the buckets and equal ones still meet;
 2. for the rest every chunk sends a hash of the stretch of text that the
    windows of one anchor cover, to the anchor's bucket.  If all stretches of an
    anchor are equal, all their windows are decided;
@@ -33,6 +37,8 @@ from .chunks import INVERSE, Chunk, bucket_of, by_bucket, byte_values, from_six,
 
 #: Places hashed at once.
 SPAN = 1 << 17
+#: Different stretches of an anchor that one bucket takes, counted chunk by chunk.
+MOST_STRETCHES = 4096
 
 
 @dataclass
@@ -122,31 +128,58 @@ def anchor_runs(tokens: Tokens, length: int, k: int) -> Runs:
 # --------------------------------------------------- step 1: shared anchors
 
 
-def tell_anchors(runs: Runs, buckets: int):
-    unique = np.unique(runs.anchor)
+def stretch_hashes(tokens: Tokens, first: np.ndarray, size: np.ndarray | int) -> np.ndarray:
+    return range_hash(prefix_sums(tokens.values), first, first + np.asarray(size), powers(len(tokens.values) + 1, INVERSE))
+
+
+def tell_anchors(tokens: Tokens, runs: Runs, length: int, buckets: int):
+    """Each anchor of the chunk, and how many different stretches it has here."""
+    unique, inverse, counts = np.unique(runs.anchor, return_inverse=True, return_counts=True)
+    several = np.flatnonzero(counts[inverse] > 1)
+    if len(several):
+        content = stretch_hashes(tokens, runs.first[several], runs.count[several] + length - 1)
+        order = np.lexsort((content, inverse[several]))
+        anchor, content = inverse[several][order], content[order]
+        fresh = np.r_[True, (anchor[1:] != anchor[:-1]) | (content[1:] != content[:-1])]
+        counts = np.maximum(1, np.bincount(anchor[fresh], minlength=len(unique)))
+    counts = np.minimum(counts, 0xFFFF).astype("<u2")
+    squeeze = zstandard.ZstdCompressor(level=1)
     for b, rows in by_bucket(bucket_of(unique, buckets), buckets):
-        yield b, to_six(unique[rows])
+        yield b, len(rows).to_bytes(8, "little") + to_six(unique[rows]) + squeeze.compress(counts[rows].tobytes())
 
 
-def shared_anchors(told: list[tuple[int, bytes]]):
-    """For each chunk a bit per anchor: another chunk holds it too."""
-    lists = [from_six(p) for _, p in told]
+def shared_anchors(told: list[tuple[int, bytes]], most: int = MOST_STRETCHES):
+    """For each chunk a bit per anchor: another chunk holds it too; behind
+    them, if any is set, a bit per anchor: it is hot."""
+    expand = zstandard.ZstdDecompressor()
+    lists, numbers = [], []
+    for _, p in told:
+        n = int.from_bytes(p[:8], "little")
+        lists.append(from_six(p[8 : 8 + 6 * n]))
+        numbers.append(np.frombuffer(expand.decompress(p[8 + 6 * n :]), dtype="<u2"))
     every = np.concatenate(lists)
     values, inverse, counts = np.unique(every, return_inverse=True, return_counts=True)
     bits = counts[inverse] > 1
+    hot = (np.bincount(inverse, weights=np.concatenate(numbers)) > most)[inverse]
     at = 0
     for (c, _), a in zip(told, lists):
-        yield c, np.packbits(bits[at : at + len(a)]).tobytes()
+        here = slice(at, at + len(a))
+        yield c, np.packbits(bits[here]).tobytes() + (np.packbits(hot[here]).tobytes() if hot[here].any() else b"")
         at += len(a)
 
 
-def candidates(runs: Runs, buckets: int, replies: dict[int, bytes], across_texts: bool) -> np.ndarray:
-    """Indices of the runs whose anchor is held elsewhere (``across_texts``: in another text)."""
+def candidates(tokens: Tokens, runs: Runs, length: int, buckets: int, replies: dict[int, bytes], across_texts: bool) -> tuple[Runs, np.ndarray]:
+    """The runs, those of hot anchors cut in single windows, and the indices of
+    those that may repeat: the anchor is hot or held elsewhere
+    (``across_texts``: in another text)."""
     unique, inverse, counts = np.unique(runs.anchor, return_inverse=True, return_counts=True)
-    shared = np.zeros(len(unique), dtype=bool)
+    shared, hot = np.zeros(len(unique), dtype=bool), np.zeros(len(unique), dtype=bool)
     for b, rows in by_bucket(bucket_of(unique, buckets), buckets):
         if b in replies:
-            shared[rows] = np.unpackbits(np.frombuffer(replies[b], dtype=np.uint8), count=len(rows)).astype(bool)
+            bits, size = np.frombuffer(replies[b], dtype=np.uint8), -(-len(rows) // 8)
+            shared[rows] = np.unpackbits(bits[:size], count=len(rows)).astype(bool)
+            if len(bits) > size:
+                hot[rows] = np.unpackbits(bits[size:], count=len(rows)).astype(bool)
     if across_texts:
         low = np.full(len(unique), np.iinfo(np.int64).max)
         high = np.full(len(unique), -1)
@@ -155,7 +188,13 @@ def candidates(runs: Runs, buckets: int, replies: dict[int, bytes], across_texts
         shared |= low != high
     else:
         shared |= counts > 1
-    return np.flatnonzero(shared[inverse])
+    if not hot.any():
+        return runs, np.flatnonzero(shared[inverse])
+    cut, rest = np.flatnonzero(hot[inverse]), np.flatnonzero((shared & ~hot)[inverse])
+    first = ranges(runs.first[cut], runs.count[cut])
+    single = Runs(first, np.ones(len(first), dtype=np.int64), stretch_hashes(tokens, first, length), np.repeat(runs.text[cut], runs.count[cut]))
+    both = Runs(*(np.concatenate([getattr(runs, f)[rest], getattr(single, f)]) for f in ("first", "count", "anchor", "text")))
+    return both, np.arange(len(both.first))
 
 
 # ------------------------------------------------- steps 2 to 4: stretches
@@ -202,9 +241,7 @@ class Stretches:
 def stretches(tokens: Tokens, runs: Runs, chosen: np.ndarray, length: int) -> Stretches:
     if not len(chosen):
         return Stretches(chosen, chosen, chosen, np.zeros(0, dtype=np.uint64))
-    sums, inverse = prefix_sums(tokens.values), powers(len(tokens.values) + 1, INVERSE)
-    first = runs.first[chosen]
-    content = range_hash(sums, first, first + runs.count[chosen] + length - 1, inverse) ^ mixed(runs.anchor[chosen])
+    content = stretch_hashes(tokens, runs.first[chosen], runs.count[chosen] + length - 1) ^ mixed(runs.anchor[chosen])
     keys, rep, of = np.unique(content, return_index=True, return_inverse=True)
     return Stretches(chosen, of, chosen[rep], keys)
 

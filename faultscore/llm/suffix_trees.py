@@ -5,7 +5,8 @@ whose word sequence also starts at any other place, in the same text or
 another, is removed; windows are judged on the input.
 
 Windows that cannot repeat are set aside by their anchors (``repeats``); the
-other suffixes meet in the partition of their anchor.  There variable-length
+other suffixes meet in the partition of their anchor (those of a hot anchor in
+that of their whole window, which decides them).  There variable-length
 prefixes split them into groups that fit in memory: a group of over ``GROUP``
 suffixes is split by its next word, again and again, up to the window's
 length.  Each group's suffixes then form a subtree, built downward, a few
@@ -138,18 +139,19 @@ def _six(values: np.ndarray) -> np.ndarray:
 def _found(chunk, buckets: int, replies: dict):
     tokens, _, _ = repeats.word_tokens(chunk)
     runs = repeats.anchor_runs(tokens, WINDOW, ANCHOR)
-    found = repeats.stretches(tokens, runs, repeats.candidates(runs, buckets, replies, across_texts=False), WINDOW)
+    runs, chosen = repeats.candidates(tokens, runs, WINDOW, buckets, replies, across_texts=False)
+    found = repeats.stretches(tokens, runs, chosen, WINDOW)
     return tokens, runs, found, np.bincount(found.of, minlength=len(found.rep))
 
 
-def deduplicate(docs: DataFrame) -> DataFrame:
+def deduplicate(docs: DataFrame, most_stretches: int = repeats.MOST_STRETCHES) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256) of every row."""
     chunks = pack(docs)
     buckets = bucket_count(chunks, BYTES_PER_BUCKET)
 
     def anchors(chunk, replies):
         tokens, _, _ = repeats.word_tokens(chunk)
-        return repeats.tell_anchors(repeats.anchor_runs(tokens, WINDOW, ANCHOR), buckets)
+        return repeats.tell_anchors(tokens, repeats.anchor_runs(tokens, WINDOW, ANCHOR), WINDOW, buckets)
 
     def keys(chunk, replies):
         _, runs, found, count = _found(chunk, buckets, replies[0])
@@ -170,7 +172,7 @@ def deduplicate(docs: DataFrame) -> DataFrame:
                 starts = repeats.ranges(runs.first[found.chosen], runs.count[found.chosen])
                 yield pa.RecordBatch.from_pydict(_rows(chunk, tokens, repeats.covered(len(tokens.values), starts[goes], WINDOW)), schema=_OUT)
 
-    first = ask(chunks, buckets, anchors, repeats.shared_anchors)
+    first = ask(chunks, buckets, anchors, lambda told: repeats.shared_anchors(told, most_stretches))
     second = ask(with_replies(chunks, first), buckets, keys, lambda told: repeats.answer_keys(told, RULE))
     third = ask(with_replies(chunks, first, second), buckets, forks, lambda told: repeats.answer_forks(told, RULE))
     return with_replies(chunks, first, second, third).mapInArrow(remove, "doc_id long, n_words long, n_removed long, kept_sha256 string")

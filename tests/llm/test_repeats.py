@@ -9,7 +9,7 @@ import pytest
 from helpers import brute_removed, documents, plain_words
 
 from faultscore.llm import induced_sorting, repeats, suffix_trees
-from faultscore.llm.chunks import from_six, pack, to_six
+from faultscore.llm.chunks import Chunk, bucket_of, from_six, pack, to_six
 
 
 def texts(seed):
@@ -49,6 +49,41 @@ def test_induced_sorting_removes_what_brute_force_removes(spark, seed):
     assert sum(x[3] for x in got) > 500
 
 
+def hot_line(seed, n):
+    """One phrase in every text, each time among other words; some texts come twice."""
+    rnd = random.Random(seed)
+    words = lambda k: [f"w{rnd.randrange(5000)}" for _ in range(k)]
+    phrase = words(14)
+    rows = [" ".join(words(40) + phrase + words(40)) for _ in range(n)]
+    rows += [t + " tail" for t in rows[::5]] + [" ".join(words(5) + t.split()[20:80]) for t in rows[::7]]
+    return list(enumerate(rows))
+
+
+@pytest.mark.parametrize("module,length", [(suffix_trees, 35), (induced_sorting, 50)])
+def test_windows_of_a_hot_anchor_are_removed_as_brute_force_does(spark, module, length):
+    rows = hot_line(6, 40)
+    items = [(0 if length == 35 else i, plain_words(t) if length == 35 else t.encode()) for i, t in rows]
+    want = {i: sum(g) for (i, _), g in zip(rows, brute_removed(items, length, earlier=length == 50))}
+    assert sum(want.values()) > 500
+    for most in (3, repeats.MOST_STRETCHES):
+        got = {r.doc_id: r.n_removed for r in module.deduplicate(documents(spark, rows).repartition(3), most_stretches=most).collect()}
+        assert got == want
+
+
+@pytest.mark.parametrize("module", [suffix_trees, induced_sorting])
+def test_a_hot_anchor_is_spread_over_the_buckets(module):
+    rows, buckets, length = hot_line(8, 6000), 64, module.WINDOW
+    data = [t.encode() for _, t in rows]
+    chunk = Chunk(0, [i for i, _ in rows], np.array([len(b) for b in data], dtype=np.int64), b"".join(data))
+    tokens = repeats.word_tokens(chunk)[0] if module is suffix_trees else repeats.byte_tokens(chunk)
+    told = dict(repeats.tell_anchors(tokens, repeats.anchor_runs(tokens, length, module.ANCHOR), length, buckets))
+    replies = {b: next(repeats.shared_anchors([(0, p)], 100))[1] for b, p in told.items()}
+    runs, found = (module._found(chunk, buckets, replies)[k] for k in ((1, 2) if module is suffix_trees else (0, 1)))
+    load = np.bincount(bucket_of(runs.anchor[found.rep], buckets), minlength=buckets)
+    assert load.max() < 2 * load.mean()
+    assert np.unique(runs.anchor[found.rep], return_counts=True)[1].max() <= 100
+
+
 def test_empty_tables(spark):
     empty = documents(spark, [(1, "a")]).limit(0)
     assert suffix_trees.deduplicate(empty).collect() == []
