@@ -53,6 +53,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 8: sources are mixed to square-root weights and shuffled."""
+    ship_package(spark)
     return mixing.mix(docs)
 
 

@@ -6,8 +6,15 @@ uniform number hashed from (seed, doc_id); the document is exploded by that
 count and all copies are shuffled globally: each copy has a hashed key and
 the output is range-partitioned and sorted by it.
 
+Sources, their rates and the steps of each rate's distribution function are
+tables joined to the documents, so neither their number nor a rate is bounded.
+Only the numbers of sources by size reach the driver (N rows have at most
+sqrt(2 N) different sizes).
+
 Defined results: a null source is a source of its own; a source with no
-weight has rate 0; a null doc_id hashes as the text ``null``; rows with an
+weight has rate 0; weights of the caller's that ask for ``MAX_ASKED_RATE``
+copies of a document or more, or for less than none, are taken for a mistake
+and raise; a null doc_id hashes as the text ``null``; rows with an
 equal doc_id share one draw, and keep their own copies; an empty table gives
 an empty table; a null or empty text is a document like any other.
 """
@@ -16,34 +23,19 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import hex_unit, pick
+from .common import hex_unit, pick, written
 
-#: The mixture names its sources, so their number is a size the user chose.
-MAX_SOURCES = 100_000
 SEED = 11
 #: Share of a source in the mixture goes with its rows to this power.
 TEMPERATURE = 0.5
 KEYS = ("doc_id", "source")
 
 
-def source_counts(docs: DataFrame) -> dict[str | None, int]:
-    """Rows per source, null included; one row per source reaches the driver."""
-    rows = pick(docs, source="source").groupBy("source").count().limit(MAX_SOURCES + 1).collect()
-    if len(rows) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
-    return {r["source"]: r["count"] for r in rows}
-
-
-def temperature_weights(counts: dict[str | None, int], power: float = TEMPERATURE) -> dict[str | None, float]:
-    """Weights in proportion to rows ** power (1: as is, 0: uniform)."""
-    raw = {s: n**power for s, n in counts.items()}
-    total = math.fsum(raw.values())
-    return {s: x / total for s, x in raw.items()}
-
-
 def poisson_cdf(rate: float) -> list[float]:
     """P(X <= k) for k = 0, 1, ... until no double below 1 is left above it."""
     out, term, acc, k = [], math.exp(-rate), 0.0, 0
@@ -56,36 +48,83 @@ def poisson_cdf(rate: float) -> list[float]:
             return out
 
 
-def repetition_rates(counts, weights, rows_out: int | None = None) -> dict[str | None, float]:
-    total = sum(counts.values()) if rows_out is None else rows_out
-    return {s: weights.get(s, 0.0) * total / n for s, n in counts.items()}
+#: exp(-rate) must stay a normal double for the recurrence from 0.
+MOST_FROM_ZERO = 500.0
+#: Mean copies of a document that weights given by the caller may not reach.
+MAX_ASKED_RATE = 1e6
+#: Least and greatest uniform number above 0.
+LEAST, MOST = 2.0**-52, 1 - 2.0**-52
+
+
+def steps_from_mode(rate: float) -> tuple[int, list[float]]:
+    """(first, P(X <= k) for k = first, first + 1, ...), worked outwards from
+    the mode: steps that every or no uniform number above 0 passes are left out."""
+    mode, reach = int(rate), 12 * math.ceil(math.sqrt(rate)) + 12
+    up = np.cumprod(rate / np.arange(mode + 1, mode + reach + 1, dtype=np.float64))
+    down = np.cumprod(np.arange(mode, max(0, mode - reach), -1, dtype=np.float64) / rate)
+    terms = np.concatenate([down[::-1], [1.0], up])
+    cdf = np.cumsum(terms) / math.fsum(terms)
+    lo, hi = np.searchsorted(cdf, LEAST), np.searchsorted(cdf, min(MOST, cdf[-1]))  # rounding may leave the last a bit below 1
+    return mode - len(down) + int(lo), cdf[lo:hi].tolist()
+
+
+def poisson_steps(rate: float) -> tuple[int, list[float]]:
+    return (0, poisson_cdf(rate)) if rate <= MOST_FROM_ZERO else steps_from_mode(rate)
+
+
+def source_rates(docs: DataFrame, weights: dict | None = None, rows_out: int | None = None) -> DataFrame | None:
+    """(__source, __rate) of every source; None if there is no row.
+
+    Without weights a source's goes with its rows ** TEMPERATURE.
+    """
+    spark = docs.sparkSession
+    sizes = written(pick(docs, __source="source").groupBy("__source").agg(F.count("*").alias("n")), "sources")
+    numbers = sorted(map(tuple, sizes.groupBy("n").agg(F.count("*")).collect()))
+    if not numbers:
+        return None
+    total = float(sum(n * k for n, k in numbers) if rows_out is None else rows_out)
+    if weights is None:
+        raw = math.fsum(k * n**TEMPERATURE for n, k in numbers)
+        return sizes.select("__source", (F.pow("n", F.lit(TEMPERATURE)) / F.lit(raw) * F.lit(total) / F.col("n")).alias("__rate"))
+    given = spark.createDataFrame([(s, float(w)) for s, w in weights.items()], f"s {dict(sizes.dtypes)['__source']}, w double")
+    rates = sizes.join(given, sizes["__source"].eqNullSafe(given["s"]), "left").select("__source", (F.coalesce("w", F.lit(0.0)) * F.lit(total) / F.col("n")).alias("__rate"))
+    if rates.where(~F.col("__rate").between(0, MAX_ASKED_RATE) | (F.col("__rate") == MAX_ASKED_RATE)).count():
+        raise ValueError(f"weights must ask for 0 to {MAX_ASKED_RATE:.0f} copies of a document")
+    return rates
+
+
+def rate_steps(rates: DataFrame) -> DataFrame:
+    """(__of, __first, __cdf) of every different rate."""
 
+    def run(batches):
+        for pdf in batches:
+            steps = [poisson_steps(r) for r in pdf["__of"]]
+            yield pd.DataFrame({"__of": pdf["__of"], "__first": [f for f, _ in steps], "__cdf": [c for _, c in steps]})
 
-#: exp(-rate) must stay a normal double for the inversion.
-MAX_RATE = 500.0
+    different = rates.select(F.col("__rate").alias("__of")).distinct()
+    return written(different.mapInPandas(run, "__of double, __first long, __cdf array<double>"), "steps")
 
 
-def copy_count(doc_id: Column, source: Column, rates: dict, seed: int = SEED) -> Column:
-    """The Poisson quantile of the document's hashed uniform, at its rate."""
-    if any(not 0 <= r <= MAX_RATE for r in rates.values()):
-        raise ValueError(f"repetition rates must be from 0 to {MAX_RATE}")
+def copy_count(doc_id: Column, seed: int = SEED) -> Column:
+    """The Poisson quantile of the document's hashed uniform, at its source's rate."""
     u = hex_unit(f"poisson{seed}", F.coalesce(doc_id.cast("string"), F.lit("null")))
-    spark_map = F.create_map(*[x for s, r in rates.items() if s is not None for x in (F.lit(s), F.array(*map(F.lit, poisson_cdf(r))))]) if any(s is not None for s in rates) else None
-    cdf = F.array(*map(F.lit, poisson_cdf(rates[None]))) if None in rates else F.array().cast("array<double>")
-    if spark_map is not None:
-        cdf = F.when(source.isNull(), cdf).otherwise(F.try_element_at(spark_map, source))
-    return F.aggregate(F.coalesce(cdf, F.array().cast("array<double>")), F.lit(0), lambda k, c: k + (u >= c).cast("int"))
+    passed = F.aggregate("__cdf", F.lit(0), lambda k, c: k + (u >= c).cast("int"))
+    return F.when(u > 0, F.col("__first") + passed).otherwise(0).cast("int")
 
 
 def mix(docs: DataFrame, weights: dict | None = None, rows_out: int | None = None, seed: int = SEED) -> DataFrame:
     """Replicated and shuffled documents: the input's columns, then
     ``copy_no`` (1, 2, ...) and ``shuffle_key`` (the order of the mixture)."""
-    counts = source_counts(docs)
-    if not counts:
+    rates = source_rates(docs, weights, rows_out)
+    if rates is None:
         return docs.withColumns({"copy_no": F.lit(1), "shuffle_key": F.lit(0.0)}).limit(0)
-    rates = repetition_rates(counts, temperature_weights(counts) if weights is None else weights, rows_out)
-    n = copy_count(F.col("doc_id"), F.col("source"), rates, seed)
-    copies = docs.drop("copy_no", "shuffle_key").withColumn("copy_no", F.explode(F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))))
+    rates = written(rates, "rates")
+    steps = rate_steps(rates)
+    docs = docs.drop("copy_no", "shuffle_key")
+    rated = docs.join(rates, docs["source"].eqNullSafe(rates["__source"])).join(steps, F.col("__rate") == F.col("__of"))
+    n = copy_count(docs["doc_id"], seed)
+    counted = rated.select(*[docs[f"`{c}`"] for c in docs.columns], n.alias("__n"))
+    copies = counted.withColumn("copy_no", F.explode(F.when(F.col("__n") > 0, F.sequence(F.lit(1), "__n")).otherwise(F.array().cast("array<int>")))).drop("__n")
     key = hex_unit(f"shuffle{seed}", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.col("copy_no").cast("string"))
     return copies.withColumn("shuffle_key", key).orderBy("shuffle_key", "doc_id", "copy_no")
 

@@ -220,6 +220,43 @@ def test_mixture_of_awkward_rows(spark):
         mixing.mix(documents(spark, rows), {"a": 1.0}, rows_out=10**6)
 
 
+def test_steps_of_any_rate_are_the_poisson_distribution():
+    first, cdf = mixing.steps_from_mode(400.0)
+    whole = mixing.poisson_cdf(400.0)
+    assert len(cdf) > 300 and cdf == pytest.approx((whole + [1.0] * 99)[first : first + len(cdf)], abs=1e-12)
+    for rate in (501.5, 3162.0, 250_000.0, 3e6):
+        first, cdf = mixing.poisson_steps(rate)
+        k = np.arange(first, first + len(cdf))
+        assert (np.diff(cdf) >= 0).all() and cdf[0] < 1e-14 and cdf[-1] > 1 - 1e-12
+        p = np.diff(cdf)
+        assert (k[1:] * p).sum() == pytest.approx(rate, rel=1e-9)
+        assert ((k[1:] - rate) ** 2 * p).sum() == pytest.approx(rate, rel=1e-6)
+
+
+def test_a_rare_source_has_any_rate(spark):
+    """One single-document source beside large ones; the null source is another."""
+    n, large = 400_000, 3
+    ids = spark.range(large * n + 2)
+    source = F.when(F.col("id") == 0, "rare").when(F.col("id") == 1, F.lit(None)).otherwise(F.concat(F.lit("s"), (F.col("id") % large).cast("string")))
+    docs = ids.select(F.col("id").alias("doc_id"), F.lit("t").alias("text"), source.alias("source"))
+    rate = (large * n + 2) / (large * math.sqrt(n) + 2)
+    assert rate > 500
+    got = {r["source"]: r["n"] for r in mixing.mix(docs).groupBy("source").agg(F.count("*").alias("n")).collect()}
+    u = lambda i: int(hashlib.md5(f"poisson11:{i}".encode()).hexdigest()[:13], 16) / (1 << 52)
+    log_p = lambda k: -rate + k * math.log(rate) - math.lgamma(k + 1)
+    for i, s in ((0, "rare"), (1, None)):
+        acc = k = 0
+        while (acc := acc + math.exp(log_p(k))) <= u(i):
+            k += 1
+        assert got[s] == k
+    assert sum(got.values()) == pytest.approx(large * n, rel=0.01)
+
+
+def test_more_sources_than_a_list_would_hold(spark):
+    docs = spark.range(120_000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"), F.concat(F.lit("s"), F.col("id").cast("string")).alias("source"))
+    assert mixing.mix(docs).count() == pytest.approx(120_000, rel=0.02)
+
+
 # ---------------------------------------------------------------- operator 9
 
 ARTICLE = "The first paragraph of the story has a good number of words in it, &amp; more."
