@@ -2,7 +2,7 @@
 
 Base rules find assignments, access keys and long hexadecimal runs.  The
 method adds random-looking tokens.  A token is a run of 20 or more characters
-of the base64 alphabets.  For the encoding inferred from its characters (hex,
+of the base64 alphabets; it may stand right behind a "=".  For the encoding inferred from its characters (hex,
 base32, base64) a battery tests that it is uniformly random: chi-squared
 uniformity over the alphabet, the runs test above and below the alphabet's
 middle, and lag-1 serial correlation; Fisher's method joins the three.  A
@@ -39,7 +39,7 @@ ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
 HEX_RUN = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")
-TOKEN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}={0,2}")
+TOKEN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}")
 KINDS = ("assign", "access", "hex", "random")
 MIN_ASSIGN, MIN_ACCESS, MIN_HEX = 6, 20, 24
 BATTERY_P = 0.001

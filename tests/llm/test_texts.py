@@ -90,6 +90,17 @@ def test_redaction_masks_spans_and_keeps_rows(spark):
     assert by_id[5].text == "é <secret>' and TOKEN=abc"
 
 
+@pytest.mark.parametrize("before,after", [("auth=", ""), ("AWS_SECRET_ACCESS_KEY=", ""), ("x := ", ""), ("x:=", ""), ("https://h.example/a?b=1&sig=", "&c=2"), ("key='", "'"), ('key="', '"'), ("a==", "=="), (" ", "")])
+def test_random_tokens_behind_signs_are_found(spark, before, after):
+    token = random_token(12, 40)
+    text = f"{PROSE} {before}{token}{after} {PROSE}"
+    df = documents(spark, [(1, PROSE), (2, text)])
+    assert {r.doc_id: r.text for r in secrets_scan.redact(df).collect()}[2] in (text.replace(token, "<secret>"), text.replace(token + "==", "<secret>"))
+    spans = {r.doc_id: [tuple(x) for x in r.spans] for r in secrets_scan.secrets(df.drop("spans")).collect()}
+    start = text.index(token)
+    assert spans[2] == [(start, 3, start + 40 + 2 * (after == "=="))]
+
+
 def test_secrets_of_an_empty_table(spark):
     empty = documents(spark, [(1, "a")]).limit(0)
     assert secrets_scan.secrets(empty.drop("spans")).collect() == []
