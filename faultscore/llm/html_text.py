@@ -6,7 +6,11 @@ outside links for each tag).  The ratios are smoothed with a Gaussian over
 the neighbouring lines and split by two-means clustering; the regions
 (nearest article, main, section or division) with a line in the upper cluster
 are content.  Elements that are boilerplate by their tag, role, class or id
-never are.  A region is taken whole, so its short lines stay.
+never are.  A class or id of several parts names boilerplate only if all its
+parts are words of boilerplate or of layout, and never an article or main
+element inside.  In an article only whole classes do, and ids nowhere in it; on
+a heading an id never does.  Where classes and ids leave nothing of a page,
+they are not looked at.  A region is taken whole, so its short lines stay.
 
 Defined results: a null or empty page gives an empty text and 0 characters;
 broken markup is read as far as the parser gets, without an error; repeated
@@ -32,29 +36,41 @@ REGIONS = frozenset("article main section div body td".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 DROPPED = frozenset("nav footer aside form script style noscript template head title svg math iframe object canvas button select textarea menu dialog audio video".split())
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert alertdialog".split())
-#: Words of class and id that name boilerplate; the second set only outside an article.
+#: Words of class and id that name boilerplate; the second set only outside an article and main.
 DROPPED_NAMES = re.compile(
     r"^(ads?|advert\w*|adsense|adslot|banner\w*|sponsor\w*|promo\w*|cookies?|cookiebar|consent|gdpr|notices?|popup|modal|overlay|newsletter|subscribe|subscription|social|share|sharing|related|recommend\w*|sidebar\d?|rail|menus?|nav|navbar|navigation|breadcrumbs?|footer|comments?|commentlist|disqus|respond|repl(?:y|ies)|widgets?|login|signup|search|searchbox|pagination|pager|copyright|disclaimer|toolbar|outbrain|taboola)$"
 )
 HEADER_NAMES = re.compile(r"^(header|masthead|topbar|site-?title|tagline)$")
+#: Words beside them in a name of several parts.
+LAYOUT_WORDS = re.compile(r"^(site|page|global|main|primary|secondary|top|bottom|left|right|upper|lower|sticky|fixed|inner|outer|container|wrapper|wrap|box|bar|area|block|panel|section|slot|unit|list|items?|links?|posts?|articles?|stories|buttons?|icons?|media|form|inline|\d+)$")
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 SIGMA, REACH = 1.0, 3
 MAIN = -1
+#: How an element is dropped: by parts of a name (articles and main elements in it are not), or for good.
+BY_PARTS, WHOLLY = 1, 2
+
+
+def _in_parts(name: str, words) -> bool:
+    parts = [x for x in re.split(r"[-_]+", name) if x]
+    named = [any(w.match(x) for w in words) for x in parts]
+    return any(named) and all(n or LAYOUT_WORDS.match(x) for n, x in zip(named, parts))
 
 
 class PageLines(HTMLParser):
     """Lines of a page: [text, link characters, tags, region, place], where
     place is the number of the outermost article, MAIN, or 0."""
 
-    def __init__(self) -> None:
+    def __init__(self, names: bool = True) -> None:
         super().__init__(convert_charrefs=True)
+        self.names = names  # classes and ids count
         self.lines: list[list] = []
-        self.open: list[tuple[str, bool, int, int]] = []  # tag, dropped, region, place
+        self.open: list[tuple[str, int, int, int]] = []  # tag, dropped, region, place
         self.regions = self.articles = 1
         self.text: list[str] = []
         self.links = self.tags = self.anchors = 0
 
-    def _top(self) -> tuple[str, bool, int, int]:
-        return self.open[-1] if self.open else ("", False, 0, 0)
+    def _top(self) -> tuple[str, int, int, int]:
+        return self.open[-1] if self.open else ("", 0, 0, 0)
 
     def _flush(self) -> None:
         _, dropped, region, place = self._top()
@@ -86,31 +102,33 @@ class PageLines(HTMLParser):
             place, self.articles = self.articles, self.articles + 1
         elif tag == "main" and not place:
             place = MAIN
-        self.open.append((tag, dropped or self._boilerplate(tag, dict(attrs), place != 0), region, place))
+        if tag in ("article", "main") and dropped == BY_PARTS:
+            dropped = 0
+        self.open.append((tag, max(dropped, self._boilerplate(tag, dict(attrs), place)), region, place))
 
     def handle_startendtag(self, tag: str, attrs) -> None:
         self.handle_starttag(tag, attrs)
         if tag not in VOID and tag not in self.CDATA_CONTENT_ELEMENTS:
             self.handle_endtag(tag)
 
-    @staticmethod
-    def _boilerplate(tag: str, attrs: dict, article: bool) -> bool:
-        if tag in DROPPED or (tag == "header" and not article):
-            return True
+    def _boilerplate(self, tag: str, attrs: dict, place: int) -> int:
+        if tag in DROPPED or (tag == "header" and not place):
+            return WHOLLY
         if tag in ("html", "body", "main"):
-            return False
+            return 0
         if (attrs.get("role") or "").lower() in DROPPED_ROLES or "hidden" in attrs or (attrs.get("aria-hidden") or "").lower() == "true":
-            return True
+            return WHOLLY
         if "display:none" in (attrs.get("style") or "").replace(" ", "").lower():
-            return True
-        names = f"{attrs.get('class') or ''} {attrs.get('id') or ''}".lower().split()
-        for name in names:
-            parts = re.split(r"[-_]+", name)
-            if parts[0] in ("has", "with", "no", "without", "is"):
-                continue
-            if any(DROPPED_NAMES.match(x) for x in (name, *parts)) or (not article and any(HEADER_NAMES.match(x) for x in (name, *parts))):
-                return True
-        return False
+            return WHOLLY
+        if not self.names:
+            return 0
+        names = (attrs.get("class") or "").lower().split()
+        if place <= 0 and tag not in HEADINGS:
+            names += (attrs.get("id") or "").lower().split()
+        words = (DROPPED_NAMES,) if place else (DROPPED_NAMES, HEADER_NAMES)
+        if any(w.match(x) for x in names for w in words):
+            return WHOLLY
+        return BY_PARTS if place <= 0 and any(_in_parts(x, words) for x in names) else 0
 
     def _close(self, tag: str) -> None:
         for i in range(len(self.open) - 1, -1, -1):
@@ -139,17 +157,17 @@ class PageLines(HTMLParser):
                 self.links += len(data)
 
 
-def page_lines(html: str) -> list[list]:
-    parser = PageLines()
+def page_lines(html: str, names: bool = True) -> list[list]:
+    parser = PageLines(names)
     try:
         parser.feed(html)
         parser.close()
     except (AssertionError, ValueError, IndexError):  # marked sections the parser does not know
-        parser = PageLines()
+        parser = PageLines(names)
         parser.feed(html.replace("<![", "&lt;!["))
         parser.close()
     parser._flush()
-    return parser.lines
+    return parser.lines or (page_lines(html, False) if names else [])
 
 
 def smoothed_ratios(lines: list[list]) -> list[float]:

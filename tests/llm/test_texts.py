@@ -289,6 +289,14 @@ def page(body):
         (page(f"<ul class=menu><li><a href=1>One</a><li><a href=2>Two</a></ul><div><p>{ARTICLE}</p><p>{ARTICLE}</p><p>End.</p></div><div><a href=3>More</a> <a href=4>Links</a></div>"), "\n".join([ARTICLE.replace("&amp;", "&")] * 2 + ["End."])),
         (page(f"<header>Site</header><article><header><h1>Head</h1></header><p>{ARTICLE}</p><aside>Side</aside></article>"), "Head\n" + ARTICLE.replace("&amp;", "&")),
         (page("<article><p>Tiny</article>"), "Tiny"),
+        (page(f"<article class='post comments-open'><p>{ARTICLE}</article>"), ARTICLE.replace("&amp;", "&")),
+        (page(f"<div class='content-with-sidebar'><article><p>{ARTICLE}</article></div>"), ARTICLE.replace("&amp;", "&")),
+        (page(f"<div class='two-column-sidebar'><div><p>{ARTICLE}</div></div>"), ARTICLE.replace("&amp;", "&")),
+        (page(f"<div class='sidebar-wrapper'><p>Side</p><article><p>{ARTICLE}</article></div>"), ARTICLE.replace("&amp;", "&")),
+        (page(f"<article><h2 id='related-work'>Related work</h2><p>{ARTICLE}</p><section id='binary-search'><p>Halves.</section><section id='search'><p>Finds.</section><p class='copyright-law'>Law.</article>"), f"Related work\n{ARTICLE}\nHalves.\nFinds.\nLaw.".replace("&amp;", "&")),
+        (page(f"<main><h2 id='search'>Search</h2><p>{ARTICLE}</p><div class='related-posts'><p>{ARTICLE}</div><div class='left-sidebar'><p>{ARTICLE}</div></main>"), f"Search\n{ARTICLE}".replace("&amp;", "&")),
+        (page(f"<div class='sidebar'><p>{ARTICLE}</p></div>"), ARTICLE.replace("&amp;", "&")),
+        (page(f"<article><p>{ARTICLE}</p><div class='ad'>Buy</div></article><div class='site-footer'>{ARTICLE}</div>"), ARTICLE.replace("&amp;", "&")),
         ("<article><p>Cut off <b>here", "Cut off here"),
         ("<p>1 < 2 &lt; 3 &#233; &eacute; <![if x]> y</p>", None),
     ],
