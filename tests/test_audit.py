@@ -5,8 +5,7 @@ from faultscore.operators.audit import audit_summary, duplicate_keys, feature_ta
 from faultscore.schema import MACHINE_TASK as S
 from faultscore.sources.adapters import load_machine
 
-from conftest import SF001
-from fixtures import machine_frame
+from fixtures import SF001, machine_frame
 
 
 def test_schema_audit_and_leakage_exclusions(spark):

@@ -199,7 +199,7 @@ def test_second_task_with_two_categoricals(spark):
     from faultscore.schema import DOCUMENT_TASK
     from faultscore.sources.adapters import load_documents
 
-    from conftest import SF01
+    from fixtures import SF01
 
     cfg = CandidateConfig(seed=1, include=("majority_baseline", "logistic_regression"))
     exp = prepare(load_documents(spark, SF01), DOCUMENT_TASK, 1, cfg)

@@ -10,7 +10,7 @@ from faultscore.sources.csv import read_labelled_csv, read_scoring_csv
 
 from faultscore.schema import MACHINE_CSV_TASK
 
-from conftest import SF001
+from fixtures import SF001
 
 
 # Fixed value: the SHA-256 digest of the seven bytes b"sensor\n".

@@ -8,7 +8,7 @@ import sys
 import duckdb
 import pytest
 
-from conftest import SF001
+from fixtures import SF001
 
 sys.path.insert(0, __file__.rsplit("/tests/", 1)[0])
 entry = importlib.import_module("__spark_entry__")

@@ -7,8 +7,7 @@ from faultscore.operators.split import allocation, hash_split, split_summary, st
 from faultscore.schema import MACHINE_TASK as S
 from faultscore.sources.adapters import load_machine
 
-from conftest import SF01
-from fixtures import machine_frame
+from fixtures import SF01, machine_frame
 
 
 def members(df, name):

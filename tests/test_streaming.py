@@ -11,7 +11,7 @@ from faultscore.sources.adapters import load_machine, machine_table
 from faultscore.sources.bundle import Bundle
 from faultscore.streaming.scoring import start_file_scoring
 
-from conftest import SF001
+from fixtures import SF001
 
 
 def test_stream_scores_equal_batch_scores(spark, scratch):
