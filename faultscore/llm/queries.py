@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontamination, html_text, induced_sorting, language_id, mixing, ngram_scores, pivots, secrets_scan, simhash, suffix_trees
+from . import decontamination, html_text, induced_sorting, language_id, mixing, ngram_scores, pivots, secrets_scan, simhash, suffix_trees, token_alignment
 from .common import Query, ship_package
 
 
@@ -27,6 +27,7 @@ QUERIES: dict[str, Query] = {
         "op8_mixture": mixing.q_mix,
         "op9_html": html_text.q_extract,
         "op10_containment": decontamination.q_contained,
+        "op11_alignment": token_alignment.q_align,
     }.items()
 }
 
