@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontamination, html_text, induced_sorting, language_id, mixing, ngram_scores, pivots, secrets_scan, simhash, suffix_trees, token_alignment
+from . import ball_tree, decontamination, html_text, induced_sorting, language_id, mixing, ngram_scores, pivots, prefix_trie, secrets_scan, simhash, suffix_trees, token_alignment
 from .common import Query, ship_package
 
 
@@ -28,6 +28,8 @@ QUERIES: dict[str, Query] = {
         "op9_html": html_text.q_extract,
         "op10_containment": decontamination.q_contained,
         "op11_alignment": token_alignment.q_align,
+        "op12_ball_tree": ball_tree.q_top_k,
+        "op13_prefix_trie": prefix_trie.q_trie,
     }.items()
 }
 
@@ -37,4 +39,6 @@ ORACLE: dict[str, str] = {
     "op4_ngram_scores": ngram_scores.ORACLE,
     "op8_mixture": mixing.ORACLE,
     "op10_containment": decontamination.ORACLE,
+    "op12_ball_tree": ball_tree.ORACLE,
+    "op13_prefix_trie": prefix_trie.ORACLE,
 }

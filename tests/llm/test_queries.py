@@ -9,7 +9,7 @@ import corpus_pipeline
 from faultscore.llm import mixing
 from faultscore.llm.queries import ORACLE, QUERIES
 
-TABLES = ("documents", "embeddings", "pages", "benchmark")
+TABLES = ("documents", "embeddings", "pages", "benchmark", "conversations")
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
@@ -26,7 +26,7 @@ def test_query_equals_its_sql(spark, name):
 
 
 def test_there_is_a_query_for_each_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 12))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_pipeline_equals_brute_force(spark):
