@@ -90,6 +90,11 @@ def exact_products(queries: np.ndarray, vectors: np.ndarray, safe: bool) -> np.n
     return np.clip(big, -LONGEST - 1, LONGEST) if big.size else big
 
 
+def lowered(score: np.ndarray) -> np.ndarray:
+    """Doubles no larger than the integers they were rounded from."""
+    return np.where(np.isfinite(score) & (np.abs(score) >= 2.0**53), score - np.abs(score) * 1e-12, score)
+
+
 class Shard:
     def __init__(self, entry: np.ndarray, ids: np.ndarray, copies: np.ndarray, vectors: np.ndarray, leaf: int = LEAF):
         self.entry, self.ids, self.copies, self.whole = entry, ids, copies, vectors
@@ -141,7 +146,7 @@ class Shard:
             found = np.concatenate([rows[at], np.where(reach[hit], here[None, :], -1)], axis=1)
             top = np.lexsort((ids[found], -scores), axis=1)[:, :k] if safe else np.array([sorted(range(scores.shape[1]), key=lambda j, r=r: (-scores[r, j], ids[found[r, j]]))[:k] for r in range(len(at))])
             best[at], rows[at] = np.take_along_axis(scores, top, axis=1), np.take_along_axis(found, top, axis=1)
-            bar[at] = np.maximum(bar[at], best[at][:, -1].astype(np.float64))
+            bar[at] = np.maximum(bar[at], lowered(best[at][:, -1].astype(np.float64)))
         query, place = np.nonzero(rows >= 0)
         return query, rows[query, place], best[query, place]
 

@@ -8,9 +8,9 @@ pieces) the decoded bytes refine it.  Places where tokens of both end cut the
 tokens into groups, and all A and B tokens of a group are linked.
 
 A text is cut where neither tokenizer's tokens can reach across (a single blank
-or a line end behind a visible character); each different stretch is encoded
-and aligned once and kept in a bounded table of the task, and a document adds up
-its stretches.  So only different stretches are encoded.
+or a line end behind a visible character, punctuation behind a letter); each different stretch is encoded
+and aligned once and kept in a bounded table of the Python worker, and a document
+adds up its stretches.  So only different stretches are encoded.
 
 Counting over the corpus: a task numbers the id pairs of a block of documents
 (at most ``BLOCK_DOCUMENTS``, or the one that goes beyond ``BLOCK_PAIRS``
@@ -36,6 +36,8 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -51,9 +53,17 @@ PIECE_BPE = "piece_bpe_32k.model"
 BLOCK_DOCUMENTS = 4096
 BLOCK_PAIRS = 1 << 18
 SLICE = 1 << 16
-#: Stretches a task keeps aligned.
-KEPT_STRETCHES = 250_000
-CUT = re.compile(r"(?<=[!-~\w])(?:(?= [!-~\w])|(?=\n))")
+#: Stretches that are encoded as one text.
+TOGETHER = 4096
+#: Stretches a Python worker keeps aligned, from task to task.
+KEPT_STRETCHES = 600_000
+CUT = re.compile(r"(?<=[!-~\w])(?:(?= [!-~\w])|(?=\n))|(?<=[a-z])(?=[.,;:!?|])")
+#: What no piece may hold if stretches are to be cut so.
+REACHES = re.compile(r"[^▁]▁|\n|[a-z][.,;:!?|]")
+#: A stretch that ends so can stand before any other.
+JOINED = re.compile(r"[!-~\w]")
+#: Pairs of a group beyond which its ids are counted first.
+MOST_PAIRS = 4096
 STATS = ("n_a", "n_b", "n_groups", "n_links")
 
 
@@ -80,75 +90,112 @@ class Tokenizers:
         self.a_bytes = {i: bytes(alphabet[c] for c in token) if all(c in alphabet for c in token) else token.encode() for token, i in self.a.get_vocab().items()}
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
+        self.a_sizes = np.array([len(self.a_bytes.get(i, b"")) for i in range(max(self.a_bytes) + 1)])
+        self.b_sizes = np.array([len(p) for p in self.b_bytes])
         # stretches can be cut out only where no piece reaches over the cut
-        self.cuts = not any("▁" in p.lstrip("▁") or "\n" in p for p in pieces)
+        self.cuts = not any(REACHES.search(p) for i, p in enumerate(pieces) if not self.b.is_byte(i) and not self.b.is_control(i) and not self.b.is_unknown(i))
 
     def stretches(self, text: str) -> list[str]:
         return CUT.split(" " + text) if self.cuts else [" " + text]
 
-    def align(self, stretches: list[str]) -> list[tuple | None]:
-        """(groups, link counts by id pair, tokens of A, tokens of B) of each
-        stretch, None where the token bytes do not give it back."""
-        encoded = self.a.encode_batch(stretches, add_special_tokens=False)
-        blank = [s.startswith(" ") for s in stretches]
-        protos = self.b.encode([s[1:] if b else s for s, b in zip(stretches, blank)], num_threads=1, return_type="proto")
-        return [self._align(s, e, p, b) for s, e, p, b in zip(stretches, encoded, protos, blank)]
-
-    def _align(self, stretch, encoding, proto, blank):
-        raw = stretch.encode()
-        a, b = encoding.ids, [p.id for p in proto.pieces]
-        spans = [(p.begin, p.end) for p in proto.pieces]
-        if blank:  # the added blank is the stretch's own
-            spans = [(s + 1 if i else 0, e + 1) for i, (s, e) in enumerate(spans)]
-            if len(raw) == 1:  # nothing but the blank is no text for B
-                return None
-        else:  # the added blank is none of ours
-            if not b or self.b_bytes[b[0]] != b" ":
-                return None
-            b, spans = b[1:], spans[1:]
-        a_bytes, b_bytes = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-        if b"".join(a_bytes) != raw or b"".join(b_bytes) != raw:
-            return None
-        places = encoding.offsets
-        if len(raw) != len(stretch):
-            at = [0, *np.cumsum([len(c.encode()) for c in stretch]).tolist()]
-            places = [(at[s], at[e]) for s, e in places]
-        return align_groups(a, token_ends(places, a_bytes), b, token_ends(spans, b_bytes))
-
-
-def token_ends(spans: list[tuple[int, int]], decoded: list[bytes]) -> list[int]:
+    def align(self, stretches: list[str]) -> Aligned:
+        """All stretches as one text, for no token reaches over a cut; where the
+        token bytes or ends say otherwise, each half anew and at last each alone."""
+        text = " a" + "".join(stretches)
+        raw = text.encode()
+        encoding, proto = self.a.encode(text, add_special_tokens=False), self.b.encode(text[1:], return_type="proto")
+        a, places = np.array(encoding.ids), table(encoding.offsets, 2)
+        if len(raw) != len(text):
+            code = np.frombuffer(text.encode("utf-32-le"), dtype="<u4")
+            places = np.r_[0, np.cumsum(1 + (code >= 0x80) + (code >= 0x800) + (code >= 0x10000))][places]
+        pieces = table([(p.id, p.begin, p.end) for p in proto.pieces], 3)
+        b, spans = pieces[:, 0], pieces[:, 1:] + 1
+        spans[0, 0] = 0  # the added blank is the text's own
+        bounds = np.cumsum([2, *(len(x.encode()) for x in stretches)])
+        a_ends, b_ends = token_ends(places, self.a_sizes[a]), token_ends(spans, self.b_sizes[b])
+        if b"".join(map(self.a_bytes.__getitem__, a.tolist())) == raw == b"".join(map(self.b_bytes.__getitem__, b.tolist())):
+            cuts = np.intersect1d(a_ends, b_ends, assume_unique=True)
+            if np.isin(bounds, cuts).all():
+                return aligned_groups(a, a_ends, b, b_ends, cuts, bounds).without_first()
+        if len(stretches) == 1:
+            return self.align_alone(stretches[0])
+        half = len(stretches) // 2
+        return self.align(stretches[:half]).joined(self.align(stretches[half:]))
+
+    def align_alone(self, stretch: str) -> Aligned:
+        """One stretch by itself; the blank that B adds is its own, or none of it."""
+        raw, blank, line = stretch.encode(), stretch.startswith(" "), stretch.startswith("\n")
+        before = "" if blank or line else "a"  # punctuation stands behind a letter
+        a = np.array(self.a.encode(before + stretch, add_special_tokens=False).ids)[len(before) :]
+        b = np.array(self.b.encode(stretch[1:] if blank else before + stretch), dtype=np.int64)
+        if not blank and len(b) and self.b_bytes[b[0]] == f" {before}".encode():
+            b = b[1:]
+        if b"".join(map(self.a_bytes.__getitem__, a.tolist())) == raw == b"".join(map(self.b_bytes.__getitem__, b.tolist())):
+            a_ends, b_ends = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
+            return aligned_groups(a, a_ends, b, b_ends, np.intersect1d(a_ends, b_ends, assume_unique=True), np.array([len(raw)]))
+        none = np.empty(0, dtype=np.int64)
+        return Aligned([None], np.zeros((1, 4), dtype=np.int64), np.zeros(1, dtype=np.int64), none, none)
+
+
+def table(rows: list[tuple[int, ...]], width: int) -> np.ndarray:
+    return np.fromiter(chain.from_iterable(rows), dtype=np.int64, count=width * len(rows)).reshape(-1, width)
+
+
+@dataclass
+class Aligned:
+    """Per stretch its groups as text (None: it has no tokens), statistics and
+    number of links; the links of all, in order, as id pairs and how often."""
+
+    groups: list[str | None]
+    stats: np.ndarray
+    sizes: np.ndarray
+    keys: np.ndarray
+    times: np.ndarray
+
+    def joined(self, other: Aligned) -> Aligned:
+        return Aligned(self.groups + other.groups, *(np.concatenate([getattr(self, f), getattr(other, f)]) for f in ("stats", "sizes", "keys", "times")))
+
+    def without_first(self) -> Aligned:
+        n = self.sizes[0]
+        return Aligned(self.groups[1:], self.stats[1:], self.sizes[1:], self.keys[n:], self.times[n:])
+
+
+def token_ends(spans: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """End of each token in bytes: its span's, unless the span is not where the
     last token ended or not as long as the token's bytes, which count then."""
-    out, at = [], 0
-    for (start, end), token in zip(spans, decoded):
-        at = end if start == at and end - start == len(token) else at + len(token)
-        out.append(at)
-    return out
-
-
-def align_groups(a: list[int], a_ends: list[int], b: list[int], b_ends: list[int]) -> tuple[list[str], dict[tuple[int, int], int], int, int]:
-    """The groups as text, and how often each id pair is linked."""
-    groups, links, i, j = [], {}, 0, 0
-    while i < len(a):
-        lo_a, lo_b, i, j = i, j, i + 1, j + 1
-        while a_ends[i - 1] != b_ends[j - 1]:
-            if a_ends[i - 1] < b_ends[j - 1]:
-                i += 1
-            else:
-                j += 1
-        ours, theirs = counted(a[lo_a:i]), counted(b[lo_b:j])
-        for x, m in ours.items():
-            for y, n in theirs.items():
-                links[x, y] = links.get((x, y), 0) + m * n
-        groups.append(f"{','.join(map(str, a[lo_a:i]))}|{','.join(map(str, b[lo_b:j]))}")
-    return groups, links, len(a), len(b)
-
-
-def counted(ids: list[int]) -> dict[int, int]:
-    out: dict[int, int] = {}
-    for x in ids:
-        out[x] = out.get(x, 0) + 1
-    return out
+    refined = np.cumsum(sizes)
+    return np.where((spans[:, 0] == refined - sizes) & (spans[:, 1] - spans[:, 0] == sizes), spans[:, 1], refined)
+
+
+def aligned_groups(a: np.ndarray, a_ends: np.ndarray, b: np.ndarray, b_ends: np.ndarray, cuts: np.ndarray, bounds: np.ndarray) -> Aligned:
+    """Tokens cut into groups at ``cuts``, and groups into stretches at ``bounds``."""
+    n_a, n_b = (np.bincount(np.searchsorted(cuts, ends), minlength=len(cuts)) for ends in (a_ends, b_ends))
+    lo_a, lo_b = np.cumsum(n_a) - n_a, np.cumsum(n_b) - n_b
+    a_text, b_text = list(map(str, a.tolist())), list(map(str, b.tolist()))
+    texts = [
+        f"{a_text[i]}|{b_text[j]}" if m == n == 1 else f"{','.join(a_text[i : i + m])}|{','.join(b_text[j : j + n])}"
+        for i, m, j, n in zip(lo_a.tolist(), n_a.tolist(), lo_b.tolist(), n_b.tolist())
+    ]
+    stretch = np.searchsorted(bounds, cuts)
+    count = np.bincount(stretch, minlength=len(bounds))
+    upto = np.cumsum(count).tolist()
+    products = n_a * n_b
+    pairs = np.where(products > MOST_PAIRS, 0, products)
+    group = np.repeat(np.arange(len(cuts)), pairs)
+    k = np.arange(len(group)) - np.repeat(np.cumsum(pairs) - pairs, pairs)
+    keys = a[lo_a[group] + k // n_b[group]] << 32 | b[lo_b[group] + k % n_b[group]]
+    times, of = np.ones(len(keys), dtype=np.int64), stretch[group]
+    for g in np.flatnonzero(products > MOST_PAIRS):  # as different ids with their numbers
+        x, m = np.unique(a[lo_a[g] : lo_a[g] + n_a[g]], return_counts=True)
+        y, n = np.unique(b[lo_b[g] : lo_b[g] + n_b[g]], return_counts=True)
+        keys = np.r_[keys, (x[:, None] << 32 | y[None, :]).ravel()]
+        times = np.r_[times, (m[:, None] * n[None, :]).ravel()]
+        of = np.r_[of, np.full(len(x) * len(y), stretch[g])]
+    order = np.argsort(of, kind="stable")
+    stats = np.zeros((len(bounds), 4), dtype=np.int64)
+    for i, x in enumerate((n_a, n_b, np.ones_like(n_a), products)):
+        np.add.at(stats[:, i], stretch, x)
+    return Aligned([";".join(texts[u - c : u]) for u, c in zip(upto, count.tolist())], stats, np.bincount(of, minlength=len(bounds)), keys[order], times[order])
 
 
 def distinct_sums(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -175,45 +222,63 @@ class Stretches:
         self.keys, self.times = np.zeros(4096, dtype=np.int64), np.zeros(4096, dtype=np.int64)
         self.used = 0
 
+    def documents(self, texts):
+        """What ``document`` finds of each text; the new stretches of several
+        texts are aligned together."""
+        held, size = [], 0
+        for text in texts:
+            held.append(self.tokenizers.stretches(text) if text else [])
+            size += len(held[-1])
+            if size >= SLICE:
+                yield from self.found(held)
+                held, size = [], 0
+        yield from self.found(held)
+
+    def found(self, texts: list[list[str]]):
+        if len(texts) > 1:
+            self.learn(set().union(*texts))
+        for t in texts:
+            yield self.document(t)
+
+    def learn(self, stretches: set[str]) -> None:
+        new = list(stretches.difference(self.number))
+        if len(self.number) + len(new) > self.most and self.number:
+            self.forget()
+            return  # each document's own are aligned with it
+        self.add(new)
+
     def numbers(self, stretches: list[str]) -> np.ndarray:
         get = self.number.get
         found = [get(s, -1) for s in stretches]
         if -1 in found:
             if len(self.number) > self.most:
                 self.forget()
-                get = self.number.get
-            self.add(list(dict.fromkeys(s for s in stretches if s not in self.number)))
-            found = [get(s) for s in stretches]
+            self.add([s for s in dict.fromkeys(stretches) if s not in self.number])
+            found = [self.number[s] for s in stretches]
         return np.array(found, dtype=np.int64)
 
     def add(self, new: list[str]) -> None:
-        for lo in range(0, len(new), 4096):
-            part = new[lo : lo + 4096]
-            for stretch, got in zip(part, self.tokenizers.align(part)):
-                n = len(self.groups)
-                if n == len(self.starts):
-                    self.stats, self.starts, self.sizes = (np.concatenate([x, np.zeros_like(x)]) for x in (self.stats, self.starts, self.sizes))
-                self.number[stretch] = n
-                self.starts[n] = self.used
-                if got is None:
-                    self.groups.append(None)
-                    continue
-                groups, links, n_a, n_b = got
-                while self.used + len(links) > len(self.keys):
-                    self.keys, self.times = (np.concatenate([x, np.zeros_like(x)]) for x in (self.keys, self.times))
-                here = slice(self.used, self.used + len(links))
-                self.keys[here] = [x << 32 | y for x, y in links]
-                self.times[here] = list(links.values())
-                self.used += len(links)
-                self.sizes[n] = len(links)
-                self.groups.append(";".join(groups))
-                self.stats[n] = n_a, n_b, len(groups), sum(links.values())
-
-    def document(self, text: str | None):
+        plain = [x for x in new if x[0] in " \n" and JOINED.match(x[-1])]
+        parts = [(plain[lo : lo + TOGETHER], self.tokenizers.align) for lo in range(0, len(plain), TOGETHER)]
+        parts += [([x], lambda y: self.tokenizers.align_alone(y[0])) for x in set(new).difference(plain)]
+        for part, align in parts:
+            got = align(part)
+            n, m, links = len(self.groups), len(part), len(got.keys)
+            while n + m > len(self.starts):
+                self.stats, self.starts, self.sizes = (np.concatenate([x, np.zeros_like(x)]) for x in (self.stats, self.starts, self.sizes))
+            while self.used + links > len(self.keys):
+                self.keys, self.times = (np.concatenate([x, np.zeros_like(x)]) for x in (self.keys, self.times))
+            self.number.update(zip(part, range(n, n + m)))
+            self.groups += got.groups
+            self.stats[n : n + m], self.sizes[n : n + m] = got.stats, got.sizes
+            self.starts[n : n + m] = self.used + np.cumsum(got.sizes) - got.sizes
+            self.keys[self.used : self.used + links], self.times[self.used : self.used + links] = got.keys, got.times
+            self.used += links
+
+    def document(self, stretches: list[str]):
         """(statistics, digest, id pairs, link counts), or None for no tokens."""
-        if not text:
+        if not stretches:
             return None
-        stretches = self.tokenizers.stretches(text)
         digest, stats, parts = hashlib.sha256(), np.zeros(4, dtype=np.int64), []
         for lo in range(0, len(stretches), SLICE):
             numbers = self.numbers(stretches[lo : lo + SLICE])
@@ -255,16 +320,28 @@ def block_rows(block: int, ids: list, found: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*columns, ids], names=[*names, "doc_id"])
 
 
+#: Of this Python worker, which serves one task after another.
+_KEPT: dict[tuple[str, int], Stretches] = {}
+
+
+def kept_stretches(files: tuple[bytes, bytes], most: int) -> Stretches:
+    key = (hashlib.sha256(b"".join(files)).hexdigest(), most)
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = Stretches(Tokenizers(*files), most)
+    return _KEPT[key]
+
+
 def aligned(docs: DataFrame, byte_bpe: str, piece_bpe: str, most: int) -> DataFrame:
     with open(byte_bpe, "rb") as one, open(piece_bpe, "rb") as other:
         files = docs.sparkSession.sparkContext.broadcast((one.read(), other.read()))
 
     def run(batches):
-        kept, made = Stretches(Tokenizers(*files.value), most), 0
+        kept, made = kept_stretches(files.value, most), 0
         for batch in batches:
             lo, found, pairs = 0, [], 0
-            for i, text in enumerate(batch.column(1)):
-                found.append(kept.document(text.as_py()))
+            for i, document in enumerate(kept.documents(t.as_py() for t in batch.column(1))):
+                found.append(document)
                 pairs += len(found[-1][2]) if found[-1] else 0
                 if len(found) == BLOCK_DOCUMENTS or pairs >= BLOCK_PAIRS or i + 1 == batch.num_rows:
                     yield block_rows(TaskContext.get().partitionId() << 32 | made, [batch.column(0).slice(lo, len(found))], found)

@@ -84,8 +84,8 @@ def test_stretches_forgotten_and_small_blocks_and_slices(spark, tokenizers, monk
     monkeypatch.setattr(ta, "BLOCK_DOCUMENTS", 5)
     monkeypatch.setattr(ta, "SLICE", 7)
     kept = ta.Stretches(tokenizers, 10)
-    for _, text in rows:
-        tokens, got = brute_tokens(tokenizers, text), kept.document(text)
+    for (_, text), got in zip(rows, kept.documents(t for _, t in rows)):
+        tokens = brute_tokens(tokenizers, text)
         assert (tokens is None) == (got is None)
         if got:
             assert got[0][0] == len(tokens[0][0]) and got[0][1] == len(tokens[1][0])
