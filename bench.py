@@ -115,7 +115,7 @@ def main() -> None:
     stage("permutation_importance", importance)
     models = {}
     for name, key in (("logistic_regression", "logistic_fit"), ("decision_tree", "tree_fit"), ("boosted_trees", "boosted_fit")):
-        models[name] = stage(key, lambda n=name: fit_candidate(n, tr, balance, cfg, 8)[0])
+        models[name] = stage(key, lambda n=name: fit_candidate(n, tr, balance, cfg, 8, "udi")[0])
 
     def score_all():
         class _E:  # minimal holder for scorer_for
@@ -159,7 +159,7 @@ def _published(spark, sf_dir, stage) -> None:
     stage("published_preprocess", preprocess)
     balance = class_balance(exp.train)
     for name in ("boosted_trees", "random_forest", "mlp"):
-        stage(f"published_{name}_fit", lambda n=name: fit_candidate(n, exp.train, balance, config, 8))
+        stage(f"published_{name}_fit", lambda n=name: fit_candidate(n, exp.train, balance, config, 8, "udi"))
     exp.close()
     stage("published_run_experiment", lambda: run_experiment(table, S, config=config).close())
 

@@ -9,23 +9,21 @@ all candidates alike.  The reference's estimators are re-aimed at MLlib:
 * decision_tree      - depth 6, min 8 rows per node, balanced weights
 * random_forest      - 250 trees, min 2 rows per node, sqrt features,
                        balanced weights (global, not per bootstrap)
-* boosted_trees      - the frozen boosted-tree configuration (500 rounds,
-                       step 0.05, depth 4, row and feature sampling 0.8)
-                       with the positive-class weight neg/pos
+* boosted_trees      - second-order boosting on histograms (``boosting``) in
+                       the frozen configuration, positives weighted neg/pos
 * mlp                - 8 -> 24 -> 2 perceptron (comparison only; MLlib has
                        no weight column, so positives are replicated)
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 from typing import Any
 
 from pyspark import SparkContext, keyword_only
 from pyspark.ml import Estimator, Model, Transformer
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
-    GBTClassifier,
     LogisticRegression,
     MultilayerPerceptronClassifier,
     RandomForestClassifier,
@@ -38,6 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import col, hash_key
+from .boosting import BoostingConfig, fit_boosted_trees
 from .preprocess import FEATURES_COL
 
 LABEL_COL = "label"
@@ -51,6 +50,9 @@ BOOSTED_PARAMETERS: dict[str, Any] = {
     "max_depth": 4,
     "subsample": 0.8,
     "colsample_bytree": 0.8,
+    "min_child_weight": 2.0,
+    "reg_lambda": 1.0,
+    "reg_alpha": 0.0,
 }
 CANDIDATE_ORDER = ("majority_baseline", "logistic_regression", "decision_tree", "random_forest", "boosted_trees")
 
@@ -149,13 +151,18 @@ class CandidateConfig:
     boosted_depth: int = BOOSTED_PARAMETERS["max_depth"]
     boosted_subsample: float = BOOSTED_PARAMETERS["subsample"]
     boosted_feature_fraction: float = BOOSTED_PARAMETERS["colsample_bytree"]
+    boosted_min_child_hessian: float = BOOSTED_PARAMETERS["min_child_weight"]
+    boosted_l2: float = BOOSTED_PARAMETERS["reg_lambda"]
+    boosted_l1: float = BOOSTED_PARAMETERS["reg_alpha"]
+    # Rows of a block; boosting sums over blocks, or runs in the only one.
+    boosted_block_rows: int = 262_144
     max_bins: int = 256
     mlp_hidden: int = 24
     mlp_epochs: int = 40
     # Boosting truncates its lineage every this many rounds (reliable
     # checkpoints in spark.checkpoint.dir), so a lost executor replays at
     # most this many rounds.
-    checkpoint_interval: int = 50
+    checkpoint_interval: int = 25
     include: tuple[str, ...] = field(default=CANDIDATE_ORDER)
     # Candidates fitted at the same time (driver threads submitting jobs).
     parallel_fits: int = 5
@@ -173,8 +180,6 @@ class CandidateConfig:
 def weight_column(name: str, balance: ClassBalance) -> Column | None:
     if name in ("logistic_regression", "decision_tree", "random_forest"):
         return balance.balanced_weight()
-    if name == "boosted_trees":
-        return balance.positive_scaled_weight()
     return None
 
 
@@ -209,13 +214,6 @@ def make_estimator(name: str, balance: ClassBalance, config: CandidateConfig) ->
             minInstancesPerNode=config.forest_min_rows, featureSubsetStrategy="sqrt",
             maxBins=config.max_bins, seed=config.seed, cacheNodeIds=True,
         )
-    if name == "boosted_trees":
-        return GBTClassifier(
-            **common, weightCol=WEIGHT_COL, maxIter=config.boosted_rounds, stepSize=config.boosted_step,
-            maxDepth=config.boosted_depth, subsamplingRate=config.boosted_subsample,
-            featureSubsetStrategy=str(config.boosted_feature_fraction), minInstancesPerNode=2,
-            maxBins=config.max_bins, seed=config.seed, cacheNodeIds=False, checkpointInterval=config.checkpoint_interval,
-        )
     if name == "mlp":
         return MultilayerPerceptronClassifier(
             **common, layers=[0, config.mlp_hidden, 2], maxIter=config.mlp_epochs, seed=config.seed,
@@ -223,6 +221,19 @@ def make_estimator(name: str, balance: ClassBalance, config: CandidateConfig) ->
     raise ValueError(f"unknown candidate: {name}")
 
 
+def settings(name: str, balance: ClassBalance, config: CandidateConfig) -> dict[str, Any]:
+    """The parameters that a candidate is fitted with."""
+    if name == "boosted_trees":
+        return {**asdict(boosting_config(config)), "positive_weight": balance.positive_weight()}
+    estimator = make_estimator(name, balance, config)
+    return {p.name: v for p, v in sorted(estimator._paramMap.items(), key=lambda x: x[0].name)}
+
+
+def writes_probability(model: Model) -> bool:
+    """Whether a model gives a probability vector and not the score itself."""
+    return model.hasParam("probabilityCol")
+
+
 def with_training_columns(features: DataFrame, name: str, balance: ClassBalance) -> DataFrame:
     weight = weight_column(name, balance)
     return features.withColumn(WEIGHT_COL, weight) if weight is not None else features
@@ -235,8 +246,18 @@ def replicate_positives(features: DataFrame, balance: ClassBalance) -> DataFrame
     return features.withColumn("_copy", F.explode(F.sequence(F.lit(1), repeat))).drop("_copy")
 
 
-def fit_candidate(name: str, features: DataFrame, balance: ClassBalance, config: CandidateConfig, width: int):
+def boosting_config(config: CandidateConfig) -> BoostingConfig:
+    return BoostingConfig(
+        rounds=config.boosted_rounds, step=config.boosted_step, depth=config.boosted_depth, subsample=config.boosted_subsample,
+        column_fraction=config.boosted_feature_fraction, min_child_hessian=config.boosted_min_child_hessian, l2=config.boosted_l2, l1=config.boosted_l1,
+        bins=config.max_bins, seed=config.seed, block_rows=config.boosted_block_rows, checkpoint_interval=config.checkpoint_interval,
+    )
+
+
+def fit_candidate(name: str, features: DataFrame, balance: ClassBalance, config: CandidateConfig, width: int, id_column: str):
     """Fit one candidate on featurized training rows; returns (model, extra)."""
+    if name == "boosted_trees":
+        return fit_boosted_trees(features, id_column, balance.positive_weight(), boosting_config(config), LABEL_COL), {}
     estimator = make_estimator(name, balance, config)
     if name == "mlp":
         estimator.setLayers([width, config.mlp_hidden, 2])

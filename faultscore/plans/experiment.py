@@ -30,8 +30,9 @@ from ..operators.candidates import (
     ProbabilityScore,
     class_balance,
     fit_candidate,
-    make_estimator,
+    settings,
     training_rows,
+    writes_probability,
 )
 from ..operators.importance import permutation_importance
 from ..operators.metrics import binary_metrics
@@ -115,14 +116,14 @@ def prepare(df: DataFrame, spec: TaskSpec, seed: int = 42, config: CandidateConf
 def scorer_for(exp: Experiment, name: str, model) -> PipelineModel:
     """preprocessing + classifier (+ score stage) as one persistable model."""
     stages = list(exp.preprocessor.stages) + [model]
-    if name != "majority_baseline":
+    if writes_probability(model):
         stages.append(ProbabilityScore())
     return PipelineModel(stages=stages)
 
 
 def score_features(exp: Experiment, name: str, model, rows: DataFrame) -> DataFrame:
     scored = model.transform(rows)
-    if name != "majority_baseline":
+    if writes_probability(model):
         scored = ProbabilityScore().transform(scored)
     return scored.select(col(exp.spec.id_column), LABEL_COL, SCORE_COL)
 
@@ -140,7 +141,7 @@ def fit_missing(exp: Experiment, names: tuple[str, ...]) -> None:
     balance = class_balance(exp.train)
     width = len(exp.stats.vector_names(exp.spec))
     with ThreadPoolExecutor(max_workers=max(1, min(len(missing), exp.config.parallel_fits))) as pool:
-        futures = {name: pool.submit(fit_candidate, name, exp.train, balance, exp.config, width) for name in missing}
+        futures = {name: pool.submit(fit_candidate, name, exp.train, balance, exp.config, width, exp.spec.id_column) for name in missing}
         fitted = {name: future.result() for name, future in futures.items()}
     for name, (model, extra) in fitted.items():
         exp.models[name], exp.extras[name] = model, extra
@@ -209,13 +210,8 @@ def importance_of_chosen(exp: Experiment, repeats: int = 10) -> DataFrame:
     return permutation_importance(rows, spec, exp.scorers[exp.chosen].transform, exp.seed, repeats, spec.target)
 
 
-def estimator_settings(exp: Experiment, name: str) -> dict[str, Any]:
-    """The parameters that were passed to a candidate's estimator, by their names there."""
-    estimator = make_estimator(name, class_balance(exp.train), exp.config)
-    return {p.name: v for p, v in sorted(estimator._paramMap.items(), key=lambda x: x[0].name)}
-
-
 def build_report(exp: Experiment) -> dict:
+    balance = class_balance(exp.train)
     summary = {
         r["split"]: {"rows": int(r["rows"]), "positive_rows": int(r["positive_rows"]), "positive_rate": float(r["positive_rate"])}
         for r in split_summary(exp.split, exp.spec.target).collect()
@@ -224,7 +220,7 @@ def build_report(exp: Experiment) -> dict:
         "split_summary": {k: summary[k] for k in (TRAIN, VALIDATION, TEST) if k in summary},
         "selection_criteria": SELECTION_CRITERIA,
         "threshold_criteria": THRESHOLD_CRITERIA,
-        "estimators": {n: estimator_settings(exp, n) for n in exp.validation_metrics},
+        "estimators": {n: settings(n, balance, exp.config) for n in exp.validation_metrics},
         "fitted_rows": {"partitions": exp.train.rdd.getNumPartitions(), "share_of_training_ids": exp.config.fit_share},
         "validation_candidates": exp.validation_metrics,
         "selected_model": exp.chosen,

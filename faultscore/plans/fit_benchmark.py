@@ -33,7 +33,7 @@ def run_fit_benchmark(exp: Experiment, repeats: int = 3, partitions: tuple[int,
         rows.count()
         for _ in range(repeats):
             started = time.perf_counter()
-            models[n], _ = fit_candidate(candidate, rows, balance, exp.config, width)
+            models[n], _ = fit_candidate(candidate, rows, balance, exp.config, width, spec.id_column)
             runs.append((str(n), time.perf_counter() - started))
         rows.unpersist()
     layouts = [r.asDict() for r in run_summary(spark.createDataFrame(runs, "kind string, seconds double")).collect()]

@@ -12,14 +12,15 @@ from __future__ import annotations
 import json
 import os
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import col, rounded
-from ..operators.candidates import CANDIDATE_ORDER, SCORE_COL, CandidateConfig, PriorScore
+from ..operators.boosting import fit_boosted_trees
+from ..operators.candidates import CANDIDATE_ORDER, SCORE_COL, CandidateConfig, PriorScore, boosting_config, class_balance
 from ..operators.metrics import binary_metrics
 from ..operators.parity import score_parity
 from ..operators.scoring import predict_rows, score_rows
@@ -41,6 +42,10 @@ from .experiment import (
 )
 
 
+#: Boosted trees that are compared with SQL node by node.
+FIRST_TREES = 2
+
+
 @dataclass
 class _Latest:
     key: tuple | None = None
@@ -207,6 +212,19 @@ def checksums(spark: SparkSession, sf: str) -> DataFrame:
     return sums.select(F.col("path").alias("file"), "length", "sha256")
 
 
+def node_table(nodes: DataFrame, last_tree: int | None = None) -> DataFrame:
+    """A node table as it is compared."""
+    kept = nodes if last_tree is None else nodes.where(F.col("tree") <= last_tree)
+    return kept.select("tree", "node", "feature", rounded(F.col("threshold")).alias("threshold"), F.col("left").alias("left_node"), F.col("right").alias("right_node"), rounded(F.col("value"), 9).alias("value"))
+
+
+def boosted_first_trees(spark: SparkSession, sf: str) -> DataFrame:
+    """The first trees of the boosted candidate, each node with its sums' outcome."""
+    exp = prepared(load_machine(spark, sf))
+    cfg = replace(boosting_config(exp.config), rounds=FIRST_TREES)
+    return node_table(fit_boosted_trees(exp.train, S.id_column, class_balance(exp.train).positive_weight(), cfg).nodes)
+
+
 def document_candidate_comparison(spark: SparkSession, sf: str) -> DataFrame:
     """The same experiment on labels joined to documents (toxic target)."""
     return reported(compare(prepared(load_documents(spark, sf), DOCUMENT_TASK), CANDIDATE_ORDER))
@@ -238,4 +256,5 @@ R_QUERIES = {
     "batch_score_linear": batch_score_linear,
     "file_checksums": checksums,
     "document_candidate_comparison": document_candidate_comparison,
+    "boosted_first_trees": boosted_first_trees,
 }
