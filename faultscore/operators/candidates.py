@@ -6,9 +6,10 @@ all candidates alike.  The reference's estimators are re-aimed at MLlib:
 
 * majority_baseline  - the training positive rate for every row
 * logistic_regression - balanced class weights, C = 1 (regParam = 1/sum(w))
-* decision_tree      - depth 6, min 8 rows per node, balanced weights
-* random_forest      - 250 trees, min 2 rows per node, sqrt features,
-                       balanced weights (global, not per bootstrap)
+* decision_tree      - exact cuts (``exact_trees``), depth 6, min 8 rows per
+                       node, balanced weights
+* random_forest      - 250 exact trees without a depth limit, min 2 rows per
+                       node, sqrt features, weights balanced in each bootstrap
 * boosted_trees      - second-order boosting on histograms (``boosting``) in
                        the frozen configuration, positives weighted neg/pos
 * mlp                - 8 -> 24 -> 2 perceptron (comparison only; MLlib has
@@ -17,16 +18,15 @@ all candidates alike.  The reference's estimators are re-aimed at MLlib:
 
 from __future__ import annotations
 
+import math
 from dataclasses import asdict, dataclass, field
 from typing import Any
 
 from pyspark import SparkContext, keyword_only
 from pyspark.ml import Estimator, Model, Transformer
 from pyspark.ml.classification import (
-    DecisionTreeClassifier,
     LogisticRegression,
     MultilayerPerceptronClassifier,
-    RandomForestClassifier,
 )
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import col, hash_key
 from .boosting import BoostingConfig, fit_boosted_trees
+from .exact_trees import TreeConfig, fit_forest, fit_tree
 from .preprocess import FEATURES_COL
 
 LABEL_COL = "label"
@@ -144,7 +145,7 @@ class CandidateConfig:
     tree_depth: int = 6
     tree_min_rows: int = 8
     forest_trees: int = 250
-    forest_depth: int = 30  # the reference grows unlimited depth; MLlib caps at 30
+    forest_depth: int | None = None
     forest_min_rows: int = 2
     boosted_rounds: int = BOOSTED_PARAMETERS["n_estimators"]
     boosted_step: float = BOOSTED_PARAMETERS["learning_rate"]
@@ -156,6 +157,8 @@ class CandidateConfig:
     boosted_l1: float = BOOSTED_PARAMETERS["reg_alpha"]
     # Rows of a block; boosting sums over blocks, or runs in the only one.
     boosted_block_rows: int = 262_144
+    # Nodes of more rows are split by passes over all tasks, smaller ones in one.
+    tree_finish_rows: int = 262_144
     max_bins: int = 256
     mlp_hidden: int = 24
     mlp_epochs: int = 40
@@ -178,7 +181,7 @@ class CandidateConfig:
 
 
 def weight_column(name: str, balance: ClassBalance) -> Column | None:
-    if name in ("logistic_regression", "decision_tree", "random_forest"):
+    if name == "logistic_regression":
         return balance.balanced_weight()
     return None
 
@@ -203,17 +206,6 @@ def make_estimator(name: str, balance: ClassBalance, config: CandidateConfig) ->
             **common, weightCol=WEIGHT_COL, maxIter=config.logistic_max_iter,
             regParam=1.0 / balance.rows, elasticNetParam=0.0, standardization=False, tol=config.logistic_tol,
         )
-    if name == "decision_tree":
-        return DecisionTreeClassifier(
-            **common, weightCol=WEIGHT_COL, maxDepth=config.tree_depth,
-            minInstancesPerNode=config.tree_min_rows, maxBins=config.max_bins, seed=config.seed,
-        )
-    if name == "random_forest":
-        return RandomForestClassifier(
-            **common, weightCol=WEIGHT_COL, numTrees=config.forest_trees, maxDepth=config.forest_depth,
-            minInstancesPerNode=config.forest_min_rows, featureSubsetStrategy="sqrt",
-            maxBins=config.max_bins, seed=config.seed, cacheNodeIds=True,
-        )
     if name == "mlp":
         return MultilayerPerceptronClassifier(
             **common, layers=[0, config.mlp_hidden, 2], maxIter=config.mlp_epochs, seed=config.seed,
@@ -221,8 +213,12 @@ def make_estimator(name: str, balance: ClassBalance, config: CandidateConfig) ->
     raise ValueError(f"unknown candidate: {name}")
 
 
-def settings(name: str, balance: ClassBalance, config: CandidateConfig) -> dict[str, Any]:
+def settings(name: str, balance: ClassBalance, config: CandidateConfig, width: int) -> dict[str, Any]:
     """The parameters that a candidate is fitted with."""
+    if name == "decision_tree":
+        return asdict(tree_config(name, config, width))
+    if name == "random_forest":
+        return {"trees": config.forest_trees, **asdict(tree_config(name, config, width))}
     if name == "boosted_trees":
         return {**asdict(boosting_config(config)), "positive_weight": balance.positive_weight()}
     estimator = make_estimator(name, balance, config)
@@ -254,10 +250,20 @@ def boosting_config(config: CandidateConfig) -> BoostingConfig:
     )
 
 
+def tree_config(name: str, config: CandidateConfig, width: int) -> TreeConfig:
+    if name == "decision_tree":
+        return TreeConfig(config.tree_depth, config.tree_min_rows, None, config.seed, config.tree_finish_rows)
+    return TreeConfig(config.forest_depth, config.forest_min_rows, max(1, int(math.sqrt(width))), config.seed, config.tree_finish_rows)
+
+
 def fit_candidate(name: str, features: DataFrame, balance: ClassBalance, config: CandidateConfig, width: int, id_column: str):
     """Fit one candidate on featurized training rows; returns (model, extra)."""
     if name == "boosted_trees":
         return fit_boosted_trees(features, id_column, balance.positive_weight(), boosting_config(config), LABEL_COL), {}
+    if name == "decision_tree":
+        return fit_tree(features, id_column, tree_config(name, config, width), LABEL_COL), {}
+    if name == "random_forest":
+        return fit_forest(features, id_column, config.forest_trees, tree_config(name, config, width), LABEL_COL), {}
     estimator = make_estimator(name, balance, config)
     if name == "mlp":
         estimator.setLayers([width, config.mlp_hidden, 2])

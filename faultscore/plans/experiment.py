@@ -211,7 +211,7 @@ def importance_of_chosen(exp: Experiment, repeats: int = 10) -> DataFrame:
 
 
 def build_report(exp: Experiment) -> dict:
-    balance = class_balance(exp.train)
+    balance, width = class_balance(exp.train), len(exp.stats.vector_names(exp.spec))
     summary = {
         r["split"]: {"rows": int(r["rows"]), "positive_rows": int(r["positive_rows"]), "positive_rate": float(r["positive_rate"])}
         for r in split_summary(exp.split, exp.spec.target).collect()
@@ -220,7 +220,7 @@ def build_report(exp: Experiment) -> dict:
         "split_summary": {k: summary[k] for k in (TRAIN, VALIDATION, TEST) if k in summary},
         "selection_criteria": SELECTION_CRITERIA,
         "threshold_criteria": THRESHOLD_CRITERIA,
-        "estimators": {n: settings(n, balance, exp.config) for n in exp.validation_metrics},
+        "estimators": {n: settings(n, balance, exp.config, width) for n in exp.validation_metrics},
         "fitted_rows": {"partitions": exp.train.rdd.getNumPartitions(), "share_of_training_ids": exp.config.fit_share},
         "validation_candidates": exp.validation_metrics,
         "selected_model": exp.chosen,

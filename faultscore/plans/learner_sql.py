@@ -7,8 +7,9 @@ running sums as windows over a whole feature, one CTE per level and tree.
 from __future__ import annotations
 
 from ..operators.boosting import BoostingConfig, LEAST_GAIN, columns_of_round, multiplier
+from ..operators.exact_trees import TreeConfig, poisson_steps
 from ..schema import MACHINE_TASK as S
-from .oracle_sql import MACHINE_SPLIT
+from .oracle_sql import MACHINE_SPLIT, confusion_sql, pick_sql, ranking_sql, rates_select, sweep_sql
 
 CATEGORIES = ("H", "L", "M")
 WIDTH = len(S.numeric) + len(CATEGORIES)
@@ -70,7 +71,78 @@ def first_boosted_trees_sql(trees: int, cfg: BoostingConfig) -> str:
     return "WITH " + ",\n".join(ctes) + "\nSELECT CAST(tree AS INTEGER) AS tree, CAST(node AS INTEGER) AS node, CAST(feature AS INTEGER) AS feature, round(threshold, 6) AS threshold, CAST(left_node AS INTEGER) AS left_node, CAST(right_node AS INTEGER) AS right_node, round(value, 9) AS value FROM (" + " UNION ALL ".join(out) + ")"
 
 
+def tree_ctes(cfg: TreeConfig) -> list[str]:
+    """CTEs ``nodes`` and ``leaf_of`` (udi of train and validation rows, node)."""
+    both = long_features_sql("train", "x") + ",\n" + long_features_sql("validation", "y")
+    ctes = [
+        MACHINE_SPLIT,
+        both,
+        "every AS MATERIALIZED (SELECT * FROM x UNION ALL SELECT * FROM y)",
+        "w AS MATERIALIZED (SELECT CAST(count(*) AS DOUBLE) / (2.0 * CAST(sum(1 - label) AS DOUBLE)) AS w0, CAST(count(*) AS DOUBLE) / (2.0 * CAST(sum(label) AS DOUBLE)) AS w1 FROM x_rows)",
+        "t0 AS MATERIALIZED (SELECT udi, 0 AS node FROM x_rows UNION ALL SELECT udi, 0 FROM y_rows)",
+        "b0 AS MATERIALIZED (SELECT 0 AS first, 1 AS next)",
+    ]
+
+    def pure(n0: str, n1: str) -> str:
+        return f"((w0 * ({n0})) * (w0 * ({n0})) + (w1 * ({n1})) * (w1 * ({n1}))) / (w0 * ({n0}) + w1 * ({n1}))"
+
+    for k in range(cfg.max_depth):
+        ctes += [
+            f"d{k} AS (SELECT t.node, x.f, x.v, count(*) AS c, sum(r.label)::BIGINT AS c1 FROM t{k} t JOIN x_rows r USING (udi) JOIN x USING (udi), b{k} WHERE t.node >= b{k}.first GROUP BY ALL)",
+            f"u{k} AS (SELECT *, sum(c) OVER p AS l, sum(c1) OVER p AS l1, sum(c) OVER q AS n, sum(c1) OVER q AS n1, lead(v) OVER (PARTITION BY node, f ORDER BY v) AS above "
+            f"FROM d{k} WINDOW p AS (PARTITION BY node, f ORDER BY v), q AS (PARTITION BY node, f))",
+            f"g{k} AS (SELECT *, {pure('l - l1', 'l1')} + {pure('(n - n1) - (l - l1)', 'n1 - l1')} AS gain FROM u{k}, w WHERE n1 > 0 AND n1 < n AND l >= {cfg.min_rows} AND n - l >= {cfg.min_rows})",
+            f"s{k} AS MATERIALIZED (SELECT node, f, CASE WHEN (v + above) / 2.0 >= above THEN v ELSE (v + above) / 2.0 END AS thr, b{k}.next + 2 * (row_number() OVER (ORDER BY node) - 1) AS child "
+            f"FROM (SELECT * FROM g{k} QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, f, v) = 1), b{k})",
+            f"b{k + 1} AS MATERIALIZED (SELECT next AS first, next + 2 * (SELECT count(*) FROM s{k}) AS next FROM b{k})",
+            f"t{k + 1} AS MATERIALIZED (SELECT t.udi, CASE WHEN s.node IS NULL THEN t.node ELSE s.child + CAST(e.v > s.thr AS INTEGER) END AS node FROM t{k} t LEFT JOIN s{k} s USING (node) LEFT JOIN every e ON e.udi = t.udi AND e.f = s.f)",
+        ]
+    splits = " UNION ALL ".join(f"SELECT * FROM s{k}" for k in range(cfg.max_depth))
+    ctes += [
+        f"splits AS MATERIALIZED ({splits})",
+        f"leaves AS MATERIALIZED (SELECT t.node, (w1 * sum(label)) / (w0 * sum(1 - label) + w1 * sum(label)) AS value FROM t{cfg.max_depth} t JOIN x_rows USING (udi), w GROUP BY t.node, w0, w1)",
+    ]
+    return ctes
+
+
+def tree_nodes_sql(cfg: TreeConfig) -> str:
+    return "WITH " + ",\n".join(tree_ctes(cfg)) + """
+SELECT 0 AS tree, CAST(node AS INTEGER) AS node, CAST(f AS INTEGER) AS feature, round(thr, 6) AS threshold, CAST(child AS INTEGER) AS left_node, CAST(child + 1 AS INTEGER) AS right_node, 0.0 AS value FROM splits
+UNION ALL SELECT 0, CAST(node AS INTEGER), -1, 0.0, -1, -1, round(value, 9) FROM leaves"""
+
+
+def model_tree_sql(cfg: TreeConfig) -> str:
+    """Validation metrics of the tree at its own threshold."""
+    ctes = [
+        *tree_ctes(cfg),
+        f"vs AS MATERIALIZED (SELECT 'decision_tree' AS model, r.label, l.value AS score FROM y_rows r JOIN t{cfg.max_depth} t USING (udi) JOIN leaves l USING (node))",
+        sweep_sql("vs", "model"), pick_sql("sw"), "vt AS (SELECT vs.*, pick.threshold AS picked FROM vs, pick)",
+        confusion_sql("vt", "model", "picked"), ranking_sql("vs", "model"),
+    ]
+    return "WITH " + ",\n".join(c.strip().rstrip(",") for c in ctes) + f"""
+SELECT cm.g AS model, round(pick.threshold, 6) AS threshold, {rates_select('cm.')}, rk.roc_auc, rk.average_precision, cm.tn, cm.fp, cm.fn, cm.tp
+FROM cm, pick, rk"""
+
+
+def forest_bootstrap_sql(trees: int, seed: int) -> str:
+    steps = ", ".join(repr(s) for s in poisson_steps())
+    return f"""WITH {MACHINE_SPLIT.strip().rstrip(',')},
+draws AS (
+  SELECT tree, machine_failure AS label,
+    len(list_filter([{steps}], lambda s: s <= CAST(CAST('0x' || substr(md5('{seed}:' || tree::VARCHAR || ':' || udi::VARCHAR), 1, 13) AS BIGINT) AS DOUBLE) / 4503599627370496.0)) AS m
+  FROM machine_split, range({trees}) AS r(tree) WHERE split = 'train')
+SELECT CAST(tree AS INTEGER) AS tree, count(*) AS rows, CAST(sum(m) AS BIGINT) AS draws, CAST(max(m) AS INTEGER) AS most, CAST(sum(m * label) AS BIGINT) AS positive_draws,
+  round(CASE WHEN sum(m * (1 - label)) = 0 THEN 0.0 ELSE CAST(sum(m) AS DOUBLE) / (2.0 * CAST(sum(m * (1 - label)) AS DOUBLE)) END, 9) AS w0,
+  round(CASE WHEN sum(m * label) = 0 THEN 0.0 ELSE CAST(sum(m) AS DOUBLE) / (2.0 * CAST(sum(m * label) AS DOUBLE)) END, 9) AS w1
+FROM draws WHERE m > 0 GROUP BY tree"""
+
+
+#: The tree of the comparison: depth 6, 8 rows in a node at least.
+TREE = TreeConfig(max_depth=6, min_rows=8)
 #: The registered learner queries that SQL can express.
 LEARNER_ORACLE = {
     "boosted_first_trees": first_boosted_trees_sql(2, BoostingConfig()),
+    "tree_nodes": tree_nodes_sql(TREE),
+    "model_tree": model_tree_sql(TREE),
+    "forest_bootstrap": forest_bootstrap_sql(250, 42),
 }

@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import col, rounded
 from ..operators.boosting import fit_boosted_trees
-from ..operators.candidates import CANDIDATE_ORDER, SCORE_COL, CandidateConfig, PriorScore, boosting_config, class_balance
+from ..operators.candidates import CANDIDATE_ORDER, SCORE_COL, CandidateConfig, PriorScore, boosting_config, class_balance, tree_config
+from ..operators.exact_trees import bootstrap, class_weights, fit_tree, training_table
 from ..operators.metrics import binary_metrics
 from ..operators.parity import score_parity
 from ..operators.scoring import predict_rows, score_rows
@@ -225,6 +226,21 @@ def boosted_first_trees(spark: SparkSession, sf: str) -> DataFrame:
     return node_table(fit_boosted_trees(exp.train, S.id_column, class_balance(exp.train).positive_weight(), cfg).nodes)
 
 
+def tree_nodes(spark: SparkSession, sf: str) -> DataFrame:
+    """The decision tree, node by node."""
+    exp = prepared(load_machine(spark, sf))
+    return node_table(fit_tree(exp.train, S.id_column, tree_config("decision_tree", exp.config, 0)).nodes)
+
+
+def forest_bootstrap(spark: SparkSession, sf: str) -> DataFrame:
+    """What each tree of the forest draws, and the class weights of its draw."""
+    exp = prepared(load_machine(spark, sf))
+    rows = bootstrap(training_table(exp.train, S.id_column, "label", "features"), exp.config.forest_trees, exp.seed)
+    counts = rows.groupBy("tree").agg(F.count(F.lit(1)).alias("rows"), F.sum(F.col("m").cast("long")).alias("draws"), F.max("m").alias("most"))
+    weights = class_weights(rows).select("tree", F.col("n1").alias("positive_draws"), rounded(F.col("w0"), 9).alias("w0"), rounded(F.col("w1"), 9).alias("w1"))
+    return counts.join(weights, "tree")
+
+
 def document_candidate_comparison(spark: SparkSession, sf: str) -> DataFrame:
     """The same experiment on labels joined to documents (toxic target)."""
     return reported(compare(prepared(load_documents(spark, sf), DOCUMENT_TASK), CANDIDATE_ORDER))
@@ -257,4 +273,6 @@ R_QUERIES = {
     "file_checksums": checksums,
     "document_candidate_comparison": document_candidate_comparison,
     "boosted_first_trees": boosted_first_trees,
+    "tree_nodes": tree_nodes,
+    "forest_bootstrap": forest_bootstrap,
 }

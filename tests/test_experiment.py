@@ -106,7 +106,7 @@ def test_boosted_configuration_is_frozen():
     from faultscore.operators.candidates import BOOSTED_PARAMETERS, ClassBalance, settings
 
     assert BOOSTED_PARAMETERS["n_estimators"] == 500 and BOOSTED_PARAMETERS["max_depth"] == 4
-    used = settings("boosted_trees", ClassBalance(100, 10), CandidateConfig(seed=17))
+    used = settings("boosted_trees", ClassBalance(100, 10), CandidateConfig(seed=17), 8)
     assert used["rounds"] == 500 and used["step"] == 0.05 and used["depth"] == 4 and used["seed"] == 17
     assert used["subsample"] == used["column_fraction"] == 0.8 and used["min_child_hessian"] == 2.0
     assert used["l2"] == 1.0 and used["l1"] == 0.0 and used["positive_weight"] == 9.0
