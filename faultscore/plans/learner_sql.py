@@ -51,13 +51,13 @@ def first_boosted_trees_sql(trees: int, cfg: BoostingConfig) -> str:
             k, up = f"{r}_{level}", f"{r}_{level + 1}"
             ctes += [
                 f"hist{k} AS (SELECT a.node, b.f, b.b, CAST(sum(g.g) AS DOUBLE) / (SELECT s FROM scale) AS g, CAST(sum(g.h) AS DOUBLE) / (SELECT s FROM scale) AS h "
-                f"FROM a{k} a JOIN g{r} g USING (udi) JOIN binned b USING (udi), base{k} WHERE g.kept AND a.node >= base{k}.first AND b.f IN ({columns}) GROUP BY ALL)",
+                f"FROM a{k} a JOIN g{r} g USING (udi) JOIN binned b USING (udi) WHERE g.kept AND a.node >= (SELECT first FROM base{k}) AND b.f IN ({columns}) GROUP BY ALL)",
                 f"cum{k} AS MATERIALIZED (SELECT node, f, b, sum(g) OVER u AS gl, sum(h) OVER u AS hl, sum(g) OVER t AS g, sum(h) OVER t AS h FROM hist{k} WINDOW u AS (PARTITION BY node, f ORDER BY b), t AS (PARTITION BY node, f))",
                 f"gain{k} AS (SELECT *, gl * gl / (hl + {cfg.l2}) + (g - gl) * (g - gl) / (h - hl + {cfg.l2}) - g * g / (h + {cfg.l2}) AS gain FROM cum{k} WHERE hl >= {cfg.min_child_hessian} AND h - hl >= {cfg.min_child_hessian})",
                 f"best{k} AS (SELECT * FROM gain{k} WHERE gain > {LEAST_GAIN} QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, f, b) = 1)",
-                f"split{k} AS MATERIALIZED (SELECT best{k}.*, base{k}.next + 2 * (row_number() OVER (ORDER BY node) - 1) AS child FROM best{k}, base{k})",
+                f"split{k} AS MATERIALIZED (SELECT *, (SELECT next FROM base{k}) + 2 * (row_number() OVER (ORDER BY node) - 1) AS child FROM best{k})",
                 f"base{up} AS MATERIALIZED (SELECT next AS first, next + 2 * (SELECT count(*) FROM split{k}) AS next FROM base{k})",
-                f"a{up} AS MATERIALIZED (SELECT a.udi, CASE WHEN s.node IS NULL THEN a.node ELSE s.child + CAST(b.b > s.b AS INTEGER) END AS node FROM a{k} a LEFT JOIN split{k} s USING (node) LEFT JOIN binned b ON b.udi = a.udi AND b.f = s.f)",
+                f"a{up} AS MATERIALIZED (SELECT a.udi, s.child + CAST(b.b > s.b AS INTEGER) AS node FROM a{k} a JOIN split{k} s USING (node) JOIN binned b ON b.udi = a.udi AND b.f = s.f UNION ALL SELECT udi, node FROM a{k} WHERE node NOT IN (SELECT node FROM split{k}))",
             ]
         splits = " UNION ALL ".join(f"SELECT * FROM split{r}_{level}" for level in range(cfg.depth))
         ctes += [
@@ -88,12 +88,12 @@ def tree_ctes(cfg: TreeConfig) -> list[str]:
 
     for k in range(cfg.max_depth):
         ctes += [
-            f"d{k} AS (SELECT t.node, x.f, x.v, count(*) AS c, sum(r.label)::BIGINT AS c1 FROM t{k} t JOIN x_rows r USING (udi) JOIN x USING (udi), b{k} WHERE t.node >= b{k}.first GROUP BY ALL)",
+            f"d{k} AS (SELECT t.node, x.f, x.v, count(*) AS c, sum(r.label)::BIGINT AS c1 FROM t{k} t JOIN x_rows r USING (udi) JOIN x USING (udi) WHERE t.node >= (SELECT first FROM b{k}) GROUP BY ALL)",
             f"u{k} AS (SELECT *, sum(c) OVER p AS l, sum(c1) OVER p AS l1, sum(c) OVER q AS n, sum(c1) OVER q AS n1, lead(v) OVER (PARTITION BY node, f ORDER BY v) AS above "
             f"FROM d{k} WINDOW p AS (PARTITION BY node, f ORDER BY v), q AS (PARTITION BY node, f))",
             f"g{k} AS (SELECT *, {pure('l - l1', 'l1')} + {pure('(n - n1) - (l - l1)', 'n1 - l1')} AS gain FROM u{k}, w WHERE n1 > 0 AND n1 < n AND l >= {cfg.min_rows} AND n - l >= {cfg.min_rows})",
-            f"s{k} AS MATERIALIZED (SELECT node, f, CASE WHEN (v + above) / 2.0 >= above THEN v ELSE (v + above) / 2.0 END AS thr, b{k}.next + 2 * (row_number() OVER (ORDER BY node) - 1) AS child "
-            f"FROM (SELECT * FROM g{k} QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, f, v) = 1), b{k})",
+            f"s{k} AS MATERIALIZED (SELECT node, f, CASE WHEN (v + above) / 2.0 >= above THEN v ELSE (v + above) / 2.0 END AS thr, (SELECT next FROM b{k}) + 2 * (row_number() OVER (ORDER BY node) - 1) AS child "
+            f"FROM (SELECT * FROM g{k} QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, f, v) = 1))",
             f"b{k + 1} AS MATERIALIZED (SELECT next AS first, next + 2 * (SELECT count(*) FROM s{k}) AS next FROM b{k})",
             f"t{k + 1} AS MATERIALIZED (SELECT t.udi, CASE WHEN s.node IS NULL THEN t.node ELSE s.child + CAST(e.v > s.thr AS INTEGER) END AS node FROM t{k} t LEFT JOIN s{k} s USING (node) LEFT JOIN every e ON e.udi = t.udi AND e.f = s.f)",
         ]
