@@ -2,18 +2,19 @@
 
 Every fitted candidate ends in a stage that writes ``score`` = probability
 of class 1 as a double column, so metrics, thresholds and scoring treat
-all candidates alike.  The reference's estimators are re-aimed at MLlib:
+all candidates alike.  Each has the reference's configuration:
 
 * majority_baseline  - the training positive rate for every row
-* logistic_regression - balanced class weights, C = 1 (regParam = 1/sum(w))
+* logistic_regression - balanced class weights, C = 1, Newton steps (``newton``;
+                       MLlib's L-BFGS for vectors too wide for a Gram matrix)
 * decision_tree      - exact cuts (``exact_trees``), depth 6, min 8 rows per
                        node, balanced weights
 * random_forest      - 250 exact trees without a depth limit, min 2 rows per
                        node, sqrt features, weights balanced in each bootstrap
 * boosted_trees      - second-order boosting on histograms (``boosting``) in
                        the frozen configuration, positives weighted neg/pos
-* mlp                - 8 -> 24 -> 2 perceptron (comparison only; MLlib has
-                       no weight column, so positives are replicated)
+* mlp                - 24 ReLU units, dropout, mini-batches (``network``; for
+                       comparison only)
 """
 
 from __future__ import annotations
@@ -24,10 +25,7 @@ from typing import Any
 
 from pyspark import SparkContext, keyword_only
 from pyspark.ml import Estimator, Model, Transformer
-from pyspark.ml.classification import (
-    LogisticRegression,
-    MultilayerPerceptronClassifier,
-)
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasLabelCol, HasOutputCol
@@ -38,6 +36,8 @@ from pyspark.sql import functions as F
 from ..functions.columns import col, hash_key
 from .boosting import BoostingConfig, fit_boosted_trees
 from .exact_trees import TreeConfig, fit_forest, fit_tree
+from .network import NetworkConfig, fit_network
+from .newton import WIDEST, fit_logistic
 from .preprocess import FEATURES_COL
 
 LABEL_COL = "label"
@@ -139,9 +139,8 @@ class CandidateConfig:
 
     seed: int = 42
     logistic_max_iter: int = 2000
-    # Each L-BFGS iteration is a full pass over the training rows; MLlib's
-    # default tolerance converges in tens of passes.
-    logistic_tol: float = 1e-6
+    # Largest mean gradient at the solution.
+    logistic_tol: float = 1e-12
     tree_depth: int = 6
     tree_min_rows: int = 8
     forest_trees: int = 250
@@ -180,12 +179,6 @@ class CandidateConfig:
     fit_share: float | None = None
 
 
-def weight_column(name: str, balance: ClassBalance) -> Column | None:
-    if name == "logistic_regression":
-        return balance.balanced_weight()
-    return None
-
-
 def training_rows(train: DataFrame, id_column: str, config: CandidateConfig) -> DataFrame:
     """The rows to fit, in the layout that the configuration names."""
     if config.fit_share is not None:
@@ -195,34 +188,27 @@ def training_rows(train: DataFrame, id_column: str, config: CandidateConfig) ->
     return train.repartition(parts, col(id_column)).sortWithinPartitions(col(id_column))
 
 
-def make_estimator(name: str, balance: ClassBalance, config: CandidateConfig) -> Estimator:
-    """One MLlib estimator reading ``features``/``label``/``class_weight``."""
-    common = {"featuresCol": FEATURES_COL, "labelCol": LABEL_COL}
-    if name == "majority_baseline":
-        return PriorScore(labelCol=LABEL_COL)
-    if name == "logistic_regression":
-        # Balanced weights sum to the row count, so C = 1 becomes 1 / rows.
-        return LogisticRegression(
-            **common, weightCol=WEIGHT_COL, maxIter=config.logistic_max_iter,
-            regParam=1.0 / balance.rows, elasticNetParam=0.0, standardization=False, tol=config.logistic_tol,
-        )
-    if name == "mlp":
-        return MultilayerPerceptronClassifier(
-            **common, layers=[0, config.mlp_hidden, 2], maxIter=config.mlp_epochs, seed=config.seed,
-        )
-    raise ValueError(f"unknown candidate: {name}")
+def wide_logistic(balance: ClassBalance, config: CandidateConfig) -> LogisticRegression:
+    """C = 1 is a penalty of 1 / rows there, as balanced weights sum to the rows."""
+    return LogisticRegression(
+        featuresCol=FEATURES_COL, labelCol=LABEL_COL, weightCol=WEIGHT_COL, maxIter=config.logistic_max_iter,
+        regParam=1.0 / balance.rows, elasticNetParam=0.0, standardization=False, tol=config.logistic_tol,
+    )
 
 
 def settings(name: str, balance: ClassBalance, config: CandidateConfig, width: int) -> dict[str, Any]:
     """The parameters that a candidate is fitted with."""
+    if name == "logistic_regression":
+        return {"c": 1.0, "class_weight": "balanced", "max_steps": config.logistic_max_iter, "tolerance": config.logistic_tol}
     if name == "decision_tree":
         return asdict(tree_config(name, config, width))
     if name == "random_forest":
         return {"trees": config.forest_trees, **asdict(tree_config(name, config, width))}
     if name == "boosted_trees":
         return {**asdict(boosting_config(config)), "positive_weight": balance.positive_weight()}
-    estimator = make_estimator(name, balance, config)
-    return {p.name: v for p, v in sorted(estimator._paramMap.items(), key=lambda x: x[0].name)}
+    if name == "mlp":
+        return {**asdict(network_config(config)), "positive_weight": balance.positive_weight()}
+    return {"strategy": "prior"}
 
 
 def writes_probability(model: Model) -> bool:
@@ -230,16 +216,8 @@ def writes_probability(model: Model) -> bool:
     return model.hasParam("probabilityCol")
 
 
-def with_training_columns(features: DataFrame, name: str, balance: ClassBalance) -> DataFrame:
-    weight = weight_column(name, balance)
-    return features.withColumn(WEIGHT_COL, weight) if weight is not None else features
-
-
-def replicate_positives(features: DataFrame, balance: ClassBalance) -> DataFrame:
-    """Positive rows repeated round(neg/pos) times (MLP has no weights)."""
-    copies = max(1, int(round(balance.positive_weight())))
-    repeat = F.when(F.col(LABEL_COL) == 1, F.lit(copies)).otherwise(F.lit(1))
-    return features.withColumn("_copy", F.explode(F.sequence(F.lit(1), repeat))).drop("_copy")
+def network_config(config: CandidateConfig) -> NetworkConfig:
+    return NetworkConfig(hidden=config.mlp_hidden, epochs=config.mlp_epochs, seed=config.seed, block_rows=config.boosted_block_rows)
 
 
 def boosting_config(config: CandidateConfig) -> BoostingConfig:
@@ -258,19 +236,23 @@ def tree_config(name: str, config: CandidateConfig, width: int) -> TreeConfig:
 
 def fit_candidate(name: str, features: DataFrame, balance: ClassBalance, config: CandidateConfig, width: int, id_column: str):
     """Fit one candidate on featurized training rows; returns (model, extra)."""
-    if name == "boosted_trees":
-        return fit_boosted_trees(features, id_column, balance.positive_weight(), boosting_config(config), LABEL_COL), {}
+    if name == "majority_baseline":
+        return PriorScore(labelCol=LABEL_COL).fit(features), {}
+    if name == "logistic_regression" and width <= WIDEST:
+        return fit_logistic(features, balance.balanced_weight(), LABEL_COL, FEATURES_COL, tolerance=config.logistic_tol, max_steps=config.logistic_max_iter)
+    if name == "logistic_regression":
+        weighted = features.withColumn(WEIGHT_COL, balance.balanced_weight())
+        return without_summary(wide_logistic(balance, config).fit(weighted)), {}
     if name == "decision_tree":
         return fit_tree(features, id_column, tree_config(name, config, width), LABEL_COL), {}
     if name == "random_forest":
         return fit_forest(features, id_column, config.forest_trees, tree_config(name, config, width), LABEL_COL), {}
-    estimator = make_estimator(name, balance, config)
+    if name == "boosted_trees":
+        return fit_boosted_trees(features, id_column, balance.positive_weight(), boosting_config(config), LABEL_COL), {}
     if name == "mlp":
-        estimator.setLayers([width, config.mlp_hidden, 2])
-        model = estimator.fit(replicate_positives(features, balance))
-        history = list(model.summary().objectiveHistory) if model.hasSummary else []
-        return without_summary(model), {"objective_history": history}
-    return without_summary(estimator.fit(with_training_columns(features, name, balance))), {}
+        model, losses = fit_network(features, id_column, balance.positive_weight(), network_config(config), LABEL_COL)
+        return model, {"objective_history": losses}
+    raise ValueError(f"unknown candidate: {name}")
 
 
 def without_summary(model: Model) -> Model:

@@ -30,6 +30,7 @@ from ..operators.candidates import (
     ProbabilityScore,
     class_balance,
     fit_candidate,
+    network_config,
     settings,
     training_rows,
     writes_probability,
@@ -271,7 +272,7 @@ def run_experiment(
 
 
 def mlp_comparison(exp: Experiment) -> dict:
-    """perceptron fitted on train, threshold from validation, measured on
+    """network fitted on train, threshold from validation, measured on
     validation and test; it stands outside the selection."""
     fit_missing(exp, ("mlp",))
     model, history = exp.models["mlp"], exp.extras["mlp"].get("objective_history", [])
@@ -279,9 +280,10 @@ def mlp_comparison(exp: Experiment) -> dict:
     t = float(select_threshold(score(VALIDATION), LABEL_COL, SCORE_COL).first()["threshold"])
     measured = {part: metrics_record(binary_metrics(score(part), LABEL_COL, SCORE_COL, t).first().asDict()) for part in (VALIDATION, TEST)}
     return {
-        "layers": [len(exp.stats.vector_names(exp.spec)), exp.config.mlp_hidden, 2],
-        "hidden_activation": "sigmoid",
-        "max_iterations": exp.config.mlp_epochs,
+        "layers": [len(exp.stats.vector_names(exp.spec)), exp.config.mlp_hidden, 1],
+        "hidden_activation": "ReLU",
+        "dropout": network_config(exp.config).dropout,
+        "epochs": exp.config.mlp_epochs,
         "objective": {"first": history[0] if history else None, "last": history[-1] if history else None},
         "threshold": t,
         "metrics": measured,

@@ -142,6 +142,8 @@ TREE = TreeConfig(max_depth=6, min_rows=8)
 #: The registered learner queries that SQL can express.
 LEARNER_ORACLE = {
     "boosted_first_trees": first_boosted_trees_sql(2, BoostingConfig()),
+    # the condition that the solution meets; the coefficients themselves have no closed form
+    "logistic_gradient": f"SELECT CAST(unnest(range({WIDTH + 1})) AS INTEGER) AS position, CAST(0.0 AS DOUBLE) AS gradient",
     "tree_nodes": tree_nodes_sql(TREE),
     "model_tree": model_tree_sql(TREE),
     "forest_bootstrap": forest_bootstrap_sql(250, 42),

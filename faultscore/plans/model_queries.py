@@ -15,12 +15,13 @@ import uuid
 from dataclasses import dataclass, replace
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import col, rounded
 from ..operators.boosting import fit_boosted_trees
-from ..operators.candidates import CANDIDATE_ORDER, SCORE_COL, CandidateConfig, PriorScore, boosting_config, class_balance, tree_config
+from ..operators.candidates import CANDIDATE_ORDER, LABEL_COL, SCORE_COL, CandidateConfig, PriorScore, boosting_config, class_balance, tree_config
 from ..operators.exact_trees import bootstrap, class_weights, fit_tree, training_table
 from ..operators.metrics import binary_metrics
 from ..operators.parity import score_parity
@@ -36,6 +37,7 @@ from .experiment import (
     Experiment,
     compare,
     evaluate_chosen,
+    fit_missing,
     importance_of_chosen,
     prepare,
     test_predictions,
@@ -241,6 +243,19 @@ def forest_bootstrap(spark: SparkSession, sf: str) -> DataFrame:
     return counts.join(weights, "tree")
 
 
+def logistic_gradient(spark: SparkSession, sf: str) -> DataFrame:
+    """The gradient of the penalised loss at the fitted coefficients, a mean over
+    the training rows, worked out row by row without the solver: zero."""
+    exp = prepared(load_machine(spark, sf))
+    fit_missing(exp, ("logistic_regression",))
+    model, balance = exp.models["logistic_regression"], class_balance(exp.train)
+    beta = [*model.getOrDefault("coefficients"), 0.0]
+    rows = model.transform(exp.train).select(F.concat(vector_to_array("features"), F.array(F.lit(1.0))).alias("x"), (balance.balanced_weight() * (F.col(SCORE_COL) - F.col(LABEL_COL))).alias("e"))
+    each = rows.select(F.posexplode("x").alias("position", "x"), "e").groupBy("position").agg(F.sum(F.col("x") * F.col("e")).alias("g"))
+    penalty = F.element_at(F.array(*[F.lit(float(b)) for b in beta]), F.col("position") + 1)
+    return each.select("position", (rounded((F.col("g") + penalty) / F.lit(float(balance.rows)), 8) + F.lit(0.0)).alias("gradient"))
+
+
 def document_candidate_comparison(spark: SparkSession, sf: str) -> DataFrame:
     """The same experiment on labels joined to documents (toxic target)."""
     return reported(compare(prepared(load_documents(spark, sf), DOCUMENT_TASK), CANDIDATE_ORDER))
@@ -274,5 +289,6 @@ R_QUERIES = {
     "document_candidate_comparison": document_candidate_comparison,
     "boosted_first_trees": boosted_first_trees,
     "tree_nodes": tree_nodes,
+    "logistic_gradient": logistic_gradient,
     "forest_bootstrap": forest_bootstrap,
 }
