@@ -64,6 +64,12 @@ def _scale(std: float | None, mean: float) -> float:
     return std
 
 
+def steady(value: float) -> float:
+    """Twelve digits: what the order of a sum leaves behind that would tip a value
+    that lies on a cut of a tree to either side."""
+    return float(f"{value:.11e}")
+
+
 def fit_stats(train: DataFrame, spec: TaskSpec) -> PreprocessStats:
     """Learn every statistic from the training rows.
 
@@ -91,8 +97,8 @@ def fit_stats(train: DataFrame, spec: TaskSpec) -> PreprocessStats:
             *[F.avg(x).alias(f"mean_{i}") for i, x in enumerate(imputed)],
             *[F.stddev_pop(x).alias(f"std_{i}") for i, x in enumerate(imputed)],
         ).first()
-    means = {c: float(moments[f"mean_{i}"]) for i, c in enumerate(spec.numeric)}
-    scales = {c: _scale(moments[f"std_{i}"], means[c]) for i, c in enumerate(spec.numeric)}
+    means = {c: steady(moments[f"mean_{i}"]) for i, c in enumerate(spec.numeric)}
+    scales = {c: steady(_scale(moments[f"std_{i}"], means[c])) for i, c in enumerate(spec.numeric)}
     modes, categories = {}, {}
     for c in spec.categorical:
         counted = (

@@ -9,6 +9,7 @@ from __future__ import annotations
 from ..operators.boosting import BoostingConfig, LEAST_GAIN, columns_of_round, multiplier
 from ..operators.exact_trees import TreeConfig, poisson_steps
 from ..schema import MACHINE_TASK as S
+from .catalog import ORACLE
 from .oracle_sql import MACHINE_SPLIT, confusion_sql, pick_sql, ranking_sql, rates_select, sweep_sql
 
 CATEGORIES = ("H", "L", "M")
@@ -18,7 +19,8 @@ WIDTH = len(S.numeric) + len(CATEGORIES)
 def long_features_sql(part: str = "train", name: str = "x") -> str:
     """CTEs ``rows`` (udi, label) and ``x`` (udi, f, v) of a split, scaled by the training rows."""
     train = "(SELECT * FROM machine_split WHERE split = 'train')"
-    z = [f"SELECT udi, {i} AS f, ({c} - (SELECT avg({c}) FROM {train})) / (SELECT stddev_pop({c}) FROM {train}) + 0.0 AS v FROM machine_split WHERE split = '{part}'" for i, c in enumerate(S.numeric)]
+    steady = lambda x: f"(SELECT CAST(format('{{:.11e}}', {x}) AS DOUBLE) FROM {train})"
+    z = [f"SELECT udi, {i} AS f, ({c} - {steady(f'avg({c})')}) / {steady(f'stddev_pop({c})')} + 0.0 AS v FROM machine_split WHERE split = '{part}'" for i, c in enumerate(S.numeric)]
     z += [f"SELECT udi, {len(S.numeric) + j} AS f, CAST(type = '{v}' AS DOUBLE) AS v FROM machine_split WHERE split = '{part}'" for j, v in enumerate(CATEGORIES)]
     return f"{name}_rows AS MATERIALIZED (SELECT udi, machine_failure AS label FROM machine_split WHERE split = '{part}'),\n{name} AS MATERIALIZED (" + "\nUNION ALL ".join(z) + ")"
 
@@ -144,6 +146,12 @@ LEARNER_ORACLE = {
     "boosted_first_trees": first_boosted_trees_sql(2, BoostingConfig()),
     # the condition that the solution meets; the coefficients themselves have no closed form
     "logistic_gradient": f"SELECT CAST(unnest(range({WIDTH + 1})) AS INTEGER) AS position, CAST(0.0 AS DOUBLE) AS gradient",
+    # the same rows through CSV files
+    "scan_labelled_csv": ORACLE["scan_labelled"],
+    "batch_score_csv": ORACLE["batch_score_linear"],
+    "report_summary": "WITH " + MACHINE_SPLIT.strip().rstrip(",") + """
+SELECT split AS part, count(*) AS rows, CAST(sum(machine_failure) AS BIGINT) AS positive_rows, round(avg(CAST(machine_failure AS DOUBLE)), 6) AS positive_rate FROM machine_split GROUP BY split
+UNION ALL SELECT 'audit', count(*), CAST(sum(machine_failure) AS BIGINT), round(avg(CAST(machine_failure AS DOUBLE)), 6) FROM machine_split""",
     "tree_nodes": tree_nodes_sql(TREE),
     "model_tree": model_tree_sql(TREE),
     "forest_bootstrap": forest_bootstrap_sql(250, 42),

@@ -25,7 +25,8 @@ from ..operators.candidates import CANDIDATE_ORDER, LABEL_COL, SCORE_COL, Candid
 from ..operators.exact_trees import bootstrap, class_weights, fit_tree, training_table
 from ..operators.metrics import binary_metrics
 from ..operators.parity import score_parity
-from ..operators.scoring import predict_rows, score_rows
+from ..operators.scoring import predict_rows, score_rows, write_predictions
+from ..operators.split import split_summary
 from ..operators.threshold import select_threshold
 from ..schema import DOCUMENT_TASK, TaskSpec
 from ..schema import MACHINE_TASK as S
@@ -33,8 +34,10 @@ from ..session import ensure_checkpoint_dir
 from ..sources.adapters import load_documents, load_machine
 from ..sources.bundle import Bundle, load_bundle, save_bundle
 from ..sources.checksums import file_checksums
+from ..sources.csv import read_labelled_csv, read_scoring_csv
 from .experiment import (
     Experiment,
+    build_report,
     compare,
     evaluate_chosen,
     fit_missing,
@@ -141,21 +144,26 @@ def permutation_importance_model(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def experiment_report(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole report of the training run, importance included."""
     exp = experiment(spark, sf)
-    report = {
-        "selected_model": exp.chosen,
-        "selected_threshold": exp.threshold,
-        "validation_candidates": exp.validation_metrics,
-        "test_metrics": exp.test_metrics,
-        "dataset_audit": exp.audit,
-    }
-    test = exp.test_metrics
+    if exp.importance is None:
+        exp.importance = [r.asDict() for r in importance_of_chosen(exp, 10).collect()]
+    report, test = build_report(exp), exp.test_metrics
     return spark.createDataFrame(
         [(exp.chosen, exp.threshold, test["average_precision"], test["f1"], json.dumps(report, sort_keys=True))],
         "selected_model string, selected_threshold double, test_average_precision double, test_f1 double, report string",
     )
 
 
+def report_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """The parts of the report that no trained model has a share in: rows,
+    positives and rate of each split, and the audit of the table."""
+    exp = prepared(load_machine(spark, sf))
+    parts = split_summary(exp.split, S.target).select(F.col("split").alias("part"), "rows", "positive_rows", rounded(F.col("positive_rate")).alias("positive_rate"))
+    audit = spark.createDataFrame([("audit", exp.audit["rows"], exp.audit["positive_rows"], float(exp.audit["positive_rate"]))], "part string, rows long, positive_rows long, positive_rate double")
+    return parts.unionByName(audit.withColumn("positive_rate", rounded(F.col("positive_rate"))))
+
+
 def _bundle_dir(spark: SparkSession, name: str) -> str:
     return os.path.join(ensure_checkpoint_dir(spark), "bundles", f"{name}-{uuid.uuid4().hex}")
 
@@ -196,13 +204,18 @@ def bundle_roundtrip_check(spark: SparkSession, sf: str) -> DataFrame:
     return bundle_roundtrip(spark, sf).select("rows_matched", "unmatched_a", "unmatched_b", rounded(F.col("max_abs_difference"), 12).alias("max_abs_difference"))
 
 
-def batch_score_linear(spark: SparkSession, sf: str) -> DataFrame:
-    """Prior-rate model through the full bundle path (SQL-checkable)."""
-    exp = prepared(load_machine(spark, sf))
+def prior_scorer(exp: Experiment) -> tuple[PipelineModel, float]:
+    """Preprocessing and the training rate, with its validation threshold."""
     prior = PriorScore().fit(exp.part("train"))
     scorer = PipelineModel(stages=list(exp.preprocessor.stages) + [prior])
     val = score_rows(scorer, exp.raw_part("validation"), S.features, keep=[S.target])
-    t = float(select_threshold(val, S.target, SCORE_COL).first()["threshold"])
+    return scorer, float(select_threshold(val, S.target, SCORE_COL).first()["threshold"])
+
+
+def batch_score_linear(spark: SparkSession, sf: str) -> DataFrame:
+    """Prior-rate model through the full bundle path (SQL-checkable)."""
+    exp = prepared(load_machine(spark, sf))
+    scorer, t = prior_scorer(exp)
     path = _bundle_dir(spark, "majority_baseline")
     save_bundle(spark, Bundle(scorer, t, S.features, "majority_baseline", exp.seed), path)
     bundle = load_bundle(spark, path, S.features)
@@ -210,6 +223,39 @@ def batch_score_linear(spark: SparkSession, sf: str) -> DataFrame:
     return preds.select("udi", rounded(F.col("failure_probability")).alias("failure_probability"), "predicted_failure")
 
 
+def written_csv(table: DataFrame, name: str) -> str:
+    """The table as headed CSV in the shared folder, the last column first and a
+    byte-order mark before the header, as spreadsheets write it."""
+    columns = [table.columns[-1], *table.columns[:-1]]
+    path = os.path.join(ensure_checkpoint_dir(table.sparkSession), "csv", f"{name}-{uuid.uuid4().hex}")
+    marked = table.select(*[col(c) for c in columns]).withColumnRenamed(columns[0], "\ufeff" + columns[0])
+    marked.write.option("header", True).csv(path)
+    return path
+
+
+def scan_labelled_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """The machine table through a CSV file and its audited reader."""
+    machine = load_machine(spark, sf)
+    table = read_labelled_csv(spark, written_csv(machine.withColumn("not_asked_for", F.lit("x, \"y\"")), "labelled"), S)
+    return table.select(*[col(f.name).cast(f.dataType).alias(f.name) for f in machine.schema.fields])
+
+
+def batch_score_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """Test rows through a CSV file, the saved prior-rate model and the
+    prediction file, which is read back."""
+    exp = prepared(load_machine(spark, sf))
+    scorer, t = prior_scorer(exp)
+    path = _bundle_dir(spark, "majority_baseline_csv")
+    save_bundle(spark, Bundle(scorer, t, S.features, "majority_baseline", exp.seed), path)
+    bundle = load_bundle(spark, path, S.features)
+    rows = read_scoring_csv(spark, written_csv(exp.raw_part("test").select("udi", *S.features), "scoring"), S)
+    preds = predict_rows(bundle.model, bundle.threshold, rows, S.features, keep=["udi"])
+    out = os.path.join(ensure_checkpoint_dir(spark), "csv", f"predictions-{uuid.uuid4().hex}")
+    write_predictions(preds, out, "csv")
+    back = spark.read.option("header", True).schema("udi long, failure_probability double, predicted_failure int").csv(out)
+    return back.select("udi", rounded(F.col("failure_probability")).alias("failure_probability"), "predicted_failure")
+
+
 def checksums(spark: SparkSession, sf: str) -> DataFrame:
     sums = file_checksums(spark, sf, "*.parquet")
     return sums.select(F.col("path").alias("file"), "length", "sha256")
@@ -285,6 +331,9 @@ R_QUERIES = {
     "bundle_roundtrip": bundle_roundtrip,
     "bundle_roundtrip_check": bundle_roundtrip_check,
     "batch_score_linear": batch_score_linear,
+    "report_summary": report_summary,
+    "scan_labelled_csv": scan_labelled_csv,
+    "batch_score_csv": batch_score_csv,
     "file_checksums": checksums,
     "document_candidate_comparison": document_candidate_comparison,
     "boosted_first_trees": boosted_first_trees,
