@@ -15,6 +15,7 @@ from __future__ import annotations
 import os
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import keyword_only
 from pyspark.ml import Model
@@ -102,10 +103,8 @@ class TreeEnsembleModel(Model, HasFeaturesCol, HasOutputCol, DefaultParamsReadab
         return _EnsembleReader(cls)
 
     def copy(self, extra=None):
-        return super().copy(extra).with_nodes(self.nodes)
-
-    def _probability(self, total: np.ndarray) -> np.ndarray:
-        return self._finish()(total)
+        other = super().copy(extra)
+        return other if self.nodes is None else other.with_nodes(self.nodes)
 
     def _finish(self):
         base, trees, sigmoid = self.getOrDefault("base"), self.getOrDefault("trees"), self.getOrDefault("link") == "sigmoid"
@@ -119,7 +118,7 @@ class TreeEnsembleModel(Model, HasFeaturesCol, HasOutputCol, DefaultParamsReadab
         if small:
             pdf = self.nodes.toPandas().sort_values(["tree", "node"])
             held = dataset.sparkSession.sparkContext.broadcast({c: pdf[c].to_numpy() for c in NODE_COLUMNS})
-            probability = F.pandas_udf(lambda x: _as_series(finish(tree_sums(_stacked(x), held.value))), "double")
+            probability = F.pandas_udf(lambda x: pd.Series(finish(tree_sums(_stacked(x), held.value))), "double")
             return rows.withColumn(out, probability("__x")).drop("__x")
         return self._streamed(rows, given, finish).drop("__x")
 
@@ -178,9 +177,3 @@ class TreeEnsembleModel(Model, HasFeaturesCol, HasOutputCol, DefaultParamsReadab
 
 def _stacked(x) -> np.ndarray:
     return np.stack(x.to_numpy()) if len(x) else np.zeros((0, 0))
-
-
-def _as_series(values: np.ndarray):
-    import pandas as pd
-
-    return pd.Series(values)
