@@ -127,7 +127,9 @@ class TreeEnsembleModel(Model, HasFeaturesCol, HasOutputCol, DefaultParamsReadab
         spark, out = rows.sparkSession, self.getOutputCol()
         blocks = max(1, -(-rows.count() // BLOCK_ROWS))
         held = rows.select(F.struct(*[F.col(f"`{c}`") for c in given]).alias("row"), F.col("__x").alias("x"), *[F.lit(None).cast(t.split()[1]).alias(t.split()[0]) for t in NODE_SCHEMA.split(", ")])
-        held = held.withColumns({"block": F.pmod(F.xxhash64("x"), F.lit(blocks)), "kind": F.lit(0)})
+        # by all plain columns, so that rows of one feature vector are spread too
+        plain = [f"row.`{c}`" for c, t in rows.dtypes if c in given and not t.startswith(("map", "vector", "array", "struct"))]
+        held = held.withColumns({"block": F.pmod(F.xxhash64("x", *plain), F.lit(blocks)), "kind": F.lit(0)})
         trees = self.nodes.select(F.lit(None).cast(held.schema["row"].dataType).alias("row"), F.lit(None).cast("array<double>").alias("x"), *NODE_COLUMNS, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"), F.lit(1).alias("kind"))
         dealt = held.unionByName(trees).repartition(blocks, "block").sortWithinPartitions("block", "kind", "tree", "node")
 
