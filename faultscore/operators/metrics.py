@@ -3,12 +3,10 @@
 Everything starts from the distinct-score table D = (group..., score, n,
 pos): one aggregation with map-side combine.  Ranking metrics need prefix
 sums in descending score order; instead of one window per group (a single
-task holding every distinct score) D is cut into fixed score ranges: the
-power of two of a score and an equal part of it, so that the ranges are
-known without looking at the data and are narrow where scores are small.
-Per-range totals are prefix-summed (a bounded number of rows per group) and
-the exact prefix sums inside a range run as windows partitioned by
-(group, range), so the sort work spreads over all tasks.
+task holding every distinct score) D is dealt by range of (group, score), cut
+where the distinct scores lie and not at fixed values, so that scores that
+crowd around one rate spread over all tasks as well.  Each range is summed by
+itself and starts at the total of the ranges above it (``prefix_sums``).
 
 Average precision is the step sum  sum_i (R_i - R_{i-1}) P_i  over distinct
 scores (not the trapezoid); ROC-AUC counts ties as one half and is NULL when
@@ -19,13 +17,12 @@ must describe all rows.  Results are full doubles.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import col, ratio
+from .prefix_sums import prefix_sums
 
-#: Equal parts of each power of two that a score range is.
-RANGES_PER_OCTAVE = 4096
 # Fixed text: what a vector length mismatch is reported as.
 MISMATCH = "labels and probabilities must be matching vectors"
 
@@ -50,58 +47,16 @@ def score_table(
     return df.groupBy(*keys, p.alias("score")).agg(F.count(F.lit(1)).alias("n"), F.sum(y).alias("pos"))
 
 
-def score_range(score: Column, parts: int = RANGES_PER_OCTAVE) -> Column:
-    """A number that never falls as the score rises.
-
-    log2 may round a score just below a power of two up to it; its part is
-    then negative, which still sorts between the two octaves.
-    """
-    size = F.abs(score)
-    octave = F.floor(F.log2(size))
-    part = F.floor((size / F.pow(F.lit(2.0), octave) - 1) * parts)
-    place = (octave + 2000) * (4 * parts) + part
-    return F.when(score == 0, F.lit(0)).when(score > 0, place).otherwise(-place).cast("long")
-
-
-def ranking_table(table: DataFrame, by: list[str], parts: int = RANGES_PER_OCTAVE) -> DataFrame:
+def ranking_table(table: DataFrame, by: list[str], parts: int | None = None) -> DataFrame:
     """Per distinct score: tp / pp at that score (inclusive, descending order),
     group totals P and N."""
-    keys = [col(b) for b in by]
-    data = table.withColumn("_range", score_range(F.col("score"), parts))
-    # Within-range prefix sums first, straight on D, so the window is
-    # partitioned by (group, range) itself and not by whatever partitioning
-    # a later join would leave behind (a group-only or single partition
-    # would also "satisfy" the window and put a whole group in one task).
-    inside = Window.partitionBy(*keys, "_range").orderBy(F.col("score").desc())
-    local = data.withColumns({"tp_in": F.sum("pos").over(inside), "pp_in": F.sum("n").over(inside)})
-    # Per-range offsets: one row per (group, range) in use.
-    totals = data.groupBy(*keys, "_range").agg(F.sum("n").alias("b_n"), F.sum("pos").alias("b_pos"))
-    down = Window.partitionBy(*keys).orderBy(F.col("_range").desc())
-    whole = Window.partitionBy(*keys)
-    # Named apart from the score table's columns: group keys may be NULL, so
-    # the join compares them null-safely, which takes a condition.
-    apart = [col(b).alias(f"_group_{i}") for i, b in enumerate(by)]
-    totals = totals.select(
-        *apart,
-        F.col("_range").alias("_offset_range"),
-        (F.sum("b_n").over(down) - F.col("b_n")).alias("n_before"),
-        (F.sum("b_pos").over(down) - F.col("b_pos")).alias("pos_before"),
-        F.sum("b_n").over(whole).alias("n_total"),
-        F.sum("b_pos").over(whole).alias("p_total"),
-    )
-    same = F.col("_range") == F.col("_offset_range")
-    for i, b in enumerate(by):
-        same = same & col(b).eqNullSafe(F.col(f"_group_{i}"))
-    return (
-        local.join(totals, same)
-        .withColumn("tp", F.col("pos_before") + F.col("tp_in"))
-        .withColumn("pp", F.col("n_before") + F.col("pp_in"))
-        .select(*[col(c) for c in table.columns], "n_total", "p_total", "tp", "pp")
-    )
+    summed = prefix_sums(table, by, "score", ["n", "pos"], descending=True, parts=parts)
+    names = {"pos_upto": "tp", "n_upto": "pp", "n_all": "n_total", "pos_all": "p_total"}
+    return summed.withColumnsRenamed(names)
 
 
 def ranking_metrics(
-    df: DataFrame, label: str, score: str, by: list[str] | None = None, parts: int = RANGES_PER_OCTAVE
+    df: DataFrame, label: str, score: str, by: list[str] | None = None, parts: int | None = None
 ) -> DataFrame:
     """average_precision and roc_auc per group."""
     by = list(by or [])
@@ -201,7 +156,7 @@ def binary_metrics(
     score: str,
     threshold: float | str,
     by: list[str] | None = None,
-    parts: int = RANGES_PER_OCTAVE,
+    parts: int | None = None,
 ) -> DataFrame:
     """Threshold, accuracy, precision, recall, f1, roc_auc,
     average_precision and tn/fp/fn/tp per group: one score table, one

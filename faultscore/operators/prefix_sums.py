@@ -14,23 +14,30 @@ from ..functions.columns import col
 from ..session import ensure_checkpoint_dir
 
 
+def _ordered(name: str, descending: bool) -> Column:
+    return col(name).desc() if descending else col(name).asc()
+
+
+def dealt_by_range(df: DataFrame, keys: list[str], order: str, descending: bool = False, parts: int | None = None) -> DataFrame:
+    """``df`` plus ``_part``, the number of the range of (keys, order) a row
+    falls into; ranges are cut where the rows lie, so they are about even."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.repartitionByRange(parts, *[col(k) for k in keys], _ordered(order, descending))
+    # the range of a row must stay what it was, so the dealt rows are checkpointed
+    return dealt.withColumn("_part", F.spark_partition_id()).checkpoint()
+
+
 def prefix_sums(df: DataFrame, keys: list[str], order: str, columns: list[str], descending: bool = False, parts: int | None = None) -> DataFrame:
     """``df`` plus, for each summed column c, ``c_upto`` (c of the row and of all
     rows of its group before it) and ``c_all`` (of the whole group).
 
     (keys, order) must be unique and the sums integers.  Keys may be null.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     by = [col(k) for k in keys]
-
-    def ordered(c: str) -> Column:
-        return col(c).desc() if descending else col(c).asc()
-
-    # the range of a row must stay what it was, so the dealt rows are checkpointed
-    dealt = df.repartitionByRange(parts, *by, ordered(order)).withColumn("_part", F.spark_partition_id()).checkpoint()
-    inside = Window.partitionBy("_part", *by).orderBy(ordered(order)).rowsBetween(Window.unboundedPreceding, 0)
+    dealt = dealt_by_range(df, keys, order, descending, parts)
+    inside = Window.partitionBy("_part", *by).orderBy(_ordered(order, descending)).rowsBetween(Window.unboundedPreceding, 0)
     local = dealt.withColumns({f"{c}_upto": F.sum(col(c)).over(inside) for c in columns})
     totals = dealt.groupBy("_part", *by).agg(*[F.sum(col(c)).alias(f"_total_{c}") for c in columns])
     group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))

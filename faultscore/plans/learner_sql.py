@@ -141,8 +141,19 @@ FROM draws WHERE m > 0 GROUP BY tree"""
 
 #: The tree of the comparison: depth 6, 8 rows in a node at least.
 TREE = TreeConfig(max_depth=6, min_rows=8)
+#: A shard's file: its lines in key order, each with its line end.
+SHARD_FILES = """WITH shards AS (
+  SELECT CAST(floor(o_orderkey / 5000) AS BIGINT) AS shard,
+    string_agg(o_orderkey::VARCHAR || '|' || o_orderstatus || chr(10), '' ORDER BY o_orderkey) AS content
+  FROM orders GROUP BY 1)"""
+
+
 #: The registered learner queries that SQL can express.
 LEARNER_ORACLE = {
+    "shard_checksums": SHARD_FILES + " SELECT shard, CAST(strlen(content) AS BIGINT) AS length, sha256(content) AS sha256 FROM shards",
+    "checksum_manifest": SHARD_FILES + """
+SELECT shard, repeat('0', 64) AS expected, sha256(content) AS actual FROM shards WHERE shard % 10 = 0
+UNION ALL SELECT max(shard) + 1, repeat('f', 64), NULL FROM shards""",
     "boosted_first_trees": first_boosted_trees_sql(2, BoostingConfig()),
     # the condition that the solution meets; the coefficients themselves have no closed form
     "logistic_gradient": f"SELECT CAST(unnest(range({WIDTH + 1})) AS INTEGER) AS position, CAST(0.0 AS DOUBLE) AS gradient",

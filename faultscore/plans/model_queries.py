@@ -33,7 +33,7 @@ from ..schema import MACHINE_TASK as S
 from ..session import ensure_checkpoint_dir
 from ..sources.adapters import load_documents, load_machine
 from ..sources.bundle import Bundle, load_bundle, save_bundle
-from ..sources.checksums import file_checksums
+from ..sources.checksums import file_checksums, verify_checksums
 from ..sources.csv import read_labelled_csv, read_scoring_csv
 from .experiment import (
     Experiment,
@@ -261,6 +261,39 @@ def checksums(spark: SparkSession, sf: str) -> DataFrame:
     return sums.select(F.col("path").alias("file"), "length", "sha256")
 
 
+#: Orders a file of the written shards holds.
+SHARD_ORDERS = 5000
+
+
+def order_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Every order as a line of text, with the shard its key falls into."""
+    orders = spark.read.parquet(os.path.join(sf, "orders.parquet"))
+    line = F.concat_ws("|", F.col("o_orderkey").cast("string"), "o_orderstatus")
+    return orders.select(F.floor(F.col("o_orderkey") / SHARD_ORDERS).cast("long").alias("shard"), "o_orderkey", line.alias("line"))
+
+
+def shard_checksums(spark: SparkSession, sf: str) -> DataFrame:
+    """The orders written as text, a file a shard in key order, and the files'
+    digests by shard, read back block by block."""
+    path = os.path.join(ensure_checkpoint_dir(spark), "shards", uuid.uuid4().hex)
+    dealt = order_lines(spark, sf).repartition("shard").sortWithinPartitions("shard", "o_orderkey")
+    dealt.select("shard", "line").write.partitionBy("shard").text(path)
+    sums = file_checksums(spark, path, "part-*")
+    return sums.select(F.regexp_extract("path", r"shard=(\d+)/", 1).cast("long").alias("shard"), "length", "sha256")
+
+
+def checksum_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    """The shards' files against a manifest worked out from the rows, in which
+    every tenth digest is false and one file more than there are is named."""
+    lines = order_lines(spark, sf).groupBy("shard").agg(F.sort_array(F.collect_list(F.struct("o_orderkey", "line"))).alias("rows"))
+    whole = F.concat(F.array_join("rows.line", "\n"), F.lit("\n"))
+    digest = F.when(F.col("shard") % 10 == 0, F.lit("0" * 64)).otherwise(F.sha2(whole, 256))
+    manifest = lines.select(F.col("shard").cast("string").alias("path"), digest.alias("sha256"))
+    missing = lines.agg((F.max("shard") + 1).cast("string").alias("path"), F.lit("f" * 64).alias("sha256"))
+    actual = shard_checksums(spark, sf).withColumn("path", F.col("shard").cast("string"))
+    return verify_checksums(actual, manifest.unionByName(missing)).select(F.col("path").cast("long").alias("shard"), "expected", "actual")
+
+
 def node_table(nodes: DataFrame, last_tree: int | None = None) -> DataFrame:
     """A node table as it is compared."""
     kept = nodes if last_tree is None else nodes.where(F.col("tree") <= last_tree)
@@ -335,6 +368,8 @@ R_QUERIES = {
     "scan_labelled_csv": scan_labelled_csv,
     "batch_score_csv": batch_score_csv,
     "file_checksums": checksums,
+    "shard_checksums": shard_checksums,
+    "checksum_manifest": checksum_manifest,
     "document_candidate_comparison": document_candidate_comparison,
     "boosted_first_trees": boosted_first_trees,
     "tree_nodes": tree_nodes,

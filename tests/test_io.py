@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from faultscore.operators.audit import validate
-from faultscore.sources.checksums import file_checksums, require_checksum
+from faultscore.sources.checksums import block_digest, file_checksums, require_checksum
 from faultscore.sources.csv import read_labelled_csv, read_scoring_csv
 
 from faultscore.schema import MACHINE_CSV_TASK
@@ -26,6 +26,28 @@ def test_checksums_of_nested_folders_have_relative_paths(spark, tmp_path):
     assert file_checksums(spark, str(tmp_path / "x" / "a.txt")).first().path == "a.txt"
 
 
+def test_checksums_of_a_file_over_two_gib_and_of_an_empty_one(spark, tmp_path):
+    size = (2 << 30) + 12345
+    with open(tmp_path / "large file.bin", "wb") as f:
+        f.truncate(size)  # a hole: takes no disk
+        f.seek(size - 7)
+        f.write(b"sensor\n")
+    (tmp_path / "empty.bin").write_bytes(b"")
+    expected = hashlib.sha256()
+    for _ in range(size // (1 << 20)):
+        expected.update(bytes(1 << 20))
+    expected.update(bytes(size % (1 << 20) - 7) + b"sensor\n")
+    got = {r.path: (r.length, r.sha256) for r in file_checksums(spark, f"file:{tmp_path}").collect()}
+    assert got == {"large file.bin": (size, expected.hexdigest()), "empty.bin": (0, hashlib.sha256(b"").hexdigest())}
+
+
+def test_a_block_never_changes_a_digest(tmp_path):
+    data = bytes(range(256)) * 41
+    (tmp_path / "x").write_bytes(data)
+    for block in (1, 7, 4096, len(data), len(data) + 1):
+        assert block_digest(f"file://{tmp_path}/x", block) == (len(data), hashlib.sha256(data).hexdigest())
+
+
 def test_checksums_match_hashlib_and_mismatch_raises(spark):
     sums = {os.path.basename(r.path): r.sha256 for r in file_checksums(spark, os.path.join(SF001, "*.parquet")).collect()}
     for name in ("events.parquet", "labels.parquet"):

@@ -1,8 +1,10 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
-from faultscore.operators.metrics import binary_metrics, confusion_matrix, ranking_metrics
+from faultscore.operators.metrics import binary_metrics, confusion_matrix, ranking_metrics, score_table
+from faultscore.operators.prefix_sums import dealt_by_range
 from faultscore.operators.threshold import select_threshold, threshold_sweep
 
 from brute import average_precision, grid, roc_auc, select_threshold as brute_threshold
@@ -33,7 +35,7 @@ def test_threshold_out_of_range_rejected(spark):
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
-@pytest.mark.parametrize("parts", [1, 7, 4096])
+@pytest.mark.parametrize("parts", [1, 7, 64])
 def test_ranking_metrics_match_brute_force_with_ties(spark, seed, parts):
     rng = random.Random(seed)
     n = 300
@@ -131,13 +133,19 @@ def test_metrics_are_not_rounded(spark):
     assert got.average_precision == pytest.approx(average_precision(y, p), abs=1e-14)
 
 
-def test_score_ranges_rise_with_the_score(spark):
-    from pyspark.sql import functions as F
-
-    from faultscore.operators.metrics import score_range
-
-    rng = random.Random(1)
-    values = sorted([0.0, 1.0, 0.5, 0.25, 0.1, 1e-300, 5.0, -0.3, -2.0] + [rng.random() ** rng.randint(1, 9) for _ in range(3000)] + [2.0**-k * (1 - 2**-52) for k in range(30)])
-    for parts in (1, 16, 4096):
-        ranges = [r[0] for r in spark.createDataFrame([(v,) for v in values], "s double").coalesce(1).select(score_range(F.col("s"), parts)).collect()]
-        assert ranges == sorted(ranges)
+def test_crowded_scores_spread_over_all_ranges(spark):
+    n, parts = 100_000, 8
+    # every score inside one millionth, with ties, one in seven positive, and a few far away
+    crowd = spark.range(n).select(
+        (F.lit(0.03) + (F.pmod(F.xxhash64("id"), F.lit(60_000)) / 60_000) * 1e-6).alias("score"), (F.pmod(F.xxhash64("id", F.lit(1)), F.lit(7)) == 0).cast("int").alias("label")
+    )
+    df = crowd.unionByName(spark.createDataFrame([(0.9, 1), (0.0, 0), (-1.0, 0), (5e-324, 1)], "score double, label int"))
+    table = score_table(df, "label", "score", [])
+    sizes = [r["count"] for r in dealt_by_range(table, [], "score", True, parts).groupBy("_part").count().collect()]
+    assert len(sizes) == parts and max(sizes) < 2 * sum(sizes) / parts
+    rows = df.toPandas().groupby("score").label.agg(["sum", "count"]).sort_index(ascending=False)
+    pos, tp, pp = rows["sum"], rows["sum"].cumsum(), rows["count"].cumsum()
+    neg, fp = rows["count"] - pos, pp - tp
+    got = ranking_metrics(df, "label", "score", parts=parts).first()
+    assert got.average_precision == pytest.approx((pos * tp / pp).sum() / pos.sum(), rel=1e-10)
+    assert got.roc_auc == pytest.approx((pos * (neg.sum() - fp + neg / 2)).sum() / (pos.sum() * neg.sum()), rel=1e-10)
