@@ -191,10 +191,10 @@ def by_bucket(bucket: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarra
     if buckets < 1 << 16:
         bucket = bucket.astype(np.uint16)  # sorted by radix
     order = np.argsort(bucket, kind="stable")
-    cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-    for b in range(buckets):
-        if cuts[b] < cuts[b + 1]:
-            yield b, order[cuts[b] : cuts[b + 1]]
+    held = bucket[order]
+    cuts = np.flatnonzero(held[1:] != held[:-1]) + 1
+    for of_one in np.split(order, cuts) if len(order) else ():
+        yield int(bucket[of_one[0]]), of_one
 
 
 # ------------------------------------------------------------------ hashing

@@ -88,7 +88,15 @@ class SuffixAutomaton:
 
 
 def words(text: str) -> list[str]:
-    return LETTERS.findall(text.lower())
+    """Runs of letters of the lower-cased text; number signs such as superscripts,
+    fractions and Roman numeral signs are no letters."""
+    out = []
+    for run in LETTERS.findall(text.lower()):
+        if run.isalpha():
+            out.append(run)
+        else:
+            out += "".join(c if c.isalpha() else " " for c in run).split()
+    return out
 
 
 def training_text(texts: list[str]) -> str:

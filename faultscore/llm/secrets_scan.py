@@ -103,8 +103,13 @@ def battery(ranks: np.ndarray, k: int) -> tuple[float, float, float, float]:
 def tokens_of(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, str, str, float]]:
     """(start, end, token, encoding, battery p) of every token outside base spans."""
     out = []
+    # both lists rise: ``reach`` is the furthest end of the spans that start by now
+    at, reach = 0, -1
     for m in TOKEN.finditer(text):
-        if any(s <= m.start() and m.end() <= e for s, _, e in base):
+        while at < len(base) and base[at][0] <= m.start():
+            reach = max(reach, base[at][2])
+            at += 1
+        if m.end() <= reach:
             continue
         token = m.group().rstrip("=")
         found = infer_encoding(token)
@@ -187,7 +192,7 @@ def calibrate(rows: DataFrame, fdr: float) -> tuple[Calibration, DataFrame]:
             yield pdf[["row", "start", "end", "e"]]
 
     tokens = rows.select("row", F.explode("tokens").alias("t")).select("row", "t.*")
-    scored = written(tokens.mapInPandas(score, "row long, start long, end long, e double"), "tokens")
+    scored = written(tokens.mapInPandas(score, "row string, start long, end long, e double"), "tokens")
     bins = {r["b"]: r["count"] for r in scored.where(F.col("e") > 0).groupBy(F.floor(F.col("e") / STEP).cast("int").alias("b")).count().collect()}
     return Calibration(text_log_p, e_bh_threshold(bins, max(1, scored.count()), fdr, STEP)), scored
 
@@ -195,7 +200,7 @@ def calibrate(rows: DataFrame, fdr: float) -> tuple[Calibration, DataFrame]:
 def _scanned(docs: DataFrame) -> DataFrame:
     rows = written(scan(pick(docs, doc_id="doc_id", text="text")), "secrets")
     # rows of one id may repeat: a row is named by its id and its spans
-    return rows.withColumn("row", F.xxhash64("doc_id", F.to_json("base"), F.to_json(F.col("tokens"))))
+    return rows.withColumn("row", F.sha2(F.to_json(F.struct("doc_id", "base", "tokens")), 256))
 
 
 def secrets(docs: DataFrame, fdr: float = FDR) -> DataFrame:

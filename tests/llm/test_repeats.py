@@ -146,3 +146,14 @@ def test_grams_hash_content_alone(k):
 def test_six_byte_numbers_round_trip():
     x = np.array([0, 1, (1 << 48) - 1, 123456789012], dtype=np.uint64)
     assert (from_six(to_six(x)) == x).all()
+
+
+@pytest.mark.parametrize("buckets", [1, 7, 1 << 17])
+def test_buckets_in_use_are_walked_once(buckets):
+    from faultscore.llm.chunks import by_bucket
+
+    bucket = np.random.default_rng(3).integers(0, buckets, 500)
+    got = list(by_bucket(bucket, buckets))
+    assert [b for b, _ in got] == sorted(set(bucket.tolist()))
+    assert all(np.array_equal(at, np.flatnonzero(bucket == b)) for b, at in got)
+    assert list(by_bucket(bucket[:0], buckets)) == []

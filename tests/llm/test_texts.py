@@ -56,6 +56,24 @@ def test_base_spans_stay_and_random_tokens_are_added(spark):
     assert all(set(filter(None, r.b.split(","))) <= set(r.s.split(",")) for r in found)
 
 
+def test_a_long_list_of_checksums_takes_time_by_its_length():
+    line = "0123456789abcdef0123456789abcdef01234567  file\n"
+    text = line * 350_000  # 16 MB, a base span a line
+    base = secrets_scan.base_spans(text)
+    assert len(base) == 350_000 and secrets_scan.tokens_of(text, base) == []
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_tokens_inside_base_spans_equal_brute_force(seed):
+    rnd = random.Random(seed)
+    pieces = ["token=", " ", "\n", "secret: ", random_token(seed, 24), "0123456789abcdef01234567", "AKIA" + "Q" * 18, "==", "word", "_-" * 12]
+    for _ in range(60):
+        text = "".join(rnd.choice(pieces) for _ in range(12))
+        base = secrets_scan.base_spans(text)
+        got = {(s, e) for s, e, *_ in secrets_scan.tokens_of(text, base)}
+        assert got == {m.span() for m in secrets_scan.TOKEN.finditer(text) if not any(s <= m.start() and m.end() <= e for s, _, e in base)}
+
+
 def test_battery_accepts_random_and_rejects_regular_tokens():
     k = 64
     rng = np.random.default_rng(0)
@@ -173,6 +191,17 @@ def test_suffix_automaton_gives_longest_match_phrases(seed):
         assert automaton.phrases(text) == naive_phrases(model, text)
 
 
+@pytest.mark.parametrize("text", ["5² ½ Ⅷ", "x²y", "a½b Ⅻc", "_²_", "é٣ß", "ABC١٢", ""])
+def test_words_are_runs_of_letters(text):
+    want, run = [], ""
+    for c in text.lower() + " ":
+        if c.isalpha():
+            run += c
+        elif run:
+            want, run = want + [run], ""
+    assert language_id.words(text) == want
+
+
 def test_held_out_accuracy_on_the_test_table(spark):
     truth = {r.doc_id: r.lang for r in spark.read.parquet(f"{SF001}/documents.parquet").collect()}
     got = language_id.q_identify(spark, SF001).collect()
@@ -185,13 +214,13 @@ def test_held_out_accuracy_on_the_test_table(spark):
 def test_awkward_texts_of_unknown_language(spark):
     en, fr = "the quick brown fox and the lazy dog " * 3, "le renard brun saute par dessus le chien paresseux " * 3
     rows = [(i, en, "en") for i in range(1, 12)] + [(i, fr, "fr") for i in range(20, 32)]
-    rows += [(40, None, "en"), (41, "", "en"), (42, "123 ++ 4", "fr"), (43, "fox " * 20_000, None), (44, "zzz", None), (45, None, None), (None, fr, "xx"), (1, en, "en")]
+    rows += [(40, None, "en"), (41, "", "en"), (42, "123 ++ 4", "fr"), (43, "fox " * 20_000, None), (44, "zzz", None), (45, None, None), (46, "5² ½ Ⅷ", "fr"), (None, fr, "xx"), (1, en, "en")]
     df = documents(spark, rows).withColumn("lang_pred", F.lit("clash")).withColumn("score", F.lit(2.0))
     got = {}
     for r in language_id.identify(df).collect():
         got.setdefault(r.doc_id, []).append(r)
     assert sum(map(len, got.values())) == len(rows)
-    assert [got[i][0].lang_pred for i in (40, 41, 42, 43, 45)] == ["und", "und", "und", "en", "und"]
+    assert [got[i][0].lang_pred for i in (40, 41, 42, 43, 45, 46)] == ["und", "und", "und", "en", "und", "und"]
     assert got[None][0].held_out and got[None][0].lang_pred == "fr"  # xx is never learned from
     empty = df.limit(0)
     assert language_id.identify(empty).collect() == []
