@@ -1,5 +1,8 @@
 """The train -> select -> evaluate -> explain -> save plan.
 
+With a run folder (``resume``) every stage is committed as it ends, and a run
+that is started again over the same rows and settings goes on from there.
+
 To the driver come class counts, split boundaries, preprocessing statistics
 (with the category lists), one metrics row per candidate, the chosen name and
 threshold, and the fitted trees.  Candidates are scored into ONE unioned
@@ -12,7 +15,7 @@ from __future__ import annotations
 import json
 import os
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 from functools import reduce
 from typing import Any
 
@@ -44,6 +47,7 @@ from ..operators.threshold import select_threshold
 from ..schema import TaskSpec
 from ..session import ensure_checkpoint_dir
 from ..sources.bundle import Bundle, save_bundle
+from .resume import RunFolder, run_folder
 
 #: Criteria in the order in which they decide.
 SELECTION_CRITERIA = ["validation average_precision", "validation f1", "candidate order"]
@@ -60,7 +64,8 @@ class Experiment:
     audit: dict[str, Any]
     preprocessor: PipelineModel
     stats: PreprocessStats
-    features: DataFrame  # id, split, label, features (persisted)
+    features: DataFrame  # id, split, label, features (persisted, or a committed table)
+    folder: RunFolder
     train: DataFrame | None = None  # training rows of features, in the layout to fit
     models: dict[str, Any] = field(default_factory=dict)  # fitted classifiers (on the feature vector)
     scorers: dict[str, PipelineModel] = field(default_factory=dict)  # preprocessing + classifier + score
@@ -97,20 +102,30 @@ def metrics_record(row: dict) -> dict:
     return out
 
 
-def prepare(df: DataFrame, spec: TaskSpec, seed: int = 42, config: CandidateConfig | None = None) -> Experiment:
+def prepare(df: DataFrame, spec: TaskSpec, seed: int = 42, config: CandidateConfig | None = None, folder: RunFolder | None = None) -> Experiment:
     """Audit once, split, fit preprocessing on train, featurize every split."""
     ensure_checkpoint_dir(df.sparkSession)
-    audit = validate(df, spec)
+    folder = folder or RunFolder(df.sparkSession)
+    audit = folder.record("audit", lambda: validate(df, spec))
     classes = {0: audit["rows"] - audit["positive_rows"], 1: audit["positive_rows"]}
-    split = stratified_split(df, spec, seed, class_rows=classes).persist(StorageLevel.MEMORY_AND_DISK)
-    train_raw = split.where(F.col("split") == TRAIN)
-    preprocessor, stats = fit_preprocessor(train_raw, spec)
+    split = folder.table("split", lambda: stratified_split(df, spec, seed, class_rows=classes))
+    if not folder.keeps:
+        split = split.persist(StorageLevel.MEMORY_AND_DISK)
+
+    def fitted() -> tuple[PipelineModel, dict]:
+        model, stats = fit_preprocessor(split.where(F.col("split") == TRAIN), spec)
+        return model, asdict(stats)
+
+    preprocessor, stats = folder.model("preprocessing", fitted)
     labelled = split.select(col(spec.id_column), "split", col(spec.target).cast("int").alias(LABEL_COL), *[col(f) for f in spec.features])
-    features = preprocessor.transform(labelled).select(col(spec.id_column), "split", LABEL_COL, FEATURES_COL)
-    exp = Experiment(spec, seed, config or CandidateConfig(seed=seed), split, audit, preprocessor, stats, features)
-    exp.held.append(split)
-    exp.features = exp.hold(features)
-    exp.train = exp.hold(training_rows(exp.part(TRAIN), spec.id_column, exp.config))
+    features = folder.table("features", lambda: preprocessor.transform(labelled).select(col(spec.id_column), "split", LABEL_COL, FEATURES_COL))
+    exp = Experiment(spec, seed, config or CandidateConfig(seed=seed), split, audit, preprocessor, PreprocessStats(**stats), features, folder)
+    if not folder.keeps:
+        exp.held.append(split)
+        exp.features = exp.hold(features)
+    exp.train = training_rows(exp.part(TRAIN), spec.id_column, exp.config)
+    if not folder.keeps:
+        exp.train = exp.hold(exp.train)
     return exp
 
 
@@ -139,11 +154,22 @@ def fit_missing(exp: Experiment, names: tuple[str, ...]) -> None:
     missing = [n for n in names if n not in exp.models]
     if not missing:
         return
-    balance = class_balance(exp.train)
     width = len(exp.stats.vector_names(exp.spec))
-    with ThreadPoolExecutor(max_workers=max(1, min(len(missing), exp.config.parallel_fits))) as pool:
-        futures = {name: pool.submit(fit_candidate, name, exp.train, balance, exp.config, width, exp.spec.id_column) for name in missing}
-        fitted = {name: future.result() for name, future in futures.items()}
+    # committed tables are not kept in memory but while something is fitted to them
+    fitting = exp.folder.keeps and any(exp.folder.committed(f"candidate-{n}") is None for n in missing)
+    train = exp.train.persist(StorageLevel.MEMORY_AND_DISK) if fitting else exp.train
+    try:
+        balance = class_balance(train) if fitting or not exp.folder.keeps else None
+
+        def one(name: str):
+            return exp.folder.model(f"candidate-{name}", lambda: fit_candidate(name, train, balance, exp.config, width, exp.spec.id_column))
+
+        with ThreadPoolExecutor(max_workers=max(1, min(len(missing), exp.config.parallel_fits))) as pool:
+            futures = {name: pool.submit(one, name) for name in missing}
+            fitted = {name: future.result() for name, future in futures.items()}
+    finally:
+        if fitting:
+            train.unpersist()
     for name, (model, extra) in fitted.items():
         exp.models[name], exp.extras[name] = model, extra
         exp.scorers[name] = scorer_for(exp, name, model)
@@ -167,7 +193,9 @@ def at_thresholds(scores: DataFrame, picks: dict[str, float]) -> DataFrame:
 
 def compare(exp: Experiment, names: tuple[str, ...]) -> DataFrame:
     """Validation metrics of the named candidates, each at its own threshold."""
-    scores = exp.hold(candidate_scores(exp, names))
+    scores = exp.folder.table("scores-" + "-".join(names), lambda: candidate_scores(exp, names))
+    if not exp.folder.keeps:
+        scores = exp.hold(scores)
     picks = {r["model"]: float(r["threshold"]) for r in select_threshold(scores, LABEL_COL, SCORE_COL, ["model"]).collect()}
     return binary_metrics(at_thresholds(scores, picks), LABEL_COL, SCORE_COL, "threshold", ["model"])
 
@@ -175,21 +203,26 @@ def compare(exp: Experiment, names: tuple[str, ...]) -> DataFrame:
 def train_candidates(exp: Experiment, names: tuple[str, ...] | None = None) -> Experiment:
     """fit each candidate on train, score validation, sweep, measure."""
     names = names or exp.config.include
-    by_name = {r["model"]: r.asDict() for r in compare(exp, names).collect()}
-    for name in names:
-        exp.validation_metrics[name] = metrics_record(by_name[name])
+
+    def measured() -> dict[str, dict]:
+        by_name = {r["model"]: r.asDict() for r in compare(exp, names).collect()}
+        return {name: metrics_record(by_name[name]) for name in names}
+
+    exp.validation_metrics.update(exp.folder.record("validation-" + "-".join(names), measured))
     return exp
 
 
 def evaluate_chosen(exp: Experiment) -> Experiment:
     """H2 + I1: pick on validation, score test once with that threshold."""
-    rows = [dict(name=n, **m) for n, m in exp.validation_metrics.items()]
-    best = choose_from_rows(rows)
+    best = choose_from_rows([dict(name=n, **m) for n, m in exp.validation_metrics.items()])
     exp.chosen, exp.threshold = best["name"], float(best["threshold"])
-    model = exp.models[exp.chosen]
-    test_scores = score_features(exp, exp.chosen, model, exp.part(TEST))
-    row = binary_metrics(test_scores, LABEL_COL, SCORE_COL, exp.threshold).first().asDict()
-    exp.test_metrics = metrics_record(row)
+    fit_missing(exp, (exp.chosen,))
+
+    def measured() -> dict:
+        test_scores = score_features(exp, exp.chosen, exp.models[exp.chosen], exp.part(TEST))
+        return metrics_record(binary_metrics(test_scores, LABEL_COL, SCORE_COL, exp.threshold).first().asDict())
+
+    exp.test_metrics = exp.folder.record(f"test-{exp.chosen}", measured)
     return exp
 
 
@@ -211,6 +244,11 @@ def importance_of_chosen(exp: Experiment, repeats: int = 10) -> DataFrame:
     return permutation_importance(rows, spec, exp.scorers[exp.chosen].transform, exp.seed, repeats, spec.target)
 
 
+def importance_rows(exp: Experiment, repeats: int = 10) -> list[dict]:
+    """The importance table as the report holds it: a row a feature."""
+    return exp.folder.record(f"importance-{exp.chosen}-{repeats}", lambda: [r.asDict() for r in importance_of_chosen(exp, repeats).collect()])
+
+
 def build_report(exp: Experiment) -> dict:
     balance, width = class_balance(exp.train), len(exp.stats.vector_names(exp.spec))
     summary = {
@@ -245,13 +283,18 @@ def run_experiment(
     config: CandidateConfig | None = None,
     importance_repeats: int = 10,
     with_mlp: bool = False,
+    resume_dir: str | None = None,
 ) -> Experiment:
-    """The whole training run; writes bundle, predictions, importance, report."""
-    exp = prepare(df, spec, seed, config)
+    """The whole training run; writes bundle, predictions, importance, report.
+
+    ``resume_dir`` is a folder that every driver sees: stages are committed
+    below it, and a run started again takes up what is committed.
+    """
+    folder = run_folder(df, spec, seed, config or CandidateConfig(seed=seed), resume_dir) if resume_dir else None
+    exp = prepare(df, spec, seed, config, folder)
     train_candidates(exp)
     evaluate_chosen(exp)
-    importance = importance_of_chosen(exp, importance_repeats)
-    exp.importance = [r.asDict() for r in importance.collect()]
+    exp.importance = importance_rows(exp, importance_repeats)
     if with_mlp:
         exp_mlp = mlp_comparison(exp)
         exp.extras["mlp_comparison"] = exp_mlp
@@ -266,7 +309,8 @@ def run_experiment(
         test_predictions(exp).orderBy(col(spec.id_column)).write.mode("overwrite").option("header", True).csv(
             os.path.join(out_dir, "test_predictions")
         )
-        importance.write.mode("overwrite").option("header", True).csv(os.path.join(out_dir, "validation_permutation_importance"))
+        measured = df.sparkSession.createDataFrame([tuple(r.values()) for r in exp.importance], list(exp.importance[0])).coalesce(1)  # a row a feature
+        measured.write.mode("overwrite").option("header", True).csv(os.path.join(out_dir, "validation_permutation_importance"))
         write_text(spark, json.dumps(exp.report, indent=2), os.path.join(out_dir, "metrics"))
     return exp
 

@@ -1,10 +1,10 @@
 """Registered queries whose results come from trained models, in the full
 reference configuration on the tables they are given.
 
-Fits cost minutes and are deterministic, so consecutive queries over the same
-rows share one experiment.  It is kept by the rows' content: each call digests
-the whole task table, and a table with other rows is fitted anew.  Only what a
-query needs is fitted, and only the latest experiment is kept.
+Fits cost minutes and are deterministic, so queries over the same rows share
+the stages that a run has committed in the shared folder, also across drivers.
+Each call digests the whole task table, and a table with other rows is fitted
+anew.  Only what a query needs is fitted.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from __future__ import annotations
 import json
 import os
 import uuid
-from dataclasses import dataclass, replace
+from dataclasses import replace
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
@@ -42,48 +42,29 @@ from .experiment import (
     evaluate_chosen,
     fit_missing,
     importance_of_chosen,
+    importance_rows,
     prepare,
     test_predictions,
     train_candidates,
 )
+from .resume import run_folder
 
 
 #: Boosted trees that are compared with SQL node by node.
 FIRST_TREES = 2
 
 
-@dataclass
-class _Latest:
-    key: tuple | None = None
-    experiment: Experiment | None = None
-
-
-_LATEST = _Latest()
-
-
-def content_digest(df: DataFrame) -> tuple:
-    """Rows and the sum of their hashes: equal for equal rows in any order."""
-    columns = [col(c) for c in sorted(df.columns)]
-    return tuple(df.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*columns).cast("decimal(38,0)"))).first())
-
-
 def prepared(df: DataFrame, spec: TaskSpec = S) -> Experiment:
-    """Audit + split + train-only preprocessing of the given rows."""
-    key = (df.sparkSession.sparkContext.applicationId, spec.target, content_digest(df))
-    if _LATEST.key != key:
-        if _LATEST.experiment is not None:
-            _LATEST.experiment.close()
-        _LATEST.key, _LATEST.experiment = key, prepare(df, spec, 42, CandidateConfig(seed=42))
-    return _LATEST.experiment
+    """Audit + split + train-only preprocessing of the given rows; the stages are
+    committed in the shared folder, where every later query takes them up."""
+    config = CandidateConfig(seed=42)
+    root = os.path.join(ensure_checkpoint_dir(df.sparkSession), "runs")
+    return prepare(df, spec, 42, config, run_folder(df, spec, 42, config, root))
 
 
 def experiment(spark: SparkSession, sf: str) -> Experiment:
     """The machine experiment with every candidate fitted and the pick made."""
-    exp = prepared(load_machine(spark, sf))
-    if exp.chosen is None:
-        train_candidates(exp)
-        evaluate_chosen(exp)
-    return exp
+    return evaluate_chosen(train_candidates(prepared(load_machine(spark, sf))))
 
 
 METRIC_COLUMNS = ("accuracy", "precision", "recall", "f1", "roc_auc", "average_precision", "threshold")
@@ -146,8 +127,7 @@ def permutation_importance_model(spark: SparkSession, sf: str) -> DataFrame:
 def experiment_report(spark: SparkSession, sf: str) -> DataFrame:
     """The whole report of the training run, importance included."""
     exp = experiment(spark, sf)
-    if exp.importance is None:
-        exp.importance = [r.asDict() for r in importance_of_chosen(exp, 10).collect()]
+    exp.importance = importance_rows(exp, 10)
     report, test = build_report(exp), exp.test_metrics
     return spark.createDataFrame(
         [(exp.chosen, exp.threshold, test["average_precision"], test["f1"], json.dumps(report, sort_keys=True))],
