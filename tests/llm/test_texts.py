@@ -327,6 +327,13 @@ def page(body):
         (page(f"<div class='sidebar'><p>{ARTICLE}</p></div>"), ARTICLE.replace("&amp;", "&")),
         (page(f"<article><p>{ARTICLE}</p><div class='ad'>Buy</div></article><div class='site-footer'>{ARTICLE}</div>"), ARTICLE.replace("&amp;", "&")),
         ("<article><p>Cut off <b>here", "Cut off here"),
+        (page(f"<form id=aspnetForm><nav><a href=x>Home</a></nav><article><h1>Title</h1><p>{ARTICLE}</article><label>Name <input></label></form>"), f"Title\n{ARTICLE}".replace("&amp;", "&")),
+        (page(f"<form id=aspnetForm><div class=menu><a href=x>Home</a></div><div><p>{ARTICLE}</p><p>{ARTICLE}</p></div><label>Name <input></label><button>Go</button></form>"), "\n".join([ARTICLE.replace("&amp;", "&")] * 2)),
+        (page(f"<div class=headline><h1>Big news today</h1></div><div class=story><p>{ARTICLE}</p><p>{ARTICLE}</p></div><div><p>He died in 1999.</p></div><div><a href=3>More</a></div>"), "\n".join(["Big news today"] + [ARTICLE.replace("&amp;", "&")] * 2 + ["He died in 1999."])),
+        (page(f"<article><p>{ARTICLE}</p><p>{ARTICLE}</p></article><article><p>Short one.</p></article><article><a href=1>A teaser that is all link</a></article>"), "\n".join([ARTICLE.replace("&amp;", "&")] * 2 + ["Short one."])),
+        (page(f"<article><p>{ARTICLE}</p><section><h2>Sources</h2><ul><li><a href=1>First source</a><li><a href=2>Second source</a></ul></section><section><h2>Read more</h2><ul><li><a href=1>First story</a><li><a href=2>Second story</a></ul></section></article>"), f"{ARTICLE}\nSources\nFirst source\nSecond source".replace("&amp;", "&")),
+        (page(f"<article><p>{ARTICLE} So <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds.</p></article>"), f"{ARTICLE} So x=2 holds.".replace("&amp;", "&")),
+        (page(f"<article><p>{ARTICLE}</p><form><p>{ARTICLE} {ARTICLE}</p></form></article><p>Outside.</p>"), None),
         ("<p>1 < 2 &lt; 3 &#233; &eacute; <![if x]> y</p>", None),
     ],
 )
@@ -337,6 +344,11 @@ def test_main_text(html, text):
         assert got == text
 
 
+def test_a_page_of_many_regions_takes_time_by_its_length():
+    body = "".join(f"<div><p>{ARTICLE} {i}</p><a href={i}>x</a></div>" for i in range(20_000))
+    assert html_text.main_text(page(f"<article>{body}</article>")).count("\n") >= 19_999
+
+
 def test_pages_with_awkward_rows(spark):
     rows = [(1, "u", page(f"<article><p>{ARTICLE}</article>")), (2, None, None), (None, "v", ""), (3, "w", "<div>" * 3000 + "deep" + "</div>" * 3000), (1, "u", page(f"<article><p>{ARTICLE}</article>")), (4, "x", "<p>" + "word " * 50_000)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit("clash"))
