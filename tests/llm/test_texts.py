@@ -409,6 +409,34 @@ def texts_of(item):
     return " ".join(item[1])
 
 
+def test_short_items_equal_brute_force(spark):
+    rnd = random.Random(9)
+    vocab = [c * n for c in "abcdé" for n in (1, 2)]
+    words = lambda n: " ".join(rnd.choice(vocab) for _ in range(n))
+    items = [(i, words(rnd.randint(0, 7))) for i in range(40)] + [(50, None), (None, "a bb"), (51, "A, bb!"), (51, "a bb")]
+    # a hot word in a third of the documents, short documents, a very long one, repeated rows
+    docs = [(i, ("hot " if i % 3 == 0 else "") + words(rnd.randint(0, 12))) for i in range(60)] + [(90, words(20_000)), (91, None), (92, "a"), (92, "a"), (None, "a bb")]
+    items.append((60, "hot"))
+    tokens = lambda t: re.findall(r"[^\W_]+", (t or "").lower())
+    want = {}
+    for d, text in docs:
+        for i, item in items:
+            w, have = tokens(item), tokens(text)
+            k = min(5, len(w))
+            if d is None or i is None or not w:
+                continue
+            grams = {tuple(w[j : j + k]) for j in range(len(w) - k + 1)}
+            shared = grams & {tuple(have[j : j + k]) for j in range(len(have) - k + 1)}
+            if len(shared) >= 0.8 * len(grams):
+                want[d, i] = (len(grams), len(shared))
+    df = documents(spark, docs).withColumn("item_id", F.lit(1)).withColumn("h", F.lit(2))
+    table = spark.createDataFrame(items, "item_id long, text string").withColumn("doc_id", F.lit(7))
+    got = decontamination.contained(df, table, short_items=True).collect()
+    assert {(r.doc_id, r.item_id): (r.n_shingles, r.n_shared) for r in got} == want and len(got) == len(want)
+    assert {(r.doc_id, r.item_id) for r in decontamination.contained(df, table).collect()} <= set(want)
+    assert decontamination.contained(df, table.limit(0), short_items=True).collect() == []
+
+
 def test_decontamination_runs_no_python(spark):
     plan = decontamination.contained(documents(spark, [(1, "a b c d e f")]), spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "CartesianProduct" not in plan
