@@ -9,15 +9,15 @@ frozen into a ``SQLTransformer`` statement; categories go through
 and not a column per category.  There is no Python on the data path, and the
 fitted preprocessor saves and loads with the rest of the pipeline.  Feature
 vector = z-scores in numeric order, then one-hot blocks (unknown category ->
-all zeros; missing -> the train mode).  The list of categories is as long as
-the feature vector is wide and is the only thing that reaches the driver
-besides scalars.
+all zeros; missing -> the train mode).  Lists of ``LISTED_CATEGORIES`` values
+together reach the driver; beyond that, or with an empty string among them,
+the categories are a table (``vocabulary``), and only each column's mode and number of values do.
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexerModel, VectorAssembler
@@ -26,9 +26,13 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import col, nan_to_null
 from ..schema import TaskSpec
+from ..session import ensure_checkpoint_dir
 from .quantiles import exact_medians
+from .vocabulary import CategoryTableModel, category_counts, category_summary, category_table
 
 FEATURES_COL = "features"
+#: Categories of all columns together that the driver may hold.
+LISTED_CATEGORIES = 4096
 
 
 @dataclass(frozen=True)
@@ -37,7 +41,11 @@ class PreprocessStats:
     means: dict[str, float]
     scales: dict[str, float]
     modes: dict[str, str]
-    categories: dict[str, list[str]]
+    categories: dict[str, list[str]]  # empty if they are a table
+    widths: dict[str, int] = field(default_factory=dict)
+
+    def vector_width(self, spec: TaskSpec) -> int:
+        return len(spec.numeric) + sum(self.widths[c] if c in self.widths else len(self.categories[c]) for c in spec.categorical)
 
     def vector_names(self, spec: TaskSpec) -> list[str]:
         names = [f"{c}" for c in spec.numeric]
@@ -70,13 +78,14 @@ def steady(value: float) -> float:
     return float(f"{value:.11e}")
 
 
-def fit_stats(train: DataFrame, spec: TaskSpec) -> PreprocessStats:
-    """Learn every statistic from the training rows.
+def fit_stats(train: DataFrame, spec: TaskSpec, listed: int = LISTED_CATEGORIES) -> tuple[PreprocessStats, DataFrame | None]:
+    """Learn every statistic from the training rows; beside them the category
+    table, or None where ``listed`` categories hold them all.
 
     Pass 1 counts rows and non-missing values and takes the raw moments;
     the exact medians need one more pass (or a few at scale); the moments
     are recomputed on imputed values only if some training value is
-    missing; one grouped pass gives each categorical's counts.
+    missing; one grouped pass gives the counts of all categories.
     """
     values = [nan_to_null(col(c)) for c in spec.numeric]
     first = train.agg(
@@ -99,17 +108,27 @@ def fit_stats(train: DataFrame, spec: TaskSpec) -> PreprocessStats:
         ).first()
     means = {c: steady(moments[f"mean_{i}"]) for i, c in enumerate(spec.numeric)}
     scales = {c: steady(_scale(moments[f"std_{i}"], means[c])) for i, c in enumerate(spec.numeric)}
-    modes, categories = {}, {}
-    for c in spec.categorical:
-        counted = (
-            train.where(col(c).isNotNull()).groupBy(col(c).cast("string").alias("v")).agg(F.count(F.lit(1)).alias("n")).collect()
-        )
-        if not counted:
-            raise ValueError(f"{c} has no observed training values")
-        # Most frequent value, ties to the smallest; categories sorted.
-        modes[c] = min(counted, key=lambda r: (-r["n"], r["v"]))["v"]
-        categories[c] = sorted(r["v"] for r in counted)
-    return PreprocessStats(medians, means, scales, modes, categories)
+    modes, widths, categories, table = {}, {}, {}, None
+    if spec.categorical:
+        counts = category_counts(train, list(spec.categorical))
+        few = counts.limit(listed + 1).collect()
+        # MLlib's attributes have no empty names, so an empty string makes a table too.
+        if len(few) > listed or any(r["v"] == "" for r in few):
+            counts = counts.checkpoint()
+            summary = category_summary(counts)
+            table = category_table(counts, summary, len(spec.numeric))
+        else:
+            summary = {}
+            for i in {r["feature"] for r in few}:
+                # Most frequent value, ties to the smallest; categories sorted.
+                of = [r for r in few if r["feature"] == i]
+                summary[i] = (len(of), min(of, key=lambda r: (-r["n"], r["v"]))["v"], sum(r["n"] for r in of))
+                categories[spec.categorical[i]] = sorted(r["v"] for r in of)
+        for i, c in enumerate(spec.categorical):
+            if i not in summary:
+                raise ValueError(f"{c} has no observed training values")
+            widths[c], modes[c] = summary[i][:2]
+    return PreprocessStats(medians, means, scales, modes, categories, widths), table
 
 
 def preprocess_statement(stats: PreprocessStats, spec: TaskSpec) -> tuple[str, list[str], list[str]]:
@@ -125,9 +144,13 @@ def preprocess_statement(stats: PreprocessStats, spec: TaskSpec) -> tuple[str, l
     return "SELECT *, " + ", ".join(parts) + " FROM __THIS__", scaled, filled
 
 
-def build_preprocessor(spark, stats: PreprocessStats, spec: TaskSpec, output_col: str = FEATURES_COL) -> PipelineModel:
+def build_preprocessor(spark, stats: PreprocessStats, spec: TaskSpec, output_col: str = FEATURES_COL, table: DataFrame | None = None) -> PipelineModel:
     statement, scaled, filled = preprocess_statement(stats, spec)
     stages = [SQLTransformer(statement=statement)]
+    if table is not None:
+        widths = [stats.widths[c] for c in spec.categorical]
+        model = CategoryTableModel(inputCols=scaled, categoryCols=filled, widths=widths, outputCol=output_col)
+        return PipelineModel(stages=stages + [model.with_table(table)])
     blocks = []
     for name, c in zip(filled, spec.categorical):
         # An unknown category is one more index, which the encoder drops.
@@ -140,7 +163,8 @@ def build_preprocessor(spark, stats: PreprocessStats, spec: TaskSpec, output_col
     return PipelineModel(stages=stages)
 
 
-def fit_preprocessor(train: DataFrame, spec: TaskSpec) -> tuple[PipelineModel, PreprocessStats]:
+def fit_preprocessor(train: DataFrame, spec: TaskSpec, listed: int = LISTED_CATEGORIES) -> tuple[PipelineModel, PreprocessStats]:
     """Fit on the training rows only; reuse for every other split."""
-    stats = fit_stats(train, spec)
-    return build_preprocessor(train.sparkSession, stats, spec), stats
+    ensure_checkpoint_dir(train.sparkSession)
+    stats, table = fit_stats(train, spec, listed)
+    return build_preprocessor(train.sparkSession, stats, spec, table=table), stats

@@ -23,7 +23,7 @@ from ..operators.quantiles import exact_medians
 from ..operators.selection import choose_candidate
 from ..operators.split import TRAIN, allocation, class_counts, hash_split, split_summary, stratified_split
 from ..operators.threshold import select_threshold, threshold_sweep
-from ..schema import DOCUMENT_TASK, MACHINE_TASK, ORDER_TASK
+from ..schema import CUSTOMER_TASK, DOCUMENT_TASK, MACHINE_TASK, ORDER_TASK
 from ..sources.adapters import load_documents, load_machine, load_orders
 from ..sources.tables import read_table
 from . import oracle_sql as O
@@ -196,6 +196,31 @@ def q_feature_vector(spark, sf, gaps=False):
     return out.select("udi", "split", "position", rounded(F.col("value")).alias("value"))
 
 
+def _orders_by_customer(spark, sf):
+    """Orders split by class, customer and status as categories held in a table."""
+    split = stratified_split(load_orders(spark, sf), CUSTOMER_TASK, SEED).select(
+        "o_orderkey", "split", "o_totalprice", "o_orderstatus", F.col("o_custkey").cast("string").alias("o_custkey")
+    )
+    model, _ = fit_preprocessor(split.where(F.col("split") == TRAIN), CUSTOMER_TASK, listed=0)
+    return split, model
+
+
+def q_category_table(spark, sf):
+    """Places of all categories in the vector, and which of them are hot."""
+    return _orders_by_customer(spark, sf)[1].stages[-1].table
+
+
+def q_one_hot_joined(spark, sf):
+    """Places set in each row's vector; customers are joined, statuses broadcast."""
+    split, model = _orders_by_customer(spark, sf)
+    model.stages[-1].broadcast_up_to(64)
+    sparse = model.transform(split).select("o_orderkey", "split", F.unwrap_udt(FEATURES_COL).alias("x"))
+    places = sparse.select("o_orderkey", "split", F.inline(F.arrays_zip("x.indices", "x.values")))
+    return places.where(F.col("indices") >= len(CUSTOMER_TASK.numeric)).select(
+        "o_orderkey", "split", F.col("indices").alias("position"), F.col("values").cast("int").alias("value")
+    )
+
+
 def q_preprocess_train_only(spark, sf):
     """Mean z-score per split and numeric feature: zero on train by
     construction, not on the splits that were only transformed."""
@@ -350,6 +375,8 @@ O_QUERIES: dict[str, Query] = {
     "impute_mode": q_impute_mode,
     "one_hot": q_one_hot,
     "feature_vector": q_feature_vector,
+    "category_table": q_category_table,
+    "one_hot_joined": q_one_hot_joined,
     "preprocess_train_only": q_preprocess_train_only,
     "document_audit_summary": q_document_audit_summary,
     "prior_baseline": q_prior_baseline,
@@ -382,6 +409,14 @@ def _missing_sql(name: str) -> str:
     return f"count_if({name} IS NULL) AS missing_{name}"
 
 
+_CATEGORIES = O.split_sql("(SELECT *, CAST(o_orderpriority LIKE '1%' AS INTEGER) AS urgent FROM orders)", "o_orderkey", "urgent", name="orders_split") + """,
+cells AS (
+  SELECT 0 AS feature, o_orderkey, split, o_orderstatus AS v FROM orders_split
+  UNION ALL SELECT 1, o_orderkey, split, CAST(o_custkey AS VARCHAR) FROM orders_split),
+counted AS (SELECT feature, v, count(*) AS n FROM cells WHERE split = 'train' AND v IS NOT NULL GROUP BY feature, v),
+places AS (
+  SELECT feature, v, n * 1024 > sum(n) OVER (PARTITION BY feature) AS hot, CAST(row_number() OVER (ORDER BY feature, v) AS INTEGER) AS position
+  FROM counted)"""
 _TRAIN = "machine_split_train AS (SELECT * FROM machine_split WHERE split = 'train')"
 _STATS = ",\n".join(
     f"(SELECT avg({c}) FROM machine_split_train) AS mean_{i}, (SELECT stddev_pop({c}) FROM machine_split_train) AS std_{i}"
@@ -540,6 +575,8 @@ FROM (SELECT udi, CAST(('0x' || substr(md5('42:' || CAST(udi AS VARCHAR)), 1, 8)
     "one_hot": _with(O.MACHINE_SPLIT, _TRAIN)
     + "\nSELECT udi, split, CAST(type = 'H' AS INTEGER) AS type_H, CAST(type = 'L' AS INTEGER) AS type_L, CAST(type = 'M' AS INTEGER) AS type_M FROM machine_split",
     "feature_vector": _feature_vector_sql(),
+    "category_table": _with(_CATEGORIES) + "\nSELECT feature, v, hot, position FROM places",
+    "one_hot_joined": _with(_CATEGORIES) + "\nSELECT o_orderkey, split, position, 1 AS value FROM cells JOIN places USING (feature, v)",
     "preprocess_train_only": _with(O.MACHINE_SPLIT, _TRAIN) + "\n" + "\nUNION ALL\n".join(
         f"SELECT split, {i} AS position, round(avg((coalesce({c}, (SELECT median({c}) FROM machine_split_train)) - "
         f"(SELECT avg({c}) FROM machine_split_train)) / (SELECT stddev_pop({c}) FROM machine_split_train)), 6) + 0.0 AS mean_z "

@@ -154,7 +154,7 @@ def fit_missing(exp: Experiment, names: tuple[str, ...]) -> None:
     missing = [n for n in names if n not in exp.models]
     if not missing:
         return
-    width = len(exp.stats.vector_names(exp.spec))
+    width = exp.stats.vector_width(exp.spec)
     # committed tables are not kept in memory but while something is fitted to them
     fitting = exp.folder.keeps and any(exp.folder.committed(f"candidate-{n}") is None for n in missing)
     train = exp.train.persist(StorageLevel.MEMORY_AND_DISK) if fitting else exp.train
@@ -250,7 +250,7 @@ def importance_rows(exp: Experiment, repeats: int = 10) -> list[dict]:
 
 
 def build_report(exp: Experiment) -> dict:
-    balance, width = class_balance(exp.train), len(exp.stats.vector_names(exp.spec))
+    balance, width = class_balance(exp.train), exp.stats.vector_width(exp.spec)
     summary = {
         r["split"]: {"rows": int(r["rows"]), "positive_rows": int(r["positive_rows"]), "positive_rate": float(r["positive_rate"])}
         for r in split_summary(exp.split, exp.spec.target).collect()
@@ -324,7 +324,7 @@ def mlp_comparison(exp: Experiment) -> dict:
     t = float(select_threshold(score(VALIDATION), LABEL_COL, SCORE_COL).first()["threshold"])
     measured = {part: metrics_record(binary_metrics(score(part), LABEL_COL, SCORE_COL, t).first().asDict()) for part in (VALIDATION, TEST)}
     return {
-        "layers": [len(exp.stats.vector_names(exp.spec)), exp.config.mlp_hidden, 1],
+        "layers": [exp.stats.vector_width(exp.spec), exp.config.mlp_hidden, 1],
         "hidden_activation": "ReLU",
         "dropout": network_config(exp.config).dropout,
         "epochs": exp.config.mlp_epochs,

@@ -85,3 +85,14 @@ ORDER_TASK = TaskSpec(
     leak_columns=("o_orderpriority",),
     category_domain={"o_orderstatus": ("F", "O", "P")},
 )
+
+# orders by customer too: as many categories as there are customers.
+CUSTOMER_TASK = TaskSpec(
+    id_column="o_orderkey",
+    extra_id_columns=(),
+    categorical=("o_orderstatus", "o_custkey"),
+    numeric=("o_totalprice",),
+    target="urgent",
+    leak_columns=("o_orderpriority",),
+    category_domain={},
+)
