@@ -1,15 +1,18 @@
 """Operator 6: embedding near-duplicates by a pivot-permutation index.
 
-Pivots are reference vectors out of the table, any two of a length further
-apart than twice the linking angle: a hot group of near copies then holds one
-pivot, which all its members share, and not many whose order is noise.  Every
-vector is described by its ``PREFIX`` nearest pivots; an inverted list per
-(label, pivot) holds the vectors that have the pivot in their description.  Two
-vectors of a list that share at least ``MIN_SHARED`` pivots are a candidate
-pair, and its cosine is worked out in double precision.  A pair lies in the
-lists of all the pivots it shares and counts in the first one only.  A length
-with no more pivots than ``PREFIX`` has all of them in every description, so
-its pairs are all compared, block by block.
+Pivots are reference vectors out of the table, no two of a length within the
+linking angle of each other: a hot group of near copies then holds one pivot,
+or few, which its members share, and not many whose order is noise.  Nearness
+to pivots is measured from the mean of a bounded sample of vectors.  Vectors
+that all lean to one side would otherwise have the same few pivots nearest, so
+that most would meet in most lists; measured so, what they have in common
+drops out.  Every vector is described by its ``PREFIX`` nearest pivots; an
+inverted list per (label, pivot) holds the vectors that have the pivot in their
+description.  Two vectors of a list that share at least ``MIN_SHARED`` pivots
+are a candidate pair, and its cosine (of the vectors as given) is worked out in
+double precision.  A pair lies in the lists of all the pivots it shares and
+counts in the first one only.  A length with no more pivots than ``PREFIX`` has
+all of them in every description, so its pairs are all compared, block by block.
 
 The number of pivots grows with the square root of the table, so a list grows
 as slowly; only the pivots (bounded by ``MAX_PIVOTS``) go to every task.
@@ -43,11 +46,13 @@ PIVOTS = 64
 ROWS_FOR_PIVOTS = 65_536
 MAX_PIVOTS = 16_384
 PREFIX = 8
-#: Cosines are worked out for all pairs of a list, so to ask for more shared
-#: pivots would save nothing and drop links, the more the more pivots there are.
+#: Unrelated vectors share a pivot in PREFIX squared of as many pairs as there are
+#: pivots; to ask for more shared ones would drop links that lean to one side.
 MIN_SHARED = 1
 BLOCK = 4096
 ROWS_PER_PARTITION = 20_000
+#: Rows whose nearness to all pivots a task holds at once.
+DESCRIBED_ROWS = 256
 #: Pairs whose descriptions are compared at once.
 PAIRS = 1 << 17
 
@@ -62,17 +67,41 @@ def unit_rows(vectors: pd.Series) -> np.ndarray:
 
 
 def far_apart(vectors: np.ndarray, cosine: float) -> np.ndarray:
-    """The unit vectors less those within twice the angle of ``cosine`` of an earlier one kept."""
-    most = math.cos(min(math.pi, 2 * math.acos(max(-1.0, min(1.0, cosine)))))
+    """Row numbers of the unit vectors less those with ``cosine`` or more to an earlier one kept."""
     kept, free = [], np.ones(len(vectors), dtype=bool)
     for i in range(len(vectors)):
         if free[i]:
             kept.append(i)
-            free &= vectors @ vectors[i] < most
-    return vectors[kept]
+            free &= vectors @ vectors[i] < cosine
+    return np.array(kept, dtype=np.int64)
 
 
-def describe(entries: DataFrame, pivots: dict[int, np.ndarray], prefix: int) -> DataFrame:
+def seen_from(units: np.ndarray, mean: np.ndarray) -> np.ndarray:
+    """Unit vectors from ``mean`` towards the rows (zero for a row that is the mean)."""
+    a = units - mean
+    norm = np.sqrt((a * a).sum(axis=1, keepdims=True))
+    return np.divide(a, norm, out=np.zeros_like(a), where=norm > 0)
+
+
+def reference(sample: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray]:
+    """(pivots as seen from the mean, the mean) of a sample of unit vectors."""
+    mean = sample.mean(axis=0)
+    return seen_from(sample[far_apart(sample, cosine)], mean), mean
+
+
+def nearest(units: np.ndarray, pivots: np.ndarray, mean: np.ndarray, prefix: int) -> np.ndarray:
+    """Numbers of each row's nearest pivots, ascending, some rows at a time."""
+    out = np.empty((len(units), min(prefix, len(pivots))), dtype=np.int64)
+    for lo in range(0, len(units), DESCRIBED_ROWS):
+        far = -(seen_from(units[lo : lo + DESCRIBED_ROWS], mean) @ pivots.T)
+        if prefix < len(pivots):
+            out[lo : lo + len(far)] = np.argpartition(far, prefix - 1, axis=1)[:, :prefix]
+        else:
+            out[lo : lo + len(far)] = np.arange(len(pivots))
+    return np.sort(out, axis=1)
+
+
+def describe(entries: DataFrame, pivots: dict[int, tuple[np.ndarray, np.ndarray]], prefix: int) -> DataFrame:
     """Entries plus ``near``: numbers of the nearest pivots, ascending.
 
     Vectors of a length that no pivot has are described by pivot -1.
@@ -86,8 +115,7 @@ def describe(entries: DataFrame, pivots: dict[int, np.ndarray], prefix: int) ->
             for dim in np.unique(sizes):
                 if int(dim) in shared.value:
                     rows = np.flatnonzero(sizes == dim)
-                    cosine = unit_rows(pdf["embedding"].iloc[rows]) @ shared.value[int(dim)].T
-                    top = np.sort(np.argsort(-cosine, axis=1, kind="stable")[:, :prefix], axis=1)
+                    top = nearest(unit_rows(pdf["embedding"].iloc[rows]), *shared.value[int(dim)], prefix)
                     for r, t in zip(rows, top):
                         near[r] = t.tolist()
             yield pdf.assign(near=near)
@@ -154,8 +182,8 @@ def link_counts(entries: DataFrame, n: int, cosine: float, prefix: int, min_shar
     pivots: dict[int, list] = {}
     for r in sample:
         pivots.setdefault(len(r["embedding"]), []).append(r["embedding"])
-    tables = {dim: far_apart(unit_rows(pd.Series(rows)), cosine) for dim, rows in pivots.items()}
-    words = max([1, *(-(-len(t) // 64) for t in tables.values())])
+    tables = {dim: reference(unit_rows(pd.Series(rows)), cosine) for dim, rows in pivots.items()}
+    words = max([1, *(-(-len(t) // 64) for t, _ in tables.values())])
     described = written(describe(entries, tables, prefix), "described")
     listed = described.withColumn("dim", F.size("embedding")).withColumn("pivot", F.explode("near"))
     counts = listed.groupBy("label", "dim", "pivot").agg(F.count("*").alias("m"))
@@ -164,7 +192,9 @@ def link_counts(entries: DataFrame, n: int, cosine: float, prefix: int, min_shar
     dealt = split.withColumn("own", F.pmod(F.xxhash64("id"), F.col("nb")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
     group = F.xxhash64("label", "dim", "pivot", F.least("own", "other"), F.greatest("own", "other"))
     dealt = dealt.select("id", "copies", "embedding", "near", "pivot", "own", group.alias("g"))
-    parts = max(shuffle_partitions(spark), -(-n * prefix // ROWS_PER_PARTITION))
+    # a list of several blocks deals each of its rows once a block
+    rows_dealt = counts.agg(F.sum(F.col("m") * F.ceil(F.col("m") / block))).first()[0] or 0
+    parts = max(shuffle_partitions(spark), -(-int(rows_dealt) // ROWS_PER_PARTITION))
 
     def run(batches):
         got = [b for b in batches if len(b)]
@@ -209,3 +239,23 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, prefix: int = PR
 
 def q_near_duplicates(spark, sf_dir):
     return near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+#: Every pair of a label, and least ids handed on along links; vec_id is taken as unique.
+ORACLE = f"""
+WITH RECURSIVE typed AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+usable AS (
+  SELECT * FROM typed
+  WHERE label IS NOT NULL AND len(list_filter(e, x -> x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, x -> x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b
+  FROM usable a JOIN usable b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= {COSINE}),
+reach(id, least) AS (
+  SELECT vec_id, vec_id FROM usable
+  UNION
+  SELECT l.b, r.least FROM reach r JOIN links l ON l.a = r.id WHERE r.least < l.b),
+classes AS (SELECT id, min(least) AS least FROM reach GROUP BY id),
+totals AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT t.vec_id, coalesce(n, 0) AS n_links, coalesce(c.least, t.vec_id) AS component_id, coalesce(c.least, t.vec_id) = t.vec_id AS kept
+FROM typed t LEFT JOIN classes c ON c.id = t.vec_id LEFT JOIN totals k ON k.a = t.vec_id"""

@@ -38,6 +38,7 @@ ORACLE: dict[str, str] = {
     "op3_induced_sorting": induced_sorting.ORACLE,
     "op4_ngram_scores": ngram_scores.ORACLE,
     "op8_mixture": mixing.ORACLE,
+    "op6_pivots": pivots.ORACLE,
     "op10_containment": decontamination.ORACLE,
     "op12_ball_tree": ball_tree.ORACLE,
     "op13_prefix_trie": prefix_trie.ORACLE,

@@ -152,6 +152,37 @@ def test_pivots_inside_a_hot_group_lose_no_links(spark, monkeypatch, count, copi
     assert sum(got[i] for i in got if want[i] < 10) >= 0.95 * want[want < 10].sum() > 0
 
 
+@pytest.mark.parametrize("lean", [0.0, 0.8])
+def test_vectors_that_lean_to_one_side_keep_their_links_and_few_pairs_meet(spark, monkeypatch, lean):
+    """Cosines of unrelated vectors around ``lean``; links of 0.93 to 0.99."""
+    rng = np.random.default_rng(5)
+    unit = lambda a: a / np.linalg.norm(a, axis=1, keepdims=True)
+    n, dim = 3000, 128
+    x = unit(np.sqrt(lean) * unit(rng.normal(size=(1, dim))) + np.sqrt(1 - lean) * unit(rng.normal(size=(n, dim))))
+    aside = rng.normal(size=(300, dim))
+    aside = unit(aside - (aside * x[:300]).sum(axis=1, keepdims=True) * x[:300])
+    cosine = rng.uniform(0.931, 0.99, size=(300, 1))
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(rng.permutation(np.vstack([x, cosine * x[:300] + np.sqrt(1 - cosine**2) * aside])))]
+    monkeypatch.setattr(pivots, "pivot_count", lambda n: 1024)
+    got = {r.vec_id: r.n_links for r in pivots.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    want = brute_links(rows).sum(axis=1)
+    assert want.sum() >= 600 and all(got[i] <= want[i] for i in got)
+    assert sum(got.values()) >= 0.95 * want.sum()
+    units = np.array([r[1] for r in rows])
+    units = unit(units)
+    table, mean = pivots.reference(units[rng.permutation(len(units))[:1024]], pivots.COSINE)
+    near = pivots.nearest(units, table, mean, pivots.PREFIX)
+    lists = np.bincount(near.ravel(), minlength=len(table)).astype(float)
+    assert (lists * lists).sum() < 0.1 * len(units) ** 2  # comparisons of all lists against all pairs
+
+
+def test_a_row_that_is_the_mean_has_a_description():
+    units = np.array([[1.0, 0.0], [0.0, 1.0], [-1.0, 0.0], [0.0, -1.0]])
+    table, mean = pivots.reference(units, 0.93)
+    assert len(table) == 4 and not mean.any()
+    assert pivots.nearest(np.zeros((1, 2)), table, mean, 2).shape == (1, 2)
+
+
 def test_a_length_with_one_or_two_pivots_keeps_its_links(spark, monkeypatch):
     rows = vectors(3, n=60)
     monkeypatch.setattr(pivots, "pivot_count", lambda n: 2)
