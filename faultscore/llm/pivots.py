@@ -246,7 +246,7 @@ ORACLE = f"""
 WITH RECURSIVE typed AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
 usable AS (
   SELECT * FROM typed
-  WHERE label IS NOT NULL AND len(list_filter(e, x -> x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, x -> x <> 0)) > 0),
+  WHERE label IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
 links AS (
   SELECT a.vec_id AS a, b.vec_id AS b
   FROM usable a JOIN usable b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
