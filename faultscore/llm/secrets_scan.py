@@ -218,9 +218,15 @@ def joined_spans(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.element_at(kinds, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def of_kind(spans: str, kind: int) -> Column:
+    """How many of the spans are of the kind."""
+    # a second argument of the function, even one with a default, would be the span's place
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
 def q_secrets(spark, sf_dir):
     found = secrets(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    per_kind = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{KINDS[k]}") for k in range(3)]
+    per_kind = [of_kind("base", k).alias(f"n_{KINDS[k]}") for k in range(3)]
     return found.select("doc_id", *per_kind, F.sha2(joined_spans(F.col("base")), 256).alias("base_sha256"), joined_spans(F.col("spans")).alias("spans"))
 
 

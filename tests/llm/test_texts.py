@@ -56,6 +56,18 @@ def test_base_spans_stay_and_random_tokens_are_added(spark):
     assert all(set(filter(None, r.b.split(","))) <= set(r.s.split(",")) for r in found)
 
 
+def test_the_query_counts_each_kind_of_base_span(spark, tmp_path):
+    rows = [(i, t) for i, (_, t) in enumerate(secret_rows())] + [(99, "token=abcdef " * 3 + "AKIA" + "Z" * 16 + " " + "0a" * 12 + " secret: 123456")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: (r.n_assign, r.n_access, r.n_hex, r.base_sha256) for r in secrets_scan.q_secrets(spark, str(tmp_path)).collect()}
+    want = {}
+    for d, text in rows:
+        base = brute_base(text)
+        joined = ",".join(f"{secrets_scan.KINDS[k]}:{s}:{e}" for s, k, e in base)
+        want[d] = (*(sum(k == kind for _, k, _ in base) for kind in range(3)), hashlib.sha256(joined.encode()).hexdigest())
+    assert got == want and want[99][:3] == (4, 1, 1)
+
+
 def test_a_long_list_of_checksums_takes_time_by_its_length():
     line = "0123456789abcdef0123456789abcdef01234567  file\n"
     text = line * 350_000  # 16 MB, a base span a line
