@@ -6,7 +6,8 @@ groupBy to the distinct values of (node, column), running class counts over them
 by range (``prefix_sums``), the Gini gain of every cut row by row, and the best
 cut of each node as an aggregation; no cut is left out and nothing is binned.
 Nodes that are small enough are grown to the end, each in a task of its own with
-the same rule.  Trees are a table and never pass the driver.
+the same rule, all nodes of a level at once.  Trees are a table and never pass
+the driver.
 
 Counts are whole numbers and class weights are applied to the finished counts,
 so neither the layout nor the order of the rows changes a tree.  Ties go to the
@@ -16,7 +17,9 @@ order of md5(seed:tree:path:column), columns with one value in the node do not
 count, and the search goes on behind the part until some cut is valid.
 
 A forest's trees draw every row a Poisson(1) number of times, by a hash of (seed,
-tree, id), and weigh the classes by their numbers in the tree's own draw.
+tree, id), and weigh the classes by their numbers in the tree's own draw.  Where
+a tree's draw is small enough for one task, the rows go out once for a group of
+trees and not once a tree: the group's task draws and grows one after another.
 """
 
 from __future__ import annotations
@@ -25,7 +28,6 @@ import hashlib
 import math
 import uuid
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -58,11 +60,26 @@ def poisson_steps() -> list[float]:
     return np.cumsum([math.exp(-1) / math.factorial(k) for k in range(MOST_DRAWS + 1)]).tolist()
 
 
+def draw_steps() -> list[int]:
+    """The least 13-digit hexadecimal numbers that give 1, 2, ... draws."""
+    return [c for c in (math.ceil(s * 2.0**52) for s in poisson_steps()) if c < 1 << 52]
+
+
 def draws(seed: int, tree: Column, id_column: Column) -> Column:
     """How often a tree draws a row."""
     digest = F.md5(F.concat(F.lit(f"{seed}:"), tree.cast("string"), F.lit(":"), id_column.cast("string")))
-    unit = F.conv(F.substring(digest, 1, 13), 16, 10).cast("long").cast("double") / F.lit(2.0**52)
-    return reduce(lambda a, b: a + b, [(unit >= F.lit(s)).cast("int") for s in poisson_steps()])
+    unit, out = F.substring(digest, 1, 13), None
+    for k, step in enumerate(draw_steps()):  # digits of one length stand in the order of their numbers
+        small = unit < F.lit(f"{step:013x}")
+        out = F.when(small, F.lit(k)) if out is None else out.when(small, F.lit(k))
+    return out.when(unit.isNotNull(), F.lit(len(draw_steps())))
+
+
+def drawn_times(seed: int, tree: int, ids: list[bytes]) -> np.ndarray:
+    """``draws`` of one tree, from the ids' text."""
+    head, md5 = f"{seed}:{tree}:".encode(), hashlib.md5
+    digests = np.frombuffer(b"".join([md5(head + i).digest() for i in ids]), dtype=">u8")[::2]
+    return np.searchsorted(np.array(draw_steps(), dtype=np.uint64), digests.astype(np.uint64) >> np.uint64(12), side="right")
 
 
 def training_table(train: DataFrame, id_column: str, label: str, features: str) -> DataFrame:
@@ -76,15 +93,18 @@ def bootstrap(rows: DataFrame, trees: int, seed: int) -> DataFrame:
     return each.withColumn("m", draws(seed, F.col("tree"), F.col("id"))).where("m > 0").select("tree", "id", "y", "x", "m")
 
 
-def class_weights(rows: DataFrame) -> DataFrame:
-    """(tree, w0, w1): n / (2 n_class) of each tree's own draw; 0 for no rows."""
-    counts = rows.groupBy("tree").agg(F.sum(F.col("m").cast("long")).alias("n"), F.sum((F.col("m") * F.col("y")).cast("long")).alias("n1"))
+def class_weights(rows: DataFrame, *more: Column) -> DataFrame:
+    """(tree, n, n1, w0, w1): n / (2 n_class) of each tree's own draw; 0 for no
+    rows.  Further sums of a tree's draw come from the same pass."""
+    counts = rows.groupBy("tree").agg(F.sum(F.col("m").cast("long")).alias("n"), F.sum((F.col("m") * F.col("y")).cast("long")).alias("n1"), *more)
     weight = lambda c: F.when(c == 0, F.lit(0.0)).otherwise(F.col("n").cast("double") / (F.lit(2.0) * c.cast("double")))
-    return counts.select("tree", "n", "n1", weight(F.col("n") - F.col("n1")).alias("w0"), weight(F.col("n1")).alias("w1"))
+    named = ("tree", "n", "n1")
+    return counts.select(*named, weight(F.col("n") - F.col("n1")).alias("w0"), weight(F.col("n1")).alias("w1"), *[c for c in counts.columns if c not in named])
 
 
 def column_order(seed: int, tree: int, path: str, width: int) -> list[int]:
-    return sorted(range(width), key=lambda f: hashlib.md5(f"{seed}:{tree}:{path}:{f}".encode()).hexdigest())
+    head = f"{seed}:{tree}:{path}:".encode()
+    return sorted(range(width), key=[hashlib.md5(head + str(f).encode()).digest() for f in range(width)].__getitem__)
 
 
 def purity(a: np.ndarray, b: np.ndarray, w0: float, w1: float) -> np.ndarray:
@@ -93,53 +113,120 @@ def purity(a: np.ndarray, b: np.ndarray, w0: float, w1: float) -> np.ndarray:
     return (x * x + y * y) / (x + y)
 
 
-def best_cut(x: np.ndarray, y: np.ndarray, m: np.ndarray, w0: float, w1: float, cfg: TreeConfig, order: list[int]):
-    """(column, cut) of a node's rows, or None."""
-    seen, best, n = 0, None, len(x)
-    for f in order:
-        if cfg.columns is not None and seen >= cfg.columns and best is not None:
+class Ranked:
+    """A matrix as the ranks of its values by column, and the values."""
+
+    def __init__(self, x: np.ndarray):
+        found = [np.unique(x[:, f], return_inverse=True) for f in range(x.shape[1])]
+        self.ranks = np.stack([r.reshape(-1) for _, r in found])
+        self.values, sizes = np.concatenate([v for v, _ in found]), [len(v) for v, _ in found]
+        self.first = np.cumsum([0, *sizes[:-1]])
+        self.bits = max(sizes).bit_length()
+
+    def part(self, rows: np.ndarray) -> Ranked:
+        out = object.__new__(Ranked)
+        out.ranks, out.values, out.first, out.bits = self.ranks[:, rows], self.values, self.first, self.bits
+        return out
+
+
+def level_cuts(x: Ranked, y: np.ndarray, m: np.ndarray, rows: np.ndarray, slot: np.ndarray, w0: float, w1: float, cfg: TreeConfig, orders: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(column, rank of the last value that goes left, cut) of each node, column
+    -1 for none.  ``slot`` is the node of each of the rows; a node looks at its
+    columns in the order of its line in ``orders``."""
+    count, width = orders.shape
+    feature, low = np.full(count, -1), np.zeros(count, dtype=np.int64)
+    cut, top, seen = np.zeros(count), np.full(count, -np.inf), np.zeros(count, dtype=np.int64)
+    m_bits = int(m.max()).bit_length() + 1
+    for f in orders.T:
+        wanted = np.ones(count, dtype=bool) if cfg.columns is None else (seen < cfg.columns) | (feature < 0)
+        if not wanted.any():
             break
-        by = np.argsort(x[:, f], kind="stable")
-        v = x[by, f]
-        if v[0] == v[-1]:
-            continue
-        seen += 1
-        total, ones = np.cumsum(m[by]), np.cumsum((m * y)[by])
-        at = np.flatnonzero(v[1:] > v[:-1])
-        at = at[(at + 1 >= cfg.min_rows) & (n - at - 1 >= cfg.min_rows)]
+        held = wanted[slot]
+        r, s = (rows, slot) if held.all() else (rows[held], slot[held])
+        # node, rank, draws and class in one number: a sort of these is all that moves
+        key = ((s << x.bits | x.ranks[f[s], r]) << m_bits) | (m[r] << 1) | y[r]
+        key.sort()
+        value = key >> m_bits
+        node = value >> x.bits
+        times = (key & ((1 << m_bits) - 1)) >> 1
+        total, ones = np.cumsum(times), np.cumsum(times * (key & 1))
+        ends = np.flatnonzero(np.r_[node[1:] != node[:-1], True])
+        starts = np.r_[0, ends[:-1] + 1]
+        nodes = node[ends]
+        seen[nodes] += value[starts] != value[ends]
+        at = np.flatnonzero((value[1:] != value[:-1]) & (node[1:] == node[:-1]))
+        i = np.searchsorted(nodes, node[at])
+        valid = (at - starts[i] + 1 >= cfg.min_rows) & (ends[i] - at >= cfg.min_rows)
+        at, i = at[valid], i[valid]
         if not len(at):
             continue
-        gain = purity(total[at] - ones[at], ones[at], w0, w1) + purity((total[-1] - ones[-1]) - (total[at] - ones[at]), ones[-1] - ones[at], w0, w1)
-        i = int(np.argmax(gain))
-        if best is None or gain[i] > best[0] or (gain[i] == best[0] and f < best[1]):
-            best = (gain[i], f, cut_between(v[at[i]], v[at[i] + 1]))
-    return best and best[1:]
-
-
-def cut_between(low: float, high: float) -> float:
-    middle = (low + high) / 2.0
-    return low if middle >= high else middle
-
-
-def grow_subtree(x: np.ndarray, y: np.ndarray, m: np.ndarray, tree: int, path: str, w0: float, w1: float, cfg: TreeConfig) -> list[list]:
-    """NODE rows (numbers from 0 in order of creation) grown until nothing splits."""
-    nodes, todo = [[tree, 0, -1, 0.0, -1, -1, 0.0]], [(0, np.arange(len(x)), path)]
-    for node, rows, at in todo:  # grows while it is walked
-        n1 = int((m[rows] * y[rows]).sum())
-        n0 = int(m[rows].sum()) - n1
-        cut = None
-        if n0 and n1 and (cfg.max_depth is None or len(at) < cfg.max_depth) and len(rows) >= 2 * cfg.min_rows:
-            order = range(x.shape[1]) if cfg.columns is None else column_order(cfg.seed, tree, at, x.shape[1])
-            cut = best_cut(x[rows], y[rows], m[rows], w0, w1, cfg, order)
-        if cut is None:
-            nodes[node][6] = w1 * n1 / (w0 * n0 + w1 * n1)
-            continue
-        left = x[rows, cut[0]] <= cut[1]
-        nodes[node][2:6] = cut[0], float(cut[1]), len(nodes), len(nodes) + 1
-        for side, part in (("0", rows[left]), ("1", rows[~left])):
-            todo.append((len(nodes), part, at + side))
-            nodes.append([tree, len(nodes), -1, 0.0, -1, -1, 0.0])
-    return nodes
+        before, before1 = np.r_[0, total[ends[:-1]]], np.r_[0, ones[ends[:-1]]]
+        left, left1 = total[at] - before[i], ones[at] - before1[i]
+        whole, whole1 = (total[ends] - before)[i], (ones[ends] - before1)[i]
+        gain = purity(left - left1, left1, w0, w1) + purity((whole - whole1) - (left - left1), whole1 - left1, w0, w1)
+        groups = np.flatnonzero(np.r_[True, i[1:] != i[:-1]])
+        most = np.maximum.reduceat(gain, groups)
+        hit = np.flatnonzero(gain == np.repeat(most, np.diff(np.r_[groups, len(at)])))
+        hit = hit[np.r_[True, i[hit][1:] != i[hit][:-1]]]  # the lowest of equal cuts
+        n = nodes[i[hit]]
+        better = (feature[n] < 0) | (gain[hit] > top[n]) | ((gain[hit] == top[n]) & (f[n] < feature[n]))
+        n, hit = n[better], hit[better]
+        top[n], feature[n] = gain[hit], f[n]
+        ranks = (1 << x.bits) - 1
+        low[n] = value[at[hit]] & ranks
+        a, b = x.values[x.first[f[n]] + low[n]], x.values[x.first[f[n]] + (value[at[hit] + 1] & ranks)]
+        middle = (a + b) / 2.0
+        cut[n] = np.where(middle >= b, a, middle)
+    return feature, low, cut
+
+
+def best_cut(x: np.ndarray, y: np.ndarray, m: np.ndarray, w0: float, w1: float, cfg: TreeConfig, order: list[int]):
+    """(column, cut) of a node's rows, or None."""
+    feature, _, cut = level_cuts(Ranked(x), y, m, np.arange(len(y)), np.zeros(len(y), dtype=np.int64), w0, w1, cfg, np.array([order]))
+    return None if feature[0] < 0 else (int(feature[0]), float(cut[0]))
+
+
+def grow_subtree(x: Ranked, y: np.ndarray, m: np.ndarray, tree: int, path: str, w0: float, w1: float, cfg: TreeConfig) -> list[np.ndarray]:
+    """The NODE columns (numbers from 0 in order of creation) of a tree grown
+    until nothing splits, a level at a time."""
+    parts, first, paths = [], 0, [path]
+    rows, slot, times1 = np.arange(len(y)), np.zeros(len(y), dtype=np.int64), m * y
+    while paths:
+        count = len(paths)
+        n, size = np.bincount(slot, m[rows], count), np.bincount(slot, minlength=count)
+        n1 = np.bincount(slot, times1[rows], count)
+        n0 = n - n1
+        feature, threshold, left, right = np.full(count, -1), np.zeros(count), np.full(count, -1), np.full(count, -1)
+        value = w1 * n1 / (w0 * n0 + w1 * n1)
+        inner, opened = np.zeros(0, dtype=np.int64), []
+        if cfg.max_depth is None or len(paths[0]) < cfg.max_depth:
+            inner = np.flatnonzero((n0 > 0) & (n1 > 0) & (size >= 2 * cfg.min_rows))
+        if len(inner):
+            width = len(x.ranks)
+            orders = np.array([range(width) if cfg.columns is None else column_order(cfg.seed, tree, paths[i], width) for i in inner.tolist()])
+            place = np.full(count, -1)
+            place[inner] = np.arange(len(inner))
+            held = place[slot] >= 0
+            rows, slot = rows[held], place[slot[held]]
+            f, low, cut = level_cuts(x, y, m, rows, slot, w0, w1, cfg, orders)
+            split = np.flatnonzero(f >= 0)
+            at = inner[split]
+            feature[at], threshold[at], value[at] = f[split], cut[split], 0.0
+            left[at] = first + count + 2 * np.arange(len(split))
+            right[at] = left[at] + 1
+            opened = [paths[i] + side for i in at.tolist() for side in "01"]
+            child = np.full(len(inner), -1)
+            child[split] = 2 * np.arange(len(split))
+            held = child[slot] >= 0
+            rows, slot = rows[held], slot[held]
+            slot = child[slot] + (x.ranks[f[slot], rows] > low[slot])
+        parts.append((feature, threshold, left, right, value))
+        first, paths = first + count, opened
+    joined = [np.concatenate(c) for c in zip(*parts)]
+    return [np.full(first, tree), np.arange(first), *joined]
+
+
+NODE_TYPES = (pa.int32(), pa.int32(), pa.int32(), pa.float64(), pa.int32(), pa.int32(), pa.float64())
 
 
 GROWN = "path string, " + NODE_SCHEMA
@@ -158,9 +245,8 @@ def finish(rows: DataFrame, weights: DataFrame, cfg: TreeConfig) -> DataFrame:
         matrix = x.flatten().to_numpy(zero_copy_only=False).reshape(len(x), -1)
         y, m = (table.column(c).to_numpy().astype(np.int64) for c in ("y", "m"))
         tree, path, w0, w1 = (table.column(c)[0].as_py() for c in ("tree", "path", "w0", "w1"))
-        nodes = grow_subtree(matrix, y, m, tree, path, w0, w1, cfg)
-        types = (pa.int32(), pa.int32(), pa.int32(), pa.float64(), pa.int32(), pa.int32(), pa.float64())
-        return pa.table([pa.array([path] * len(nodes)), *(pa.array(c, t) for c, t in zip(zip(*nodes), types))], names=["path", *NODE_COLUMNS])
+        nodes = grow_subtree(Ranked(matrix), y, m, tree, path, w0, w1, cfg)
+        return pa.table([pa.array([path] * len(nodes[0])), *(pa.array(c).cast(t) for c, t in zip(nodes, NODE_TYPES))], names=["path", *NODE_COLUMNS])
 
     return held.groupBy("tree", "path").applyInArrow(grow, GROWN)
 
@@ -266,8 +352,73 @@ def fit_tree(train: DataFrame, id_column: str, cfg: TreeConfig, label: str = "la
     return TreeEnsembleModel(trees=1, link="mean").with_nodes(nodes)
 
 
+PACKED = "lengths binary, ids binary, y binary, x binary"
+
+
+def packed(rows: DataFrame) -> DataFrame:
+    """Training rows in blocks, a table row each; ids as text."""
+
+    def pack(batches):
+        for batch in batches:
+            if batch.num_rows:
+                ids = [i.encode() for i in batch.column("id").to_pylist()]
+                x = batch.column("x").flatten().to_numpy(zero_copy_only=False)
+                y = batch.column("y").to_numpy(zero_copy_only=False).astype(np.int8)
+                parts = [np.array([len(i) for i in ids], dtype=np.int32).tobytes(), b"".join(ids), y.tobytes(), x.tobytes()]
+                yield pa.RecordBatch.from_arrays([pa.array([p], pa.binary()) for p in parts], names=[f.split()[0] for f in PACKED.split(", ")])
+
+    # a row without an id is never drawn
+    return rows.select(F.col("id").cast("string").alias("id"), "y", "x").where("id IS NOT NULL").mapInArrow(pack, PACKED)
+
+
+def unpacked(blocks: list[dict]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """(ids, y, x) of a group's blocks."""
+    ids: list[bytes] = []
+    for b in blocks:
+        ends = np.cumsum(np.frombuffer(b["lengths"], dtype=np.int32)).tolist()
+        ids += [b["ids"][lo:hi] for lo, hi in zip([0, *ends], ends)]
+    y = np.concatenate([np.frombuffer(b["y"], dtype=np.int8) for b in blocks]).astype(np.int64)
+    x = np.concatenate([np.frombuffer(b["x"], dtype=np.float64).reshape(len(b["y"]), -1) for b in blocks])
+    return ids, y, x
+
+
+def grow_drawn(rows: DataFrame, trees: int, cfg: TreeConfig) -> DataFrame:
+    """The node table of a forest whose draws are small enough for a task each:
+    a task takes the rows once and draws and grows the trees of its group."""
+    spark = rows.sparkSession
+    groups = min(trees, max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    blocks = stored(packed(rows), "packed").withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+
+    def run(batches):
+        held = [row for batch in batches for row in batch.to_pylist()]
+        if not held:
+            return
+        ids, y, x = unpacked(held)
+        ranked = Ranked(x)
+        for tree in range(held[0]["group"], trees, groups):
+            times = drawn_times(cfg.seed, tree, ids)
+            at = np.flatnonzero(times)
+            if not len(at):
+                continue
+            m, label = times[at], y[at]
+            n, n1 = int(m.sum()), int((m * label).sum())
+            w0, w1 = (n / (2.0 * c) if c else 0.0 for c in (n - n1, n1))
+            nodes = grow_subtree(ranked.part(at), label, m, tree, "", w0, w1, cfg)
+            yield pa.RecordBatch.from_arrays([pa.array(c).cast(t) for c, t in zip(nodes, NODE_TYPES)], names=list(NODE_COLUMNS))
+
+    return blocks.repartitionById(groups, "group").mapInArrow(run, NODE_SCHEMA)
+
+
+#: Share of the rows that a draw holds at least once.
+DRAWN_SHARE = 1.0 - math.exp(-1)
+
+
 def fit_forest(train: DataFrame, id_column: str, trees: int, cfg: TreeConfig, label: str = "label", features: str = "features") -> TreeEnsembleModel:
     """Trees over Poisson draws of the rows, classes weighted alike in each draw."""
-    rows = stored(bootstrap(training_table(train, id_column, label, features), trees, cfg.seed), "bootstrap")
+    table = training_table(train, id_column, label, features)
+    if table.count() * DRAWN_SHARE <= cfg.finish_rows:
+        nodes = stored(grow_drawn(table, trees, cfg), "forest")
+        return TreeEnsembleModel(trees=trees, link="mean").with_nodes(nodes)
+    rows = stored(bootstrap(table, trees, cfg.seed), "bootstrap")
     nodes = stored(grow_trees(rows, stored(class_weights(rows), "weights"), cfg), "forest")
     return TreeEnsembleModel(trees=trees, link="mean").with_nodes(nodes)

@@ -297,9 +297,9 @@ def forest_bootstrap(spark: SparkSession, sf: str) -> DataFrame:
     """What each tree of the forest draws, and the class weights of its draw."""
     exp = prepared(load_machine(spark, sf))
     rows = bootstrap(training_table(exp.train, S.id_column, "label", "features"), exp.config.forest_trees, exp.seed)
-    counts = rows.groupBy("tree").agg(F.count(F.lit(1)).alias("rows"), F.sum(F.col("m").cast("long")).alias("draws"), F.max("m").alias("most"))
-    weights = class_weights(rows).select("tree", F.col("n1").alias("positive_draws"), rounded(F.col("w0"), 9).alias("w0"), rounded(F.col("w1"), 9).alias("w1"))
-    return counts.join(weights, "tree")
+    # one pass: drawing every row for every tree is the work here
+    found = class_weights(rows, F.count(F.lit(1)).alias("rows"), F.max("m").alias("most"))
+    return found.select("tree", "rows", F.col("n").alias("draws"), "most", F.col("n1").alias("positive_draws"), rounded(F.col("w0"), 9).alias("w0"), rounded(F.col("w1"), 9).alias("w1"))
 
 
 def logistic_gradient(spark: SparkSession, sf: str) -> DataFrame:

@@ -8,7 +8,8 @@ from fixtures import machine_frame
 from pyspark.sql import functions as F
 
 from faultscore.operators.candidates import CandidateConfig
-from faultscore.operators.exact_trees import TreeConfig, best_cut, bootstrap, class_weights, fit_forest, fit_tree, grow_trees, training_table
+from faultscore.operators import exact_trees
+from faultscore.operators.exact_trees import TreeConfig, best_cut, bootstrap, class_weights, draws, drawn_times, fit_forest, fit_tree, grow_trees, training_table
 from faultscore.plans.experiment import prepare
 from faultscore.schema import MACHINE_TASK as S
 
@@ -98,3 +99,25 @@ def test_one_class_and_constant_columns(spark):
     assert [(r.feature, r.value) for r in fit_tree(rows, "id", TreeConfig(3, 2)).nodes.collect()] == [(-1, 0.0)]
     same = spark.createDataFrame([(i, i % 2, Vectors.dense([1.0])) for i in range(20)], ["id", "label", "features"])
     assert [(r.feature, r.value) for r in fit_tree(same, "id", TreeConfig(3, 2)).nodes.collect()] == [(-1, 0.5)]
+
+
+def test_forest_rows_go_out_once_a_group_and_not_once_a_tree(prepared, monkeypatch):
+    cfg = TreeConfig(min_rows=2, columns=2, seed=3)
+    rows = bootstrap(training_table(prepared.train, "udi", "label", "features"), 11, 3)
+    want = shape(grow_trees(rows, class_weights(rows), cfg))
+    monkeypatch.setattr(exact_trees, "bootstrap", lambda *a: pytest.fail("a row a tree"))
+    assert shape(fit_forest(prepared.train, "udi", 11, cfg).nodes) == want
+
+
+def test_a_tree_draws_the_same_rows_in_sql_and_in_a_task(spark):
+    ids = [str(i) for i in range(3000)] + ["é", "a\nb", ""]
+    df = spark.createDataFrame([(i,) for i in [*ids, None]], "id string").withColumn("m", draws(42, F.lit(7), F.col("id")))
+    got = {r.id: r.m for r in df.collect()}
+    assert got.pop(None) is None
+    assert [got[i] for i in ids] == drawn_times(42, 7, [i.encode() for i in ids]).tolist()
+
+
+def test_sums_of_a_draw_come_with_its_weights(prepared):
+    rows = bootstrap(training_table(prepared.train, "udi", "label", "features"), 2, 3)
+    found = class_weights(rows, F.count(F.lit(1)).alias("rows"), F.max("m").alias("most"))
+    assert {(r.tree, r["rows"], r.most) for r in found.collect()} == {(r.tree, r["rows"], r.most) for r in rows.groupBy("tree").agg(F.count("*").alias("rows"), F.max("m").alias("most")).collect()}
