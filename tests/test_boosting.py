@@ -114,3 +114,14 @@ def test_one_tree_equals_a_plain_search(prepared):
                 gain = gl**2 / (hl + 1) + gr**2 / (hr + 1) - (gl + gr) ** 2 / (hl + hr + 1)
                 best = max(best, (gain, f, v), key=lambda b: b[0])
     assert (root.feature, root.threshold) == (best[1], pytest.approx(best[2]))
+
+
+def test_rounds_over_blocks_keep_few_states(spark, prepared, monkeypatch):
+    """The last state and what it is made from, not one of every round since the checkpoint."""
+    import faultscore.operators.boosting as boosting
+
+    kept, before, plain = [], spark.sparkContext._jsc.getPersistentRDDs().size(), boosting.applied
+    monkeypatch.setattr(boosting, "applied", lambda *a: kept.append(spark.sparkContext._jsc.getPersistentRDDs().size()) or plain(*a))
+    fit_boosted_trees(prepared.train, "udi", 3.0, BoostingConfig(rounds=12, seed=3, block_rows=200))
+    assert len(kept) == 12 and max(kept) - before <= 3
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() <= before
