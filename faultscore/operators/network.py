@@ -2,12 +2,17 @@
 
 ReLU units with dropout, weighted logistic loss, Adam with weight decay.  Rows lie
 in blocks (one table row each).  In every epoch a row's batch is a hash of (seed,
-epoch, id), so no row moves; a step takes ``batch`` rows from every block on
-average, the tasks add up the gradient of theirs, a groupBy adds up the tasks,
-and the driver takes the step.  The units that a row drops are hashes of (seed,
-epoch, id, unit), so a lost task comes out the same again.  Where all rows are
-one block there is nothing to add up, and the steps run inside its task with the
-same functions.
+epoch, id); a step takes ``batch`` rows from every block on average.  The units
+that a row drops are hashes of (seed, epoch, id, unit), so a lost task comes out
+the same again.  Where all rows are one block the steps run inside its task.
+
+A step needs the weights of the step before, and its own batch only.  So up to
+``most_turns`` blocks an epoch's rows are dealt by batch into as many turns, each
+no longer than a block on average; a task takes the steps of a turn and hands
+weights and moments to the next one.  Beyond that, where a step is worth a job,
+no row moves: the tasks add up the gradient of their blocks' rows, a groupBy adds
+up the tasks, and the driver takes the step.  All three forms take the same steps
+with the same functions.
 """
 
 from __future__ import annotations
@@ -15,6 +20,7 @@ from __future__ import annotations
 import hashlib
 import json
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +47,7 @@ class NetworkConfig:
     epochs: int = 40
     seed: int = 42
     block_rows: int = 262_144
+    most_turns: int = 256
 
 
 def numbers(*parts) -> tuple[int, int]:
@@ -49,6 +56,13 @@ def numbers(*parts) -> tuple[int, int]:
     return int(digest[:16], 16) | 1, int(digest[16:], 16)
 
 
+@lru_cache(maxsize=8)
+def unit_numbers(seed: int, epoch: int, hidden: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What ``unit_hash`` takes of (seed, epoch, unit), an entry a unit."""
+    found = [numbers(seed, "drop", epoch, u) for u in range(hidden)]
+    return tuple(np.array(c, dtype=np.uint64) for c in zip(*[(a, b, a ^ (b | 1) | 1) for a, b in found]))
+
+
 def unit_hash(ids: np.ndarray, *parts) -> np.ndarray:
     """A number in [0, 2^32) for every id."""
     a, b = numbers(*parts)
@@ -119,8 +133,10 @@ class Rows:
         return (unit_hash(self.ids, cfg.seed, "batch", epoch) % np.uint64(count)).astype(np.int64)
 
     def keep(self, at: np.ndarray, epoch: int, cfg: NetworkConfig) -> np.ndarray:
-        kept = np.stack([unit_hash(self.ids[at], cfg.seed, "drop", epoch, u) >= np.uint64(cfg.dropout * 2**32) for u in range(cfg.hidden)], axis=1)
-        return kept / (1.0 - cfg.dropout)
+        a, b, c = unit_numbers(cfg.seed, epoch, cfg.hidden)
+        mixed = self.ids[at][:, None] * a + b  # unit_hash of every unit at once
+        mixed = (mixed ^ (mixed >> np.uint64(29))) * c
+        return (mixed >> np.uint64(32) >= np.uint64(cfg.dropout * 2**32)) / (1.0 - cfg.dropout)
 
     def sums(self, w: Weights, at: np.ndarray, epoch: int, weight: float, cfg: NetworkConfig) -> np.ndarray:
         return gradient_sums(w, self.x[at], self.y[at], self.keep(at, epoch, cfg), weight)
@@ -142,21 +158,33 @@ def make_blocks(train: DataFrame, id_column: str, label: str, features: str, cou
     return rows.withColumn("block", F.pmod(F.col("id"), F.lit(count))).groupBy("block").applyInArrow(pack, BLOCKS)
 
 
+def take_steps(w: Weights, adam: Adam, sums, batches) -> tuple[Weights, list[float]]:
+    """A step for each of the batches; ``sums(weights, batch)`` adds up one."""
+    seen = []
+    for b in batches:
+        got = sums(w, b)
+        if got[-1]:
+            w = Weights(w.width, w.hidden, adam.step(w.vector, got[:-2] / got[-1]))
+            seen.append(got[-2] / got[-1])
+    return w, seen
+
+
 def train_epochs(width: int, batches: int, cfg: NetworkConfig, sums) -> tuple[Weights, list[float]]:
     """All steps; ``sums(weights, epoch, batch)`` adds up one batch."""
     w = Weights.drawn(width, cfg.hidden, cfg.seed)
     adam, losses = Adam(len(w.vector), cfg.rate, cfg.decay), []
     for epoch in range(cfg.epochs):
-        seen = []
-        for b in range(batches):
-            got = sums(w, epoch, b)
-            if got[-1]:
-                w = Weights(width, cfg.hidden, adam.step(w.vector, got[:-2] / got[-1]))
-                seen.append(got[-2] / got[-1])
+        w, seen = take_steps(w, adam, lambda w, b, epoch=epoch: sums(w, epoch, b), range(batches))
         losses.append(float(np.mean(seen)))
     return w, losses
 
 
+def by_batch(dealt: np.ndarray, batches: int) -> list[np.ndarray]:
+    """The rows of each batch, in their order."""
+    order = np.argsort(dealt, kind="stable")
+    return np.split(order, np.searchsorted(dealt[order], np.arange(1, batches)))
+
+
 def fit_in_block(blocks: DataFrame, width: int, batches: int, weight: float, cfg: NetworkConfig) -> tuple[np.ndarray, list[float]]:
     def run(parts):
         for part in parts:
@@ -166,8 +194,8 @@ def fit_in_block(blocks: DataFrame, width: int, batches: int, weight: float, cfg
                 def sums(w, epoch, b, rows=rows, dealt=dealt):
                     if epoch not in dealt:
                         dealt.clear()
-                        dealt[epoch] = rows.batches(epoch, batches, cfg)
-                    return rows.sums(w, np.flatnonzero(dealt[epoch] == b), epoch, weight, cfg)
+                        dealt[epoch] = by_batch(rows.batches(epoch, batches, cfg), batches)
+                    return rows.sums(w, dealt[epoch][b], epoch, weight, cfg)
 
                 w, losses = train_epochs(width, batches, cfg, sums)
                 yield pa.RecordBatch.from_arrays([pa.array([w.vector]), pa.array([losses])], names=["vector", "losses"])
@@ -176,6 +204,53 @@ def fit_in_block(blocks: DataFrame, width: int, batches: int, weight: float, cfg
     return np.array(r["vector"]), list(r["losses"])
 
 
+def fit_by_turns(blocks: DataFrame, width: int, batches: int, weight: float, cfg: NetworkConfig) -> tuple[np.ndarray, list[float]]:
+    """A shuffle an epoch, that deals the rows of ``long`` batches to a turn, and a
+    job a turn, which is plain RDD work and needs no planning."""
+    held = blocks.rdd.map(lambda r: r.asDict()).persist(StorageLevel.MEMORY_AND_DISK)
+    spark, count = blocks.sparkSession, max(1, held.count())
+    long = -(-batches // count)
+    turns = -(-batches // long)
+    w = Weights.drawn(width, cfg.hidden, cfg.seed)
+    adam, losses = Adam(len(w.vector), cfg.rate, cfg.decay), []
+    for epoch in range(cfg.epochs):
+
+        def deal(row: dict, epoch=epoch):
+            rows = Rows(row, width)
+            turn = rows.batches(epoch, batches, cfg) // long
+            for t, at in enumerate(by_batch(turn, turns)):
+                if len(at):
+                    yield t, {"ids": rows.ids[at].tobytes(), "label": rows.y[at].astype(np.int8).tobytes(), "x": rows.x[at].tobytes()}
+
+        dealt, seen = held.flatMap(deal).partitionBy(turns, int).values(), []
+        for t in range(turns):
+
+            def run(parts, epoch=epoch, t=t, vector=w.vector, adam=adam):
+                rows = joined(list(parts), width)
+                if rows is None:
+                    return
+                at = by_batch(rows.batches(epoch, batches, cfg) - t * long, long)
+                w, seen = take_steps(Weights(width, cfg.hidden, vector), adam, lambda w, b: rows.sums(w, at[b], epoch, weight, cfg), range(long))
+                yield w.vector, adam, seen
+
+            for vector, adam, losses_of_turn in spark.sparkContext.runJob(dealt, run, [t]):
+                w = Weights(width, cfg.hidden, vector)
+                seen += losses_of_turn
+        losses.append(float(np.mean(seen)))
+    held.unpersist()
+    return w.vector, losses
+
+
+def joined(parts: list[dict], width: int) -> Rows | None:
+    """The pieces of a turn as one block, by id as in any block."""
+    if not parts:
+        return None
+    rows = Rows({k: b"".join(p[k] for p in parts) for k in ("ids", "label", "x")}, width)
+    order = np.argsort(rows.ids, kind="stable")  # pieces come in any order, and equal ids in one piece
+    rows.ids, rows.y, rows.x = rows.ids[order], rows.y[order], rows.x[order]
+    return rows
+
+
 def fit_over_blocks(blocks: DataFrame, width: int, batches: int, weight: float, cfg: NetworkConfig) -> tuple[np.ndarray, list[float]]:
     held = blocks.persist(StorageLevel.MEMORY_AND_DISK)
 
@@ -231,6 +306,6 @@ def fit_network(train: DataFrame, id_column: str, weight: float, cfg: NetworkCon
     n, width = train.agg(F.count(F.lit(1)), F.max(F.size(vector_to_array(F.col(features))))).first()
     count = max(1, -(-n // cfg.block_rows))
     blocks = make_blocks(train, id_column, label, features, count, cfg.seed)
-    fit = fit_in_block if count == 1 else fit_over_blocks
+    fit = fit_in_block if count == 1 else fit_by_turns if count <= cfg.most_turns else fit_over_blocks
     vector, losses = fit(blocks, width, max(1, -(-n // (cfg.batch * count))), weight, cfg)
     return NetworkModel(weights=json.dumps(vector.tolist()), width=width, hidden=cfg.hidden), losses

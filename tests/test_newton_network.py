@@ -93,6 +93,43 @@ def test_blocks_add_up_to_the_same_network(prepared):
     assert one[1][-1] < one[1][0]
 
 
+def test_turns_take_the_steps_of_one_block(prepared):
+    """Rows of three blocks, dealt by batch: the same network to the last bit, and a job a turn."""
+    import json
+
+    sc = prepared.train.sparkSession.sparkContext
+    one = fit_network(prepared.train, "udi", 4.0, CFG)
+    n = prepared.train.count()
+    blocks = network.make_blocks(prepared.train, "udi", "label", "features", 3, CFG.seed)
+    sc.setJobGroup("turns", "turns")
+    try:
+        vector, losses = network.fit_by_turns(blocks, 8, max(1, -(-n // CFG.batch)), 4.0, CFG)
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert losses == one[1]
+    assert vector.tolist() == json.loads(one[0].getOrDefault("weights"))
+    assert len(sc.statusTracker().getJobIdsForGroup("turns")) <= CFG.epochs * 3 + 5
+
+
+def test_several_blocks_go_by_turns(prepared, monkeypatch):
+    """Two to ``most_turns`` blocks need no job a step."""
+    taken = []
+    for form in ("fit_in_block", "fit_by_turns", "fit_over_blocks"):
+        monkeypatch.setattr(network, form, lambda *a, form=form: (taken.append(form), (np.zeros(61), [0.0]))[1])
+    n = prepared.train.count()
+    for rows, most in ((n, 256), (-(-n // 3), 256), (-(-n // 3), 2)):
+        fit_network(prepared.train, "udi", 4.0, replace(CFG, block_rows=rows, most_turns=most))
+    assert taken == ["fit_in_block", "fit_by_turns", "fit_over_blocks"]
+
+
+def test_kept_units_are_hashed_one_by_one(prepared):
+    ids = np.array([0, 1, 7, 2**52 - 1], dtype=np.uint64)
+    rows = network.Rows({"ids": ids.tobytes(), "label": bytes(4), "x": np.zeros(4).tobytes()}, 1)
+    got = rows.keep(np.array([3, 0, 2]), 5, CFG)
+    want = [[network.unit_hash(ids[[i]], CFG.seed, "drop", 5, u)[0] >= int(CFG.dropout * 2**32) for u in range(CFG.hidden)] for i in (3, 0, 2)]
+    assert got.tolist() == (np.array(want) / (1 - CFG.dropout)).tolist()
+
+
 def test_epochs_must_be_positive(prepared):
     with pytest.raises(ValueError, match="epochs must be positive"):
         fit_network(prepared.train, "udi", 4.0, replace(CFG, epochs=0))
