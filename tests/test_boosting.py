@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from faultscore.operators.boosting import BoostingConfig, fit_boosted_trees
 from faultscore.operators.candidates import CandidateConfig, class_balance
-from faultscore.operators.ensembles import TreeEnsembleModel
+from faultscore.operators.ensembles import NODE_COLUMNS, TreeEnsembleModel, leaf_values
 from faultscore.operators.prefix_sums import prefix_sums
 from faultscore.plans.experiment import prepare
 from faultscore.schema import MACHINE_TASK as S
@@ -125,3 +125,29 @@ def test_rounds_over_blocks_keep_few_states(spark, prepared, monkeypatch):
     fit_boosted_trees(prepared.train, "udi", 3.0, BoostingConfig(rounds=12, seed=3, block_rows=200))
     assert len(kept) == 12 and max(kept) - before <= 3
     assert spark.sparkContext._jsc.getPersistentRDDs().size() <= before
+
+
+def test_leaf_values_are_those_of_a_walk_row_by_row():
+    """Random trees of any shape, behind another tree's nodes; missing numbers go right."""
+    g = np.random.default_rng(5)
+    for size in (0, 1, 7, 40):
+        nodes, open_nodes = [(-1, 0.0, -1, -1, g.normal())], [0]
+        for _ in range(size):
+            n = open_nodes.pop(int(g.integers(len(open_nodes))))
+            left, right = (len(nodes), len(nodes) + 1) if g.random() < 0.5 else (len(nodes) + 1, len(nodes))
+            nodes[n] = (int(g.integers(3)), float(g.integers(5)), left, right, 0.0)
+            open_nodes += [len(nodes), len(nodes) + 1]
+            nodes += [(-1, 0.0, -1, -1, g.normal()), (-1, 0.0, -1, -1, g.normal())]
+        x = g.integers(0, 6, (50, 3)).astype(float)
+        x[::7, 1] = np.nan
+        other = [(-1, 0.0, -1, -1, 9.0)]
+        table = {"tree": np.array([0] + [1] * len(nodes)), "node": np.array([0, *range(len(nodes))])}
+        table |= {c: np.array(v) for c, v in zip(NODE_COLUMNS[2:], zip(*(other + nodes)))}
+        want = []
+        for row in x:
+            n = 0
+            while nodes[n][0] >= 0:
+                n = nodes[n][2] if row[nodes[n][0]] <= nodes[n][1] else nodes[n][3]
+            want.append(nodes[n][4])
+        assert leaf_values(x, table, 1, 1 + len(nodes)).tolist() == want
+        assert leaf_values(x[:0], table, 1, 1 + len(nodes)).tolist() == []
