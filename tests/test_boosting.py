@@ -151,3 +151,72 @@ def test_leaf_values_are_those_of_a_walk_row_by_row():
             want.append(nodes[n][4])
         assert leaf_values(x, table, 1, 1 + len(nodes)).tolist() == want
         assert leaf_values(x[:0], table, 1, 1 + len(nodes)).tolist() == []
+
+
+def test_a_few_blocks_are_fitted_in_a_task(spark, prepared):
+    """The trees of a job a level, without these jobs; beyond the bounds the jobs are back."""
+    weight, cfg = class_balance(prepared.train).positive_weight(), replace(CFG, rounds=6, block_rows=100)
+    blocks = -(-prepared.train.count() // 100)
+    assert blocks > 1
+    sc, found = spark.sparkContext, {}
+    for allowed in (1, blocks - 1, blocks):
+        sc.setJobGroup(f"boosting-{allowed}", "")
+        model = fit_boosted_trees(prepared.train, "udi", weight, cfg, task_blocks=allowed)
+        found[allowed] = nodes_of(model), len(sc.statusTracker().getJobIdsForGroup(f"boosting-{allowed}"))
+    sc.setJobGroup("others", "")
+    assert found[1][0] == found[blocks - 1][0] == found[blocks][0]
+    assert min(found[1][1], found[blocks - 1][1]) >= found[blocks][1] + 6 * CFG.depth - 2
+
+
+def test_the_candidate_takes_a_few_blocks_in_a_task(spark, monkeypatch):
+    import faultscore.operators.boosting as boosting
+    from faultscore.operators.candidates import fit_candidate
+
+    config = CandidateConfig(seed=3, boosted_rounds=2, boosted_block_rows=200)
+    exp = prepare(machine_frame(spark), S, 3, config)
+    balance = class_balance(exp.train)
+    monkeypatch.setattr(boosting, "grow_over_blocks", lambda *a: pytest.fail("a job a level"))
+    assert 200 < exp.train.count() <= 800
+    model, _ = fit_candidate("boosted_trees", exp.train, balance, config, exp.stats.vector_width(S), "udi")
+    assert {r.tree for r in model.nodes.collect()} == {0, 1}
+    exp.close()
+
+
+def test_sums_of_rare_bins_and_of_siblings_are_those_of_all_rows():
+    import faultscore.operators.boosting as b
+
+    g = np.random.default_rng(7)
+    n, sizes = 5000, [2, 2, 9, 40, 1]
+    bins = np.stack([g.random(n) < 0.03, g.random(n) > 0.1, g.integers(0, 9, n), g.integers(0, 40, n), np.zeros(n)]).astype(np.uint16)
+    label = ((bins[3] > 30) ^ (g.random(n) < 0.1) ^ (bins[0] == 1)).astype(np.int8)
+    row = {"n": n, "label": label.tobytes(), "ids": g.integers(0, 2**52, n).astype(np.uint64).tobytes(), "bins": bins.tobytes(), "margin": g.normal(size=n).tobytes()}
+    cfg, columns, scale = BoostingConfig(seed=3), [0, 1, 2, 3, 4], b.gradient_scale(3.0, 8192)
+    block = b.Block(row)
+    block.index()
+    assert sorted(block.rare) == [0, 1, 4] and len(block.rare[4][1]) == 0
+    block.begin(0, 3.0, scale, cfg)
+    seen = []
+
+    def summed(tree):
+        """Before a level is chosen: what a plain loop adds up for each open node."""
+        at, want = tree.leaves(bins, n), np.zeros((2, len(tree.open), sum(sizes)))
+        for i, node in enumerate(tree.open):
+            rows, first = np.flatnonzero((at == node) & block.drawn), 0
+            for f in columns:
+                np.add.at(want[0, i], first + bins[f][rows], block.g[rows])
+                np.add.at(want[1, i], first + bins[f][rows], block.h[rows])
+                first += sizes[f]
+        found = block.sums(tree, columns, sizes)
+        assert (found == want[:, tree.lighter()]).all()
+        seen.append((want, b.choose_splits(b.by_column(want / scale, columns, sizes), columns, cfg)))
+        return found
+
+    tree = b.grow_tree(columns, sizes, scale, cfg, summed)
+    assert len(seen) == cfg.depth and seen[-1][0].shape[1] > 2
+    plain = b.Tree()
+    for _, splits in seen:
+        plain.grow(splits)
+    assert (plain.feature, plain.bin, plain.left) == (tree.feature, tree.bin, tree.left)
+    assert all((p == t).all() for p, t in zip(plain.sums, tree.sums))
+    high = b.halves(np.array([[[2.0**52 + 1, -(2.0**40) - 3]]] * 2))
+    assert (b.whole_numbers(high + high) == 2 * np.array([2.0**52 + 1, -(2.0**40) - 3])).all()
