@@ -20,7 +20,7 @@ all candidates alike.  Each has the reference's configuration:
 from __future__ import annotations
 
 import math
-from dataclasses import asdict, dataclass, field
+from dataclasses import asdict, dataclass, field, replace
 from typing import Any
 
 from pyspark import SparkContext, keyword_only
@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import col, hash_key
-from .boosting import BoostingConfig, fit_boosted_trees
+from .boosting import TASK_VALUES, BoostingConfig, fit_boosted_trees
 from .exact_trees import TreeConfig, fit_forest, fit_tree
 from .network import NetworkConfig, fit_network
 from .newton import WIDEST, fit_logistic
@@ -57,6 +57,9 @@ BOOSTED_PARAMETERS: dict[str, Any] = {
 }
 #: Blocks (1,048,576 rows) that boosting goes through in one task, where a job a level would take longer.
 BOOSTED_TASK_BLOCKS = 4
+#: Rows of the single tree that are grown in one task, where a pass a level would take longer
+#: (if they are ``TASK_VALUES`` values at most).
+TREE_TASK_ROWS = 1_048_576
 CANDIDATE_ORDER = ("majority_baseline", "logistic_regression", "decision_tree", "random_forest", "boosted_trees")
 
 
@@ -246,7 +249,10 @@ def fit_candidate(name: str, features: DataFrame, balance: ClassBalance, config:
         weighted = features.withColumn(WEIGHT_COL, balance.balanced_weight())
         return without_summary(wide_logistic(balance, config).fit(weighted)), {}
     if name == "decision_tree":
-        return fit_tree(features, id_column, tree_config(name, config, width), LABEL_COL), {}
+        cfg = tree_config(name, config, width)
+        if balance.rows <= TREE_TASK_ROWS and balance.rows * width <= TASK_VALUES:
+            cfg = replace(cfg, finish_rows=max(cfg.finish_rows, balance.rows))
+        return fit_tree(features, id_column, cfg, LABEL_COL), {}
     if name == "random_forest":
         return fit_forest(features, id_column, config.forest_trees, tree_config(name, config, width), LABEL_COL), {}
     if name == "boosted_trees":

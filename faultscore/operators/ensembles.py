@@ -123,8 +123,8 @@ class TreeEnsembleModel(Model, HasFeaturesCol, HasOutputCol, DefaultParamsReadab
         rows = dataset.select(*[F.col(f"`{c}`") for c in given]).withColumn("__x", vector_to_array(F.col(self.getFeaturesCol())))
         small = self.nodes.limit(self.getOrDefault("broadcastNodes") + 1).count() <= self.getOrDefault("broadcastNodes")
         if small:
-            pdf = self.nodes.toPandas().sort_values(["tree", "node"])
-            held = dataset.sparkSession.sparkContext.broadcast({c: pdf[c].to_numpy() for c in NODE_COLUMNS})
+            table = self.nodes.toArrow().sort_by([("tree", "ascending"), ("node", "ascending")])  # columns, never a row at a time
+            held = dataset.sparkSession.sparkContext.broadcast({c: table.column(c).to_numpy() for c in NODE_COLUMNS})
             probability = F.pandas_udf(lambda x: pd.Series(finish(tree_sums(_stacked(x), held.value))), "double")
             return rows.withColumn(out, probability("__x")).drop("__x")
         return self._streamed(rows, given, finish).drop("__x")

@@ -36,12 +36,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import col
+from ..functions.hashes import md5_heads
 from ..session import ensure_checkpoint_dir
 from .ensembles import NODE_COLUMNS, NODE_SCHEMA, TreeEnsembleModel
 from .prefix_sums import prefix_sums
 
 #: Tasks that grow trees at most (each takes one group after another).
 MOST_TASKS = 8192
+#: Groups of a drawn forest for each core: few enough that the rows seldom go out,
+#: enough that cores which are free later still find one.
+CORE_GROUPS = 4
 #: Draws of a row beyond which Poisson(1) has no mass that 52 bits can tell.
 MOST_DRAWS = 17
 
@@ -75,11 +79,25 @@ def draws(seed: int, tree: Column, id_column: Column) -> Column:
     return out.when(unit.isNotNull(), F.lit(len(draw_steps())))
 
 
-def drawn_times(seed: int, tree: int, ids: list[bytes]) -> np.ndarray:
+class Ids:
+    """Ids' text by length, to be hashed for one tree after another."""
+
+    def __init__(self, ids: list[bytes]):
+        lengths, self.n = np.array([len(i) for i in ids], dtype=np.int64), len(ids)
+        text, ends = np.frombuffer(b"".join(ids), dtype=np.uint8), np.cumsum(lengths)
+        self.parts = []
+        for length in np.unique(lengths).tolist():
+            at = np.flatnonzero(lengths == length)
+            self.parts.append((at, text[(ends[at] - length)[:, None] + np.arange(length)]))
+
+
+def drawn_times(seed: int, tree: int, ids: Ids | list[bytes]) -> np.ndarray:
     """``draws`` of one tree, from the ids' text."""
-    head, md5 = f"{seed}:{tree}:".encode(), hashlib.md5
-    digests = np.frombuffer(b"".join([md5(head + i).digest() for i in ids]), dtype=">u8")[::2]
-    return np.searchsorted(np.array(draw_steps(), dtype=np.uint64), digests.astype(np.uint64) >> np.uint64(12), side="right")
+    ids = ids if isinstance(ids, Ids) else Ids(ids)
+    head, units = f"{seed}:{tree}:".encode(), np.zeros(ids.n, dtype=np.uint64)
+    for at, text in ids.parts:
+        units[at] = md5_heads(head, text) >> np.uint64(12)
+    return np.searchsorted(np.array(draw_steps(), dtype=np.uint64), units, side="right")
 
 
 def training_table(train: DataFrame, id_column: str, label: str, features: str) -> DataFrame:
@@ -118,14 +136,14 @@ class Ranked:
 
     def __init__(self, x: np.ndarray):
         found = [np.unique(x[:, f], return_inverse=True) for f in range(x.shape[1])]
-        self.ranks = np.stack([r.reshape(-1) for _, r in found])
+        self.ranks = np.stack([r.reshape(-1).astype(np.int32) for _, r in found])
         self.values, sizes = np.concatenate([v for v, _ in found]), [len(v) for v, _ in found]
         self.first = np.cumsum([0, *sizes[:-1]])
         self.bits = max(sizes).bit_length()
 
     def part(self, rows: np.ndarray) -> Ranked:
         out = object.__new__(Ranked)
-        out.ranks, out.values, out.first, out.bits = self.ranks[:, rows], self.values, self.first, self.bits
+        out.ranks, out.values, out.first, out.bits = self.ranks.take(rows, axis=1), self.values, self.first, self.bits
         return out
 
 
@@ -137,6 +155,7 @@ def level_cuts(x: Ranked, y: np.ndarray, m: np.ndarray, rows: np.ndarray, slot:
     feature, low = np.full(count, -1), np.zeros(count, dtype=np.int64)
     cut, top, seen = np.zeros(count), np.full(count, -np.inf), np.zeros(count, dtype=np.int64)
     m_bits = int(m.max()).bit_length() + 1
+    flat, n_rows, drawn = x.ranks.reshape(-1), x.ranks.shape[1], (m << 1) | y
     for f in orders.T:
         wanted = np.ones(count, dtype=bool) if cfg.columns is None else (seen < cfg.columns) | (feature < 0)
         if not wanted.any():
@@ -144,7 +163,10 @@ def level_cuts(x: Ranked, y: np.ndarray, m: np.ndarray, rows: np.ndarray, slot:
         held = wanted[slot]
         r, s = (rows, slot) if held.all() else (rows[held], slot[held])
         # node, rank, draws and class in one number: a sort of these is all that moves
-        key = ((s << x.bits | x.ranks[f[s], r]) << m_bits) | (m[r] << 1) | y[r]
+        key = s << x.bits
+        key |= flat.take((f * n_rows).take(s) + r)
+        key <<= m_bits
+        key |= drawn.take(r)
         key.sort()
         value = key >> m_bits
         node = value >> x.bits
@@ -219,7 +241,8 @@ def grow_subtree(x: Ranked, y: np.ndarray, m: np.ndarray, tree: int, path: str,
             child[split] = 2 * np.arange(len(split))
             held = child[slot] >= 0
             rows, slot = rows[held], slot[held]
-            slot = child[slot] + (x.ranks[f[slot], rows] > low[slot])
+            value_ranks = x.ranks.reshape(-1).take((f * x.ranks.shape[1]).take(slot) + rows)
+            slot = child.take(slot) + (value_ranks > low.take(slot))
         parts.append((feature, threshold, left, right, value))
         first, paths = first + count, opened
     joined = [np.concatenate(c) for c in zip(*parts)]
@@ -386,15 +409,15 @@ def grow_drawn(rows: DataFrame, trees: int, cfg: TreeConfig) -> DataFrame:
     """The node table of a forest whose draws are small enough for a task each:
     a task takes the rows once and draws and grows the trees of its group."""
     spark = rows.sparkSession
-    groups = min(trees, max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    groups = min(trees, CORE_GROUPS * spark.sparkContext.defaultParallelism)
     blocks = stored(packed(rows), "packed").withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
 
     def run(batches):
         held = [row for batch in batches for row in batch.to_pylist()]
         if not held:
             return
-        ids, y, x = unpacked(held)
-        ranked = Ranked(x)
+        texts, y, x = unpacked(held)
+        ids, ranked = Ids(texts), Ranked(x)
         for tree in range(held[0]["group"], trees, groups):
             times = drawn_times(cfg.seed, tree, ids)
             at = np.flatnonzero(times)

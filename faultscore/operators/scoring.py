@@ -25,6 +25,13 @@ def check_features(rows: DataFrame, features: tuple[str, ...] | list[str]) -> No
         raise ValueError(MISSING_FEATURES.format(missing))
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """The rows, dealt to every core where their input has fewer partitions: trees
+    take longer than a shuffle of what they score."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+
+
 def score_rows(model: PipelineModel, rows: DataFrame, features, keep: list[str] | None = None) -> DataFrame:
     """keep columns + features -> keep columns + ``score``."""
     check_features(rows, features)

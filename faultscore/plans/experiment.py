@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import json
 import os
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import ThreadPoolExecutor, wait
 from dataclasses import asdict, dataclass, field
 from functools import reduce
 from typing import Any
@@ -41,6 +41,7 @@ from ..operators.candidates import (
 from ..operators.importance import permutation_importance
 from ..operators.metrics import binary_metrics
 from ..operators.preprocess import FEATURES_COL, PreprocessStats, fit_preprocessor
+from ..operators.scoring import spread
 from ..operators.selection import choose_from_rows
 from ..operators.split import TEST, TRAIN, VALIDATION, split_summary, stratified_split
 from ..operators.threshold import select_threshold
@@ -52,6 +53,10 @@ from .resume import RunFolder, run_folder
 #: Criteria in the order in which they decide.
 SELECTION_CRITERIA = ["validation average_precision", "validation f1", "candidate order"]
 THRESHOLD_CRITERIA = ["validation f1", "recall", "distance to 0.5", "lowest threshold"]
+#: Fits of a few short jobs, and those whose tasks keep every core busy: a job that
+#: is submitted behind these waits for all their tasks, so they come last.
+SHORT_FITS = ("majority_baseline", "logistic_regression", "decision_tree")
+WIDE_FITS = ("random_forest",)
 METRIC_FIELDS = ("threshold", "accuracy", "precision", "recall", "f1", "roc_auc", "average_precision")
 
 
@@ -106,6 +111,17 @@ def prepare(df: DataFrame, spec: TaskSpec, seed: int = 42, config: CandidateConf
     """Audit once, split, fit preprocessing on train, featurize every split."""
     ensure_checkpoint_dir(df.sparkSession)
     folder = folder or RunFolder(df.sparkSession)
+    if not folder.keeps or folder.committed("split") is not None:
+        return _prepared(df, spec, seed, config, folder)
+    # audit and split go through the table half a dozen times
+    held = spread(df).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _prepared(held, spec, seed, config, folder)
+    finally:
+        held.unpersist()
+
+
+def _prepared(df: DataFrame, spec: TaskSpec, seed: int, config: CandidateConfig | None, folder: RunFolder) -> Experiment:
     audit = folder.record("audit", lambda: validate(df, spec))
     classes = {0: audit["rows"] - audit["positive_rows"], 1: audit["positive_rows"]}
     split = folder.table("split", lambda: stratified_split(df, spec, seed, class_rows=classes))
@@ -165,8 +181,10 @@ def fit_missing(exp: Experiment, names: tuple[str, ...]) -> None:
             return exp.folder.model(f"candidate-{name}", lambda: fit_candidate(name, train, balance, exp.config, width, exp.spec.id_column))
 
         with ThreadPoolExecutor(max_workers=max(1, min(len(missing), exp.config.parallel_fits))) as pool:
-            futures = {name: pool.submit(one, name) for name in missing}
-            fitted = {name: future.result() for name, future in futures.items()}
+            futures = {name: pool.submit(one, name) for name in missing if name not in WIDE_FITS}
+            wait([future for name, future in futures.items() if name in SHORT_FITS])
+            futures |= {name: pool.submit(one, name) for name in missing if name in WIDE_FITS}
+            fitted = {name: futures[name].result() for name in missing}
     finally:
         if fitting:
             train.unpersist()
@@ -178,7 +196,7 @@ def fit_missing(exp: Experiment, names: tuple[str, ...]) -> None:
 def candidate_scores(exp: Experiment, names: tuple[str, ...], part: str = VALIDATION) -> DataFrame:
     """id, label, score, model and ordinal of each named candidate, fitted if need be."""
     fit_missing(exp, names)
-    rows = exp.part(part)
+    rows = spread(exp.part(part))
     frames = [score_features(exp, n, exp.models[n], rows).withColumns({"model": F.lit(n), "ordinal": F.lit(i)}) for i, n in enumerate(names)]
     return reduce(DataFrame.unionByName, frames)
 
@@ -219,7 +237,7 @@ def evaluate_chosen(exp: Experiment) -> Experiment:
     fit_missing(exp, (exp.chosen,))
 
     def measured() -> dict:
-        test_scores = score_features(exp, exp.chosen, exp.models[exp.chosen], exp.part(TEST))
+        test_scores = score_features(exp, exp.chosen, exp.models[exp.chosen], spread(exp.part(TEST)))
         return metrics_record(binary_metrics(test_scores, LABEL_COL, SCORE_COL, exp.threshold).first().asDict())
 
     exp.test_metrics = exp.folder.record(f"test-{exp.chosen}", measured)

@@ -25,7 +25,7 @@ from ..operators.candidates import CANDIDATE_ORDER, LABEL_COL, SCORE_COL, Candid
 from ..operators.exact_trees import bootstrap, class_weights, fit_tree, training_table
 from ..operators.metrics import binary_metrics
 from ..operators.parity import score_parity
-from ..operators.scoring import predict_rows, score_rows, write_predictions
+from ..operators.scoring import predict_rows, score_rows, spread, write_predictions
 from ..operators.split import split_summary
 from ..operators.threshold import select_threshold
 from ..schema import DOCUMENT_TASK, TaskSpec
@@ -156,15 +156,18 @@ def _saved_bundle(spark: SparkSession, exp: Experiment) -> tuple[str, Bundle]:
 
 def batch_score(spark: SparkSession, sf: str) -> DataFrame:
     """Saved bundle -> load -> score every machine row, keeping the key."""
-    exp = experiment(spark, sf)
+    return _batch_scored(spark, sf, experiment(spark, sf))
+
+
+def _batch_scored(spark: SparkSession, sf: str, exp: Experiment) -> DataFrame:
     _, bundle = _saved_bundle(spark, exp)
-    return predict_rows(bundle.model, bundle.threshold, load_machine(spark, sf), S.features, keep=["udi"])
+    return predict_rows(bundle.model, bundle.threshold, spread(load_machine(spark, sf)), S.features, keep=["udi"])
 
 
 def batch_score_check(spark: SparkSession, sf: str) -> DataFrame:
     """Every machine row once, and whether its score and prediction agree."""
-    scored = batch_score(spark, sf)
-    return scored.select("udi", _consistent(experiment(spark, sf)).alias("consistent"))
+    exp = experiment(spark, sf)
+    return _batch_scored(spark, sf, exp).select("udi", _consistent(exp).alias("consistent"))
 
 
 def bundle_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
