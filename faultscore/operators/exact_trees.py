@@ -46,6 +46,8 @@ MOST_TASKS = 8192
 #: Groups of a drawn forest for each core: few enough that the rows seldom go out,
 #: enough that cores which are free later still find one.
 CORE_GROUPS = 4
+#: Draws that are counted in doubles together with those of class 1.
+MOST_SUM = 1 << 26
 #: Draws of a row beyond which Poisson(1) has no mass that 52 bits can tell.
 MOST_DRAWS = 17
 
@@ -139,46 +141,71 @@ class Ranked:
         self.ranks = np.stack([r.reshape(-1).astype(np.int32) for _, r in found])
         self.values, sizes = np.concatenate([v for v, _ in found]), [len(v) for v, _ in found]
         self.first = np.cumsum([0, *sizes[:-1]])
-        self.bits = max(sizes).bit_length()
+        self.bits, self.sizes = max(sizes).bit_length(), np.array(sizes)
 
     def part(self, rows: np.ndarray) -> Ranked:
         out = object.__new__(Ranked)
-        out.ranks, out.values, out.first, out.bits = self.ranks.take(rows, axis=1), self.values, self.first, self.bits
+        out.ranks, out.values, out.first, out.bits, out.sizes = self.ranks.take(rows, axis=1), self.values, self.first, self.bits, self.sizes
         return out
 
 
-def level_cuts(x: Ranked, y: np.ndarray, m: np.ndarray, rows: np.ndarray, slot: np.ndarray, w0: float, w1: float, cfg: TreeConfig, orders: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def distinct_values(x: Ranked, f: np.ndarray, sizes: np.ndarray, r: np.ndarray, s: np.ndarray, drawn: np.ndarray, m_bits: int, few: bool) -> tuple[np.ndarray, ...]:
+    """(node, rank, draws, draws of class 1, rows) of each distinct value that a node
+    has in its column ``f``, by node and rank.  ``s`` is the node of each of the rows
+    ``r``, ``drawn`` a row's draws and class.  Where all values of the columns are not
+    many more than the rows they are counted, else sorted."""
+    ranks, each = x.ranks.reshape(-1).take((f * x.ranks.shape[1]).take(s) + r), drawn.take(r)
+    ends = np.cumsum(sizes)
+    if few and ends[-1] <= 4 * len(r):
+        place, times = (ends - sizes).take(s) + ranks, each >> 1
+        size = np.bincount(place, minlength=ends[-1])
+        at = np.flatnonzero(size)
+        # draws and those of class 1 in one whole number that a double holds
+        sums = np.bincount(place, weights=times + (times * (each & 1)) * MOST_SUM, minlength=ends[-1])[at].astype(np.int64)
+        node = np.searchsorted(ends, at, side="right")
+        return node, at - (ends - sizes)[node], sums % MOST_SUM, sums // MOST_SUM, size[at]
+    # node, rank, draws and class in one number: a sort of these is all that moves
+    key = ((s << x.bits | ranks) << m_bits) | each
+    key.sort()
+    value = key >> m_bits
+    times = (key & ((1 << m_bits) - 1)) >> 1
+    at = np.append(0, np.flatnonzero(value[1:] != value[:-1]) + 1)
+    first = value[at]
+    return first >> x.bits, first & ((1 << x.bits) - 1), np.add.reduceat(times, at), np.add.reduceat(times * (key & 1), at), np.diff(np.append(at, len(key)))
+
+
+def level_cuts(x: Ranked, y: np.ndarray, m: np.ndarray, rows: np.ndarray, slot: np.ndarray, w0: float, w1: float, cfg: TreeConfig, orders: np.ndarray, constant: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(column, rank of the last value that goes left, cut) of each node, column
     -1 for none.  ``slot`` is the node of each of the rows; a node looks at its
-    columns in the order of its line in ``orders``."""
+    columns in the order of its line in ``orders``.  Columns known to be ``constant``
+    in a node (a line a node) are passed over there, and those found so are noted."""
     count, width = orders.shape
+    constant, every = np.zeros((count, width), dtype=bool) if constant is None else constant, np.arange(count)
     feature, low = np.full(count, -1), np.zeros(count, dtype=np.int64)
     cut, top, seen = np.zeros(count), np.full(count, -np.inf), np.zeros(count, dtype=np.int64)
     m_bits = int(m.max()).bit_length() + 1
-    flat, n_rows, drawn = x.ranks.reshape(-1), x.ranks.shape[1], (m << 1) | y
+    drawn, few = (m << 1) | y, int(m.sum()) < MOST_SUM
     for f in orders.T:
         wanted = np.ones(count, dtype=bool) if cfg.columns is None else (seen < cfg.columns) | (feature < 0)
         if not wanted.any():
             break
-        held = wanted[slot]
-        r, s = (rows, slot) if held.all() else (rows[held], slot[held])
-        # node, rank, draws and class in one number: a sort of these is all that moves
-        key = s << x.bits
-        key |= flat.take((f * n_rows).take(s) + r)
-        key <<= m_bits
-        key |= drawn.take(r)
-        key.sort()
-        value = key >> m_bits
-        node = value >> x.bits
-        times = (key & ((1 << m_bits) - 1)) >> 1
-        total, ones = np.cumsum(times), np.cumsum(times * (key & 1))
-        ends = np.flatnonzero(np.r_[node[1:] != node[:-1], True])
-        starts = np.r_[0, ends[:-1] + 1]
+        wanted &= ~constant[every, f]
+        held = np.flatnonzero(wanted.take(slot))
+        if not len(held):
+            continue
+        r, s = (rows, slot) if len(held) == len(rows) else (rows.take(held), slot.take(held))
+        node, rank, times, ones, size = distinct_values(x, f, np.where(wanted, x.sizes.take(f), 0), r, s, drawn, m_bits, few)
+        total, ones, size = np.cumsum(times), np.cumsum(ones), np.cumsum(size)
+        last = np.flatnonzero(node[1:] != node[:-1])
+        ends, starts = np.append(last, len(node) - 1), np.append(0, last + 1)
         nodes = node[ends]
-        seen[nodes] += value[starts] != value[ends]
-        at = np.flatnonzero((value[1:] != value[:-1]) & (node[1:] == node[:-1]))
+        several = ends > starts
+        seen[nodes] += several
+        constant[nodes, f[nodes]] = ~several
+        at = np.flatnonzero(node[1:] == node[:-1])
         i = np.searchsorted(nodes, node[at])
-        valid = (at - starts[i] + 1 >= cfg.min_rows) & (ends[i] - at >= cfg.min_rows)
+        before_rows = np.append(0, size[ends[:-1]])
+        valid = (size[at] - before_rows[i] >= cfg.min_rows) & (size[ends][i] - size[at] >= cfg.min_rows)
         at, i = at[valid], i[valid]
         if not len(at):
             continue
@@ -194,9 +221,8 @@ def level_cuts(x: Ranked, y: np.ndarray, m: np.ndarray, rows: np.ndarray, slot:
         better = (feature[n] < 0) | (gain[hit] > top[n]) | ((gain[hit] == top[n]) & (f[n] < feature[n]))
         n, hit = n[better], hit[better]
         top[n], feature[n] = gain[hit], f[n]
-        ranks = (1 << x.bits) - 1
-        low[n] = value[at[hit]] & ranks
-        a, b = x.values[x.first[f[n]] + low[n]], x.values[x.first[f[n]] + (value[at[hit] + 1] & ranks)]
+        low[n] = rank[at[hit]]
+        a, b = x.values[x.first[f[n]] + low[n]], x.values[x.first[f[n]] + rank[at[hit] + 1]]
         middle = (a + b) / 2.0
         cut[n] = np.where(middle >= b, a, middle)
     return feature, low, cut
@@ -213,6 +239,7 @@ def grow_subtree(x: Ranked, y: np.ndarray, m: np.ndarray, tree: int, path: str,
     until nothing splits, a level at a time."""
     parts, first, paths = [], 0, [path]
     rows, slot, times1 = np.arange(len(y)), np.zeros(len(y), dtype=np.int64), m * y
+    constant = np.zeros((1, len(x.ranks)), dtype=bool)  # columns with one value in a node have one below it too
     while paths:
         count = len(paths)
         n, size = np.bincount(slot, m[rows], count), np.bincount(slot, minlength=count)
@@ -228,10 +255,12 @@ def grow_subtree(x: Ranked, y: np.ndarray, m: np.ndarray, tree: int, path: str,
             orders = np.array([range(width) if cfg.columns is None else column_order(cfg.seed, tree, paths[i], width) for i in inner.tolist()])
             place = np.full(count, -1)
             place[inner] = np.arange(len(inner))
-            held = place[slot] >= 0
-            rows, slot = rows[held], place[slot[held]]
-            f, low, cut = level_cuts(x, y, m, rows, slot, w0, w1, cfg, orders)
+            held = np.flatnonzero(place.take(slot) >= 0)
+            rows, slot = rows.take(held), place.take(slot.take(held))
+            constant = constant[inner]
+            f, low, cut = level_cuts(x, y, m, rows, slot, w0, w1, cfg, orders, constant)
             split = np.flatnonzero(f >= 0)
+            constant = np.repeat(constant[split], 2, axis=0)
             at = inner[split]
             feature[at], threshold[at], value[at] = f[split], cut[split], 0.0
             left[at] = first + count + 2 * np.arange(len(split))
@@ -239,8 +268,8 @@ def grow_subtree(x: Ranked, y: np.ndarray, m: np.ndarray, tree: int, path: str,
             opened = [paths[i] + side for i in at.tolist() for side in "01"]
             child = np.full(len(inner), -1)
             child[split] = 2 * np.arange(len(split))
-            held = child[slot] >= 0
-            rows, slot = rows[held], slot[held]
+            held = np.flatnonzero(child.take(slot) >= 0)
+            rows, slot = rows.take(held), slot.take(held)
             value_ranks = x.ranks.reshape(-1).take((f * x.ranks.shape[1]).take(slot) + rows)
             slot = child.take(slot) + (value_ranks > low.take(slot))
         parts.append((feature, threshold, left, right, value))

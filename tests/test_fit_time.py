@@ -126,3 +126,26 @@ def test_batch_score_check_goes_through_the_experiment_once(spark, monkeypatch):
     assert len(calls) == 1
     assert {r.udi: r.consistent for r in got.collect()} == {1: True, 2: True, 3: False}
     assert got.where(F.col("consistent").isNull()).count() == 0
+
+
+def test_values_counted_and_sorted_are_the_same_and_constant_columns_are_passed_over(monkeypatch):
+    g = np.random.default_rng(4)
+    x = np.stack([g.integers(0, k, 400).astype(float) for k in (1, 2, 2, 3, 300)], axis=1)
+    y, m = g.integers(0, 2, 400), g.integers(1, 4, 400)
+    ranked, cfg, looks = exact_trees.Ranked(x), TreeConfig(min_rows=2, columns=2, seed=5), []
+    plain = exact_trees.distinct_values
+    grown = lambda: [c.tolist() for c in exact_trees.grow_subtree(ranked, y, m, 0, "", 1.0, 2.0, cfg)]
+
+    def noted(x, f, sizes, r, s, *rest):
+        out = plain(x, f, sizes, r, s, *rest)
+        looks.append((len(r), len(out[0])))
+        return out
+
+    monkeypatch.setattr(exact_trees, "distinct_values", noted)
+    counted, rows_counted = grown(), sum(n for n, _ in looks)
+    monkeypatch.setattr(exact_trees, "MOST_SUM", 1)  # always sorted
+    assert grown() == counted
+    level_cuts = exact_trees.level_cuts
+    monkeypatch.setattr(exact_trees, "level_cuts", lambda *a: level_cuts(*a[:-1]))  # nothing known from above
+    looks.clear()
+    assert grown() == counted and sum(n for n, _ in looks) > rows_counted
