@@ -2,17 +2,17 @@
 
 ReLU units with dropout, weighted logistic loss, Adam with weight decay.  Rows lie
 in blocks (one table row each).  In every epoch a row's batch is a hash of (seed,
-epoch, id); a step takes ``batch`` rows from every block on average.  The units
-that a row drops are hashes of (seed, epoch, id, unit), so a lost task comes out
-the same again.  Where all rows are one block the steps run inside its task.
+epoch, id); a step takes ``batch`` rows on average, of however many blocks.  The
+units that a row drops are hashes of (seed, epoch, id, unit), so a lost task comes
+out the same again.  Where all rows are one block the steps run inside its task.
 
 A step needs the weights of the step before, and its own batch only.  So up to
 ``most_turns`` blocks an epoch's rows are dealt by batch into as many turns, each
 no longer than a block on average; a task takes the steps of a turn and hands
-weights and moments to the next one.  Beyond that, where a step is worth a job,
-no row moves: the tasks add up the gradient of their blocks' rows, a groupBy adds
-up the tasks, and the driver takes the step.  All three forms take the same steps
-with the same functions.
+weights and moments to the next one.  Beyond that (a caller's wish, for steps that
+are worth a job) no row moves: the tasks add up the gradient of their blocks' rows,
+a groupBy adds up the tasks, and the driver takes the step.  All three forms take
+the same steps with the same functions.
 """
 
 from __future__ import annotations
@@ -47,7 +47,7 @@ class NetworkConfig:
     epochs: int = 40
     seed: int = 42
     block_rows: int = 262_144
-    most_turns: int = 256
+    most_turns: int = 1 << 20  # a turn is a job; a step alone is never worth one
 
 
 def numbers(*parts) -> tuple[int, int]:
@@ -100,13 +100,19 @@ def gradient_sums(w: Weights, x: np.ndarray, y: np.ndarray, keep: np.ndarray, we
     units = np.maximum(before, 0.0) * keep
     z = units @ w.second + w.second_bias
     p = 1.0 / (1.0 + np.exp(-z))
-    out = Weights(w.width, w.hidden)
-    dz = (1.0 - y) * p - weight * y * (1.0 - p)
-    back = dz[:, None] * w.second * keep * (before > 0)
-    out.first[:], out.first_bias[:] = x.T @ back, back.sum(axis=0)
-    out.second[:], out.second_bias[:] = units.T @ dz, dz.sum()
-    loss = (weight * y * np.logaddexp(0.0, -z) + (1.0 - y) * np.logaddexp(0.0, z)).sum()
-    return np.r_[out.vector, loss, len(x)]
+    found = np.empty(len(w.vector) + 2)
+    out = Weights(w.width, w.hidden, found[:-2])
+    ones, zeros = weight * y, 1.0 - y
+    dz = zeros * p - ones * (1.0 - p)
+    back = dz[:, None] * w.second
+    back *= keep
+    back *= before > 0
+    np.matmul(x.T, back, out=out.first)
+    back.sum(axis=0, out=out.first_bias)
+    np.matmul(units.T, dz, out=out.second)
+    out.second_bias[0] = dz.sum()
+    found[-2:] = (ones * np.logaddexp(0.0, -z) + zeros * np.logaddexp(0.0, z)).sum(), len(x)
+    return found
 
 
 class Adam:
@@ -132,7 +138,7 @@ class Rows:
     def batches(self, epoch: int, count: int, cfg: NetworkConfig) -> np.ndarray:
         return (unit_hash(self.ids, cfg.seed, "batch", epoch) % np.uint64(count)).astype(np.int64)
 
-    def keep(self, at: np.ndarray, epoch: int, cfg: NetworkConfig) -> np.ndarray:
+    def keep(self, at: np.ndarray | slice, epoch: int, cfg: NetworkConfig) -> np.ndarray:
         a, b, c = unit_numbers(cfg.seed, epoch, cfg.hidden)
         mixed = self.ids[at][:, None] * a + b  # unit_hash of every unit at once
         mixed = (mixed ^ (mixed >> np.uint64(29))) * c
@@ -142,7 +148,28 @@ class Rows:
         return gradient_sums(w, self.x[at], self.y[at], self.keep(at, epoch, cfg), weight)
 
 
+class Dealt:
+    """An epoch's rows by batch (numbers from 0, in the order of ``dealt``), of which
+    the kept units are hashed for many batches at a time."""
+
+    def __init__(self, rows: Rows, dealt: np.ndarray, batches: int, epoch: int, weight: float, cfg: NetworkConfig):
+        order = np.argsort(dealt, kind="stable")
+        self.rows = object.__new__(Rows)
+        self.rows.ids, self.rows.y, self.rows.x = rows.ids[order], rows.y[order], rows.x[order]
+        self.bounds = np.searchsorted(dealt[order], np.arange(batches + 1)).tolist()
+        self.epoch, self.weight, self.cfg, self.kept, self.lo, self.hi = epoch, weight, cfg, None, 0, 0
+
+    def sums(self, w: Weights, b: int) -> np.ndarray:
+        lo, hi = self.bounds[b], self.bounds[b + 1]
+        if not self.lo <= lo <= hi <= self.hi:
+            self.lo, self.hi = lo, min(len(self.rows.ids), max(hi, lo + KEPT_ROWS))
+            self.kept = self.rows.keep(slice(self.lo, self.hi), self.epoch, self.cfg)
+        return gradient_sums(w, self.rows.x[lo:hi], self.rows.y[lo:hi], self.kept[lo - self.lo : hi - self.lo], self.weight)
+
+
 BLOCKS = "block long, ids binary, label binary, x binary"
+#: Rows whose kept units are hashed together.
+KEPT_ROWS = 2048
 
 
 def make_blocks(train: DataFrame, id_column: str, label: str, features: str, count: int, seed: int) -> DataFrame:
@@ -194,8 +221,8 @@ def fit_in_block(blocks: DataFrame, width: int, batches: int, weight: float, cfg
                 def sums(w, epoch, b, rows=rows, dealt=dealt):
                     if epoch not in dealt:
                         dealt.clear()
-                        dealt[epoch] = by_batch(rows.batches(epoch, batches, cfg), batches)
-                    return rows.sums(w, dealt[epoch][b], epoch, weight, cfg)
+                        dealt[epoch] = Dealt(rows, rows.batches(epoch, batches, cfg), batches, epoch, weight, cfg)
+                    return dealt[epoch].sums(w, b)
 
                 w, losses = train_epochs(width, batches, cfg, sums)
                 yield pa.RecordBatch.from_arrays([pa.array([w.vector]), pa.array([losses])], names=["vector", "losses"])
@@ -229,8 +256,8 @@ def fit_by_turns(blocks: DataFrame, width: int, batches: int, weight: float, cfg
                 rows = joined(list(parts), width)
                 if rows is None:
                     return
-                at = by_batch(rows.batches(epoch, batches, cfg) - t * long, long)
-                w, seen = take_steps(Weights(width, cfg.hidden, vector), adam, lambda w, b: rows.sums(w, at[b], epoch, weight, cfg), range(long))
+                at = Dealt(rows, rows.batches(epoch, batches, cfg) - t * long, long, epoch, weight, cfg)
+                w, seen = take_steps(Weights(width, cfg.hidden, vector), adam, at.sums, range(long))
                 yield w.vector, adam, seen
 
             for vector, adam, losses_of_turn in spark.sparkContext.runJob(dealt, run, [t]):
@@ -307,5 +334,5 @@ def fit_network(train: DataFrame, id_column: str, weight: float, cfg: NetworkCon
     count = max(1, -(-n // cfg.block_rows))
     blocks = make_blocks(train, id_column, label, features, count, cfg.seed)
     fit = fit_in_block if count == 1 else fit_by_turns if count <= cfg.most_turns else fit_over_blocks
-    vector, losses = fit(blocks, width, max(1, -(-n // (cfg.batch * count))), weight, cfg)
+    vector, losses = fit(blocks, width, max(1, -(-n // cfg.batch)), weight, cfg)
     return NetworkModel(weights=json.dumps(vector.tolist()), width=width, hidden=cfg.hidden), losses
