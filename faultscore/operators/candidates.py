@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import col, hash_key
-from .boosting import TASK_VALUES, BoostingConfig, fit_boosted_trees
+from .boosting import BoostingConfig, fit_boosted_trees
 from .exact_trees import TreeConfig, fit_forest, fit_tree
 from .network import NetworkConfig, fit_network
 from .newton import WIDEST, fit_logistic
@@ -57,9 +57,10 @@ BOOSTED_PARAMETERS: dict[str, Any] = {
 }
 #: Blocks (1,048,576 rows) that boosting goes through in one task, where a job a level would take longer.
 BOOSTED_TASK_BLOCKS = 4
-#: Rows of the single tree that are grown in one task, where a pass a level would take longer
-#: (if they are ``TASK_VALUES`` values at most).
-TREE_TASK_ROWS = 1_048_576
+#: Rows of a tree that are grown in one task, where a pass a level would take longer (if they
+#: are ``TREE_TASK_VALUES`` values at most: a task holds them as ranks of one to four bytes).
+TREE_TASK_ROWS = 4_194_304
+TREE_TASK_VALUES = 33_554_432
 CANDIDATE_ORDER = ("majority_baseline", "logistic_regression", "decision_tree", "random_forest", "boosted_trees")
 
 
@@ -239,6 +240,13 @@ def tree_config(name: str, config: CandidateConfig, width: int) -> TreeConfig:
     return TreeConfig(config.forest_depth, config.forest_min_rows, max(1, int(math.sqrt(width))), config.seed, config.tree_finish_rows)
 
 
+def task_config(name: str, config: CandidateConfig, width: int, rows: int) -> TreeConfig:
+    """The same trees, grown in a task each where that has room for the rows."""
+    cfg = tree_config(name, config, width)
+    fits = rows <= TREE_TASK_ROWS and rows * width <= TREE_TASK_VALUES
+    return replace(cfg, finish_rows=max(cfg.finish_rows, rows)) if fits else cfg
+
+
 def fit_candidate(name: str, features: DataFrame, balance: ClassBalance, config: CandidateConfig, width: int, id_column: str):
     """Fit one candidate on featurized training rows; returns (model, extra)."""
     if name == "majority_baseline":
@@ -249,12 +257,9 @@ def fit_candidate(name: str, features: DataFrame, balance: ClassBalance, config:
         weighted = features.withColumn(WEIGHT_COL, balance.balanced_weight())
         return without_summary(wide_logistic(balance, config).fit(weighted)), {}
     if name == "decision_tree":
-        cfg = tree_config(name, config, width)
-        if balance.rows <= TREE_TASK_ROWS and balance.rows * width <= TASK_VALUES:
-            cfg = replace(cfg, finish_rows=max(cfg.finish_rows, balance.rows))
-        return fit_tree(features, id_column, cfg, LABEL_COL), {}
+        return fit_tree(features, id_column, task_config(name, config, width, balance.rows), LABEL_COL), {}
     if name == "random_forest":
-        return fit_forest(features, id_column, config.forest_trees, tree_config(name, config, width), LABEL_COL), {}
+        return fit_forest(features, id_column, config.forest_trees, task_config(name, config, width, balance.rows), LABEL_COL), {}
     if name == "boosted_trees":
         return fit_boosted_trees(features, id_column, balance.positive_weight(), boosting_config(config), LABEL_COL, task_blocks=BOOSTED_TASK_BLOCKS), {}
     if name == "mlp":

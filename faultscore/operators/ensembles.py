@@ -6,8 +6,8 @@ node table as parquet beside its parameters, so no tree lives on the driver.
 
 Scoring adds up each row's leaf values over the trees: through a sigmoid of the
 sum (boosted trees) or as a mean (forest, single tree).  A table of up to
-``BROADCAST_NODES`` nodes is broadcast; a larger one streams, tree by tree, past
-blocks of rows, so that neither side has to fit in one place.
+``BROADCAST_NODES`` nodes is broadcast; a larger one streams, a packed tree at a
+time, past blocks of rows, so that neither side has to fit in one place.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ import os
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import keyword_only
 from pyspark.ml import Model
 from pyspark.ml.functions import vector_to_array
@@ -32,8 +33,11 @@ NODE_SCHEMA = "tree int, node int, feature int, threshold double, left int, righ
 NODE_COLUMNS = tuple(f.split()[0] for f in NODE_SCHEMA.split(", "))
 #: Nodes (36 bytes each) of a table that is broadcast.
 BROADCAST_NODES = 2_000_000
-#: Rows that trees stream past together.
-BLOCK_ROWS = 65_536
+#: Rows that trees stream past together at most, and those that are worth a block of their own.
+BLOCK_ROWS = 262_144
+LEAST_BLOCK_ROWS = 65_536
+NODE_DTYPES = {"feature": np.int32, "threshold": np.float64, "left": np.int32, "right": np.int32, "value": np.float64}
+PACKED_TREE = "tree int, nodes binary"
 
 
 def leaf_values(x: np.ndarray, nodes: dict[str, np.ndarray], lo: int, hi: int) -> np.ndarray:
@@ -65,6 +69,26 @@ def tree_sums(x: np.ndarray, nodes: dict[str, np.ndarray]) -> np.ndarray:
     return total
 
 
+def packed_trees(nodes: DataFrame) -> DataFrame:
+    """A row a tree: its nodes' columns, by node, one behind the other."""
+
+    def pack(key, table):
+        table = table.sort_by([("node", "ascending")])
+        data = b"".join(table.column(c).to_numpy().astype(t).tobytes() for c, t in NODE_DTYPES.items())
+        return pa.table([pa.array([key[0].as_py()], pa.int32()), pa.array([data], pa.binary())], names=["tree", "nodes"])
+
+    return nodes.groupBy("tree").applyInArrow(pack, PACKED_TREE)
+
+
+def unpacked_tree(data: bytes) -> dict[str, np.ndarray]:
+    out, at = {}, 0
+    n = memoryview(data).nbytes // sum(np.dtype(t).itemsize for t in NODE_DTYPES.values())
+    for c, t in NODE_DTYPES.items():
+        out[c] = np.frombuffer(data, dtype=t, count=n, offset=at)
+        at += out[c].nbytes
+    return out
+
+
 def feature_matrix(values: pa.Array) -> np.ndarray:
     width = len(values[0]) if len(values) else 0
     return values.flatten().to_numpy(zero_copy_only=False).reshape(len(values), width)
@@ -132,53 +156,33 @@ class TreeEnsembleModel(Model, HasFeaturesCol, HasOutputCol, DefaultParamsReadab
     def _streamed(self, rows: DataFrame, given: list[str], finish) -> DataFrame:
         """Each block's rows first, then every tree past them."""
         spark, out = rows.sparkSession, self.getOutputCol()
-        blocks = max(1, -(-rows.count() // BLOCK_ROWS))
-        held = rows.select(F.struct(*[F.col(f"`{c}`") for c in given]).alias("row"), F.col("__x").alias("x"), *[F.lit(None).cast(t.split()[1]).alias(t.split()[0]) for t in NODE_SCHEMA.split(", ")])
+        n, cores = rows.count(), spark.sparkContext.defaultParallelism
+        blocks = max(1, -(-n // BLOCK_ROWS), min(cores, -(-n // LEAST_BLOCK_ROWS)))
+        held = rows.select(F.struct(*[F.col(f"`{c}`") for c in given]).alias("row"), F.col("__x").alias("x"), *[F.lit(None).cast(t.split()[1]).alias(t.split()[0]) for t in PACKED_TREE.split(", ")])
         # by all plain columns, so that rows of one feature vector are spread too
         plain = [f"row.`{c}`" for c, t in rows.dtypes if c in given and not t.startswith(("map", "vector", "array", "struct"))]
-        held = held.withColumns({"block": F.pmod(F.xxhash64("x", *plain), F.lit(blocks)), "kind": F.lit(0)})
-        trees = self.nodes.select(F.lit(None).cast(held.schema["row"].dataType).alias("row"), F.lit(None).cast("array<double>").alias("x"), *NODE_COLUMNS, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"), F.lit(1).alias("kind"))
-        dealt = held.unionByName(trees).repartition(blocks, "block").sortWithinPartitions("block", "kind", "tree", "node")
+        held = held.withColumns({"block": F.pmod(F.xxhash64("x", *plain), F.lit(blocks)).cast("int"), "kind": F.lit(0)})
+        trees = packed_trees(self.nodes).select(F.lit(None).cast(held.schema["row"].dataType).alias("row"), F.lit(None).cast("array<double>").alias("x"), "tree", "nodes", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(1).alias("kind"))
+        dealt = held.unionByName(trees).repartitionById(blocks, "block").sortWithinPartitions("kind", "tree")  # a block a partition
 
         def run(batches):
-            block, parts, x, total, tree = None, [], None, None, []
-
-            def grown():
-                nodes = {c: np.concatenate([t[c] for t in tree]) for c in NODE_COLUMNS}
-                return leaf_values(x, nodes, 0, len(nodes["tree"]))
-
-            def done():
-                found, at = finish(total + grown() if tree else total), 0
-                for p in parts:
-                    yield pa.RecordBatch.from_arrays([p.column("row"), pa.array(found[at : at + p.num_rows])], names=["row", "__score"])
-                    at += p.num_rows
-
+            parts, x, total = [], None, None
             for batch in batches:
-                keys, kinds = batch.column("block").to_numpy(), batch.column("kind").to_numpy()
-                numbers = batch.column("tree").fill_null(-1).to_numpy(zero_copy_only=False)
-                cuts = np.flatnonzero((keys[1:] != keys[:-1]) | (kinds[1:] != kinds[:-1]) | (numbers[1:] != numbers[:-1])) + 1
-                for lo, hi in zip([0, *cuts], [*cuts, batch.num_rows]):
-                    if lo == hi:
-                        continue
-                    part = batch.slice(lo, hi - lo)
-                    if keys[lo] != block:
-                        if parts:
-                            yield from done()
-                        block, parts, x, tree = keys[lo], [], None, []
-                    if kinds[lo] == 0:
-                        parts.append(part)
-                        continue
-                    if not parts:
-                        continue
-                    if x is None:
-                        x = np.concatenate([feature_matrix(p.column("x")) for p in parts])
-                        total = np.zeros(len(x))
-                    nodes = {c: part.column(c).to_numpy(zero_copy_only=False) for c in NODE_COLUMNS}
-                    if tree and tree[0]["tree"][0] != nodes["tree"][0]:
-                        total, tree = total + grown(), []
-                    tree.append(nodes)
-            if parts:
-                yield from done()
+                rows_here = batch.num_rows - int(pc.sum(batch.column("kind")).as_py() or 0)
+                if rows_here:
+                    parts.append(batch.slice(0, rows_here))
+                if rows_here == batch.num_rows or not parts:
+                    continue
+                if x is None:
+                    x = np.concatenate([feature_matrix(p.column("x")) for p in parts])
+                    total = np.zeros(len(x))
+                for data in batch.column("nodes").slice(rows_here):
+                    nodes = unpacked_tree(data.as_buffer())
+                    total += leaf_values(x, nodes, 0, len(nodes["feature"]))
+            at, found = 0, finish(np.zeros(sum(p.num_rows for p in parts)) if total is None else total)
+            for p in parts:
+                yield pa.RecordBatch.from_arrays([p.column("row"), pa.array(found[at : at + p.num_rows])], names=["row", "__score"])
+                at += p.num_rows
 
         schema = held.select("row").schema.add("__score", "double")
         return spark.createDataFrame([], schema).unionByName(dealt.mapInArrow(run, schema)).select("row.*", F.col("__score").alias(out), F.lit(None).alias("__x"))

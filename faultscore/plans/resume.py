@@ -28,7 +28,7 @@ from ..operators.candidates import CandidateConfig
 from ..schema import TaskSpec
 
 #: Raised when stage outputs change their form.
-FORMAT = 1
+FORMAT = 2
 #: Settings that say which candidates are fitted and how fast, not what a fit gives.
 NOT_IN_DIGEST = ("include", "parallel_fits")
 

@@ -3,10 +3,17 @@
 import json
 from dataclasses import replace
 
+import numpy as np
 import pytest
 from fixtures import machine_frame
+from pyspark.ml.linalg import Vectors
+from pyspark.sql import functions as F
+from test_exact_trees import shape
 
-from faultscore.operators.candidates import CandidateConfig
+from faultscore.operators import exact_trees
+from faultscore.operators.candidates import CandidateConfig, class_balance, fit_candidate
+from faultscore.operators.ensembles import NODE_SCHEMA, TreeEnsembleModel, packed_trees, unpacked_tree
+from faultscore.operators.exact_trees import TreeConfig
 from faultscore.operators.network import NetworkConfig, fit_network
 from faultscore.plans.experiment import prepare
 from faultscore.schema import MACHINE_TASK as S
@@ -28,3 +35,57 @@ def test_a_network_of_many_blocks_takes_every_step(prepared):
     assert three[1] == one[1]
     assert json.loads(three[0].getOrDefault("weights")) == json.loads(one[0].getOrDefault("weights"))
     assert NetworkConfig().most_turns * NetworkConfig().block_rows > 10**11  # no table goes a step a job
+
+
+def test_a_forest_of_a_large_table_is_no_row_a_tree(prepared, monkeypatch):
+    """Above ``tree_finish_rows`` trees are still grown in a task each, and are the same."""
+    width, balance = prepared.stats.vector_width(S), class_balance(prepared.train)
+    config = CandidateConfig(seed=3, forest_trees=3)
+    want = shape(fit_candidate("random_forest", prepared.train, balance, config, width, "udi")[0].nodes)
+    monkeypatch.setattr(exact_trees, "bootstrap", lambda *a: pytest.fail("a row a tree"))
+    got = fit_candidate("random_forest", prepared.train, balance, replace(config, tree_finish_rows=100), width, "udi")
+    assert shape(got[0].nodes) == want
+
+
+def test_trees_grown_in_pieces_are_the_same(monkeypatch):
+    g = np.random.default_rng(7)
+    x = np.stack([g.integers(0, k, 3000).astype(float) for k in (1, 2, 24, 60, 2500)], axis=1)
+    y, m = (g.random(3000) < 0.1).astype(np.int8), g.integers(1, 5, 3000).astype(np.uint8)
+    ranked = exact_trees.Ranked(x)
+    for cfg in (TreeConfig(min_rows=2, columns=2, seed=5), TreeConfig(max_depth=4, min_rows=8, seed=5)):
+        grown = []
+        for together in (1, 40, 500, 10**6):
+            monkeypatch.setattr(exact_trees, "TOGETHER", together)
+            for bits in (18, 1):  # sums of a value in one double, or in two
+                monkeypatch.setattr(exact_trees, "TIMES_BITS", bits)
+                grown.append([c.tolist() for c in exact_trees.grow_subtree(ranked, y, m, 0, "", 1.0, 9.0, cfg)])
+        assert all(nodes == grown[0] for nodes in grown)
+        feature, left, right = grown[0][2], grown[0][4], grown[0][5]
+        children = [c for f, a, b in zip(feature, left, right) if f >= 0 for c in (a, b)]
+        assert children == list(range(1, len(feature)))  # level by level
+
+
+def test_rows_go_out_as_ranks_with_ids_of_any_length(spark):
+    ids = ["", "é", "a17", "x" * 60, *map(str, range(300))]
+    rows = [(i, int(k % 3 == 0), [float(k % 7), float(k), -1.0]) for k, i in enumerate(ids)]
+    table = spark.createDataFrame([*rows, (None, 1, [5.0, -3.0, 2.0])], "id string, y int, x array<double>").repartition(5)
+    found, y, x = exact_trees.unpacked([r.asDict() for r in exact_trees.packed(table).collect()])
+    by_id = {text[k].tobytes(): int(p) for at, text in found.parts for k, p in enumerate(at)}
+    assert sorted(by_id) == sorted(i.encode() for i in ids)  # a row without an id is never drawn
+    for i, label, values in rows:
+        p = by_id[i.encode()]
+        assert y[p] == label and [x.values[x.first[f] + x.ranks[f][p]] for f in range(3)] == values
+    want = {i: k for i, k in zip(ids, exact_trees.drawn_times(42, 3, [i.encode() for i in ids]).tolist())}
+    got = exact_trees.drawn_times(42, 3, found).tolist()
+    assert {i: got[by_id[i.encode()]] for i in ids} == want
+
+
+def test_a_streamed_tree_is_one_row(spark):
+    nodes = [(t, n, *rest) for t in range(3) for n, rest in enumerate([(0, 0.5, 1, 2, 0.0), (-1, 0.0, -1, -1, 0.1 * t), (-1, 0.0, -1, -1, 1.0)])]
+    table = spark.createDataFrame(nodes, NODE_SCHEMA)
+    packed = {r.tree: unpacked_tree(r.nodes) for r in packed_trees(table.orderBy(F.desc("node"))).collect()}
+    assert sorted(packed) == [0, 1, 2]
+    assert [packed[2][c].tolist() for c in ("feature", "threshold", "left", "right", "value")] == [list(c) for c in zip(*[n[2:] for n in nodes if n[0] == 2])]
+    rows = spark.createDataFrame([(Vectors.dense([0.0]),), (Vectors.dense([1.0]),)], ["features"])
+    scored = TreeEnsembleModel(trees=3, link="mean", broadcastNodes=1).with_nodes(table).transform(rows)
+    assert sorted(r.score for r in scored.collect()) == [pytest.approx(0.1), 1.0]
