@@ -12,7 +12,8 @@ from test_exact_trees import shape
 
 from faultscore.operators import exact_trees
 from faultscore.operators.candidates import CandidateConfig, class_balance, fit_candidate
-from faultscore.operators.ensembles import NODE_SCHEMA, TreeEnsembleModel, packed_trees, unpacked_tree
+from faultscore.operators import ensembles
+from faultscore.operators.ensembles import NODE_COLUMNS, NODE_SCHEMA, TreeEnsembleModel, leaf_values, packed_trees, tree_sums, unpacked_tree
 from faultscore.operators.exact_trees import TreeConfig
 from faultscore.operators.network import NetworkConfig, fit_network
 from faultscore.plans.experiment import prepare
@@ -89,3 +90,37 @@ def test_a_streamed_tree_is_one_row(spark):
     rows = spark.createDataFrame([(Vectors.dense([0.0]),), (Vectors.dense([1.0]),)], ["features"])
     scored = TreeEnsembleModel(trees=3, link="mean", broadcastNodes=1).with_nodes(table).transform(rows)
     assert sorted(r.score for r in scored.collect()) == [pytest.approx(0.1), 1.0]
+
+
+def random_trees(g, trees, width, depth):
+    """Node tables of trees grown at random, cuts among few values."""
+    rows = []
+    for t in range(trees):
+        nodes, going = [None], [(0, 0)]
+        while going:
+            at, level = going.pop(0)
+            if level < depth and g.random() < 0.8:
+                nodes[at] = (t, at, int(g.integers(width)), float(g.integers(0, 9)) / 2, len(nodes), len(nodes) + 1, 0.0)
+                going += [(len(nodes), level + 1), (len(nodes) + 1, level + 1)]
+                nodes += [None, None]
+            else:
+                nodes[at] = (t, at, -1, 0.0, -1, -1, float(g.normal()))
+        rows += nodes
+    return {c: np.array(v) for c, v in zip(NODE_COLUMNS, zip(*rows))}
+
+
+def test_small_trees_are_scored_all_at_once_to_the_last_bit(monkeypatch):
+    g = np.random.default_rng(11)
+    for depth, masks in ((4, True), (0, True), (6, False)):
+        nodes = random_trees(g, 60, 3, depth)
+        x = g.integers(-1, 11, (700, 3)) / 2
+        x[::9, 1], x[3] = np.nan, [np.inf, -np.inf, -0.0]
+        starts = np.flatnonzero(np.r_[True, nodes["tree"][1:] != nodes["tree"][:-1]])
+        want = np.zeros(len(x))
+        for lo, hi in zip(starts, [*starts[1:], len(nodes["tree"])]):
+            want += leaf_values(x, nodes, lo, hi)
+        assert tree_sums(x, nodes).tolist() == want.tolist()
+        assert (nodes["masks"] is not None) == masks
+        assert tree_sums(x[:0], nodes).tolist() == []
+    monkeypatch.setattr(ensembles, "leaf_values", lambda *a: pytest.fail("tree by tree"))
+    tree_sums(x, random_trees(g, 5, 3, 4))
