@@ -6,11 +6,13 @@ from dataclasses import replace
 import numpy as np
 import pytest
 from fixtures import machine_frame
+from pyspark import RDD
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 from test_exact_trees import shape
 
-from faultscore.operators import exact_trees
+from faultscore.operators import boosting, candidates, exact_trees
+from faultscore.operators.boosting import BoostingConfig, fit_boosted_trees
 from faultscore.operators.candidates import CandidateConfig, class_balance, fit_candidate
 from faultscore.operators import ensembles
 from faultscore.operators.ensembles import NODE_COLUMNS, NODE_SCHEMA, TreeEnsembleModel, leaf_values, packed_trees, tree_sums, unpacked_tree
@@ -124,3 +126,23 @@ def test_small_trees_are_scored_all_at_once_to_the_last_bit(monkeypatch):
         assert tree_sums(x[:0], nodes).tolist() == []
     monkeypatch.setattr(ensembles, "leaf_values", lambda *a: pytest.fail("tree by tree"))
     tree_sums(x, random_trees(g, 5, 3, 4))
+
+
+def test_sums_of_blocks_take_one_stage(prepared, monkeypatch):
+    """Boosting by a job a level: no shuffle of sums below ``DIRECT_BLOCKS`` blocks, and the same trees."""
+    cfg = BoostingConfig(rounds=3, seed=3, block_rows=-(-prepared.train.count() // 6))
+    nodes = lambda: sorted(map(tuple, fit_boosted_trees(prepared.train, "udi", 5.0, cfg).nodes.collect()))
+    monkeypatch.setattr(boosting, "DIRECT_BLOCKS", 0)
+    want = nodes()
+    monkeypatch.undo()
+    monkeypatch.setattr(RDD, "treeReduce", lambda *a, **k: pytest.fail("another stage"))
+    assert nodes() == want
+
+
+def test_a_few_blocks_of_many_columns_are_boosted_in_a_task(monkeypatch):
+    """Three blocks of 26 columns, as labels and documents fill at size, need no job a level."""
+    assert 3 * BoostingConfig().block_rows * 26 <= boosting.TASK_VALUES
+    assert 3 * BoostingConfig().block_rows * 26 <= candidates.TREE_TASK_VALUES
+    cfg = candidates.task_config("random_forest", CandidateConfig(), 26, 720_000)
+    assert cfg.finish_rows >= 720_000
+    assert candidates.task_config("random_forest", CandidateConfig(), 26, 2_000_000) == candidates.tree_config("random_forest", CandidateConfig(), 26)
